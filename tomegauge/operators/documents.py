@@ -3,9 +3,10 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tomegauge.operators.scores import sentence_counts
 from tomegauge.operators.sentences import sentence_id
 from tomegauge.schemas import INDEX_DOCUMENT, SENTENCE_COLUMNS
 
@@ -39,8 +40,23 @@ def parse_index_documents(documents: DataFrame) -> DataFrame:
 
 
 def first_sentences(sentences: DataFrame, limit: int = LOOKUP_LIMIT) -> DataFrame:
-    """The first rows in key order."""
-    return sentences.orderBy("fileName", "position").limit(limit)
+    """The first rows in key order.
+
+    A plain top-k would send ``limit`` rows of every task to one. So the last
+    book wanted is found first, from the sentences per book, of which no more
+    than ``limit`` books matter; later books are then filtered out by name.
+    """
+    ahead = Window.orderBy("fileName").rowsBetween(Window.unboundedPreceding, -1)
+    last = (
+        sentence_counts(sentences)
+        .orderBy("fileName")
+        .limit(limit)
+        .withColumn("_ahead", F.coalesce(F.sum("doc_count").over(ahead), F.lit(0)))
+        .where(F.col("_ahead") < limit)
+        .agg(F.max("fileName"))
+        .scalar()
+    )
+    return sentences.where(F.col("fileName") <= last).orderBy("fileName", "position").limit(limit)
 
 
 def sentences_by_name(sentences: DataFrame, term: str, limit: int = LOOKUP_LIMIT) -> DataFrame:

@@ -93,14 +93,14 @@ def books_of_genre(
 ) -> DataFrame:
     """Books of a genre with a grade in ``[low, high]``, hardest first.
 
-    ``metadata(fileName, genre)`` has one row per book. Only sentences of that
-    genre are counted: the semi join goes before the grouping.
+    ``metadata(fileName, genre)`` has one row per book. It meets the scored
+    books, not their sentences: the grouping has shrunk those to one row per book
+    and placed them by the join key.
     """
-    wanted = metadata.where(F.col("genre") == genre)
     found = (
-        books_in_range(sentences.join(wanted.select("fileName"), "fileName", "left_semi"), low, high)
+        books_in_range(sentences, low, high)
         .drop("sum_other_doc_count")
-        .withColumn("genre", F.lit(genre))
+        .join(metadata.where(F.col("genre") == genre), "fileName")
     )
     return found if limit is None else found.orderBy(F.desc("smog"), "fileName").limit(limit)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tomegauge.functions import text
 from tomegauge.operators.sentences import explode_once
+from tomegauge.sinks import keyed
 
 # BM25 as search engines ship it, and the number of hits shown.
 K1 = 1.2
@@ -93,13 +94,16 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def postings(sentences: DataFrame, buckets: int, salts: int, unicode: bool = False) -> DataFrame:
+def postings(sentences: DataFrame, buckets: int, salts: int | None = None, unicode: bool = False) -> DataFrame:
     """``term, fileName, position, tf, length`` with the bucket of the term.
 
     One shuffle: rows go by bucket and a salt of the sentence, so the postings of
     a frequent term spread over ``salts`` tasks, and the grouping reuses that
-    placement since both columns are among its keys.
+    placement since both columns are among its keys. By default a third of all
+    postings may belong to one term without its tasks getting more than others.
     """
+    if salts is None:
+        salts = max(1, int(sentences.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)
     words = sentences.select(
         "fileName", "position", text.tokens("sentenceText", unicode).alias("_words")
     ).withColumn("length", F.size("_words"))
@@ -118,7 +122,7 @@ def write_index(
     sentences: DataFrame,
     path: str,
     buckets: int = 256,
-    salts: int = 16,
+    salts: int | None = None,
     unicode: bool = False,
 ) -> None:
     """Write postings, term frequencies and corpus statistics under ``path``.
@@ -185,11 +189,25 @@ def search_index(
         .agg(F.sum(_term_score(F.col("idf"), F.col("tf"), F.col("length"), F.lit(statistics["mean"]))).alias("_sum"))
         .select("fileName", "position", F.round("_sum", 4).alias("score"))
     )
-    best = scored.orderBy(F.desc("score"), "fileName", "position").limit(limit)
     total = scored.agg(F.count(F.lit(1))).scalar()
-    # At most ``limit`` rows.
-    return (
-        sentences.join(F.broadcast(best), ["fileName", "position"])
-        .select(*HIT_COLUMNS, "score", total.alias("total"))
-        .orderBy(F.desc("score"), "fileName", "position")
+    best = scored.orderBy(F.desc("score"), "fileName", "position").limit(limit).withColumn("total", total)
+    return look_up(sentences, best).orderBy(F.desc("score"), "fileName", "position")
+
+
+def look_up(sentences: DataFrame, hits: DataFrame) -> DataFrame:
+    """The sentences of a few hits.
+
+    The hits are known before the table is read, so their books become literal
+    filters: on the bucket, which prunes folders, and on the name, which skips
+    row groups. Without them twenty hits would cost a scan of the whole table.
+    """
+    rows = hits.collect()
+    known = sentences.sparkSession.createDataFrame(rows, hits.schema)
+    names = sorted({row.fileName for row in rows})
+    wanted = F.col("fileName").isin(names)
+    if "bucket" in sentences.columns:
+        wanted = wanted & F.col("bucket").isin([keyed.bucket_of(F.lit(name), F.col("buckets")) for name in names])
+    # At most as many rows as hits were asked for.
+    return sentences.where(wanted).join(F.broadcast(known), ["fileName", "position"]).select(
+        *HIT_COLUMNS, "score", "total"
     )

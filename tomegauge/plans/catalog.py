@@ -388,13 +388,13 @@ def phrase_search_unicode(spark, folder):
 
 @query
 def phrase_search_by_index(spark, folder):
-    store = tables.read_sentences(spark, landing.sentence_store(spark, folder))
+    store = spark.read.parquet(landing.sentence_store(spark, folder))
     return search.search_index(spark, landing.search_index(spark, folder), store, PHRASE)
 
 
 @query
 def postings(spark, folder):
-    return search.postings(fact(spark, folder), landing.INDEX_BUCKETS, landing.INDEX_SALTS).drop("bucket", "salt")
+    return search.postings(fact(spark, folder), landing.INDEX_BUCKETS).drop("bucket", "salt")
 
 
 # Sentiment
@@ -477,6 +477,12 @@ def stored_sentences(spark, folder):
     return tables.read_sentences(spark, landing.sentence_store(spark, folder))
 
 
+@query
+def stored_book(spark, folder):
+    """One book's sentences from the stored table: one bucket is read."""
+    return tables.read_book(spark, landing.sentence_store(spark, folder), BOOK)
+
+
 @query
 def stored_json_documents(spark, folder):
     return tables.read_index_documents(spark, landing.json_store(spark, folder))

@@ -17,8 +17,8 @@ from tomegauge.sinks import files, keyed
 from tomegauge.sources import books, tables
 
 INDEX_BUCKETS = 16
-INDEX_SALTS = 2
 TABLE_BUCKETS = 8
+KEY = ["fileName", "position"]
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -53,14 +53,14 @@ def book_files(spark: SparkSession, folder: str, path: str) -> None:
 
 @_once
 def sentence_store(spark: SparkSession, folder: str, path: str) -> None:
-    keyed.create_keyed(sentences(spark, folder), path, "fileName", TABLE_BUCKETS)
+    keyed.create_keyed(sentences(spark, folder), path, KEY, TABLE_BUCKETS)
 
 
 @_once
 def reloaded_store(spark: SparkSession, folder: str, path: str) -> None:
     """The sentence table after a second load replaced some sentences and added others."""
-    keyed.create_keyed(sentences(spark, folder), path, "fileName", TABLE_BUCKETS)
-    keyed.merge_keyed(spark, path, second_load(spark, folder), ["fileName", "position"], "fileName", TABLE_BUCKETS)
+    keyed.create_keyed(sentences(spark, folder), path, KEY, TABLE_BUCKETS)
+    keyed.merge_keyed(spark, path, second_load(spark, folder), KEY)
 
 
 def second_load(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,10 +75,8 @@ def document_store(spark: SparkSession, folder: str, path: str) -> None:
     """JSON documents under ``doc_id``: facts about the documents, then their labels in their place."""
     facts = tables.corpus_documents(spark, folder).select("doc_id", "lang", "source")
     labels = tables.corpus_labels(spark, folder).select("doc_id", "quality", "toxic")
-    keyed.create_keyed(documents.keyed_documents(facts, "doc_id"), path, "doc_id", TABLE_BUCKETS)
-    keyed.merge_keyed(
-        spark, path, documents.keyed_documents(labels, "doc_id"), ["doc_id"], "doc_id", TABLE_BUCKETS
-    )
+    keyed.create_keyed(documents.keyed_documents(facts, "doc_id"), path, ["doc_id"], TABLE_BUCKETS)
+    keyed.merge_keyed(spark, path, documents.keyed_documents(labels, "doc_id"), ["doc_id"])
 
 
 @_once
@@ -88,8 +86,8 @@ def json_store(spark: SparkSession, folder: str, path: str) -> None:
 
 @_once
 def search_index(spark: SparkSession, folder: str, path: str) -> None:
-    store = tables.read_sentences(spark, sentence_store(spark, folder))
-    search.write_index(store, path, INDEX_BUCKETS, INDEX_SALTS)
+    store = spark.read.parquet(sentence_store(spark, folder))
+    search.write_index(store, path, INDEX_BUCKETS)
 
 
 def labelled_words(spark: SparkSession, folder: str, label: str) -> DataFrame:

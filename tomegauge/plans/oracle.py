@@ -11,6 +11,11 @@ def _list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
+def _round(value: str, digits: int) -> str:
+    """Half up on the decimal digits of a double; ``round`` on the double itself scales it first and so errs on ties."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 def _runs(word: str) -> str:
     return (
         f"(len(regexp_extract_all({word}, '[aeiouy]+')) - CASE WHEN length({word}) > 2 AND suffix({word}, 'es') THEN 1 "
@@ -66,7 +71,7 @@ _FACTS = f"WITH {_BOOKS}, {_facts('books', 'facts')}"
 _COLUMNS = "fileName, position, sentenceText, numSentencesInBook, multiSyllableCount, numWordsInSentence"
 
 # Literals with an exponent are DOUBLE in DuckDB, plain decimals are not.
-_SMOG = f"round({grades.SMOG_FACTOR}e0 * sqrt(30 * m / n) + {grades.SMOG_OFFSET}e0, 2)"
+_SMOG = _round(f"{grades.SMOG_FACTOR}e0 * sqrt(30 * m / n) + {grades.SMOG_OFFSET}e0", 2)
 
 _TOTALS = f"""{_FACTS},
     totals AS (SELECT fileName, count(*) AS n, CAST(sum(multiSyllableCount) AS BIGINT) AS m FROM facts GROUP BY 1),
@@ -83,6 +88,22 @@ _TOKENS = f"""{_FACTS},
 
 _EASY = f"""easy AS (SELECT DISTINCT unnest({_tokens('text')}) AS word FROM benchmark)"""
 
+_EASE = _round(
+    f"{grades.EASE_OFFSET}e0 - {grades.EASE_PER_WORD}e0 * (w / n)"
+    f" - {grades.EASE_PER_SYLLABLE}e0 * (syl / nullif(w, 0))",
+    2,
+)
+_GRADE = _round(
+    f"{grades.GRADE_PER_WORD}e0 * (w / n) + {grades.GRADE_PER_SYLLABLE}e0 * (syl / nullif(w, 0))"
+    f" - {grades.GRADE_OFFSET}e0",
+    2,
+)
+_CHALL = _round(
+    f"{grades.CHALL_PER_PERCENT}e0 * pct + {grades.CHALL_PER_WORD}e0 * (w / n)"
+    f" + CASE WHEN pct > 5 THEN {grades.CHALL_ADJUSTMENT}e0 ELSE 0e0 END",
+    2,
+)
+
 _FORMULAE = f"""{_TOKENS}, {_EASY},
     hard AS (SELECT fileName, count(*) AS difficult FROM tokens ANTI JOIN easy USING (word) GROUP BY 1),
     counted AS (SELECT fileName, count(*) AS n, CAST(sum(multiSyllableCount) AS BIGINT) AS m,
@@ -90,13 +111,8 @@ _FORMULAE = f"""{_TOKENS}, {_EASY},
         CAST(sum({_sum_over('words', f"greatest(1, {_runs('w')})")}) AS BIGINT) AS syl FROM facts GROUP BY 1),
     measured AS (SELECT *, coalesce(difficult, 0) AS d, 100 * coalesce(difficult, 0) / nullif(w, 0) AS pct
         FROM counted LEFT JOIN hard USING (fileName)),
-    formulae AS (SELECT fileName, n, w, syl, d, {_SMOG} AS smog,
-        round({grades.EASE_OFFSET}e0 - {grades.EASE_PER_WORD}e0 * (w / n)
-              - {grades.EASE_PER_SYLLABLE}e0 * (syl / nullif(w, 0)), 2) AS reading_ease,
-        round({grades.GRADE_PER_WORD}e0 * (w / n) + {grades.GRADE_PER_SYLLABLE}e0 * (syl / nullif(w, 0))
-              - {grades.GRADE_OFFSET}e0, 2) AS flesch_grade,
-        round({grades.CHALL_PER_PERCENT}e0 * pct + {grades.CHALL_PER_WORD}e0 * (w / n)
-              + CASE WHEN pct > 5 THEN {grades.CHALL_ADJUSTMENT}e0 ELSE 0e0 END, 2) AS dale_chall FROM measured)"""
+    formulae AS (SELECT fileName, n, w, syl, d, {_SMOG} AS smog, {_EASE} AS reading_ease,
+        {_GRADE} AS flesch_grade, {_CHALL} AS dale_chall FROM measured)"""
 
 _FORMS = """
     corpus_words AS (SELECT DISTINCT word AS form FROM tokens),
@@ -139,15 +155,15 @@ def _json(columns: str, key: str = "") -> str:
 def _bm25(phrase: str, unicode: bool) -> str:
     terms = query_terms(phrase, unicode)
     cut = _unicode_tokens if unicode else _tokens
+    gain = "ln(1e0 + (docs - df + 0.5e0) / (df + 0.5e0)) * tf"
+    score = _round(f"sum({gain} / (tf + {K1}e0 * (1e0 - {B}e0 + {B}e0 * len(w) / mean)) ORDER BY term)", 4)
     return f"""{_FACTS},
     sized AS (SELECT fileName, position, multiSyllableCount, sentenceText, {cut('sentenceText')} AS w FROM facts),
     corpus AS (SELECT count(*) AS docs, avg(len(w)) AS mean FROM sized),
     hits AS (SELECT fileName, position, term, count(*) AS tf FROM
         (SELECT fileName, position, unnest(w) AS term FROM sized) WHERE term IN ({_list(terms)}) GROUP BY 1, 2, 3),
     df AS (SELECT term, count(*) AS df FROM hits GROUP BY 1),
-    ranked AS (SELECT fileName, position, round(sum(
-        ln(1e0 + (docs - df + 0.5e0) / (df + 0.5e0)) * tf
-        / (tf + {K1}e0 * (1e0 - {B}e0 + {B}e0 * len(w) / mean)) ORDER BY term), 4) AS score
+    ranked AS (SELECT fileName, position, {score} AS score
       FROM hits JOIN df USING (term) JOIN sized USING (fileName, position), corpus GROUP BY 1, 2)
     SELECT fileName, position, multiSyllableCount, sentenceText, score, (SELECT count(*) FROM ranked) AS total
     FROM ranked JOIN sized USING (fileName, position) ORDER BY score DESC, fileName, position LIMIT 20"""
@@ -255,8 +271,8 @@ def oracle_sql() -> dict[str, str]:
         "block_scores": f"{_BLOCKS} SELECT * FROM blocks",
         "block_distribution": f"""{_BLOCKS}
             SELECT fileName, count(*) AS blocks, min(smog) AS min_smog,
-                   round(quantile_cont(smog, 0.25), 4) AS q1_smog, round(quantile_cont(smog, 0.5), 4) AS median_smog,
-                   round(quantile_cont(smog, 0.75), 4) AS q3_smog, max(smog) AS max_smog FROM blocks GROUP BY 1""",
+                   {_round('quantile_cont(smog, 0.25)', 4)} AS q1_smog, {_round('quantile_cont(smog, 0.5)', 4)} AS median_smog,
+                   {_round('quantile_cont(smog, 0.75)', 4)} AS q3_smog, max(smog) AS max_smog FROM blocks GROUP BY 1""",
         "block_histogram": f"""{_BLOCKS}
             SELECT fileName, CAST(floor(smog) AS BIGINT) AS grade, count(*) AS blocks FROM blocks GROUP BY 1, 2""",
         "rolling_scores": f"""{_FACTS},
@@ -266,9 +282,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT fileName, position, m AS passage_multiSyllables, {_SMOG} AS smog FROM framed WHERE n = 30""",
         "block_changes": f"""{_BLOCKS}, lagged AS (
             SELECT fileName, block, smog, lag(smog) OVER (PARTITION BY fileName ORDER BY block) AS previous_smog FROM blocks)
-            SELECT *, round(smog - previous_smog, 2) AS change FROM lagged""",
+            SELECT *, {_round('smog - previous_smog', 2)} AS change FROM lagged""",
         "book_trends": f"""{_BLOCKS}
-            SELECT fileName, count(*) AS blocks, round(regr_slope(smog, CAST(block AS DOUBLE)), 4) AS slope
+            SELECT fileName, count(*) AS blocks, {_round('regr_slope(smog, CAST(block AS DOUBLE))', 4)} AS slope
             FROM blocks GROUP BY 1 HAVING count(*) > 1""",
         "books_of_genre": _genre("source", catalog.GENRE, 5, 15, "ORDER BY smog DESC, fileName LIMIT 20"),
         "books_of_language": _genre("lang", "fr", 3, 30, ""),
@@ -281,7 +297,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT fileName, n AS doc_count, w AS words, d AS difficult, dale_chall FROM formulae""",
         "formulae_compared": f"""{_FORMULAE}
             SELECT fileName, smog, reading_ease, flesch_grade, dale_chall,
-                   round(smog - flesch_grade, 2) AS smog_minus_flesch FROM formulae""",
+                   {_round('smog - flesch_grade', 2)} AS smog_minus_flesch FROM formulae""",
         "formula_ranks": f"""{_FORMULAE},
             long AS (SELECT fileName, 'smog' AS formula, smog AS score FROM formulae
               UNION ALL SELECT fileName, 'flesch_grade', flesch_grade FROM formulae
@@ -289,16 +305,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT fileName, formula, score, rank() OVER (PARTITION BY formula ORDER BY score DESC) AS rank
             FROM long WHERE score IS NOT NULL""",
         "formula_correlations": f"""{_FORMULAE}
-            SELECT count(*) AS books, round(corr(smog, flesch_grade), 4) AS smog_flesch,
-                   round(corr(smog, dale_chall), 4) AS smog_dale_chall,
-                   round(corr(flesch_grade, dale_chall), 4) AS flesch_dale_chall FROM formulae""",
+            SELECT count(*) AS books, {_round('corr(smog, flesch_grade)', 4)} AS smog_flesch,
+                   {_round('corr(smog, dale_chall)', 4)} AS smog_dale_chall,
+                   {_round('corr(flesch_grade, dale_chall)', 4)} AS flesch_dale_chall FROM formulae""",
         "words_to_lower": _replace(-2),
         "words_to_raise": _replace(2),
         "charged_share": f"""{_FACTS},
             marked AS (SELECT fileName, CASE WHEN list_has_any(words, [{_list(catalog.CHARGED)}]) THEN 1 ELSE 0 END AS hit
               FROM facts)
             SELECT fileName, count(*) AS doc_count, CAST(sum(hit) AS BIGINT) AS charged_sentences,
-                   round(avg(hit), 4) AS charged_share FROM marked GROUP BY 1""",
+                   {_round('avg(hit)', 4)} AS charged_share FROM marked GROUP BY 1""",
         "any_term": f"""{_FACTS}
             SELECT {_COLUMNS} FROM facts WHERE list_has_any(words, [{_list(query_terms(catalog.PHRASE))}])""",
         "phrase_search": _bm25(catalog.PHRASE, False),
@@ -335,6 +351,7 @@ def oracle_sql() -> dict[str, str]:
         "stored_lexicon": _LABELLED,
         "stored_lemmas": f"{_TOKENS}, {_FORMS} SELECT form, lemma FROM forms",
         "stored_sentences": f"{_FACTS} SELECT {_COLUMNS} FROM facts",
+        "stored_book": f"{_FACTS} SELECT {_COLUMNS} FROM facts WHERE fileName = '{catalog.BOOK}'",
         "stored_json_documents": f"{_FACTS} SELECT {key} AS sentence_id, {_COLUMNS} FROM facts",
         "upserted_sentences": _RELOADED,
         "reloaded_sentences": _RELOADED,

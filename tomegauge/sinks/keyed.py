@@ -26,34 +26,42 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return latest(batches, keys, [F.desc("_batch"), *others]).drop("_batch")
 
 
-def bucket_of(column: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+def bucket_of(key: Column | str, buckets: Column | int) -> Column:
+    count = F.lit(buckets) if isinstance(buckets, int) else buckets
+    return F.pmod(F.xxhash64(key), count).cast("int")
 
 
-def _write(rows: DataFrame, path: str, mode: str, partitions: str) -> None:
-    """Rebalanced by bucket: one large file per bucket where it fits, more where a bucket is hot."""
+def in_bucket_of(value: str) -> Column:
+    """Whether a row's bucket is that of ``value``: a filter on folders, before any file is opened."""
+    return F.col("bucket") == bucket_of(F.lit(value), F.col("buckets"))
+
+
+def _bucketed(rows: DataFrame, bucket_by: str, buckets: int) -> DataFrame:
+    return rows.withColumns({"buckets": F.lit(buckets), "bucket": bucket_of(bucket_by, buckets)})
+
+
+def _write(rows: DataFrame, path: str, order: Sequence[str]) -> None:
+    """Rebalanced by bucket: one file per bucket where it fits, more where a bucket is hot.
+
+    Rows are sorted within each file, so a look-up by key skips row groups. The
+    number of buckets is part of the folder names, so that readers need not know it.
+    """
     (
         rows.hint("rebalance", "bucket")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", partitions)
-        .partitionBy("bucket")
+        .sortWithinPartitions("bucket", *order)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("buckets", "bucket")
         .parquet(path)
     )
 
 
-def create_keyed(rows: DataFrame, path: str, bucket_by: str, buckets: int = 256) -> None:
-    """First load of a keyed table; the keys of ``rows`` must be unique."""
-    _write(rows.withColumn("bucket", bucket_of(bucket_by, buckets)), path, "overwrite", "static")
+def create_keyed(rows: DataFrame, path: str, keys: Sequence[str], buckets: int = 256) -> None:
+    """First load of a keyed table, bucketed by the first of its keys; the keys of ``rows`` must be unique."""
+    _write(_bucketed(rows, keys[0], buckets), path, keys)
 
 
-def merge_keyed(
-    spark: SparkSession,
-    path: str,
-    rows: DataFrame,
-    keys: Sequence[str],
-    bucket_by: str,
-    buckets: int = 256,
-) -> None:
+def merge_keyed(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str]) -> None:
     """Load rows into a keyed table, replacing those with the same key.
 
     Only the buckets the batch touches are read and rewritten. The merged buckets
@@ -62,14 +70,15 @@ def merge_keyed(
     lost executor costs a task. If the driver dies in the first step, run this
     again; if it dies in the second, ``install_staged`` alone finishes the load.
     """
-    batch = rows.withColumn("bucket", bucket_of(bucket_by, buckets))
+    table = spark.read.parquet(path)
+    buckets = table.select("buckets").first().buckets
+    batch = _bucketed(rows, keys[0], buckets)
     # At most ``buckets`` numbers.
     touched = [row.bucket for row in batch.select("bucket").distinct().collect()]
     if not touched:
         return
-    old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
-    merged = upsert(old, batch.select(*old.columns), ["bucket", *keys])
-    _write(merged, _staged(path), "overwrite", "static")
+    old = table.where(F.col("bucket").isin(touched))
+    _write(upsert(old, batch.select(*old.columns), ["buckets", "bucket", *keys]), _staged(path), keys)
     install_staged(spark, path)
 
 
@@ -81,8 +90,9 @@ def install_staged(spark: SparkSession, path: str) -> None:
     """Put the staged buckets of a table in the place of the same buckets in it."""
     (
         spark.read.parquet(_staged(path))
+        .sortWithinPartitions("buckets", "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
+        .partitionBy("buckets", "bucket")
         .parquet(path)
     )

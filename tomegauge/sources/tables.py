@@ -7,6 +7,7 @@ from tomegauge.functions import text
 from tomegauge.operators.documents import parse_index_documents
 from tomegauge.schemas import SENTENCE_COLUMNS
 from tomegauge.session import spread
+from tomegauge.sinks.keyed import in_bucket_of
 
 
 def corpus_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,6 +55,12 @@ def read_sentences(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*SENTENCE_COLUMNS)
 
 
+def read_book(spark: SparkSession, path: str, file_name: str) -> DataFrame:
+    """The sentences of one book from that table; only its bucket is opened."""
+    wanted = in_bucket_of(file_name) & (F.col("fileName") == file_name)
+    return spark.read.parquet(path).where(wanted).select(*SENTENCE_COLUMNS)
+
+
 def read_index_documents(spark: SparkSession, path: str) -> DataFrame:
     """Sentence rows from a table of JSON documents."""
     return parse_index_documents(spark.read.parquet(path).select("value"))
