@@ -21,7 +21,7 @@ from tomegauge.operators import passages, scores, search, sentences, sentiment,
 from tomegauge.plans import catalog, landing  # noqa: E402
 from tomegauge.session import local_session, scratch_path  # noqa: E402
 from tomegauge.sinks import keyed  # noqa: E402
-from tomegauge.sources import tables  # noqa: E402
+from tomegauge.sources import dictionaries, tables  # noqa: E402
 
 RUNS = 3
 BUCKETS = 16
@@ -61,9 +61,9 @@ def main() -> None:
     search.write_index(fact, index, BUCKETS)
     index_seconds = time.perf_counter() - started
 
-    easy = catalog._easy_words(spark, folder)
-    lexicon = catalog._lexicon(spark)
-    lemmas = spark.createDataFrame([("things", "thing"), ("ations", "ation")], "form string, lemma string")
+    easy = catalog.easy_words(spark, folder)
+    lexicon = catalog.lexicon(spark)
+    lemmas = dictionaries.read_lemmas(spark, landing.lemma_file(spark, folder))
     genres = tables.document_genres(spark, folder)
     flagged = tables.flagged_documents(spark, folder)
 
@@ -83,7 +83,7 @@ def main() -> None:
         "formulae_compared": lambda: vocabulary.compare_formulae(fact, easy),
         "formula_ranks": lambda: vocabulary.formula_ranks(fact, easy),
         "words_to_lower": lambda: vocabulary.words_to_replace(fact, -2),
-        "charged_share": lambda: vocabulary.charged_share(fact, catalog._words(spark, catalog.CHARGED)),
+        "charged_share": lambda: vocabulary.charged_share(fact, dictionaries.given_words(spark, catalog.CHARGED)),
         "sentence_sentiment": lambda: sentiment.sentence_sentiment(fact, lemmas, lexicon),
     }
     for name, plan in plans.items():

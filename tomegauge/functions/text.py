@@ -39,12 +39,12 @@ def _column(value: Column | str) -> Column:
 
 def newlines_to_spaces(text: Column | str) -> Column:
     """Each line feed becomes one space."""
-    return F.translate(_column(text), "\n", " ")
+    return F.replace(_column(text), F.lit("\n"), F.lit(" "))
 
 
 def line_breaks_to_spaces(text: Column | str) -> Column:
     """Each line feed and each carriage return becomes one space."""
-    return F.translate(_column(text), "\n\r", "  ")
+    return F.replace(newlines_to_spaces(text), F.lit("\r"), F.lit(" "))
 
 
 def base_name(path: Column | str) -> Column:
@@ -82,19 +82,11 @@ def word_count(sentence: Column | str, unicode: bool = False) -> Column:
     return F.regexp_count(F.lower(_column(sentence)), F.lit(f"{in_word}+"))
 
 
-def _whole(terms: Sequence[str], unicode: bool) -> str:
-    in_word = UNICODE_IN_WORD if unicode else IN_WORD
-    return f"(?<!{in_word})(?:{'|'.join(map(re.escape, terms))})(?!{in_word})"
-
-
 def has_any_term(sentence: Column | str, terms: Sequence[str], unicode: bool = False) -> Column:
     """Whether one of the lower-case terms is among the tokens; stops at the first."""
-    return F.rlike(F.lower(_column(sentence)), F.lit(_whole(terms, unicode)))
-
-
-def term_count(sentence: Column | str, term: str, unicode: bool = False) -> Column:
-    """How often a lower-case term is among the tokens."""
-    return F.regexp_count(F.lower(_column(sentence)), F.lit(_whole([term], unicode)))
+    in_word = UNICODE_IN_WORD if unicode else IN_WORD
+    pattern = f"(?<!{in_word})(?:{'|'.join(map(re.escape, terms))})(?!{in_word})"
+    return F.rlike(F.lower(_column(sentence)), F.lit(pattern))
 
 
 def vowel_runs(word: Column | str) -> Column:
@@ -131,20 +123,33 @@ def multi_syllable_words(words: Column | str, min_syllables: int = MULTI_SYLLABL
     return sum_of_flags(flags)
 
 
-def multi_syllable_count(sentence: Column | str, min_syllables: int = MULTI_SYLLABLE_FROM) -> Column:
-    """Multi-syllable words of a sentence, equal to ``multi_syllable_words(tokens(sentence))``.
-
-    Matches the tokens that have one vowel run more than asked for, or just as
-    many and no silent ending.
-    """
+def _multi_syllable_token(min_syllables: int) -> str:
+    """Matches whole tokens with one vowel run more than asked for, or just as many and no silent ending."""
     if min_syllables < 2:
         raise ValueError("min_syllables must be 2 or more")
     runs = rf"{_C}*+{_V}++(?:{_C}++{_V}++){{{min_syllables - 1}}}"
     sounded = "".join(f"(?<!{ending})" for ending in SILENT_ENDINGS)
-    pattern = rf"(?<!\w){runs}(?:{_C}++{_V}\w*+|{_C}*+(?!\w){sounded})"
+    return rf"{runs}(?:{_C}++{_V}\w*+|{_C}*+(?!\w){sounded})"
+
+
+def multi_syllable_count(sentence: Column | str, min_syllables: int = MULTI_SYLLABLE_FROM) -> Column:
+    """Multi-syllable words of a sentence, equal to ``multi_syllable_words(tokens(sentence))``."""
+    pattern = rf"(?<!\w){_multi_syllable_token(min_syllables)}"
     return F.regexp_count(F.lower(_column(sentence)), F.lit(pattern))
 
 
+def tokens_by_flag(sentence: Column | str, flag: int, min_syllables: int = MULTI_SYLLABLE_FROM) -> Column:
+    """The tokens of a sentence that are multi-syllable words (flag 1), or those that are not (flag 0)."""
+    multi = _multi_syllable_token(min_syllables)
+    pattern = rf"(?<!\w){multi}" if flag else rf"(?<!\w)(?!{multi})\w++"
+    return F.regexp_extract_all(F.lower(_column(sentence)), F.lit(pattern), F.lit(0))
+
+
+def has_sentence(text: Column | str) -> Column:
+    """Whether a text has any sentence, that is, anything but white space."""
+    return F.rlike(_column(text), F.lit(r"\S"))
+
+
 def syllable_count(sentence: Column | str) -> Column:
     """Syllables of a sentence, equal to the sum of ``syllables`` over its tokens.
 

@@ -68,13 +68,14 @@ def score_texts(books: DataFrame) -> DataFrame:
     """The grades of ``book_scores`` straight from whole texts, one row per book.
 
     No word crosses a sentence end, so the counts of the text are the sums over
-    its sentences and nothing is shuffled.
+    its sentences and nothing is shuffled. Empty books are dropped by a cheap test
+    of their own: one on the count would make Spark count twice.
     """
-    counted = books.select(
+    counted = books.where(text.has_sentence("rawDocument")).select(
         "fileName",
         F.size(text.sentence_array("rawDocument")).cast("bigint").alias("doc_count"),
         text.multi_syllable_count("rawDocument").cast("bigint").alias("sum_multiSyllables"),
-    ).where(F.col("doc_count") > 0)
+    )
     return counted.withColumn("smog", grades.smog(F.col("sum_multiSyllables"), F.col("doc_count")))
 
 

@@ -54,30 +54,35 @@ def search(sentences: DataFrame, phrase: str, limit: int = TOP, unicode: bool =
     terms = query_terms(phrase, unicode)
     if not terms:
         return _no_hits(sentences)
-    tfs = [F.col(f"_tf{i}") for i in range(len(terms))]
-    counts = [text.term_count("sentenceText", term, unicode).alias(f"_tf{i}") for i, term in enumerate(terms)]
-    length = text.word_count("sentenceText", unicode).alias("_length")
+    words = F.col("_words")
+    cut = text.tokens("sentenceText", unicode).alias("_words")
+    found = [F.array_contains(words, term) for term in terms]
     statistics = (
-        sentences.select(length, *counts)
+        sentences.select(cut)
+        .select(F.size(words).alias("_length"), *[hit.alias(f"_hit{i}") for i, hit in enumerate(found)])
         .agg(
             F.struct(
                 F.count(F.lit(1)).alias("documents"),
                 F.avg("_length").alias("mean"),
-                F.count_if(sum(tfs[1:], tfs[0]) > 0).alias("total"),
-                *[F.count_if(tf > 0).alias(f"df{i}") for i, tf in enumerate(tfs)],
+                F.count_if(F.greatest(F.lit(False), *[F.col(f"_hit{i}") for i in range(len(terms))])).alias("total"),
+                *[F.count_if(f"_hit{i}").alias(f"df{i}") for i in range(len(terms))],
             )
         )
         .scalar()
     )
+    length = F.size(words)
     parts = [
         _term_score(
-            _idf(statistics["documents"], statistics[f"df{i}"]), tf, F.col("_length"), statistics["mean"]
+            _idf(statistics["documents"], statistics[f"df{i}"]),
+            length - F.size(F.array_remove(words, term)),
+            length,
+            statistics["mean"],
         )
-        for i, tf in enumerate(tfs)
+        for i, term in enumerate(terms)
     ]
     return (
         any_term(sentences, phrase, unicode)
-        .select(*HIT_COLUMNS, length, *counts)
+        .select(*HIT_COLUMNS, cut)
         .select(*HIT_COLUMNS, F.round(sum(parts[1:], parts[0]), 4).alias("score"), statistics["total"].alias("total"))
         .orderBy(F.desc("score"), "fileName", "position")
         .limit(limit)
@@ -201,9 +206,9 @@ def look_up(sentences: DataFrame, hits: DataFrame) -> DataFrame:
     filters: on the bucket, which prunes folders, and on the name, which skips
     row groups. Without them twenty hits would cost a scan of the whole table.
     """
-    rows = hits.collect()
-    known = sentences.sparkSession.createDataFrame(rows, hits.schema)
-    names = sorted({row.fileName for row in rows})
+    rows = hits.toArrow()
+    known = sentences.sparkSession.createDataFrame(rows)
+    names = sorted(set(rows["fileName"].to_pylist()))
     wanted = F.col("fileName").isin(names)
     if "bucket" in sentences.columns:
         wanted = wanted & F.col("bucket").isin([keyed.bucket_of(F.lit(name), F.col("buckets")) for name in names])

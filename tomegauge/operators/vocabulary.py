@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tomegauge.functions import grades, text
 from tomegauge.operators.running import running_total
 from tomegauge.operators.scores import book_scores, text_totals
-from tomegauge.operators.sentences import sentence_tokens
+from tomegauge.operators.sentences import explode_once, sentence_tokens
 
 HEAD_CHARACTERS = 3
 
@@ -140,12 +140,16 @@ def words_to_replace(
         .select("fileName", F.ceil(missing).alias("needed"))
         .where(F.col("needed") > 0)
     )
+    candidates = sentences.select(
+        "fileName", text.tokens_by_flag("sentenceText", 1 if levels < 0 else 0).alias("_words")
+    )
     words = (
-        sentence_tokens(sentences)
-        .where(text.multi_syllable_flag("word") == (1 if levels < 0 else 0))
+        explode_once(candidates, "_words", "_place", "word")
         .groupBy("fileName", "word")
         .agg(F.count(F.lit(1)).alias("occurrences"))
-        .withColumn("head", F.substring("word", 1, HEAD_CHARACTERS))
+        # Never NULL, and known as such: a NULL test on one side of the coming join would keep Spark
+        # from counting the words once for both sides.
+        .withColumn("head", F.coalesce(F.substring("word", 1, HEAD_CHARACTERS), F.lit("")))
     )
     return (
         running_total(

@@ -42,15 +42,13 @@ def queries() -> dict[str, Query]:
     return dict(_queries)
 
 
-def _words(spark: SparkSession, words: list[str]) -> DataFrame:
-    return spark.createDataFrame([(word,) for word in words], "word string")
-
-
-def _lexicon(spark: SparkSession) -> DataFrame:
-    return documents.label_words([("negative", _words(spark, NEGATIVE)), ("positive", _words(spark, POSITIVE))])
+def lexicon(spark: SparkSession) -> DataFrame:
+    return dictionaries.build_lexicon(
+        dictionaries.given_words(spark, NEGATIVE), dictionaries.given_words(spark, POSITIVE)
+    )
 
 
-def _easy_words(spark: SparkSession, folder: str) -> DataFrame:
+def easy_words(spark: SparkSession, folder: str) -> DataFrame:
     """The distinct words of the benchmark passages."""
     passages_ = spark.read.parquet(f"{folder}/benchmark.parquet")
     return passages_.select(F.explode_outer(text.tokens("text")).alias("word")).dropna().distinct()
@@ -335,22 +333,22 @@ def flesch_scores(spark, folder):
 
 @query
 def dale_chall_scores(spark, folder):
-    return vocabulary.dale_chall_scores(fact(spark, folder), _easy_words(spark, folder))
+    return vocabulary.dale_chall_scores(fact(spark, folder), easy_words(spark, folder))
 
 
 @query
 def formulae_compared(spark, folder):
-    return vocabulary.compare_formulae(fact(spark, folder), _easy_words(spark, folder))
+    return vocabulary.compare_formulae(fact(spark, folder), easy_words(spark, folder))
 
 
 @query
 def formula_ranks(spark, folder):
-    return vocabulary.formula_ranks(fact(spark, folder), _easy_words(spark, folder))
+    return vocabulary.formula_ranks(fact(spark, folder), easy_words(spark, folder))
 
 
 @query
 def formula_correlations(spark, folder):
-    return vocabulary.formula_correlations(fact(spark, folder), _easy_words(spark, folder))
+    return vocabulary.formula_correlations(fact(spark, folder), easy_words(spark, folder))
 
 
 @query
@@ -365,7 +363,7 @@ def words_to_raise(spark, folder):
 
 @query
 def charged_share(spark, folder):
-    return vocabulary.charged_share(fact(spark, folder), _words(spark, CHARGED))
+    return vocabulary.charged_share(fact(spark, folder), dictionaries.given_words(spark, CHARGED))
 
 
 # Search
@@ -411,14 +409,14 @@ def lemma_counts(spark, folder):
 @query
 def labelled_lemmas(spark, folder):
     words = sentences.sentence_tokens(fact(spark, folder)).withColumnRenamed("word", "lemma")
-    labelled = sentiment.label_lemmas(words, _lexicon(spark))
+    labelled = sentiment.label_lemmas(words, lexicon(spark))
     return labelled.groupBy("lemma", "polarity").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
 @query
 def sentence_sentiment(spark, folder):
     return sentiment.sentence_sentiment(
-        fact(spark, folder), dictionaries.read_lemmas(spark, landing.lemma_file(spark, folder)), _lexicon(spark)
+        fact(spark, folder), dictionaries.read_lemmas(spark, landing.lemma_file(spark, folder)), lexicon(spark)
     )
 
 

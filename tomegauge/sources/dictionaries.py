@@ -1,5 +1,7 @@
 """Word lists, lexicon and lemma files."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ FORM_SEPARATOR = "\t"
 _OUTER_SPACE = r"^[\s\x1c-\x1f\x85\xa0]+|[\s\x1c-\x1f\x85\xa0]+$"
 
 
+def given_words(spark: SparkSession, words: Sequence[str]) -> DataFrame:
+    """A short list given in code as a ``word`` table, made without a Python worker."""
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, words))).alias("word"))
+
+
 def read_word_list(spark: SparkSession, path: str, encoding: str = WORD_LIST_ENCODING) -> DataFrame:
     """``word`` per line, outer white space stripped, blank and comment lines kept.
 
