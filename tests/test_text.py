@@ -1,6 +1,7 @@
 """Hand-traced cases for cleaning, sentences, tokens and syllables, and random texts against plain Python."""
 
 import re
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -122,6 +123,8 @@ def test_random_texts(spark, cases):
         for flag in (0, 1):
             kept = [[t for t, f in zip(plain_tokens(c), fs) if f == flag] for c, fs in zip(cases, flags)]
             assert column(spark, cases, lambda c: text.tokens_by_flag(c, flag, least)) == kept
+    runs = column(spark, cases, lambda c: F.transform(text.token_runs(c), lambda r: F.concat_ws("*", text.run_token(r), text.run_length(r))))
+    assert runs == [[f"{t}*{n}" for t, n in sorted(Counter(plain_tokens(c)).items())] for c in cases]
     totals = [sum(max(1, plain_syllables(t)) for t in plain_tokens(c)) for c in cases]
     assert column(spark, cases, text.syllable_count) == totals
 

@@ -76,6 +76,24 @@ def tokens(sentence: Column | str, unicode: bool = False) -> Column:
     return F.array_remove(F.split(F.lower(_column(sentence)), gap), "")
 
 
+def token_runs(sentence: Column | str, unicode: bool = False) -> Column:
+    """The sorted tokens with equal ones joined by spaces: ``a b a`` gives ``[a a, b]``.
+
+    Counts repeats within a sentence without a grouping; see ``run_token`` and ``run_length``.
+    """
+    joined = F.array_join(F.sort_array(tokens(sentence, unicode)), " ")
+    return F.regexp_extract_all(joined, F.lit(r"([^ ]++)(?: \1(?![^ ]))*+"), F.lit(0))
+
+
+def run_token(run: Column | str) -> Column:
+    return F.substring_index(_column(run), " ", 1)
+
+
+def run_length(run: Column | str) -> Column:
+    run = _column(run)
+    return ((F.length(run) + 1) / (F.length(run_token(run)) + 1)).cast("bigint")
+
+
 def word_count(sentence: Column | str, unicode: bool = False) -> Column:
     """Number of ``tokens(sentence)``, without building the array."""
     in_word = UNICODE_IN_WORD if unicode else IN_WORD

@@ -100,27 +100,30 @@ def term_bucket(term: Column, buckets: int) -> Column:
 
 
 def postings(sentences: DataFrame, buckets: int, salts: int | None = None, unicode: bool = False) -> DataFrame:
-    """``term, fileName, position, tf, length`` with the bucket of the term.
+    """``term, fileName, position, tf, length`` with the bucket of the term and a salt.
 
-    One shuffle: rows go by bucket and a salt of the sentence, so the postings of
-    a frequent term spread over ``salts`` tasks, and the grouping reuses that
-    placement since both columns are among its keys. By default a third of all
-    postings may belong to one term without its tasks getting more than others.
+    Terms are counted within their sentence, so nothing is grouped. The one
+    shuffle places rows by bucket and a salt of the sentence: the postings of a
+    frequent term spread over ``salts`` tasks. By default a third of all postings
+    may belong to one term without its tasks getting more than others.
     """
     if salts is None:
         salts = max(1, int(sentences.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)
-    words = sentences.select(
-        "fileName", "position", text.tokens("sentenceText", unicode).alias("_words")
-    ).withColumn("length", F.size("_words"))
-    placed = explode_once(words, "_words", "place", "term").drop("place").withColumns(
+    cut = sentences.select(
+        "fileName",
+        "position",
+        text.word_count("sentenceText", unicode).alias("length"),
+        text.token_runs("sentenceText", unicode).alias("_runs"),
+    )
+    rows = explode_once(cut, "_runs", "_place", "_run").select(
+        text.run_token("_run").alias("term"), "fileName", "position", text.run_length("_run").alias("tf"), "length"
+    )
+    return rows.withColumns(
         {
             "bucket": term_bucket(F.col("term"), buckets),
             "salt": F.pmod(F.xxhash64("fileName", "position"), F.lit(salts)).cast("int"),
         }
     ).repartition("bucket", "salt")
-    return placed.groupBy("bucket", "salt", "term", "fileName", "position", "length").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
 
 
 def write_index(
