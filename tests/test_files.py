@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tomegauge.operators import documents, search
 from tomegauge.plans import landing
+from tomegauge.plans.load import load_books
 from tomegauge.schemas import SENTENCES
 from tomegauge.sinks import files, keyed
 from tomegauge.sources import books, dictionaries, tables
@@ -151,6 +152,25 @@ def test_hot_bucket_is_written_by_several_tasks(spark, tmp_path):
     assert spark.read.parquet(str(path)).count() == 200000
 
 
+def test_load_in_batches(spark, shelf, tmp_path):
+    path = str(tmp_path / "sentences")
+    load_books(spark, str(shelf), path, limit=1, buckets=4)
+    assert {r.fileName for r in tables.read_sentences(spark, path).collect()} == {"txt/1.txt"}
+    (shelf / "1.txt").write_bytes(b"Uno.")
+    for _ in range(2):
+        load_books(spark, str(shelf), path)
+        found = sorted((r.fileName, r.position, r.sentenceText) for r in tables.read_sentences(spark, path).collect())
+        # The second sentence of the first load has a key no later row replaced.
+        assert found == [
+            ("txt/1.txt", 0, "Uno."), ("txt/1.txt", 1, "Two."), ("txt/10.txt", 0, "Été."), ("txt/2 b.txt", 0, "Three."),
+        ]
+
+
+def test_names_of_a_batch_come_from_the_listing(spark, shelf, physical):
+    plan = physical(books.read_books(spark, str(shelf)).select("fileName"))
+    assert "ReadSchema: struct<path:string>" in plan
+
+
 def test_text_json_and_reset(spark, tmp_path):
     lines, dump, table = (str(tmp_path / n) for n in ("lines", "dump", "table"))
     for words in (["a", "b"], ["c"]):

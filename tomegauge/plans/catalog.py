@@ -451,6 +451,13 @@ def file_contents(spark, folder):
     return contents.select(F.md5("content").alias("digest"), F.octet_length("content").alias("length"))
 
 
+@query
+def loaded_books(spark, folder):
+    """Book files through the batch load, in two batches, into a stored table."""
+    loaded = tables.read_sentences(spark, landing.loaded_store(spark, folder))
+    return loaded.select(landing.document_id(), *loaded.columns).drop("fileName")
+
+
 @query
 def word_lists(spark, folder):
     """The two ISO-8859-1 word lists as one lexicon."""

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from tomegauge.functions import text
 from tomegauge.operators import documents, search
 from tomegauge.operators.sentences import sentence_table
+from tomegauge.plans.load import KEY, load_books
 from tomegauge.session import scratch_path, spread
 from tomegauge.sinks import files, keyed
 from tomegauge.sources import books, tables
 
 INDEX_BUCKETS = 16
 TABLE_BUCKETS = 8
-KEY = ["fileName", "position"]
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -163,6 +163,14 @@ def reset_store(spark: SparkSession, folder: str, path: str) -> None:
     conversation_sentences(spark, folder).write.mode("append").parquet(path)
 
 
+@_once
+def loaded_store(spark: SparkSession, folder: str, path: str) -> None:
+    """A first batch of files, then all of them."""
+    files_ = book_files(spark, folder)
+    for limit in (25, None):
+        load_books(spark, files_, path, limit, buckets=TABLE_BUCKETS)
+
+
 def document_id():
     """The document a file written by ``book_files`` holds."""
     return F.regexp_extract("fileName", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id")

@@ -347,6 +347,8 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY 'doc_id=' || doc_id || '/' LIMIT 25""",
         "file_contents": """SELECT md5(text || chr(10)) AS digest, CAST(strlen(text) + 1 AS INTEGER) AS length
             FROM documents""",
+        "loaded_books": f"""{_FACTS} SELECT doc_id, {_COLUMNS.replace('fileName, ', '')}
+            FROM facts JOIN books USING (fileName)""",
         "word_lists": _LABELLED,
         "stored_lexicon": _LABELLED,
         "stored_lemmas": f"{_TOKENS}, {_FORMS} SELECT form, lemma FROM forms",

@@ -61,9 +61,18 @@ def create_keyed(rows: DataFrame, path: str, keys: Sequence[str], buckets: int =
     _write(_bucketed(rows, keys[0], buckets), path, keys)
 
 
-def merge_keyed(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str]) -> None:
+def merge_keyed(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    keys: Sequence[str],
+    names: DataFrame | None = None,
+) -> None:
     """Load rows into a keyed table, replacing those with the same key.
 
+    ``names`` may give the values of the first key that ``rows`` can hold, where
+    they are known without computing the rows.
+
     Only the buckets the batch touches are read and rewritten. The merged buckets
     are written beside the table first and put in place as whole partitions by
     ``install_staged``, so the table is never read while it is overwritten and a
@@ -73,8 +82,9 @@ def merge_keyed(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[
     table = spark.read.parquet(path)
     buckets = table.select("buckets").first().buckets
     batch = _bucketed(rows, keys[0], buckets)
+    places = (rows if names is None else names).select(bucket_of(keys[0], buckets).alias("bucket"))
     # At most ``buckets`` numbers.
-    touched = [row.bucket for row in batch.select("bucket").distinct().collect()]
+    touched = [row.bucket for row in places.distinct().collect()]
     if not touched:
         return
     old = table.where(F.col("bucket").isin(touched))
