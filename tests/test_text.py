@@ -158,3 +158,33 @@ def test_positions_and_counts_agree(sentences):
     assert wrong.count() == 0
     words = sentence_tokens(sentences).count()
     assert words == sentences.agg(F.sum("numWordsInSentence")).first()[0]
+
+
+@pytest.mark.parametrize("part", ["a.b", 'a."b!', "ab", "be ", "xz", "e", " ", "a. ", "."])
+def test_very_long_texts(spark, part):
+    """No expression recurses or backtracks, whatever fills the text."""
+    n = 100_000
+    row = (
+        spark.range(1)
+        .select(F.repeat(F.lit(part), n).alias("t"))
+        .select(
+            F.size(text.sentence_array("t")).alias("sentences"),
+            F.size(text.sentence_array("t", ["a"])).alias("guarded"),
+            F.size(text.tokens("t")).alias("tokens"),
+            F.size(text.token_runs("t")).alias("runs"),
+            F.size(text.tokens_by_flag("t", 0)).alias("short"),
+            F.size(text.tokens_by_flag("t", 1)).alias("long"),
+            text.syllable_count("t").alias("syllables"),
+            text.word_count("t").alias("words"),
+            text.multi_syllable_count("t").alias("multi"),
+            text.has_any_term("t", ["zebra"]).alias("found"),
+        )
+        .first()
+    )
+    whole = part * n
+    assert row.sentences == {"a. ": n, " ": 0}.get(part, 1)
+    assert row.guarded == min(row.sentences, 1)
+    assert row.tokens == row.words == row.short + row.long == len(plain_tokens(whole))
+    assert row.runs == len(set(plain_tokens(whole)))
+    assert row.multi == row.long and not row.found
+    assert row.syllables == sum(max(1, plain_syllables(t)) for t in plain_tokens(whole))

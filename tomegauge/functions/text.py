@@ -21,10 +21,8 @@ MULTI_SYLLABLE_FROM = 2
 SENTENCE_ENDS = ".!?"
 CLOSERS = "\"')]"
 
-# The characters of a token, ASCII and Unicode, and the gaps between.
-GAP = r"\W+"
+# The characters of a token, ASCII and Unicode. All others are gaps.
 IN_WORD = r"\w"
-UNICODE_GAP = r"[^\p{L}\p{N}_]+"
 UNICODE_IN_WORD = r"[\p{L}\p{N}_]"
 
 WHITE_SPACE = " \t\n\x0b\f\r"
@@ -71,9 +69,12 @@ def sentence_array(text: Column | str, abbreviations: Sequence[str] = ()) -> Col
 
 
 def tokens(sentence: Column | str, unicode: bool = False) -> Column:
-    """Lower-case tokens; empty ones are dropped."""
-    gap = UNICODE_GAP if unicode else GAP
-    return F.array_remove(F.split(F.lower(_column(sentence)), gap), "")
+    """Lower-case tokens: what a split at all other characters leaves, but for empty ones."""
+    return F.regexp_extract_all(F.lower(_column(sentence)), F.lit(_token(unicode)), F.lit(0))
+
+
+def _token(unicode: bool) -> str:
+    return f"{UNICODE_IN_WORD if unicode else IN_WORD}++"
 
 
 def token_runs(sentence: Column | str, unicode: bool = False) -> Column:
@@ -96,8 +97,7 @@ def run_length(run: Column | str) -> Column:
 
 def word_count(sentence: Column | str, unicode: bool = False) -> Column:
     """Number of ``tokens(sentence)``, without building the array."""
-    in_word = UNICODE_IN_WORD if unicode else IN_WORD
-    return F.regexp_count(F.lower(_column(sentence)), F.lit(f"{in_word}+"))
+    return F.regexp_count(F.lower(_column(sentence)), F.lit(_token(unicode)))
 
 
 def has_any_term(sentence: Column | str, terms: Sequence[str], unicode: bool = False) -> Column:
