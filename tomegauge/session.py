@@ -39,13 +39,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Share the rows of a scan out if it would leave most cores of the cluster idle.
+    """Share the rows of a scan that has fewer splits than the cluster has cores.
 
-    A scan with splits for a quarter of the cores or more stays as it is, so a
-    large input is never shuffled for this. The number of shuffle partitions is
-    left to adaptive execution.
+    Splits of a file with one row group are mostly empty, so a few splits may
+    mean a single busy task. A scan with enough splits stays as it is: a large
+    input is never shuffled for this. The number of shuffle partitions is left to
+    adaptive execution.
     """
-    splits = df.rdd.getNumPartitions()
-    if splits * 4 >= df.sparkSession.sparkContext.defaultParallelism:
+    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
         return df
     return df.repartition(*keys)
