@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tomegauge.llm import near_dedup
-from tomegauge.llm.common import read_table
+from tomegauge.llm import mixing, near_dedup, sharding, toxicity
+from tomegauge.llm.common import read_table, remainder
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +16,31 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    weighted = mixing.quality(docs, read_table(spark, sf_dir, "labels"))
+    found = mixing.mix(weighted, F.col("_weight"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.scored(docs, read_table(spark, sf_dir, "labels"))
+    return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_crc32", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
+    return sharding.shard(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_minhash_near_dedup": op3_minhash_near_dedup}
+    found = [op3_minhash_near_dedup, op5_mix_sources, op6_toxicity, op10_sharding]
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +17,8 @@ from tomegauge.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that Python holds at once; texts may be long.
 BATCH_ROWS = 500
+#: Applications whose executors have the package.
+_SHIPPED: set[str] = set()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +35,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, as one text may have megabytes."""
+def ready_for_python(spark: SparkSession) -> None:
+    """Bound the rows of an Arrow batch, as one text may have megabytes, and give executors this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="tomegauge-")) / "tomegauge.zip"  # served by the driver
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
 
 
 def folded(text: Column) -> Column:

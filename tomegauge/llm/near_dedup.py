@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tomegauge.llm import hashing
-from tomegauge.llm.common import new_names, small_batches, stored
+from tomegauge.llm.common import new_names, ready_for_python, stored
 from tomegauge.llm.components import components
 
 SKETCH = 64
@@ -59,7 +59,7 @@ def _features(width: int, sketch: int):
 
 def features(docs: DataFrame, width: int = 3, sketch: int = SKETCH) -> DataFrame:
     """Per row: ``doc_id, text_hash, n_shingles, node`` (digest of the set) and ``sketch``."""
-    small_batches(docs.sparkSession)
+    ready_for_python(docs.sparkSession)
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("_text")
     )
