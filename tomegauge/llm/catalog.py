@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomegauge.llm import mixing, near_dedup, sharding, toxicity, winnowing
+from tomegauge.llm import decontamination, mixing, near_dedup, sharding, toxicity, winnowing
 from tomegauge.llm.common import read_table, remainder
 
 
@@ -29,6 +29,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_and_next(read_table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_minhash_near_dedup, op5_mix_sources, op6_toxicity, op9_fingerprints, op10_sharding]
+    found = [op3_minhash_near_dedup, op5_mix_sources, op6_toxicity, op7_decontamination, op9_fingerprints, op10_sharding]
     return {query.__name__: query for query in found}
 
 
