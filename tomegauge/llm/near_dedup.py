@@ -4,7 +4,7 @@ A document is its set of distinct word shingles. Equal sets are one node. For
 the others the steps are:
 
 1. The sketch of a node is its ``SKETCH`` least shingle hashes. Inverted lists of
-   the retained values tell how much of each sketch also lies in other sketches.
+   the first retained values tell how much of each sketch also lies in other sketches.
    Two sets with the similarity asked for share most of the sketch of their
    union, so a node of whose sketch too little is shared is linked with nothing.
 2. For the nodes left, whole sets: the rarest shingles come first, and two
@@ -57,8 +57,8 @@ def _features(width: int, sketch: int):
     return run
 
 
-def features(docs: DataFrame, width: int = 3, sketch: int = SKETCH) -> DataFrame:
-    """Per row: ``doc_id, text_hash, n_shingles, node`` (digest of the set) and ``sketch``."""
+def features(docs: DataFrame, width: int = 3, sketch: int = PROBED) -> DataFrame:
+    """Per row: ``doc_id, text_hash, n_shingles, node`` (digest of the set) and the first values of its ``sketch``."""
     ready_for_python(docs.sparkSession)
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("_text")
@@ -78,30 +78,28 @@ def _sets(width: int):
 
 def _active(nodes: DataFrame) -> DataFrame:
     """Nodes of whose sketch enough values lie in other sketches too."""
-    probes = nodes.select("node", F.explode(F.slice("sketch", 1, PROBED)).alias("value"))
+    probes = nodes.select("node", F.explode("sketch").alias("value"))
     common = probes.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     seen = probes.join(common, "value").groupBy("node").agg(F.count("*").alias("seen"))
     enough = F.col("seen") >= F.lit(SHARED) * F.least(F.lit(PROBED), F.col("n_shingles"))
     return nodes.join(seen, "node").where(enough).drop("seen")
 
 
-def _postings(sets: DataFrame, percent: int) -> DataFrame:
-    """The first shingles of each set in ascending order of frequency, as far as the prefix filter needs them.
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """Per set its ``first`` shingles in ascending order of frequency, as far as the prefix filter needs them.
 
     ``own`` counts the shingles that no other set has; they come first and need no list.
     """
-    items = sets.select("node", "n_shingles", F.explode("items").alias("item"))
+    items = sets.select("node", F.explode("items").alias("item"))
     common = items.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
-    shared = items.join(common, "item").groupBy("node", "n_shingles").agg(
+    shared = items.join(common, "item").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("df", "item"))).alias("shared")
-    )
+    ).join(sets.select("node", "n_shingles"), "node")
     own = F.col("n_shingles") - F.size("shared")
     prefix = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
     shared = shared.withColumn("own", own).withColumn("prefix", F.greatest(F.lit(0), prefix - own).cast("int"))
     shared = shared.where("prefix > 0").withColumn("first", F.slice("shared", F.lit(1), F.col("prefix"))["item"])
-    return shared.select("node", "n_shingles", "own", "first", F.posexplode("first").alias("place", "item")).withColumn(
-        "place", F.col("place") + F.col("own")
-    )
+    return shared.select("node", "n_shingles", "own", "first")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -124,10 +122,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _estimated(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Drop pairs whose union sketch shows clearly less in common than asked for."""
-    one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
-    two = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    one = sets.select(F.col("node").alias("a"), F.slice("items", 1, SKETCH).alias("x"))
+    two = sets.select(F.col("node").alias("b"), F.slice("items", 1, SKETCH).alias("y"))
     union = F.slice(F.array_sort(F.array_union("x", "y")), 1, SKETCH)
     common = F.size(F.array_intersect(F.array_intersect(union, F.col("x")), F.col("y")))
     return (
@@ -144,13 +142,15 @@ def links(docs: DataFrame, rows: DataFrame, width: int = 3, percent: int = 85) -
         F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("i"), "text_hash", "doc_id")).alias("row"),
         F.first("sketch").alias("sketch"),
     )
-    active = stored(_active(_active(nodes)), "active")
+    active = stored(_active(stored(nodes, "nodes")), "active")
     wanted = active.select("node", "n_shingles", F.col("row.doc_id").alias("i"), F.col("row.text_hash").alias("h"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", F.xxhash64("text").alias("_hash"))
     texts = texts.join(wanted, texts["_id"].eqNullSafe(wanted["i"]) & (texts["_hash"] == wanted["h"]))
     sets = texts.select("node", "text").mapInArrow(_sets(width), "node long, items array<long>")
     sets = stored(sets.dropDuplicates(["node"]).withColumn("n_shingles", F.size("items").cast("long")), "sets")
-    lists = stored(_postings(sets, percent), "postings")
+    prefixes = stored(_prefixes(sets, percent), "prefixes")
+    lists = prefixes.select("node", "n_shingles", "own", F.posexplode("first").alias("place", "item"))
+    lists = lists.withColumn("place", F.col("place") + F.col("own"))
 
     centre = F.min(F.struct("own", "node", "n_shingles", "place"))
     hubs = lists.groupBy("item").agg(centre.alias("hub"), F.count("*").alias("m")).where("m > 1")
@@ -161,13 +161,13 @@ def links(docs: DataFrame, rows: DataFrame, width: int = 3, percent: int = 85) -
     parts = components(first).withColumnRenamed("component", "part")
     known = lists.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     open_lists = known.groupBy("item").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("item")
-    known = known.join(open_lists, "item", "left_semi")
+    known = known.join(open_lists, "item", "left_semi").drop("own").join(prefixes.select("node", "first"), "node")
     one, two = known.alias("x"), known.alias("y")
     rest = one.join(two, (F.col("x.item") == F.col("y.item")) & (F.col("x.node") < F.col("y.node"))
                     & (F.col("x.part") != F.col("y.part")) & _may_link("x", "y", percent)
                     & (F.array_intersect("x.first", "y.first")[0] == F.col("x.item")))
     rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    second = _verified(_estimated(rest, active, percent), sets, percent)
+    second = _verified(_estimated(rest, sets, percent), sets, percent)
     return stored(first.union(second), "links")
 
 
