@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomegauge.llm import decontamination, mixing, near_dedup, sharding, toxicity, winnowing
+from tomegauge.llm import decontamination, mixing, near_dedup, sharding, tokens, toxicity, winnowing
 from tomegauge.llm.common import read_table, remainder
 
 
@@ -33,6 +34,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op8_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    config = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    found = tokens.round_trip(read_table(spark, sf_dir, "documents"), config, end=2)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_and_next(read_table(spark, sf_dir, "documents"))
 
@@ -47,7 +56,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_minhash_near_dedup, op5_mix_sources, op6_toxicity, op7_decontamination, op9_fingerprints, op10_sharding]
+    found = [op3_minhash_near_dedup, op5_mix_sources, op6_toxicity, op7_decontamination, op8_wavelet_tokens, op9_fingerprints, op10_sharding]
     return {query.__name__: query for query in found}
 
 
