@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomegauge.llm import decontamination, mixing, near_dedup, sharding, tokens, toxicity, winnowing
+from tomegauge.llm import decontamination, language_model, mixing, near_dedup, sharding, tokens, toxicity, winnowing
 from tomegauge.llm.common import read_table, remainder
 
 
@@ -17,6 +17,12 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    found = language_model.scores(read_table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     weighted = mixing.quality(docs, read_table(spark, sf_dir, "labels"))
@@ -56,7 +62,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_minhash_near_dedup, op5_mix_sources, op6_toxicity, op7_decontamination, op8_wavelet_tokens, op9_fingerprints, op10_sharding]
+    found = [op3_minhash_near_dedup, op4_lm_scores, op5_mix_sources, op6_toxicity, op7_decontamination, op8_wavelet_tokens, op9_fingerprints, op10_sharding]
     return {query.__name__: query for query in found}
 
 
