@@ -24,7 +24,7 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = mixing.measured(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "_size", "_tie")
     weighted = mixing.quality(docs, read_table(spark, sf_dir, "labels"))
     found = mixing.mix(weighted, F.col("_weight"))
     return found.select("doc_id", "size", "source_size", "target", "taken")

@@ -59,8 +59,13 @@ def _before(window) -> Column:
     return F.coalesce(F.sum("_size").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """``docs`` with the size of each text and its hash, all that the mix needs of it; the text itself may be dropped."""
+    return docs.withColumn("_size", word_count(F.col("text"))).withColumn("_tie", F.xxhash64("text"))
+
+
 def mix(docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: bool = False, most: float = MOST) -> DataFrame:
-    """``docs(doc_id, text, source)`` with ``size, source_size, target, taken, copies`` added; all rows stay.
+    """``docs(doc_id, text, source)``, or what measured() made of it, with ``size, source_size, target, taken, copies`` added; all rows stay.
 
     ``taken`` counts the words the mix takes of a row, repeats included. The document
     in which a budget ends gives just the words that are left of it, or, with
@@ -75,10 +80,10 @@ def mix(docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: boo
     names = ["size", "source_size", "target", "taken", "copies"]
     weight = F.lit(1.0) if weight is None else weight.cast("double")
     rows = docs.withColumn("_quality", F.when(weight > 0, weight).otherwise(F.lit(1.0)))
-    rows = new_names(rows, names).withColumn("_size", word_count(F.col("text")))
+    rows = new_names(rows, names)
+    rows = rows if "_size" in rows.columns else measured(rows)
     rows = rows.withColumn("_key", -F.log(chance(F.col("doc_id"), seed)) / F.col("_quality"))
     rows = rows.withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * BUCKETS))
-    rows = rows.withColumn("_tie", F.xxhash64("text"))
 
     totals = rows.groupBy("source", "_bucket").agg(F.sum("_size").alias("_size"))
     sizes = targets(totals.groupBy("source").agg(F.sum("_size").alias("source_size")), most)
@@ -100,7 +105,7 @@ def mix(docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: boo
     ending = ending.withColumn("_part", part.cast("long")).drop("_room")
     rows = settled.withColumn("_part", F.col("_part").cast("long")).union(ending)
     taken = F.col("_epochs") * F.col("_size") + F.col("_part")
-    kept = [c for c in docs.columns if c in rows.columns]
+    kept = [c for c in docs.columns if c in rows.columns and c not in ("_size", "_tie")]
     return rows.select(
         *kept, F.col("_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken"),
         (F.col("_epochs") + F.when(F.col("_part") > 0, 1).otherwise(0)).cast("int").alias("copies"),
