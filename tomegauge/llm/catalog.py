@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomegauge.llm import decontamination, language_model, mixing, near_dedup, secrets, sharding, tokens, toxicity, winnowing
+from tomegauge.llm import decontamination, language_model, mixing, near_dedup, passages, secrets, sharding, tokens, toxicity, winnowing
 from tomegauge.llm.common import read_table, remainder
 
 
@@ -17,6 +17,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.findings(docs, F.col("source"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -67,7 +71,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_secret_scan, op3_minhash_near_dedup, op4_lm_scores, op5_mix_sources, op6_toxicity, op7_decontamination, op8_wavelet_tokens, op9_fingerprints, op10_sharding]
+    found = [op1_secret_scan, op2_substring_dedup, op3_minhash_near_dedup, op4_lm_scores, op5_mix_sources, op6_toxicity, op7_decontamination, op8_wavelet_tokens, op9_fingerprints, op10_sharding]
     return {query.__name__: query for query in found}
 
 
