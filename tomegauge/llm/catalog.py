@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tomegauge.llm import decontamination, language_model, mixing, near_dedup, passages, secrets, sharding, tokens, toxicity, winnowing
 from tomegauge.llm.common import read_table, remainder
 
@@ -72,7 +73,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_secret_scan, op2_substring_dedup, op3_minhash_near_dedup, op4_lm_scores, op5_mix_sources, op6_toxicity, op7_decontamination, op8_wavelet_tokens, op9_fingerprints, op10_sharding]
-    return {query.__name__: query for query in found}
+    return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

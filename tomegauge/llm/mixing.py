@@ -55,6 +55,18 @@ def chance(doc_id: Column, seed: int) -> Column:
     return (bits + 0.5) / F.lit(float(1 << 52))
 
 
+def sampling_key(doc_id: Column, weight: Column | None, seed: int) -> Column:
+    """-ln(u) / w: ascending keys sample by weight without replacement."""
+    weight = F.lit(1.0) if weight is None else weight.cast("double")
+    return -F.log(chance(doc_id, seed)) / F.when(weight > 0, weight).otherwise(F.lit(1.0))
+
+
+def text_quality() -> Column:
+    """A weight from the text alone: the share of characters that are letters or white space, 0.1 at least."""
+    odd = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\p{L}\s]"))
+    return F.greatest(F.lit(0.1), 1 - odd / F.greatest(F.lit(1), F.length(F.coalesce("text", F.lit("")))))
+
+
 def _before(window) -> Column:
     return F.coalesce(F.sum("_size").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
@@ -64,25 +76,10 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_size", word_count(F.col("text"))).withColumn("_tie", F.xxhash64("text"))
 
 
-def mix(docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: bool = False, most: float = MOST) -> DataFrame:
-    """``docs(doc_id, text, source)``, or what measured() made of it, with ``size, source_size, target, taken, copies`` added; all rows stay.
-
-    ``taken`` counts the words the mix takes of a row, repeats included. The document
-    in which a budget ends gives just the words that are left of it, or, with
-    ``whole``, counts fully if at least half of it fits and else not at all; ``copies``
-    is ``taken`` in documents, rounded up.
-
-    A null text has size 0 and gives nothing; a null source is a source of its
-    own, the last. Quality weights that are null or not positive count as 1. Rows
-    with equal ids have equal keys; the larger goes first, then by text hash, and the
-    order of equal rows changes nothing. Columns named like the new ones are replaced; no rows give no rows.
-    """
-    names = ["size", "source_size", "target", "taken", "copies"]
-    weight = F.lit(1.0) if weight is None else weight.cast("double")
-    rows = docs.withColumn("_quality", F.when(weight > 0, weight).otherwise(F.lit(1.0)))
-    rows = new_names(rows, names)
-    rows = rows if "_size" in rows.columns else measured(rows)
-    rows = rows.withColumn("_key", -F.log(chance(F.col("doc_id"), seed)) / F.col("_quality"))
+def _planned(docs: DataFrame, weight: Column | None, seed: int, whole: bool, most: float) -> DataFrame:
+    """The rows with ``_size``, ``_key`` and ``_tie``, and what the mix takes: ``_epochs`` whole and ``_part`` words more."""
+    rows = docs if "_size" in docs.columns else measured(docs)
+    rows = rows.withColumn("_key", sampling_key(F.col("doc_id"), weight, seed))
     rows = rows.withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * BUCKETS))
 
     totals = rows.groupBy("source", "_bucket").agg(F.sum("_size").alias("_size"))
@@ -91,7 +88,7 @@ def mix(docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: boo
     sizes = sizes.withColumn("_budget", F.round(F.col("target") - F.col("_epochs") * F.col("source_size")).cast("long"))
     sizes = sizes.withColumnRenamed("source", "_source")
     start = totals.withColumn("_start", _before(Window.partitionBy("source").orderBy("_bucket")))
-    start = start.withColumnRenamed("_size", "_total").withColumnRenamed("source", "_from").withColumnRenamed("_bucket", "_at")
+    start = start.withColumnsRenamed({"_size": "_total", "source": "_from", "_bucket": "_at"})
     plan = start.join(sizes, F.col("_from").eqNullSafe(F.col("_source"))).drop("_source")
 
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_from")) & (F.col("_bucket") == F.col("_at")))
@@ -103,11 +100,29 @@ def mix(docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: boo
     if whole:
         part = F.when(part * 2 >= F.col("_size"), F.col("_size")).otherwise(F.lit(0))
     ending = ending.withColumn("_part", part.cast("long")).drop("_room")
-    rows = settled.withColumn("_part", F.col("_part").cast("long")).union(ending)
+    return settled.withColumn("_part", F.col("_part").cast("long")).union(ending)
+
+
+def mix(docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: bool = False, most: float = MOST) -> DataFrame:
+    """``docs(doc_id, text, source)``, or what measured() made of it, with
+    ``size, source_size, target, taken, copies`` added; all rows stay.
+
+    ``taken`` counts the words the mix takes of a row, repeats included. The document
+    in which a budget ends gives just the words that are left of it, or, with
+    ``whole``, counts fully if at least half of it fits and else not at all; ``copies``
+    is ``taken`` in documents, rounded up.
+
+    A null text has size 0 and gives nothing; a null source is a source of its
+    own, the last. Quality weights that are null or not positive count as 1. Rows
+    with equal ids have equal keys; the larger goes first, then by text hash, and the
+    order of equal rows changes nothing. Columns named like the new ones are replaced; no rows give no rows.
+    """
+    own = new_names(docs, ["size", "source_size", "target", "taken", "copies"])
+    rows = _planned(own, weight, seed, whole, most)
     taken = F.col("_epochs") * F.col("_size") + F.col("_part")
-    kept = [c for c in docs.columns if c in rows.columns and c not in ("_size", "_tie")]
     return rows.select(
-        *kept, F.col("_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken"),
+        *[c for c in own.columns if c not in ("_size", "_tie")],
+        F.col("_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken"),
         (F.col("_epochs") + F.when(F.col("_part") > 0, 1).otherwise(0)).cast("int").alias("copies"),
     )
 
@@ -122,9 +137,22 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(marks, F.col("doc_id") == F.col("_marked"), "left").drop("_marked")
 
 
-def mixed(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """The rows of the mix: a document appears as often as it is taken, whole, with its columns as they were."""
-    own = {c: f"_own_{c}" for c in docs.columns if c not in ("doc_id", "text", "source")}
-    found = mix(docs.withColumnsRenamed(own), seed=seed, whole=True).where("copies > 0")
-    repeated = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
+def mixed(docs: DataFrame, weight: Column | None = None, seed: int = 1, most: float = MOST) -> DataFrame:
+    """The rows of the mix: a document appears as often as it is taken, whole, with its columns as they were.
+
+    The plan is made on ids and sizes; per source it comes down to a number of
+    epochs and the last key taken after them, so the texts are not shuffled unless
+    the sources are too many to broadcast. Rows equal to the last one taken are taken too.
+    Documents without words are taken in complete epochs only.
+    """
+    weight = text_quality() if weight is None else weight
+    narrow = measured(docs).select("doc_id", "source", weight.alias("_weight"), "_size", "_tie")
+    plan = _planned(narrow, F.col("_weight"), seed, True, most)
+    mark = F.struct("_key", (-F.col("_size")).alias("_less"), "_tie")
+    cuts = plan.groupBy("source").agg(F.max("_epochs").alias("_epochs"), F.max(F.when(F.col("_part") > 0, mark)).alias("_last"))
+    cuts = cuts.withColumnRenamed("source", "_from")
+    own = measured(docs.withColumn("_key", sampling_key(F.col("doc_id"), weight, seed)))
+    own = own.join(cuts, F.col("source").eqNullSafe(F.col("_from")))
+    more = F.when((F.col("_size") > 0) & (F.struct("_key", (-F.col("_size")).alias("_less"), "_tie") <= F.col("_last")), 1).otherwise(0)
+    own = own.withColumn("_copies", (F.col("_epochs") + more).cast("int")).where("_copies > 0")
+    return own.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
