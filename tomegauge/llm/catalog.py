@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tomegauge.llm import decontamination, language_model, mixing, near_dedup, passages, secrets, sharding, tokens, toxicity, winnowing
+from tomegauge.llm import decontamination, language_model, mixing, near_dedup, oracle, passages, secrets, sharding, tokens, toxicity, winnowing
 from tomegauge.llm.common import read_table, remainder
 
 
@@ -77,4 +77,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
