@@ -87,7 +87,9 @@ def range_splits(df: DataFrame, key: str, parts: int) -> list[float]:
 
 def with_range(df: DataFrame, key: str, splits: Sequence[float], name: str) -> DataFrame:
     """Number of the key range a row falls in, ascending; null keys come last."""
+    if not splits:
+        return df.withColumn(name, F.lit(0))
     edges = [-float("inf"), *splits, float("inf")]
     bucket = Bucketizer(splits=edges, inputCol="_key", outputCol="_range", handleInvalid="keep")
     placed = bucket.transform(df.withColumn("_key", F.col(key).cast("double")))
-    return placed.withColumn(name, F.col("_range").cast("int")).drop("_key", "_range")
+    return placed.withColumn(name, F.coalesce(F.col("_range").cast("int"), F.lit(len(edges)))).drop("_key", "_range")

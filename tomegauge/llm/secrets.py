@@ -93,7 +93,7 @@ def rule_label() -> Column:
     fixed = F.col("candidate").rlike("^(AKIA|ASIA)[0-9A-Z]{16}$") | F.col("candidate").rlike("^(ghp|gho|xox[bp])[_-][0-9A-Za-z-]{20,}$")
     assigned = context.rlike(_NAMED + "\\s*[=:]\\s*[\"']?$") & F.col("candidate").rlike("[0-9]") & ~context.rlike(_MOCK)
     harmless = F.col("candidate").rlike("^[0-9]+$") | F.col("candidate").rlike("^[A-Za-z]+$") | F.col("candidate").rlike("^[-_=+/]+$")
-    return F.when(harmless, 0.0).when(fixed | assigned, 1.0)
+    return F.when(fixed, 1.0).when(harmless, 0.0).when(assigned, 1.0)
 
 
 def findings(docs: DataFrame, path: Column | None = None, label: Column | None = None, threshold: float = 0.5) -> DataFrame:
