@@ -25,8 +25,8 @@ from tomegauge.session import scratch_path
 
 #: Tokens after which a shard is full. A single longer document makes a longer shard.
 SHARD_TOKENS = 2_000_000
-#: Words whose ids a worker remembers.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers, and as many of those it used before.
+REMEMBERED = 700_000
 
 
 class Encoder:
@@ -41,7 +41,10 @@ class Encoder:
     def __init__(self, config: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_str(config)
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        # Two bytes an id where all ids fit, else four.
+        self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, config: str) -> Encoder:
@@ -50,40 +53,40 @@ class Encoder:
             cls._last = (mark, cls(config))
         return cls._last[1]
 
-    def learn(self, fresh: list[bytes]) -> None:
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-        for at in range(0, len(fresh), 5000):
-            part = fresh[at : at + 5000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.known.update(zip(part, (tuple(f.ids) for f in found), strict=True))
-
-    def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
-        """Per text its ids and the end id."""
+    def learn(self, words: set[bytes]) -> None:
+        """Make the ids of these words known. When too many are, those not used since the last time are forgotten."""
+        if len(self.known) + len(words) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        fresh = []
+        for word in words - self.known.keys():
+            ids = self.older.get(word)
+            if ids is None:
+                fresh.append(word)
+            else:
+                self.known[word] = ids
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
+        self.known.update(zip(fresh, (np.array(f.ids, dtype=self.kind).tobytes() for f in found), strict=True))
+
+    def packed(self, texts: list[str | None], end: int) -> list[bytes]:
+        """Per text its ids and the end id, one after the other in ``kind``."""
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        out = []
+        last, out = np.array([end], dtype=self.kind).tobytes(), []
         for at in range(0, len(split), 50):
             part = split[at : at + 50]
-            distinct = {w for found in part for w in found}
-            fresh = list(distinct - self.known.keys())
-            if len(self.known) + len(fresh) > REMEMBERED:
-                self.known.clear()
-                fresh = list(distinct)
-            self.learn(fresh)
-            for found in part:
-                ids = [i for pieces in map(self.known.__getitem__, found) for i in pieces]
-                ids.append(end)
-                out.append(np.array(ids, dtype="<u4"))
+            self.learn({w for found in part for w in found})
+            out += [b"".join(map(self.known.__getitem__, found)) + last for found in part]
         return out
 
+    def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
+        return [np.frombuffer(ids, dtype=self.kind).astype("<u4") for ids in self.packed(texts, end)]
+
 
 def _encode(config: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = Encoder.of(config).encode(texts, end)
-            # Two bytes an id where all fit, else four; the first byte says which.
-            packed = [b"\2" + f.astype("<u2").tobytes() if f.max() < 1 << 16 else b"\4" + f.tobytes() for f in found]
+            encoder = Encoder.of(config)
+            width = bytes([int(encoder.kind[-1])])  # the first byte says how wide the ids are
+            packed = [width + ids for ids in encoder.packed(batch.column("text").to_pylist(), end)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("_tie"), batch.column("_place"), pa.array(packed, pa.binary())],
                 ["doc_id", "_tie", "_place", "ids"],
