@@ -24,17 +24,23 @@ def local_session(cores: int | str = "*", app_name: str = "tomegauge", memory: s
     return spark
 
 
+_fallbacks: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back on a temporary folder of this machine.
+    Only a local master may fall back on a temporary folder of this machine, one
+    per application. The settings of the session stay as they are.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tomegauge-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        application = spark.sparkContext.applicationId
+        if application not in _fallbacks:
+            _fallbacks[application] = tempfile.mkdtemp(prefix="tomegauge-")
+        shared = _fallbacks[application]
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
