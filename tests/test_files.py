@@ -1,6 +1,7 @@
 """File sources, sinks and keyed tables, each in a fresh folder."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -121,13 +122,43 @@ def test_merge_leaves_other_buckets_alone(spark, tmp_path):
     assert tables.read_book(spark, str(path), "b1").first().sentenceText == "new"
 
 
-def test_interrupted_merge_is_finished_by_install(spark, tmp_path):
+def test_interrupted_merge_is_finished_by_install(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "table")
     keyed.create_keyed(small(spark, [("a", 0, "old", 0), ("b", 0, "old", 0)]), path, KEY, 2)
-    keyed.merge_keyed(spark, path, small(spark, [("a", 0, "new", 0)]), KEY)
-    once = sorted(map(tuple, tables.read_sentences(spark, path).collect()))
-    keyed.install_staged(spark, path)
-    assert sorted(map(tuple, tables.read_sentences(spark, path).collect())) == once
+    install = keyed.install_staged
+    monkeypatch.setattr(keyed, "install_staged", lambda *a: None)
+    keyed.merge_keyed(spark, path, small(spark, [("a", 0, "new", 0), ("b", 0, "new", 0)]), KEY)
+    monkeypatch.undo()
+    staged = keyed.staged_loads(spark, path)
+    assert len(staged) == 1 and {r.sentenceText for r in tables.read_sentences(spark, path).collect()} == {"old"}
+    install(spark, path, staged[0])
+    assert {r.sentenceText for r in tables.read_sentences(spark, path).collect()} == {"new"}
+    assert keyed.staged_loads(spark, path) == [] and not list(tmp_path.glob("*_staged*"))
+    (tmp_path / "table_staged-half").mkdir()
+    with pytest.raises(ValueError, match="in full"):
+        install(spark, path, str(tmp_path / "table_staged-half"))
+
+
+def test_a_load_replaces_whole_books(spark, tmp_path):
+    path = str(tmp_path / "table")
+    keyed.create_keyed(small(spark, [("a", k, "old", 3) for k in range(3)] + [("b", 0, "old", 1)]), path, KEY, 2)
+    names = spark.createDataFrame([("a",)], "fileName string")
+    keyed.merge_keyed(spark, path, small(spark, [("a", 0, "new", 1)]), KEY, names)
+    assert sorted((r.fileName, r.sentenceText) for r in tables.read_sentences(spark, path).collect()) == [("a", "new"), ("b", "old")]
+    keyed.merge_keyed(spark, path, small(spark, []), KEY, names)
+    assert [r.fileName for r in tables.read_sentences(spark, path).collect()] == ["b"]
+    keyed.merge_keyed(spark, path, small(spark, []), KEY, spark.createDataFrame([("b",)], "fileName string"))
+    assert tables.read_sentences(spark, path).count() == 0
+
+
+def test_reset_then_load_and_repeats_in_a_first_load(spark, tmp_path):
+    path = str(tmp_path / "table")
+    files.reset_table(spark, path, SENTENCES)
+    keyed.merge_keyed(spark, path, small(spark, [("a", 0, "one", 0), ("a", 0, "two", 0), ("b", 0, "one", 0)]), KEY)
+    assert sorted(r.sentenceText for r in tables.read_sentences(spark, path).collect()) == ["one", "two"]
+    spark.range(3).write.parquet(str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="keyed"):
+        keyed.merge_keyed(spark, str(tmp_path / "plain"), spark.range(3), ["id"])
 
 
 def test_one_key_with_very_many_copies(spark):
@@ -160,10 +191,16 @@ def test_load_in_batches(spark, shelf, tmp_path):
     for _ in range(2):
         load_books(spark, str(shelf), path)
         found = sorted((r.fileName, r.position, r.sentenceText) for r in tables.read_sentences(spark, path).collect())
-        # The second sentence of the first load has a key no later row replaced.
-        assert found == [
-            ("txt/1.txt", 0, "Uno."), ("txt/1.txt", 1, "Two."), ("txt/10.txt", 0, "Été."), ("txt/2 b.txt", 0, "Three."),
-        ]
+        assert found == [("txt/1.txt", 0, "Uno."), ("txt/10.txt", 0, "Été."), ("txt/2 b.txt", 0, "Three.")]
+    with pytest.raises(ValueError, match="buckets"):
+        load_books(spark, str(shelf), path, buckets=5)
+
+
+def test_loads_go_on_where_the_last_one_ended(spark, shelf, tmp_path):
+    path, last, steps = str(tmp_path / "sentences"), None, []
+    while (last := load_books(spark, str(shelf), path, limit=1, after=last)) is not None:
+        steps.append(tables.read_sentences(spark, path).select("fileName").distinct().count())
+    assert steps == [1, 2, 3]
 
 
 def test_names_of_a_batch_come_from_the_listing(spark, shelf, physical):
@@ -183,12 +220,16 @@ def test_text_json_and_reset(spark, tmp_path):
     assert spark.read.parquet(table).count() == 0 and spark.read.parquet(table).schema == SENTENCES
 
 
-def test_index_equals_scan_for_any_salt(spark, sentences, tmp_path):
+def test_index_equals_scan(spark, sentences, tmp_path):
     expected = search.search(sentences, "of the thing").collect()
-    for buckets, salts in [(1, 1), (4, 7)]:
+    for buckets in (1, 4):
         path = str(tmp_path / f"index{buckets}")
-        search.write_index(sentences, path, buckets, salts)
+        search.write_index(sentences, path, buckets)
         assert search.search_index(spark, path, sentences, "of the thing").collect() == expected
+        for phrase in ("the", "the of", "in of the thing notaword"):
+            assert search.search_index(spark, path, sentences, phrase).collect() == search.search(sentences, phrase).collect()
+    with pytest.raises(ValueError, match="limit"):
+        search.search_index(spark, path, sentences, "thing", 10**6)
     assert search.search_index(spark, path, sentences, "notaword").count() == 0
 
 
@@ -207,5 +248,22 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+class Unset:
+    """A session without the shared folder set, on a given master."""
+
+    def __init__(self, master):
+        self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        self.conf = SimpleNamespace(get=lambda key, default: default)
+
+
+def test_scratch_without_a_shared_folder():
+    from tomegauge.session import scratch_path
+
+    one, two = (scratch_path(Unset("local[4]"), "x") for _ in "ab")
+    assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Unset("spark://host:7077"), "x")
+
+
 def test_landing_is_written_once(spark, folder):
     assert landing.sentence_store(spark, folder) == landing.sentence_store(spark, folder)

@@ -30,17 +30,32 @@ def load_books(
     strict: bool = True,
     min_syllables: int = text.MULTI_SYLLABLE_FROM,
     abbreviations: Sequence[str] = (),
-    buckets: int = 256,
-) -> None:
+    buckets: int | None = None,
+    after: str | None = None,
+) -> str | None:
     """Read the first ``limit`` files below ``root`` and load their sentences into the table at ``path``.
 
-    The table is made if absent; otherwise sentences with a known key replace the
-    old ones, so a load may be repeated.
+    The table is made if absent or without rows; otherwise each book read replaces what
+    the table held of it, so a load may be repeated and a changed book is
+    loaded whole. ``buckets`` is for a new table; another number than that of the table is refused.
+
+    Gives the address of the last file read, None if there was none. ``after`` that
+    address the next load goes on. The driver holds the listing of ``root``,
+    so a library of many million files is loaded folder by folder.
     """
-    raw = books.read_books(spark, root, limit, glob, strict)
+    last = books.last_file(spark, root, limit, glob, after)
+    if last is None:
+        return None
+    raw = books.read_books(spark, root, None, glob, strict, after, last)
+    # Sentences are numbered within their book, so their keys are unique.
     rows = sentence_table(raw, min_syllables, abbreviations)
-    if _exists(spark, path):
-        # The names alone come from the listing; no file is opened for them.
-        keyed.merge_keyed(spark, path, rows, KEY, raw.select("fileName"))
-    else:
-        keyed.create_keyed(rows, path, KEY, buckets)
+    table = spark.read.parquet(path) if _exists(spark, path) else None
+    if table is None or table.isEmpty():
+        keyed.create_keyed(rows, path, KEY, buckets or keyed.BUCKETS, unique=True)
+        return last
+    there = table.select("buckets").first().buckets
+    if buckets not in (None, there):
+        raise ValueError(f"{path} has {there} buckets")
+    # The names alone come from the listing; no file is opened for them.
+    keyed.merge_keyed(spark, path, rows, KEY, raw.select("fileName"), unique=True)
+    return last

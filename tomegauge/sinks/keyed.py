@@ -1,10 +1,15 @@
 """Keyed tables on Parquet: a row with a known key replaces the old one."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tomegauge.session import scratch_path
+
+BUCKETS = 256
+
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
@@ -36,6 +41,12 @@ def in_bucket_of(value: str) -> Column:
     return F.col("bucket") == bucket_of(F.lit(value), F.col("buckets"))
 
 
+def of_book(table: DataFrame, file_name: str) -> Column:
+    """The rows of one book; where the table has its bucket columns, other buckets are not opened."""
+    named = F.col("fileName") == file_name
+    return in_bucket_of(file_name) & named if {"bucket", "buckets"} <= set(table.columns) else named
+
+
 def _bucketed(rows: DataFrame, bucket_by: str, buckets: int) -> DataFrame:
     return rows.withColumns({"buckets": F.lit(buckets), "bucket": bucket_of(bucket_by, buckets)})
 
@@ -56,8 +67,19 @@ def _write(rows: DataFrame, path: str, order: Sequence[str]) -> None:
     )
 
 
-def create_keyed(rows: DataFrame, path: str, keys: Sequence[str], buckets: int = 256) -> None:
-    """First load of a keyed table, bucketed by the first of its keys; the keys of ``rows`` must be unique."""
+def newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key; of several the greatest by their other columns counts."""
+    return latest(rows, keys, [F.desc(column) for column in rows.columns if column not in keys])
+
+
+def create_keyed(
+    rows: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS, unique: bool = False
+) -> None:
+    """First load of a keyed table, bucketed by the first of its keys.
+
+    Of rows with one key only the newest stays; ``unique`` says that there are none, which saves a shuffle.
+    """
+    rows = rows if unique else newest(rows, keys)
     _write(_bucketed(rows, keys[0], buckets), path, keys)
 
 
@@ -67,42 +89,89 @@ def merge_keyed(
     rows: DataFrame,
     keys: Sequence[str],
     names: DataFrame | None = None,
+    unique: bool = False,
 ) -> None:
-    """Load rows into a keyed table, replacing those with the same key.
+    """Load rows into a keyed table.
 
-    ``names`` may give the values of the first key that ``rows`` can hold, where
-    they are known without computing the rows.
+    Without ``names`` a row replaces the one with the same key. With ``names``, one column
+    named as the first key, all rows under these names are replaced: what the batch
+    no longer holds of them goes. A table without rows, as after a reset, is made anew.
 
-    Only the buckets the batch touches are read and rewritten. The merged buckets
-    are written beside the table first and put in place as whole partitions by
-    ``install_staged``, so the table is never read while it is overwritten and a
-    lost executor costs a task. If the driver dies in the first step, run this
-    again; if it dies in the second, ``install_staged`` alone finishes the load.
+    Only the buckets the batch touches are read and rewritten. They are written
+    beside the table, in a folder of this load alone, and then moved into it, so
+    the table is never read while it is overwritten and a lost executor costs a
+    task. If the driver dies while it writes, run this again; if it dies while it
+    moves, ``install_staged`` on the folder that ``staged_loads`` names finishes the load.
     """
     table = spark.read.parquet(path)
-    buckets = table.select("buckets").first().buckets
-    batch = _bucketed(rows, keys[0], buckets)
-    places = (rows if names is None else names).select(bucket_of(keys[0], buckets).alias("bucket"))
+    found = table.select("buckets").first() if "buckets" in table.columns else None
+    if found is None:
+        if not table.isEmpty():
+            raise ValueError(f"{path} holds rows but is not a keyed table")
+        create_keyed(rows, path, keys, unique=unique)
+        return
+    buckets = found.buckets
+    if names is None:
+        # Written once, as the old table is cut by its keys and the merged one holds its rows.
+        batch_path = scratch_path(spark, "batch")
+        rows.write.parquet(batch_path)
+        rows = spark.read.schema(rows.schema).parquet(batch_path)
+        gone = rows.select(*keys).distinct()
+    else:
+        gone = names.select(keys[0]).distinct()
     # At most ``buckets`` numbers.
-    touched = [row.bucket for row in places.distinct().collect()]
+    touched = [row.bucket for row in gone.select(bucket_of(keys[0], buckets).alias("bucket")).distinct().collect()]
     if not touched:
         return
-    old = table.where(F.col("bucket").isin(touched))
-    _write(upsert(old, batch.select(*old.columns), ["buckets", "bucket", *keys]), _staged(path), keys)
-    install_staged(spark, path)
+    old = table.where(F.col("bucket").isin(touched)).join(gone, gone.columns, "left_anti")
+    batch = _bucketed(rows if unique else newest(rows, keys), keys[0], buckets)
+    staged = f"{path.rstrip('/')}_staged-{uuid.uuid4().hex}"
+    _write(old.select(*table.columns).unionByName(batch.select(*table.columns)), staged, keys)
+    install_staged(spark, path, staged, touched)
+    store, left = _files(spark, f"{path.rstrip('/')}/buckets=*/bucket=*/*.parquet")
+    if not store.globStatus(left):  # nothing is left: an empty table, not an unreadable one
+        spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(path)
 
 
-def _staged(path: str) -> str:
-    return f"{path.rstrip('/')}_staged"
+def _files(spark: SparkSession, path: str):
+    """The file system of a path and the path itself, for moves that only the driver makes."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
-def install_staged(spark: SparkSession, path: str) -> None:
-    """Put the staged buckets of a table in the place of the same buckets in it."""
-    (
-        spark.read.parquet(_staged(path))
-        .sortWithinPartitions("buckets", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("buckets", "bucket")
-        .parquet(path)
-    )
+def staged_loads(spark: SparkSession, path: str) -> list[str]:
+    """Folders of loads into a table that were written in full but not yet moved into it."""
+    store, place = _files(spark, path.rstrip("/"))
+    found = store.globStatus(_files(spark, f"{path.rstrip('/')}_staged-*/_SUCCESS")[1])
+    return sorted(status.getPath().getParent().toString() for status in found or [])
+
+
+def install_staged(spark: SparkSession, path: str, staged: str, touched: Sequence[int] | None = None) -> None:
+    """Move the staged buckets of a finished write into the place of the same buckets of a table.
+
+    At most one move per bucket. Whatever was moved is no longer staged, so after a
+    crash the same call goes on where it stopped. ``touched`` names buckets that may
+    have lost all rows. The staging folder goes at the end.
+    """
+    store, folder = _files(spark, staged)
+    join = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    if not store.exists(join(folder, "_SUCCESS")):
+        raise ValueError(f"{staged} was not written in full")
+    home = _files(spark, path)[1]
+    for level in store.globStatus(join(home, "buckets=*")) or []:
+        for bucket in touched or []:
+            place = join(level.getPath(), f"bucket={bucket}")
+            if store.exists(place) and not store.exists(join(join(folder, level.getPath().getName()), f"bucket={bucket}")):
+                store.delete(place, True)
+    for status in store.globStatus(join(folder, "buckets=*/bucket=*")) or []:
+        source = status.getPath()
+        level = join(home, source.getParent().getName())
+        store.mkdirs(level)
+        place = join(level, source.getName())
+        if store.exists(place):
+            store.delete(place, True)
+        if not store.rename(source, place):
+            raise OSError(f"could not move {source} to {place}")
+    store.delete(folder, True)
+    spark.catalog.refreshByPath(path)

@@ -28,18 +28,33 @@ def list_books(spark: SparkSession, root: str, limit: int | None = None, glob: s
     return files if limit is None else files.orderBy("path").limit(limit)
 
 
-def _contents(spark: SparkSession, root: str, limit: int | None, glob: str | None) -> DataFrame:
-    """Files with their bytes; with a limit only those few are opened.
+def last_file(
+    spark: SparkSession, root: str, limit: int | None = None, glob: str | None = None, after: str | None = None
+) -> str | None:
+    """Address of the last of the first ``limit`` files that come after an address, from the listing alone."""
+    address = F.col("_metadata.file_path")
+    files = _files(spark, root, glob).select(address.alias("address"))
+    files = files if after is None else files.where(F.col("address") > after)
+    files = files if limit is None else files.orderBy("address").limit(limit)
+    return files.agg(F.max("address")).first()[0]
+
+
+def _contents(
+    spark: SparkSession, root: str, limit: int | None, glob: str | None, after: str | None = None, last: str | None = None
+) -> DataFrame:
+    """Files with their bytes; with bounds only those between are opened.
 
-    The last path wanted is found from the listing alone. As a filter on the
-    file metadata it drops the other files before they become tasks.
+    The last path wanted is found from the listing alone. As filters on the
+    file metadata the bounds drop the other files before they become tasks.
     """
     files = _files(spark, root, glob)
+    address = F.col("_metadata.file_path")
     if limit is not None:
-        address = F.col("_metadata.file_path")
-        first = files.select(address.alias("address")).orderBy("address").limit(limit)
-        files = files.where(address <= F.lit(first.agg(F.max("address")).first()[0]))
-    return files
+        last = last_file(spark, root, limit, glob, after)
+        files = files.where(F.lit(last is not None))
+    if after is not None:
+        files = files.where(address > after)
+    return files if last is None else files.where(address <= last)
 
 
 def read_books(
@@ -48,15 +63,19 @@ def read_books(
     limit: int | None = None,
     glob: str | None = None,
     strict: bool = True,
+    after: str | None = None,
+    last: str | None = None,
 ) -> DataFrame:
     """One row per file: ``fileName, rawDocument``, line feeds as spaces.
 
+    ``limit`` takes the first files by address, those above ``after`` if given; ``last`` is the last address read.
+
     Text must be UTF-8: a file that is not fails the job, or with
     ``strict=False`` has a NULL text (see ``broken_books``).
     """
     content = F.col("content").cast("string")
     checked = F.validate_utf8(content) if strict else F.try_validate_utf8(content)
-    return _contents(spark, root, limit, glob).select(
+    return _contents(spark, root, limit, glob, after, last).select(
         _name(root).alias("fileName"),
         text.newlines_to_spaces(checked).alias("rawDocument"),
     )
