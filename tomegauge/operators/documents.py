@@ -1,5 +1,6 @@
 """Sentences as keyed JSON documents, look-ups by file name, unions of collections."""
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tomegauge.operators.scores import sentence_counts
 from tomegauge.operators.sentences import sentence_id
 from tomegauge.schemas import INDEX_DOCUMENT, SENTENCE_COLUMNS
+from tomegauge.sinks import keyed
 
 # Fixed value: the most documents one look-up returns.
 LOOKUP_LIMIT = 10000
@@ -59,15 +61,26 @@ def first_sentences(sentences: DataFrame, limit: int = LOOKUP_LIMIT) -> DataFram
     return sentences.where(F.col("fileName") <= last).orderBy("fileName", "position").limit(limit)
 
 
-def sentences_by_name(sentences: DataFrame, term: str, limit: int = LOOKUP_LIMIT) -> DataFrame:
-    """Sentences of the books whose name has ``term`` as one of its words: ``10`` finds ``txt/10.txt``."""
-    named = F.array_contains(F.split(F.lower("fileName"), r"\W+"), term.lower())
-    return first_sentences(sentences.where(named), limit)
+def sentences_by_name(sentences: DataFrame, name: str, limit: int | None = None) -> DataFrame:
+    """Sentences of the books whose name shares a word with ``name``: ``10`` and ``my/10`` find ``txt/10.txt``.
+
+    The name asked for is cut as the names are, and any word of it may match; one
+    without words finds nothing. ``limit`` keeps the first rows in key order; by default all are returned.
+    """
+    words = sorted({word for word in re.split(r"\W+", name.lower()) if word})
+    if not words:
+        return sentences.where(F.lit(False))
+    named = F.arrays_overlap(F.split(F.lower("fileName"), r"\W+"), F.array(*[F.lit(word) for word in words]))
+    found = sentences.where(named)
+    return found if limit is None else first_sentences(found, limit)
 
 
 def sentences_of_book(sentences: DataFrame, file_name: str) -> DataFrame:
-    """All sentences of one book by its exact name; the filter reaches the scan."""
-    return sentences.where(F.col("fileName") == file_name)
+    """All sentences of one book by its exact name; the filter reaches the scan.
+
+    Of a stored table with its bucket columns only the bucket of the book is opened.
+    """
+    return sentences.where(keyed.of_book(sentences, file_name))
 
 
 def preview(books: DataFrame, characters: int = 150, limit: int = 5) -> DataFrame:

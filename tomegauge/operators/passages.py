@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tomegauge.functions import grades
 from tomegauge.operators.running import overlapping_chunks
 from tomegauge.operators.scores import book_scores
+from tomegauge.sinks import keyed
 
 # Fixed value: SMOG is defined on passages of thirty sentences.
 PASSAGE_SENTENCES = 30
@@ -14,8 +15,8 @@ CHUNK_POSITIONS = 3000
 
 
 def passage_score(sentences: DataFrame, file_name: str, first: int, last: int) -> DataFrame:
-    """Grade of sentences ``first`` to ``last`` of one book, both included."""
-    return book_scores(passage(sentences, first, last).where(F.col("fileName") == file_name))
+    """Grade of sentences ``first`` to ``last`` of one book, both included; of a stored table one bucket is opened."""
+    return book_scores(passage(sentences, first, last).where(keyed.of_book(sentences, file_name)))
 
 
 def passage_scores(sentences: DataFrame, first: int, last: int) -> DataFrame:

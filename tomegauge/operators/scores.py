@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tomegauge.functions import grades, text
+from tomegauge.sinks import keyed
 
 
 def sentence_counts(sentences: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def score_buckets(sentences: DataFrame, bucket_limit: int | None = None) -> Data
     if bucket_limit is None:
         return scored.withColumn("sum_other_doc_count", F.lit(0).cast("bigint"))
     kept = scored.orderBy(F.desc("doc_count"), "fileName").limit(bucket_limit)
-    total = scored.agg(F.sum("doc_count"))
+    total = sentences.agg(F.count(F.lit(1)))
     kept_total = kept.agg(F.sum("doc_count"))
     return kept.withColumn("sum_other_doc_count", total.scalar() - kept_total.scalar())
 
@@ -84,6 +85,11 @@ def one_book(scores: DataFrame, file_name: str) -> DataFrame:
     return scores.where(F.col("fileName") == file_name)
 
 
+def score_of_book(sentences: DataFrame, file_name: str) -> DataFrame:
+    """The grade of one book; of a stored table with its bucket columns one bucket is opened."""
+    return book_scores(sentences.where(keyed.of_book(sentences, file_name)))
+
+
 def books_of_genre(
     sentences: DataFrame,
     metadata: DataFrame,

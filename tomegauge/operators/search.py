@@ -7,18 +7,22 @@ written once by ``write_index``.
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tomegauge.functions import text
 from tomegauge.operators.sentences import explode_once
 from tomegauge.sinks import keyed
 
-# BM25 as search engines ship it, and the number of hits shown.
+# Parameters of BM25 and the number of hits shown. Older engines also multiply each
+# score by K1 + 1, which gives other numbers in the same order.
 K1 = 1.2
 B = 0.75
 TOP = 20
 
+# The driver holds the hits of an index search.
+MOST_HITS = 10000
+
 HIT_COLUMNS = ["fileName", "position", "multiSyllableCount", "sentenceText"]
 
 
@@ -48,8 +52,8 @@ def search(sentences: DataFrame, phrase: str, limit: int = TOP, unicode: bool =
     """The best hits for a phrase: score, then book and position; ``total`` counts all hits.
 
     One pass gathers the corpus statistics in a single row, a second scores the
-    matching sentences and keeps the top rows of each task. Scores are rounded
-    before they are ranked, so that the order does not hang on the last digit.
+    matching sentences and keeps the top rows of each task. Ranked is the full
+    score, its terms added up in a fixed order; only the score shown is rounded.
     """
     terms = query_terms(phrase, unicode)
     if not terms:
@@ -83,9 +87,10 @@ def search(sentences: DataFrame, phrase: str, limit: int = TOP, unicode: bool =
     return (
         any_term(sentences, phrase, unicode)
         .select(*HIT_COLUMNS, cut)
-        .select(*HIT_COLUMNS, F.round(sum(parts[1:], parts[0]), 4).alias("score"), statistics["total"].alias("total"))
-        .orderBy(F.desc("score"), "fileName", "position")
+        .select(*HIT_COLUMNS, sum(parts[1:], parts[0]).alias("_score"), statistics["total"].alias("total"))
+        .orderBy(F.desc("_score"), "fileName", "position")
         .limit(limit)
+        .select(*HIT_COLUMNS, F.round("_score", 4).alias("score"), "total")
     )
 
 
@@ -99,16 +104,11 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def postings(sentences: DataFrame, buckets: int, salts: int | None = None, unicode: bool = False) -> DataFrame:
-    """``term, fileName, position, tf, length`` with the bucket of the term and a salt.
+def postings(sentences: DataFrame, buckets: int, unicode: bool = False) -> DataFrame:
+    """``term, fileName, position, tf, length`` with the bucket of the term.
 
-    Terms are counted within their sentence, so nothing is grouped. The one
-    shuffle places rows by bucket and a salt of the sentence: the postings of a
-    frequent term spread over ``salts`` tasks. By default a third of all postings
-    may belong to one term without its tasks getting more than others.
+    Terms are counted within their sentence, so nothing is grouped and nothing shuffled.
     """
-    if salts is None:
-        salts = max(1, int(sentences.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)
     cut = sentences.select(
         "fileName",
         "position",
@@ -118,30 +118,20 @@ def postings(sentences: DataFrame, buckets: int, salts: int | None = None, unico
     rows = explode_once(cut, "_runs", "_place", "_run").select(
         text.run_token("_run").alias("term"), "fileName", "position", text.run_length("_run").alias("tf"), "length"
     )
-    return rows.withColumns(
-        {
-            "bucket": term_bucket(F.col("term"), buckets),
-            "salt": F.pmod(F.xxhash64("fileName", "position"), F.lit(salts)).cast("int"),
-        }
-    ).repartition("bucket", "salt")
+    return rows.withColumn("bucket", term_bucket(F.col("term"), buckets))
 
 
-def write_index(
-    sentences: DataFrame,
-    path: str,
-    buckets: int = 256,
-    salts: int | None = None,
-    unicode: bool = False,
-) -> None:
+def write_index(sentences: DataFrame, path: str, buckets: int = 256, unicode: bool = False) -> None:
     """Write postings, term frequencies and corpus statistics under ``path``.
 
-    Postings are sorted by term within each file, so a look-up skips the row
-    groups of other terms as well as the other buckets.
+    The postings are rebalanced by bucket, which splits a bucket with a frequent term over
+    several tasks. They are sorted by term within each file, so a look-up skips the
+    row groups of other terms as well as the other buckets.
     """
     spark = sentences.sparkSession
     (
-        postings(sentences, buckets, salts, unicode)
-        .drop("salt")
+        postings(sentences, buckets, unicode)
+        .hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", "term")
         .write.mode("overwrite")
         .partitionBy("bucket")
@@ -151,13 +141,14 @@ def write_index(
         spark.read.parquet(f"{path}/postings")
         .groupBy("bucket", "term")
         .agg(F.count(F.lit(1)).alias("df"))
-        .repartition("bucket")
+        .hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", "term")
         .write.mode("overwrite")
         .partitionBy("bucket")
         .parquet(f"{path}/terms")
     )
-    lengths = text.word_count("sentenceText", unicode)
+    # The sentence table holds the word counts of the default analyser.
+    lengths = text.word_count("sentenceText", True) if unicode else F.col("numWordsInSentence")
     (
         sentences.agg(
             F.count(F.lit(1)).alias("documents"),
@@ -176,46 +167,56 @@ def search_index(
     phrase: str,
     limit: int = TOP,
 ) -> DataFrame:
-    """``search`` over written postings. Only the final hits are looked up in ``sentences``."""
+    """``search`` over written postings. Only the final hits are looked up in ``sentences``.
+
+    The postings are read once: the hits are counted as they pass by on the way to
+    the top rows. At most ``MOST_HITS`` may be asked for, as the driver holds them.
+    """
+    if not 0 < limit <= MOST_HITS:
+        raise ValueError(f"limit must be between 1 and {MOST_HITS}")
     statistics = spark.read.parquet(f"{path}/statistics").first()
     terms = query_terms(phrase, statistics["unicode"])
     if not terms or not statistics["documents"]:
         return _no_hits(sentences)
-    literals = [F.lit(term) for term in terms]
-    buckets = [term_bucket(term, statistics["buckets"]) for term in literals]
+    buckets = [term_bucket(F.lit(term), statistics["buckets"]) for term in terms]
     wanted = F.col("bucket").isin(*buckets) & F.col("term").isin(*terms)
-    found = spark.read.parquet(f"{path}/postings").where(wanted)
-    idf = (
-        spark.read.parquet(f"{path}/terms")
-        .where(wanted)
-        .select("bucket", "term", _idf(F.lit(statistics["documents"]), F.col("df")).alias("idf"))
+    # One row per query term.
+    found = {row.term: row.df for row in spark.read.parquet(f"{path}/terms").where(wanted).select("term", "df").collect()}
+    terms = [term for term in terms if term in found]
+    if not terms:
+        return _no_hits(sentences)
+    score = {
+        term: _term_score(
+            _idf(F.lit(statistics["documents"]), F.lit(found[term])), F.col("tf"), F.col("length"), F.lit(statistics["mean"])
+        )
+        for term in terms
+    }
+    hits = spark.read.parquet(f"{path}/postings").where(wanted)
+    # Added up in the order of the terms, as the scan does, so that both give the same score to the last digit.
+    grouped = hits.groupBy("fileName", "position").agg(
+        *[F.max(F.when(F.col("term") == term, score[term])).alias(f"_part{i}") for i, term in enumerate(terms)]
     )
-    # At most one row per query term.
-    scored = (
-        found.join(F.broadcast(idf), ["bucket", "term"])
-        .groupBy("fileName", "position")
-        .agg(F.sum(_term_score(F.col("idf"), F.col("tf"), F.col("length"), F.lit(statistics["mean"]))).alias("_sum"))
-        .select("fileName", "position", F.round("_sum", 4).alias("score"))
+    parts = [F.coalesce(f"_part{i}", F.lit(0.0)) for i in range(len(terms))]
+    counted = Observation()
+    scored = grouped.select("fileName", "position", sum(parts[1:], parts[0]).alias("_score"))
+    scored = scored.observe(counted, F.count(F.lit(1)).alias("total"))
+    best = scored.orderBy(F.desc("_score"), "fileName", "position").limit(limit).toArrow()
+    known = spark.createDataFrame(best).withColumn("total", F.lit(counted.get["total"]).cast("bigint"))
+    rows = look_up(sentences, known, sorted(set(best["fileName"].to_pylist())))
+    return rows.orderBy(F.desc("_score"), "fileName", "position").select(
+        *HIT_COLUMNS, F.round("_score", 4).alias("score"), "total"
     )
-    total = scored.agg(F.count(F.lit(1))).scalar()
-    best = scored.orderBy(F.desc("score"), "fileName", "position").limit(limit).withColumn("total", total)
-    return look_up(sentences, best).orderBy(F.desc("score"), "fileName", "position")
 
 
-def look_up(sentences: DataFrame, hits: DataFrame) -> DataFrame:
-    """The sentences of a few hits.
+def look_up(sentences: DataFrame, hits: DataFrame, names: list[str]) -> DataFrame:
+    """The sentences of a few hits in the books named.
 
     The hits are known before the table is read, so their books become literal
     filters: on the bucket, which prunes folders, and on the name, which skips
     row groups. Without them twenty hits would cost a scan of the whole table.
     """
-    rows = hits.toArrow()
-    known = sentences.sparkSession.createDataFrame(rows)
-    names = sorted(set(rows["fileName"].to_pylist()))
     wanted = F.col("fileName").isin(names)
     if "bucket" in sentences.columns:
         wanted = wanted & F.col("bucket").isin([keyed.bucket_of(F.lit(name), F.col("buckets")) for name in names])
-    # At most as many rows as hits were asked for.
-    return sentences.where(wanted).join(F.broadcast(known), ["fileName", "position"]).select(
-        *HIT_COLUMNS, "score", "total"
-    )
+    # At most MOST_HITS rows.
+    return sentences.where(wanted).join(F.broadcast(hits), ["fileName", "position"])

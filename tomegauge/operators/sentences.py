@@ -70,6 +70,11 @@ def sentence_id() -> Column:
     return F.concat_ws("#", "fileName", "position")
 
 
+def word_counts(sentences: DataFrame) -> DataFrame:
+    """``word, occurrences``: words are counted before anything is joined to them, so a frequent one is one row."""
+    return sentence_tokens(sentences).groupBy("word").agg(F.count(F.lit(1)).alias("occurrences"))
+
+
 def sentence_tokens(sentences: DataFrame, unicode: bool = False) -> DataFrame:
     """One row per word: ``fileName, position, wordPosition, word``."""
     words = sentences.select("fileName", "position", text.tokens("sentenceText", unicode).alias("_words"))

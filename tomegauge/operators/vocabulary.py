@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tomegauge.functions import grades, text
 from tomegauge.operators.running import running_total
-from tomegauge.operators.scores import book_scores, text_totals
+from tomegauge.operators.scores import book_scores, sentence_counts, text_totals
 from tomegauge.operators.sentences import explode_once, sentence_tokens
 
 HEAD_CHARACTERS = 3
@@ -99,23 +99,25 @@ def formula_correlations(sentences: DataFrame, easy_words: DataFrame) -> DataFra
 def charged_share(sentences: DataFrame, flagged_words: DataFrame) -> DataFrame:
     """Share of each book's sentences with a word of ``flagged_words(word)``.
 
-    Words and sentences meet in one grouping, as for sentiment.
+    Only sentences with such a word are told apart; all others are just counted per book.
     """
     hits = (
         sentence_tokens(sentences)
         .join(flagged_words.select("word"), "word", "left_semi")
-        .select("fileName", "position", F.lit(1).alias("hit"))
+        .select("fileName", "position")
+        .distinct()
+        .groupBy("fileName")
+        .agg(F.count(F.lit(1)).alias("charged_sentences"))
     )
-    bare = sentences.select("fileName", "position", F.lit(0).alias("hit"))
+    charged = F.coalesce("charged_sentences", F.lit(0))
     return (
-        bare.unionByName(hits)
-        .groupBy("fileName", "position")
-        .agg(F.max("hit").alias("hit"))
-        .groupBy("fileName")
-        .agg(
-            F.count(F.lit(1)).alias("doc_count"),
-            F.sum("hit").alias("charged_sentences"),
-            F.round(F.avg("hit"), 4).alias("charged_share"),
+        sentence_counts(sentences)
+        .join(hits, "fileName", "left")
+        .select(
+            "fileName",
+            "doc_count",
+            charged.alias("charged_sentences"),
+            F.round(charged / F.col("doc_count"), 4).alias("charged_share"),
         )
     )
 
@@ -123,14 +125,14 @@ def charged_share(sentences: DataFrame, flagged_words: DataFrame) -> DataFrame:
 def words_to_replace(
     sentences: DataFrame,
     levels: float,
-    min_sentences: int = 30,
+    min_sentences: int = 1,
 ) -> DataFrame:
     """The words to replace in each book to move its grade by ``levels``.
 
     Down (``levels`` < 0): multi-syllable words, most frequent first, until the
     occurrences cover what must go. Up: the same over the other words. ``needed``
     is the number of occurrences to change, ``before`` those of the words listed
-    ahead of this one.
+    ahead of this one. ``min_sentences=30`` answers only for books long enough for the published grade.
     """
     count, multi = F.col("doc_count"), F.col("sum_multiSyllables")
     target = grades.multi_syllables_for(grades.smog_exact(multi, count) + float(levels), count)
