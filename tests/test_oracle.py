@@ -4,8 +4,10 @@ import __spark_entry__ as contract
 import pytest
 from oracle_check import connect, differences
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+from tomegauge.plans import catalog, oracle
+
+QUERIES = catalog.queries()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,7 @@ def connection(folder):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -1,16 +1,15 @@
 """What the physical plans must and must not hold."""
 
-import __spark_entry__ as contract
 import pytest
 from pyspark.sql import functions as F
 
-from tomegauge.operators import passages, scores, search, vocabulary
+from tomegauge.operators import documents, passages, scores, search, vocabulary
 from tomegauge.operators.sentences import sentence_table
-from tomegauge.plans import landing
+from tomegauge.plans import catalog, landing
 from tomegauge.sinks import keyed
 from tomegauge.sources import tables
 
-QUERIES = contract.queries()
+QUERIES = catalog.queries()
 
 
 @pytest.fixture(scope="module")
@@ -70,8 +69,42 @@ def test_upsert_cuts_copies_before_the_shuffle(store, physical):
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
 
 
-def test_postings_shuffle_once(store, physical):
-    assert physical(search.postings(store, 16, 4)).count("Exchange") == 1
+def test_postings_are_not_shuffled(store, physical):
+    assert "Exchange" not in physical(search.postings(store, 16))
+
+
+def test_index_search_reads_postings_once(spark, folder, store, monkeypatch):
+    opened = []
+    read = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths: opened.append(paths[0]) or read(self, *paths))
+    path = landing.search_index(spark, folder)
+    opened.clear()
+    assert search.search_index(spark, path, store, "the thing of").count() == 20
+    assert [name.rsplit("/", 1)[1] for name in opened] == ["statistics", "terms", "postings"]
+
+
+def test_stored_look_ups_open_one_bucket(store, physical):
+    for frame in (
+        scores.score_of_book(store, "txt/10.txt"),
+        passages.passage_score(store, "txt/10.txt", 0, 9),
+        documents.sentences_of_book(store, "txt/10.txt"),
+    ):
+        plan = physical(frame)
+        assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
+
+
+def test_charged_share_moves_only_sentences_with_a_hit(spark, store, physical):
+    plan = physical(vocabulary.charged_share(store, spark.createDataFrame([("thing",)], "word string")))
+    assert "partial_max" not in plan and "Union" not in plan
+
+
+def test_words_are_counted_before_the_lemmas_meet_them(spark, folder, physical):
+    plan = physical(catalog.queries()["lemma_counts"](spark, folder))
+    assert "occurrences" in plan.split("Join")[1]
+
+
+def test_score_buckets_group_the_books_once(store, physical):
+    assert physical(scores.score_buckets(store, 10)).count("keys=[fileName") <= 4
 
 
 def test_no_window_gathers_a_whole_book(store, physical):

@@ -11,6 +11,9 @@ from tomegauge.schemas import LEXICON, SENTENCES
 from tomegauge.sources.dictionaries import given_words
 
 
+SAMPLE = "A short walk is pleasant! The machinery, however, deteriorated considerably. Nobody repaired it"
+
+
 def rows_of(spark, counts, name="b"):
     """A book of sentences that have the given numbers of multi-syllable words."""
     rows = [(name, i, f"s{i}.", len(counts), c, 10) for i, c in enumerate(counts)]
@@ -18,14 +21,14 @@ def rows_of(spark, counts, name="b"):
 
 
 def test_smog_of_test_book(book):
-    table = book("Hi I heard about Spark. I wish Java could use case classes. Logistic regression models are neat")
+    table = book(SAMPLE)
     row = scores.book_scores(table).first()
-    assert (row.doc_count, row.sum_multiSyllables, row.smog) == (3, 5, 10.5)
+    assert (row.doc_count, row.sum_multiSyllables, row.smog) == (3, 7, 11.86)
 
 
 def test_range_includes_both_ends_and_takes_strings(book):
-    table = book("Hi I heard about Spark. I wish Java could use case classes. Logistic regression models are neat")
-    for low, high, found in [("10.5", "12", 1), ("9", "10.5", 1), ("10.51", "12", 0), ("9", "10.49", 0)]:
+    table = book(SAMPLE)
+    for low, high, found in [("11.86", "12", 1), ("9", "11.86", 1), ("11.87", "12", 0), ("9", "11.85", 0)]:
         assert scores.books_in_range(table, low, high).count() == found
 
 
@@ -119,6 +122,8 @@ def test_lookup_by_a_word_of_the_name(spark):
     table = rows_of(spark, [1], "txt/10.txt").unionByName(rows_of(spark, [1], "txt/110.txt"))
     assert [r.fileName for r in documents.sentences_by_name(table, "10").collect()] == ["txt/10.txt"]
     assert documents.sentences_by_name(table, "TXT").count() == 2
+    assert documents.sentences_by_name(table, "no/10").count() == 1 and documents.sentences_by_name(table, "/").count() == 0
+    assert documents.sentences_by_name(rows_of(spark, [0] * 12000, "txt/7.txt"), "7").count() == 12000
 
 
 @pytest.mark.parametrize("limit", [1, 2, 3, 4, 5, 9])

@@ -37,7 +37,7 @@ def plain_sentences(book):
 
 
 def test_flags_of_words(spark):
-    ones = ["reading", "readability", "any", "about", "java", "logistic", "regression", "models"]
+    ones = ["reading", "readability", "any", "pleasant", "machinery", "however", "nobody", "repaired"]
     zeros = ["the", "cake", "table", "boxes", "es", "bees", "apes", "eye", "rhythm", "sky", "", "use", "case", "classes"]
     flags = column(spark, ones + zeros, text.multi_syllable_flag)
     assert flags == [1] * len(ones) + [0] * len(zeros)
@@ -85,9 +85,9 @@ def test_test_book(spark, book):
     assert [
         (r.position, r.sentenceText, r.numSentencesInBook, r.multiSyllableCount, r.numWordsInSentence) for r in rows
     ] == [
-        (0, "Hi I heard about Spark.", 3, 1, 5),
-        (1, "I wish Java  could use case classes.", 3, 1, 7),
-        (2, "Logistic regression models are neat", 3, 3, 5),
+        (0, "A short walk is pleasant!", 3, 1, 5),
+        (1, "The machinery,  however, deteriorated considerably.", 3, 4, 5),
+        (2, "Nobody repaired it", 3, 2, 3),
     ]
 
 

@@ -27,7 +27,7 @@ BOOK = "txt/10.txt"
 GENRE = "src3"
 TEST_BOOK = (
     "999999",
-    "Hi I heard about Spark. I wish Java\n\rcould use case classes. Logistic regression models are neat",
+    "A short walk is pleasant! The machinery,\n\rhowever, deteriorated considerably. Nobody repaired it",
 )
 
 _queries: dict[str, Query] = {}
@@ -106,7 +106,7 @@ def unicode_tokenization(spark, folder):
 @query
 def word_syllables(spark, folder):
     """Every distinct word with its occurrences, syllables and flag."""
-    counted = sentences.sentence_tokens(fact(spark, folder)).groupBy("word").agg(F.count(F.lit(1)).alias("occurrences"))
+    counted = sentences.word_counts(fact(spark, folder))
     return counted.select(
         "word",
         "occurrences",
@@ -184,6 +184,12 @@ def sentences_by_name(spark, folder):
     return documents.sentences_by_name(fact(spark, folder), "10")
 
 
+@query
+def sentences_by_name_terms(spark, folder):
+    """A name of several words, any of which may match."""
+    return documents.sentences_by_name(fact(spark, folder), "txt/10")
+
+
 @query
 def sentences_of_book(spark, folder):
     return documents.sentences_of_book(fact(spark, folder), BOOK)
@@ -356,6 +362,11 @@ def words_to_lower(spark, folder):
     return vocabulary.words_to_replace(fact(spark, folder), -2)
 
 
+@query
+def words_to_lower_from_thirty(spark, folder):
+    return vocabulary.words_to_replace(fact(spark, folder), -2, min_sentences=30)
+
+
 @query
 def words_to_raise(spark, folder):
     return vocabulary.words_to_replace(fact(spark, folder), 2)
@@ -392,7 +403,7 @@ def phrase_search_by_index(spark, folder):
 
 @query
 def postings(spark, folder):
-    return search.postings(fact(spark, folder), landing.INDEX_BUCKETS).drop("bucket", "salt")
+    return search.postings(fact(spark, folder), landing.INDEX_BUCKETS).drop("bucket")
 
 
 # Sentiment
@@ -401,16 +412,13 @@ def postings(spark, folder):
 @query
 def lemma_counts(spark, folder):
     """Every word with its lemma from the corpus's own dictionary, and how often it occurs."""
-    words = sentences.sentence_tokens(fact(spark, folder))
-    lemmatized = sentiment.lemmatize(words, landing.word_forms(spark, folder))
-    return lemmatized.groupBy("word", "lemma").agg(F.count(F.lit(1)).alias("occurrences"))
+    return sentiment.lemmatize(sentences.word_counts(fact(spark, folder)), landing.word_forms(spark, folder))
 
 
 @query
 def labelled_lemmas(spark, folder):
-    words = sentences.sentence_tokens(fact(spark, folder)).withColumnRenamed("word", "lemma")
-    labelled = sentiment.label_lemmas(words, lexicon(spark))
-    return labelled.groupBy("lemma", "polarity").agg(F.count(F.lit(1)).alias("occurrences"))
+    words = sentences.word_counts(fact(spark, folder)).withColumnRenamed("word", "lemma")
+    return sentiment.label_lemmas(words, lexicon(spark)).select("lemma", "polarity", "occurrences")
 
 
 @query
@@ -503,6 +511,41 @@ def reloaded_sentences(spark, folder):
     return tables.read_sentences(spark, landing.reloaded_store(spark, folder))
 
 
+@query
+def reloaded_shorter_books(spark, folder):
+    """After a reload with shorter texts nothing of the longer ones is left."""
+    return tables.read_sentences(spark, landing.shortened_store(spark, folder))
+
+
+@query
+def reset_then_loaded(spark, folder):
+    return tables.read_sentences(spark, landing.refilled_store(spark, folder))
+
+
+@query
+def created_with_repeats(spark, folder):
+    """Of rows with one key in a first load one stays."""
+    return tables.read_sentences(spark, landing.repeated_store(spark, folder))
+
+
+@query
+def loaded_in_three(spark, folder):
+    """Book files through three limited loads, each going on after the one before."""
+    loaded = tables.read_sentences(spark, landing.batched_store(spark, folder))
+    return loaded.select(landing.document_id(), *loaded.columns).drop("fileName")
+
+
+@query
+def stored_book_score(spark, folder):
+    """The grade of one book from the stored table: one bucket is opened."""
+    return scores.score_of_book(spark.read.parquet(landing.sentence_store(spark, folder)), BOOK)
+
+
+@query
+def stored_passage_score(spark, folder):
+    return passages.passage_score(spark.read.parquet(landing.sentence_store(spark, folder)), BOOK, 2, 9)
+
+
 @query
 def reloaded_documents(spark, folder):
     return spark.read.parquet(landing.document_store(spark, folder)).select("doc_id", "value")

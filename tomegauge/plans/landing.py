@@ -53,7 +53,7 @@ def book_files(spark: SparkSession, folder: str, path: str) -> None:
 
 @_once
 def sentence_store(spark: SparkSession, folder: str, path: str) -> None:
-    keyed.create_keyed(sentences(spark, folder), path, KEY, TABLE_BUCKETS)
+    keyed.create_keyed(sentences(spark, folder), path, KEY, TABLE_BUCKETS, unique=True)
 
 
 @_once
@@ -63,6 +63,34 @@ def reloaded_store(spark: SparkSession, folder: str, path: str) -> None:
     keyed.merge_keyed(spark, path, second_load(spark, folder), KEY)
 
 
+@_once
+def shortened_store(spark: SparkSession, folder: str, path: str) -> None:
+    """The sentence table after the flagged documents were loaded again with less text."""
+    keyed.create_keyed(sentences(spark, folder), path, KEY, TABLE_BUCKETS, unique=True)
+    flagged = tables.flagged_documents(spark, folder)
+    cut = F.substring("rawDocument", 1, 200).alias("rawDocument")
+    books_ = tables.document_books(spark, folder).join(flagged, "fileName", "left_semi").select("fileName", cut)
+    keyed.merge_keyed(spark, path, sentence_table(books_), KEY, books_.select("fileName"), unique=True)
+
+
+@_once
+def refilled_store(spark: SparkSession, folder: str, path: str) -> None:
+    """A keyed table that was reset and then loaded, twice."""
+    table = sentences(spark, folder)
+    keyed.create_keyed(table, path, KEY, TABLE_BUCKETS, unique=True)
+    files.reset_table(spark, path, table.schema)
+    for _ in range(2):
+        keyed.merge_keyed(spark, path, conversation_sentences(spark, folder), KEY)
+
+
+@_once
+def repeated_store(spark: SparkSession, folder: str, path: str) -> None:
+    """A first load in which the flagged documents come twice, once counted from three syllables up."""
+    flagged = tables.flagged_documents(spark, folder)
+    again = sentence_table(tables.document_books(spark, folder).join(flagged, "fileName", "left_semi"), min_syllables=3)
+    keyed.create_keyed(sentences(spark, folder).unionByName(again), path, KEY, TABLE_BUCKETS)
+
+
 def second_load(spark: SparkSession, folder: str) -> DataFrame:
     """Flagged documents counted from three syllables up, and the conversations."""
     flagged = tables.flagged_documents(spark, folder)
@@ -171,6 +199,15 @@ def loaded_store(spark: SparkSession, folder: str, path: str) -> None:
         load_books(spark, files_, path, limit, buckets=TABLE_BUCKETS)
 
 
+@_once
+def batched_store(spark: SparkSession, folder: str, path: str) -> None:
+    """All files in three loads, each going on after the one before."""
+    files_, last = book_files(spark, folder), None
+    third = books.list_books(spark, files_, glob="*.txt").count() // 3 + 1
+    for _ in range(3):
+        last = load_books(spark, files_, path, third, buckets=TABLE_BUCKETS, after=last)
+
+
 def document_id():
     """The document a file written by ``book_files`` holds."""
     return F.regexp_extract("fileName", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id")

@@ -1,9 +1,23 @@
 """The same answers in SQL for DuckDB, written from the definitions, word by word."""
 
-from tomegauge.functions import grades
-from tomegauge.operators.search import B, K1, query_terms
+import re
+from types import SimpleNamespace
+
 from tomegauge.plans import catalog
 
+# Fixed values, written out here once more so that a slip in the engine shows: the published formulae and BM25.
+K1, B = 1.2, 0.75
+grades = SimpleNamespace(
+    SMOG_FACTOR=1.043, SMOG_OFFSET=3.1291,
+    EASE_OFFSET=206.835, EASE_PER_WORD=1.015, EASE_PER_SYLLABLE=84.6,
+    GRADE_PER_WORD=0.39, GRADE_PER_SYLLABLE=11.8, GRADE_OFFSET=15.59,
+    CHALL_PER_PERCENT=0.1579, CHALL_PER_WORD=0.0496, CHALL_ADJUSTMENT=3.6365,
+)
+
+
+def query_terms(phrase: str, unicode: bool = False) -> list[str]:
+    return sorted(set(re.findall(r"\w+" if unicode else r"[a-z0-9_]+", phrase.lower())))
+
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
@@ -144,7 +158,7 @@ _RELOADED = f"""WITH {_BOOKS}, {_TURNS}, {_facts('books', 'facts')},
 
 _BY_NAME = f"""{_FACTS}, named AS (SELECT {_COLUMNS} FROM facts
     WHERE list_contains(regexp_split_to_array(lower(fileName), '\\W+'), '10')
-    ORDER BY fileName, position LIMIT 10000)"""
+)"""
 
 
 def _json(columns: str, key: str = "") -> str:
@@ -156,7 +170,7 @@ def _bm25(phrase: str, unicode: bool) -> str:
     terms = query_terms(phrase, unicode)
     cut = _unicode_tokens if unicode else _tokens
     gain = "ln(1e0 + (docs - df + 0.5e0) / (df + 0.5e0)) * tf"
-    score = _round(f"sum({gain} / (tf + {K1}e0 * (1e0 - {B}e0 + {B}e0 * len(w) / mean)) ORDER BY term)", 4)
+    score = f"sum({gain} / (tf + {K1}e0 * (1e0 - {B}e0 + {B}e0 * len(w) / mean)) ORDER BY term)"
     return f"""{_FACTS},
     sized AS (SELECT fileName, position, multiSyllableCount, sentenceText, {cut('sentenceText')} AS w FROM facts),
     corpus AS (SELECT count(*) AS docs, avg(len(w)) AS mean FROM sized),
@@ -165,17 +179,18 @@ def _bm25(phrase: str, unicode: bool) -> str:
     df AS (SELECT term, count(*) AS df FROM hits GROUP BY 1),
     ranked AS (SELECT fileName, position, {score} AS score
       FROM hits JOIN df USING (term) JOIN sized USING (fileName, position), corpus GROUP BY 1, 2)
-    SELECT fileName, position, multiSyllableCount, sentenceText, score, (SELECT count(*) FROM ranked) AS total
-    FROM ranked JOIN sized USING (fileName, position) ORDER BY score DESC, fileName, position LIMIT 20"""
+    SELECT fileName, position, multiSyllableCount, sentenceText, {_round('score', 4)} AS score,
+      (SELECT count(*) FROM ranked) AS total
+    FROM ranked JOIN sized USING (fileName, position) ORDER BY ranked.score DESC, fileName, position LIMIT 20"""
 
 
-def _replace(levels: int) -> str:
+def _replace(levels: int, least: int = 1) -> str:
     sign, flag = ("m - goal", 1) if levels < 0 else ("goal - m", 0)
     grade = f"{grades.SMOG_FACTOR}e0 * sqrt(30 * m / n) + {grades.SMOG_OFFSET}e0 + ({levels}e0)"
     root = f"(greatest(({grade}) - {grades.SMOG_OFFSET}e0, 0e0) / {grades.SMOG_FACTOR}e0)"
     return f"""{_TOKENS},
     totals AS (SELECT fileName, count(*) AS n, CAST(sum(multiSyllableCount) AS BIGINT) AS m FROM facts GROUP BY 1),
-    goals AS (SELECT fileName, m, n / 30 * ({root} * {root}) AS goal FROM totals WHERE n >= 30),
+    goals AS (SELECT fileName, m, n / 30 * ({root} * {root}) AS goal FROM totals WHERE n >= {least}),
     needs AS (SELECT fileName, CAST(ceil({sign}) AS BIGINT) AS needed FROM goals),
     counted AS (SELECT fileName, word, count(*) AS occurrences FROM tokens WHERE {_flag('word')} = {flag} GROUP BY 1, 2),
     listed AS (SELECT *, CAST(coalesce(sum(occurrences) OVER (PARTITION BY fileName ORDER BY occurrences DESC, word
@@ -232,6 +247,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT {key} AS sentence_id, CAST({_json(_COLUMNS, key)} AS VARCHAR) AS value FROM facts""",
         "json_sentences_by_name": f"{_BY_NAME} SELECT CAST({_json(_COLUMNS)} AS VARCHAR) AS value FROM named",
         "sentences_by_name": f"{_BY_NAME} SELECT {_COLUMNS} FROM named",
+        "sentences_by_name_terms": f"""{_FACTS} SELECT {_COLUMNS} FROM facts
+            WHERE list_has_any(regexp_split_to_array(lower(fileName), '\\W+'), ['txt', '10'])""",
         "sentences_of_book": f"{_FACTS} SELECT {_COLUMNS} FROM facts WHERE fileName = '{catalog.BOOK}'",
         "first_sentences": f"{_FACTS} SELECT {_COLUMNS} FROM facts ORDER BY fileName, position LIMIT 10000",
         "first_hundred_sentences": f"{_FACTS} SELECT {_COLUMNS} FROM facts ORDER BY fileName, position LIMIT 100",
@@ -309,6 +326,7 @@ def oracle_sql() -> dict[str, str]:
                    {_round('corr(smog, dale_chall)', 4)} AS smog_dale_chall,
                    {_round('corr(flesch_grade, dale_chall)', 4)} AS flesch_dale_chall FROM formulae""",
         "words_to_lower": _replace(-2),
+        "words_to_lower_from_thirty": _replace(-2, 30),
         "words_to_raise": _replace(2),
         "charged_share": f"""{_FACTS},
             marked AS (SELECT fileName, CASE WHEN list_has_any(words, [{_list(catalog.CHARGED)}]) THEN 1 ELSE 0 END AS hit
@@ -357,6 +375,20 @@ def oracle_sql() -> dict[str, str]:
         "stored_json_documents": f"{_FACTS} SELECT {key} AS sentence_id, {_COLUMNS} FROM facts",
         "upserted_sentences": _RELOADED,
         "reloaded_sentences": _RELOADED,
+        "reloaded_shorter_books": f"""WITH {_BOOKS}, {_facts('books', 'facts')},
+            flagged AS (SELECT fileName, left(rawDocument, 200) AS rawDocument
+              FROM books SEMI JOIN (SELECT doc_id FROM labels WHERE toxic = 1) USING (doc_id)),
+            {_facts('flagged', 'again')}
+            SELECT {_COLUMNS} FROM facts ANTI JOIN flagged USING (fileName) UNION ALL SELECT {_COLUMNS} FROM again""",
+        "reset_then_loaded": f"WITH {_TURNS}, {_facts('turns', 'chats')} SELECT {_COLUMNS} FROM chats",
+        "created_with_repeats": f"{_FACTS} SELECT {_COLUMNS} FROM facts",
+        "loaded_in_three": f"""{_FACTS} SELECT doc_id, {_COLUMNS.replace('fileName, ', '')}
+            FROM facts JOIN books USING (fileName)""",
+        "stored_book_score": f"{_TOTALS} SELECT * FROM scored WHERE fileName = '{catalog.BOOK}'",
+        "stored_passage_score": f"""{_FACTS},
+            totals AS (SELECT fileName, count(*) AS n, CAST(sum(multiSyllableCount) AS BIGINT) AS m FROM facts
+              WHERE fileName = '{catalog.BOOK}' AND position BETWEEN 2 AND 9 GROUP BY 1)
+            SELECT fileName, n AS doc_count, m AS sum_multiSyllables, {_SMOG} AS smog FROM totals""",
         "reloaded_documents": """
             SELECT doc_id, CAST(CASE WHEN quality IS NULL THEN to_json({'doc_id': doc_id, 'lang': lang, 'source': source})
                    ELSE to_json({'doc_id': doc_id, 'quality': quality, 'toxic': toxic}) END AS VARCHAR) AS value
