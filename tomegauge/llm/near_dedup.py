@@ -146,8 +146,9 @@ def links(docs: DataFrame, rows: DataFrame, width: int = 3, percent: int = 85) -
     wanted = active.select("node", "n_shingles", F.col("row.doc_id").alias("i"), F.col("row.text_hash").alias("h"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", F.xxhash64("text").alias("_hash"))
     texts = texts.join(wanted, texts["_id"].eqNullSafe(wanted["i"]) & (texts["_hash"] == wanted["h"]))
-    sets = texts.select("node", "text").mapInArrow(_sets(width), "node long, items array<long>")
-    sets = stored(sets.dropDuplicates(["node"]).withColumn("n_shingles", F.size("items").cast("long")), "sets")
+    once = texts.select("node", "text").dropDuplicates(["node"])  # rows that repeat in full
+    sets = once.mapInArrow(_sets(width), "node long, items array<long>")
+    sets = stored(sets.withColumn("n_shingles", F.size("items").cast("long")), "sets")
     prefixes = stored(_prefixes(sets, percent), "prefixes")
     lists = prefixes.select("node", "n_shingles", "own", F.posexplode("first").alias("place", "item"))
     lists = lists.withColumn("place", F.col("place") + F.col("own"))
