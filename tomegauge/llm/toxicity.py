@@ -35,6 +35,8 @@ SPAN = 8
 #: Words whose scores a task remembers.
 REMEMBERED = 400_000
 THRESHOLD = 0.7
+#: Documents of each label kept aside to turn log odds into scores.
+LEAST_ASIDE = 20
 #: Scores of words by model, kept between the tasks of a Python worker.
 _KNOWN: dict[bytes, dict[bytes, float]] = {}
 _LETTERS = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
@@ -120,7 +122,7 @@ def _passages(split: list[list[bytes]], index: dict[bytes, int]) -> tuple[np.nda
     return np.array(rows, dtype=np.int64).reshape(-1, SPAN), np.array(owner, dtype=np.int64)
 
 
-def fit(texts: list[str | None], labels: list[int], epochs: int = 6, batch: int | None = None, rate: float = 0.3, seed: int = 7) -> Model:
+def fit(texts: list[str | None], labels: list[int], epochs: int = 8, batch: int | None = None, rate: float = 0.1, seed: int = 7) -> Model:
     """Train on texts and their labels, 0 or 1. Without both labels every text gets the share of the one there is."""
     target = np.array(labels, dtype=np.int64)
     if len(set(labels)) < 2:
@@ -137,8 +139,8 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 6, batch: int
     sizes = np.diff(np.append(starts, len(buckets)))
     passages, owner = _passages(split, {w: k for k, w in enumerate(vocabulary)})
     aside = rng.permutation(len(target)) < len(target) // 5
-    if len(set(target[aside])) < 2 or len(set(target[~aside])) < 2:
-        aside[:] = False
+    if np.bincount(target[aside], minlength=2).min() < LEAST_ASIDE:
+        aside[:] = False  # too few to fit a curve on: the curve then sees the training texts
     squares, weight_squares = np.full(table.shape, 1e-8), np.full(weights.shape, 1e-8)
     mask = passages >= 0
     lengths = mask.sum(axis=1)
