@@ -74,6 +74,17 @@ def subwords(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return buckets, np.searchsorted(owner[order], np.arange(len(found)))
 
 
+def all_subwords(found: list[bytes], block: int = 10_000) -> tuple[np.ndarray, np.ndarray]:
+    """The same for very many words, worked on in blocks to bound the memory of the driver."""
+    buckets, starts, size = [], [], 0
+    for at in range(0, len(found), block):
+        some, first = subwords(found[at : at + block])
+        buckets.append(some.astype(np.int32))
+        starts.append(first + size)
+        size += len(some)
+    return np.concatenate(buckets), np.concatenate(starts)
+
+
 def _means(values: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     sizes = np.diff(np.append(starts, n))
     sums = np.add.reduceat(values, starts, axis=0)
@@ -111,15 +122,16 @@ class Model:
         return float((sums[span:] - sums[:-span]).max() / span) + self.bias
 
 
-def _passages(split: list[list[bytes]], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+def _passages(numbered: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of the passages of all texts, -1 where one is shorter, and the text each is from."""
-    rows, owner = [], []
-    for k, found in enumerate(split):
-        ids = [index[w] for k, w in enumerate(found) if not k or w != found[k - 1]]
-        for at in range(0, len(ids), SPAN):
-            rows.append((ids[at : at + SPAN] + [-1] * SPAN)[:SPAN])
-            owner.append(k)
-    return np.array(rows, dtype=np.int64).reshape(-1, SPAN), np.array(owner, dtype=np.int64)
+    rows, owner = [np.empty((0, SPAN), np.int32)], [np.empty(0, np.int64)]
+    for k, ids in enumerate(numbered):
+        if len(ids):
+            ids = ids[np.append(True, ids[1:] != ids[:-1])]
+            padded = np.append(ids, np.full(-len(ids) % SPAN, -1, dtype=np.int32))
+            rows.append(padded.reshape(-1, SPAN))
+            owner.append(np.full(len(rows[-1]), k, dtype=np.int64))
+    return np.concatenate(rows), np.concatenate(owner)
 
 
 def fit(texts: list[str | None], labels: list[int], epochs: int = 8, batch: int | None = None, rate: float = 0.1, seed: int = 7) -> Model:
@@ -128,16 +140,17 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 8, batch: int
     if len(set(labels)) < 2:
         share = (target.sum() + 0.05) / (len(target) + 1)
         return Model(np.zeros(BUCKETS), 0.0, 0.0, float(np.log(share / (1 - share))))
-    split = [words(t) for t in texts]
-    vocabulary = sorted({w for found in split for w in found})
+    index: dict[bytes, int] = {}
+    numbered = [np.array([index.setdefault(w, len(index)) for w in words(t)], dtype=np.int32) for t in texts]
+    vocabulary = list(index)
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     weights, bias = rng.uniform(-0.1, 0.1, (DIMENSIONS, 2)), np.zeros(2)
     if not vocabulary:
         return fit(texts, [0] * len(labels))
-    buckets, starts = subwords(vocabulary)
+    buckets, starts = all_subwords(vocabulary)
     sizes = np.diff(np.append(starts, len(buckets)))
-    passages, owner = _passages(split, {w: k for k, w in enumerate(vocabulary)})
+    passages, owner = _passages(numbered)
     aside = rng.permutation(len(target)) < len(target) // 5
     if np.bincount(target[aside], minlength=2).min() < LEAST_ASIDE:
         aside[:] = False  # too few to fit a curve on: the curve then sees the training texts
@@ -198,8 +211,7 @@ def fit(texts: list[str | None], labels: list[int], epochs: int = 8, batch: int
             bias -= 0.01 * slope.mean(axis=0)
     model = Model(table @ (weights[:, 1] - weights[:, 0]), float(bias[1] - bias[0]), 1.0, 0.0)
     each = _means(model.shares[buckets], starts, len(buckets))
-    index = {w: k for k, w in enumerate(vocabulary)}
-    tops = np.array([model._top(each[[index[w] for w in found]]) if found else model.bias for found in split])
+    tops = np.array([model._top(each[ids]) if len(ids) else model.bias for ids in numbered])
     rows = np.flatnonzero(aside) if aside.any() else np.arange(len(target))
     model.slope, model.offset = _calibrate(tops[rows], target[rows])
     return model
@@ -219,7 +231,7 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a / scale), float(b - a * centre / scale)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 1500, max_chars: int = 6_000_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 1200, max_chars: int = 4_000_000) -> Model:
     """Fit on labelled rows outside the held-out third.
 
     The sample is bounded: per class ``max_rows`` documents, the first by a hash
