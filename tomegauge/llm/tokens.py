@@ -58,7 +58,9 @@ class Encoder:
         if len(self.known) + len(words) > REMEMBERED:
             self.known, self.older = {}, self.known
         fresh = []
-        for word in words - self.known.keys():
+        for word in words:
+            if word in self.known:
+                continue
             ids = self.older.get(word)
             if ids is None:
                 fresh.append(word)

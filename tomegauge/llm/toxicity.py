@@ -102,7 +102,7 @@ class Model:
 
     def score(self, texts: pd.Series, known: dict[bytes, float]) -> np.ndarray:
         split = [words(t) for t in texts]
-        fresh = list({w for found in split for w in found} - known.keys())
+        fresh = [w for w in {w for found in split for w in found} if w not in known]
         if len(known) + len(fresh) > REMEMBERED:
             known.clear()
             fresh = list({w for found in split for w in found})
