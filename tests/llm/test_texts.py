@@ -270,6 +270,20 @@ def test_candidates_and_features(make):
     assert len(names) == len(set(names)) and marked.where("doc_id = 2").withColumn("label", secrets.rule_label()).first().label == 1
 
 
+def test_every_candidate_of_a_word(make):
+    url = "https://host/some/long-path/page?token=AAAA1111BBBB2222"
+    row = '{"id":"0123456789abcdef0","secret":"abcd1234abcd1234","again":"abcd1234abcd1234"}'
+    blob = ",".join(f"{k:020d}" for k in range(3000))
+    found = secrets.candidates(make((1, f"see {url} now"), (2, row), (3, "AWS_SECRET_ACCESS_KEY=abcd1234abcd1234"), (4, blob)))
+    rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.place, r.nth))
+    words = {1: url, 2: row, 3: "AWS_SECRET_ACCESS_KEY=abcd1234abcd1234", 4: blob}
+    expected = [(d, m.group(), word[: m.start()][-secrets.REACH :]) for d, word in words.items() for m in re.finditer(secrets.CORE, word)]
+    assert [(r.doc_id, r.candidate, r.lead) for r in rows] == expected and len(expected) == 2 + 3 + 2 + 3000
+    assert [(r.place, r.nth, r.before, r.after) for r in rows[:2]] == [(1, 0, "see", "now"), (1, 1, "see", "now")]
+    labelled = {r.doc_id: r.label for r in found.withColumn("label", secrets.rule_label()).where("nth = 1 and doc_id < 4").collect()}
+    assert labelled[1] == labelled[3] == 1
+
+
 def test_secrets_of_odd_rows(odd, empty, make):
     assert secrets.findings(odd).count() == 0 and secrets.findings(empty).count() == 0
     only = secrets.findings(make((1, "password=aaaa1111aaaa1111 x"), (1, "password=aaaa1111aaaa1111 x"), (None, "key 1234567890123456"))).collect()

@@ -1,6 +1,6 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest, in DataFrame functions only.
 
-A candidate is a long run of key characters within a word. Its features are
+A candidate is a long run of key characters within a word; a word may hold many. Its features are
 its length, the transitions between kinds of characters, how much of it
 dictionary words cover, the path of the document and the words beside it. The
 dictionary is the most frequent words of the documents themselves. The forest is
@@ -18,9 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tomegauge.llm.common import remainder, stored
+from tomegauge.operators.sentences import explode_once
 
 LEAST = 16
 CORE = rf"[A-Za-z0-9+/_\-]{{{LEAST},}}={{0,2}}"
+#: Characters on either side that a candidate is judged by, so that a long word with many candidates is not copied for each.
+REACH = 200
 #: Kinds of characters whose transitions are counted.
 KINDS = {"lower": "a-z", "upper": "A-Z", "digit": "0-9", "mark": r"+/_=\-"}
 #: Words of the dictionary, and their least length.
@@ -33,7 +36,11 @@ _MOCK = r"(?i)(example|sample|dummy|placeholder|test|fixture|mock|xxxx)"
 
 
 def candidates(docs: DataFrame, path: Column | None = None) -> DataFrame:
-    """One row per candidate: ``doc_id, path, place`` (number of the word), ``candidate``, the rest of its word, its neighbours."""
+    """One row per candidate: ``doc_id, path, place`` (number of the word), ``nth`` in its word, ``candidate``, ``lead``, ``before, after``.
+
+    ``lead`` is what stands before it in its word, ``before`` and ``after`` are the two words on either side, each
+    as far as ``REACH`` characters.
+    """
     path = F.lit(None) if path is None else path
     cut = F.split(F.col("text"), r"[\x20\x09-\x0D]+")
     rows = docs.where(F.col("text").rlike(CORE)).select(
@@ -44,11 +51,30 @@ def candidates(docs: DataFrame, path: Column | None = None) -> DataFrame:
     word = F.get("_words", F.col("place"))
     rows = rows.select(
         "doc_id", "path", F.col("place").cast("long").alias("place"), word.alias("word"),
-        F.concat_ws(" ", F.get("_words", F.col("place") - 2), F.get("_words", F.col("place") - 1)).alias("before"),
-        F.concat_ws(" ", F.get("_words", F.col("place") + 1), F.get("_words", F.col("place") + 2)).alias("after"),
+        F.right(F.concat_ws(" ", F.get("_words", F.col("place") - 2), F.get("_words", F.col("place") - 1)), F.lit(REACH)).alias("before"),
+        F.left(F.concat_ws(" ", F.get("_words", F.col("place") + 1), F.get("_words", F.col("place") + 2)), F.lit(REACH)).alias("after"),
     )
-    rows = rows.where(F.col("word").rlike(CORE)).withColumn("candidate", F.regexp_extract("word", f"({CORE})", 1))
-    return rows.withColumn("lead", F.expr("substring_index(word, candidate, 1)")).drop("word")
+    rows = rows.where(F.col("word").rlike(CORE)).withColumn("_found", _in_word(F.col("word"))).drop("word")
+    rows = explode_once(rows, "_found", "nth", "_one")
+    return rows.select("doc_id", "path", "place", F.col("nth").cast("long").alias("nth"), "_one.candidate", "before", "after", "_one.lead")
+
+
+def _in_word(word: Column) -> Column:
+    """All candidates of a word, each with the characters before it.
+
+    Texts between the candidates and these alternate, so the ``REACH`` characters before one lie in the last few of both.
+    """
+    parts = F.struct(F.split(word, CORE, -1).alias("gaps"), F.regexp_extract_all(word, F.lit(CORE), F.lit(0)).alias("cores"))
+    near = REACH // LEAST + 1
+
+    def one(part: Column, core: Column, k: Column) -> Column:
+        first, size = F.greatest(k - near, F.lit(0)) + 1, F.least(k, F.lit(near))
+        earlier = F.zip_with(F.slice(part["gaps"], first, size), F.slice(part["cores"], first, size), lambda gap, core: F.concat(F.right(gap, F.lit(REACH)), core))
+        lead = F.concat(F.array_join(earlier, ""), F.get(part["gaps"], k))
+        return F.struct(core.alias("candidate"), F.right(lead, F.lit(REACH)).alias("lead"))
+
+    # The outer step gives the parts a name, so that they are computed once per word.
+    return F.transform(F.array(parts), lambda part: F.transform(part["cores"], lambda core, k: one(part, core, k)))[0]
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
@@ -97,7 +123,7 @@ def rule_label() -> Column:
 
 
 def findings(docs: DataFrame, path: Column | None = None, label: Column | None = None, threshold: float = 0.5) -> DataFrame:
-    """Every candidate in ``docs(doc_id, text)``: ``doc_id, place, candidate, label, held_out, probability, is_secret``.
+    """Every candidate in ``docs(doc_id, text)``: ``doc_id, place, nth, candidate, label, held_out, probability, is_secret``.
 
     ``label`` gives 0, 1 or null per candidate, from its columns. The forest learns
     from labelled findings of two thirds of the documents by a hash of the id, at most
@@ -105,20 +131,20 @@ def findings(docs: DataFrame, path: Column | None = None, label: Column | None =
     With labels of one kind only, or none, every probability is their share of ones, or 0.
 
     Null and empty texts have no candidates. Rows that repeat give their
-    findings as often. ``place`` counts words from 0. Extra columns are ignored; an empty table gives no rows.
+    findings as often. ``place`` counts words from 0, ``nth`` the candidates of a word. Extra columns are ignored; an empty table gives no rows.
     """
     words = dictionary(docs)
     label = rule_label() if label is None else label
     marked, names = with_features(candidates(docs, path), words)
     marked = marked.withColumn("label", label.cast("double")).withColumn("held_out", remainder(F.col("doc_id"), 3) == 1)
-    marked = stored(marked.select("doc_id", "place", "candidate", "label", "held_out", *names), "findings")
+    marked = stored(marked.select("doc_id", "place", "nth", "candidate", "label", "held_out", *names), "findings")
     usable = marked.where("label is not null and not held_out")
     parts = [
-        usable.where(F.col("label") == k).orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place", "candidate").limit(MOST_LABELLED) for k in (0, 1)
+        usable.where(F.col("label") == k).orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place", "nth", "candidate").limit(MOST_LABELLED) for k in (0, 1)
     ]
     sample = stored(reduce(DataFrame.union, parts), "labelled")
     counts = {row.label: row["count"] for row in sample.groupBy("label").count().collect()}
-    output = ["doc_id", "place", "candidate", "label", "held_out"]
+    output = ["doc_id", "place", "nth", "candidate", "label", "held_out"]
     if len(counts) < 2:
         share = 1.0 if counts.get(1.0) else 0.0
         scored = marked.select(*output, F.lit(share).alias("probability"))
