@@ -58,6 +58,29 @@ def test_toxicity_never_learns_from_held_out_rows(spark, make):
     assert toxicity.train(docs, labels).slope == 0.0  # all rows it may see have one label
 
 
+@pytest.mark.parametrize("huge", [{0}, {1}, {0, 1}])
+def test_toxicity_learns_despite_huge_texts(spark, make, huge):
+    order = [r.id for r in spark.range(300).orderBy(F.xxhash64("id"), "id").collect()]
+    first = {k: next(i for i in order if i % 2 == k and marked(i, 3) != 1) for k in huge}
+    said = ["fine words here", "vile words here"]
+    docs = make(*[(i, f"{said[i % 2]} n{i} " * (8000 if first.get(i % 2) == i else 3)) for i in range(300)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_chars=100_000)
+    clean, toxic = model.score(pd.Series(said), {})
+    assert clean < 0.3 and toxic > 0.7
+
+
+def test_toxicity_learns_from_huge_texts_only(spark, make):
+    said = ["fine words here ", "vile words here "]
+    docs = make(*[(i, said[i % 2] * 1000) for i in range(90)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, toxic int")
+    clean, toxic = toxicity.train(docs, labels, max_chars=30_000).score(pd.Series(said), {})
+    assert clean < 0.3 and toxic > 0.7
+    text = "".join(chr(0x100 + k) for k in range(1000))
+    cut = docs.select(toxicity.bounded(F.lit(text), 200).alias("a"), toxicity.bounded(F.lit(text), 1000).alias("b")).first()
+    assert 180 <= len(cut.a) <= 200 and cut.a[:9] == text[:9] and cut.a[-9:] == text[-9:] and cut.b == text
+
+
 class Backoff:
     """The same model, recursively, on the words themselves."""
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomegauge.llm.common import new_names, remainder, ready_for_python
@@ -35,6 +35,8 @@ SPAN = 8
 #: Words whose scores a task remembers.
 REMEMBERED = 400_000
 THRESHOLD = 0.7
+#: A text longer than this share of the characters of its class is learnt from in evenly spread pieces, so many in number.
+LARGEST, PIECES = 0.01, 20
 #: Documents of each label kept aside to turn log odds into scores.
 LEAST_ASIDE = 20
 #: Scores of words by model, kept between the tasks of a Python worker.
@@ -231,11 +233,21 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a / scale), float(b - a * centre / scale)
 
 
+def bounded(text: Column, size: int) -> Column:
+    """The text, or of one longer than ``size`` that many characters in evenly spread pieces."""
+    piece = size // PIECES - 1  # and a blank
+    step = (F.length(text) - piece) / (PIECES - 1)
+    pieces = [F.substring(text, (step * k).cast("int") + 1, F.lit(piece)) for k in range(PIECES)]
+    return F.when(F.length(text) <= size, text).otherwise(F.concat_ws(" ", *pieces))
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 1200, max_chars: int = 4_000_000) -> Model:
     """Fit on labelled rows outside the held-out third.
 
     The sample is bounded: per class ``max_rows`` documents, the first by a hash
-    of the id, and of these as many as have ``max_chars`` characters in all. Rows
+    of the id, and of these as many as have half of ``max_chars`` characters in all. A text
+    of over ``LARGEST`` of that half counts with pieces of that size in all, so no
+    text leaves the others without room, and a class of long texts only is still learnt. Rows
     without an id, a label or a text are not learnt from. An id with several labels
     counts as toxic if one says so.
     """
@@ -248,6 +260,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 1200, max_chars: i
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("_id"), "text")
     found = texts.join(F.broadcast(wanted), "_id")  # at most 2 * max_rows ids
     found = found.groupBy("_id", "toxic").agg(F.max("text").alias("text"))
+    found = found.withColumn("text", bounded(F.col("text"), max(10 * PIECES, int(max_chars // 2 * LARGEST))))
     room = Window.partitionBy("toxic").orderBy(F.xxhash64("_id"), "_id").rowsBetween(Window.unboundedPreceding, 0)
     found = found.withColumn("_room", F.sum(F.length("text")).over(room)).where(F.col("_room") <= max_chars // 2)
     rows = sorted(found.select("_id", "toxic", "text").collect())
