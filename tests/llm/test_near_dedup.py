@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from tomegauge.llm import hashing, near_dedup
 from tomegauge.llm.components import components
@@ -57,6 +58,25 @@ def test_chains_and_large_groups(make):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, v in expected.items() if v[2])
 
 
+def test_estimate_from_union_sketches(spark):
+    draw = random.Random(9)
+    texts, pairs = [], []
+    for k in range(0, 800, 2):
+        words = [f"w{draw.randrange(10**7)}" for _ in range(draw.randrange(60, 200))]
+        share = draw.choice([0.45, 0.55, 0.65, 0.8])
+        texts += [(k, " ".join(words)), (k + 1, " ".join(words[: round(len(words) * share)]))]  # one holds the other
+        pairs.append((k, k + 1))
+    sets = spark.createDataFrame(texts, "node long, text string").mapInArrow(near_dedup._sets(3), "node long, items array<long>")
+    kept = near_dedup._estimated(spark.createDataFrame(pairs, "a long, b long"), sets, 80).collect()
+    expected = set()
+    for a, b in pairs:
+        x, y = (hashing.shingle_set(texts[k][1], 3)[: near_dedup.SKETCH].tolist() for k in (a, b))
+        union = sorted(set(x) | set(y))[: near_dedup.SKETCH]
+        if len(set(union) & set(x) & set(y)) >= len(union) * (0.8 - near_dedup.SLACK):
+            expected.add((a, b))
+    assert {(r.a, r.b) for r in kept} == expected and 100 < len(expected) < 400
+
+
 def test_odd_rows(odd, empty):
     found = near_dedup.near_duplicates(odd).collect()
     assert len(found) == odd.count()

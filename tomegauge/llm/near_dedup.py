@@ -42,6 +42,11 @@ SHARED = 0.4
 SLACK = 0.3
 
 
+def _signed(found: np.ndarray) -> np.ndarray:
+    """Unsigned hashes as signed ones in the same order, as Spark sorts them."""
+    return (found ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def _features(width: int, sketch: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -50,7 +55,7 @@ def _features(width: int, sketch: int):
                 found = hashing.shingle_set(text.as_py(), width)
                 sizes.append(len(found))
                 digests.append(hashing.set_digest(found))
-                sketches.append(found[:sketch].astype(np.int64))
+                sketches.append(_signed(found[:sketch]))
             columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
                        pa.array(digests, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node", "sketch"])
@@ -71,7 +76,7 @@ def features(docs: DataFrame, width: int = 3, sketch: int = PROBED) -> DataFrame
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [hashing.shingle_set(x.as_py(), width).astype(np.int64) for x in batch.column("text")]
+            found = [_signed(hashing.shingle_set(x.as_py(), width)) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "items"])
 
     return run
