@@ -64,6 +64,19 @@ def test_passages_of_documents_against_brute_force(documents, texts):
     assert expected <= {r.doc_id for r in found} | {r.other_id for r in found}
 
 
+def test_recall_of_edited_passages(make):
+    draw = random.Random(3)
+    rows, alike = [], set()
+    for k in range(0, 2400, 2):
+        one = invented(draw, 54)
+        two = one.copy()
+        two[draw.randrange(16, 38)] = "edited"  # a similarity of 45 / 55, and no equal stretch of 50 words
+        rows += [(j, " ".join(invented(draw, 60) + words + invented(draw, 60))) for j, words in ((k, one), (k + 1, two))]
+        alike.add((k, k + 1))
+    found = {tuple(sorted((r.doc_id, r.other_id))) for r in passages.repeated_passages(make(*rows)).collect()}
+    assert found <= alike and len(found) >= 0.996 * len(alike)
+
+
 def test_passages_of_odd_rows(odd, empty):
     assert passages.repeated_passages(odd).collect() == []
     assert passages.repeated_passages(empty).count() == 0
