@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tomegauge.llm import decontamination, language_model, mixing, near_dedup, oracle, passages, secrets, sharding, tokens, toxicity, winnowing
+from tomegauge.llm import decontamination, hard_negatives, language_model, mixing, near_dedup, oracle, passages, runs, secrets, sharding, tokens, toxicity, url_filters, winnowing
 from tomegauge.llm.common import read_table, remainder
 
 
@@ -71,8 +71,28 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs.digests(runs.periodic_runs(runs.with_loops(docs)))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label)
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(
+        "SELECT * FROM VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), "
+        "('net', '/es/', 'block'), ('net', '/fr/', 'block') AS rules(host, path, verdict)"
+    )
+    found = url_filters.judged(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_secret_scan, op2_substring_dedup, op3_minhash_near_dedup, op4_lm_scores, op5_mix_sources, op6_toxicity, op7_decontamination, op8_wavelet_tokens, op9_fingerprints, op10_sharding]
+    found = [op1_secret_scan, op2_substring_dedup, op3_minhash_near_dedup, op4_lm_scores, op5_mix_sources, op6_toxicity, op7_decontamination, op8_wavelet_tokens, op9_fingerprints, op10_sharding, op11_periodic_runs, op12_hard_negatives, op13_url_filters]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 

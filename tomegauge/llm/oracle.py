@@ -80,5 +80,47 @@ FROM sizes LEFT JOIN reach ON a = sizes.doc_id GROUP BY sizes.doc_id, n
 """
 
 
+NEGATIVES = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS row_id, a.label = r.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda k: a.v[k] * r.v[k])) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, row_id) AS place FROM scored WHERE same
+  ) WHERE place <= 5
+), negatives AS (
+  SELECT p.anchor_id, p.row_id AS positive_id, n.row_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.row_id ORDER BY n.score DESC, n.row_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 100 * n.score >= 80 * p.score AND 100 * n.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+"""
+
+FILTERS = r"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), cut AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+), rules(name, start, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), fits AS (
+  SELECT page_id, host, path, name || start AS rule, verdict,
+    row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(name) + length(start) DESC NULLS LAST) AS place
+  FROM cut LEFT JOIN rules ON (host = name OR suffix(host, '.' || name)) AND prefix(path, start)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash_near_dedup": NEAR, "op5_mix_sources": MIX, "op10_sharding": SHARDS}
+    return {"op3_minhash_near_dedup": NEAR, "op5_mix_sources": MIX, "op10_sharding": SHARDS, "op12_hard_negatives": NEGATIVES, "op13_url_filters": FILTERS}
