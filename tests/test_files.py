@@ -1,17 +1,19 @@
 """File sources, sinks and keyed tables, each in a fresh folder."""
 
 import json
+import os
+import random
 from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tomegauge.operators import documents, search
+from tomegauge.operators import documents, passages, search
 from tomegauge.plans import landing
-from tomegauge.plans.load import load_books
+from tomegauge.plans.load import load_books, load_new_books
 from tomegauge.schemas import SENTENCES
-from tomegauge.sinks import files, keyed
+from tomegauge.sinks import files, keyed, totals
 from tomegauge.sources import books, dictionaries, tables
 from tomegauge.stages import readability_stages, sentence_splitter, syllable_counter, tokenizer
 
@@ -122,21 +124,16 @@ def test_merge_leaves_other_buckets_alone(spark, tmp_path):
     assert tables.read_book(spark, str(path), "b1").first().sentenceText == "new"
 
 
-def test_interrupted_merge_is_finished_by_install(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "table")
+def test_a_broken_off_replacement_may_be_repeated(spark, tmp_path):
+    path, merged = str(tmp_path / "table"), str(tmp_path / "merged")
     keyed.create_keyed(small(spark, [("a", 0, "old", 0), ("b", 0, "old", 0)]), path, KEY, 2)
-    install = keyed.install_staged
-    monkeypatch.setattr(keyed, "install_staged", lambda *a: None)
-    keyed.merge_keyed(spark, path, small(spark, [("a", 0, "new", 0), ("b", 0, "new", 0)]), KEY)
-    monkeypatch.undo()
-    staged = keyed.staged_loads(spark, path)
-    assert len(staged) == 1 and {r.sentenceText for r in tables.read_sentences(spark, path).collect()} == {"old"}
-    install(spark, path, staged[0])
-    assert {r.sentenceText for r in tables.read_sentences(spark, path).collect()} == {"new"}
-    assert keyed.staged_loads(spark, path) == [] and not list(tmp_path.glob("*_staged*"))
-    (tmp_path / "table_staged-half").mkdir()
-    with pytest.raises(ValueError, match="in full"):
-        install(spark, path, str(tmp_path / "table_staged-half"))
+    table = spark.read.parquet(path)
+    touched = [r.bucket for r in table.select("bucket").distinct().collect()]
+    table.withColumn("sentenceText", F.lit("new")).where("fileName = 'a'").write.parquet(merged)
+    for _ in range(2):
+        keyed.replace_buckets(spark, path, spark.read.parquet(merged), KEY, 2, touched)
+        assert [(r.fileName, r.sentenceText) for r in tables.read_sentences(spark, path).collect()] == [("a", "new")]
+        assert spark.read.parquet(path).schema == table.schema
 
 
 def test_a_load_replaces_whole_books(spark, tmp_path):
@@ -203,6 +200,66 @@ def test_loads_go_on_where_the_last_one_ended(spark, shelf, tmp_path):
     assert steps == [1, 2, 3]
 
 
+def test_manifest_loads_open_only_new_or_changed_files(spark, shelf, tmp_path, monkeypatch):
+    path, listed, read = str(tmp_path / "sentences"), [], []
+    index, whole = books.index, books.read_books
+    monkeypatch.setattr(books, "index", lambda *a, **k: listed.append(1) or index(*a, **k))
+    monkeypatch.setattr(books, "read_books", lambda *a, **k: read.append(frame := whole(*a, **k)) or frame)
+
+    def load(**options):
+        listed.clear(), read.clear()
+        count = load_new_books(spark, str(shelf), path, buckets=4, **options)
+        assert len(listed) == 1
+        opened = sorted(r.fileName for frame in read for r in frame.select("fileName").collect())
+        assert len(opened) == count and all(frame.rdd.getNumPartitions() <= max(1, count) for frame in read)
+        there = sorted((r.fileName, r.sentenceText) for r in tables.read_sentences(spark, path).collect())
+        return opened, there
+
+    assert load(limit=1) == (["txt/1.txt"], [("txt/1.txt", "One."), ("txt/1.txt", "Two.")])
+    before = os.stat(shelf / "1.txt")
+    (shelf / "1.txt").write_bytes(b"xxx.\nyyy.\n")  # the same length and time: taken for unchanged
+    os.utime(shelf / "1.txt", ns=(before.st_atime_ns, before.st_mtime_ns))
+    opened, there = load(step=1)
+    assert opened == ["txt/10.txt", "txt/2 b.txt"] and len(read) == 2 and there[0] == ("txt/1.txt", "One.")
+    assert load() == ([], there)
+    (shelf / "10.txt").write_bytes(b"New. Newer. Newest.")
+    opened, there = load()
+    assert opened == ["txt/10.txt"] and [t for n, t in there if n == "txt/10.txt"] == ["New.", "Newer.", "Newest."]
+    (shelf / "2 b.txt").unlink()
+    assert load()[1] == there
+    assert load(drop_gone=True) == ([], [row for row in there if row[0] != "txt/2 b.txt"])
+    kept = {r.fileName: r.doc_count for r in spark.read.parquet(totals.totals_path(path)).collect()}
+    assert kept == {"txt/1.txt": 2, "txt/10.txt": 3}
+    (shelf / "2 b.txt").write_bytes(b"Back.")
+    assert load()[0] == ["txt/2 b.txt"]
+
+
+def test_totals_of_a_table_that_loses_all_rows(spark, tmp_path):
+    path = str(tmp_path / "table")
+    keyed.create_keyed(small(spark, [("a", k, "t", 3) for k in range(5)]), path, KEY, 2)
+    totals.refresh(spark, path, size=2)
+    for rows in ([], [("a", 0, "t", 1)]):
+        touched = keyed.merge_keyed(spark, path, small(spark, rows), KEY, spark.createDataFrame([("a",)], "fileName string"))
+        totals.refresh(spark, path, touched, 2)
+        found = [(r.fileName, r.doc_count, r.sum_multiSyllables) for r in spark.read.parquet(totals.totals_path(path)).collect()]
+        assert found == [(n, 1, c) for n, _, _, c in rows]
+        assert spark.read.parquet(totals.running_path(path)).count() == len(rows)
+
+
+def test_passages_by_running_counts(spark, tmp_path):
+    draw = random.Random(1)
+    rows = [(f"b{b}", k, "t", draw.randrange(5)) for b, n in enumerate([1, 7, 8, 9, 40]) for k in range(n)]
+    path = str(tmp_path / "table")
+    keyed.create_keyed(small(spark, rows), path, KEY, 2)
+    totals.refresh(spark, path, size=4)
+    table, running = spark.read.parquet(path), spark.read.parquet(totals.running_path(path))
+    for first, last in [(0, 0), (0, 3), (3, 4), (4, 7), (5, 6), (2, 33), (7, 7), (8, 100), (39, 39), (50, 60)]:
+        expected = sorted(map(tuple, passages.passage_scores(table, first, last).collect()))
+        assert sorted(map(tuple, passages.passage_scores_by_running(table, running, first, last, 4).collect())) == expected
+        one = passages.passage_scores_by_running(table, running, first, last, 4, "b4")
+        assert list(map(tuple, one.collect())) == [row for row in expected if row[0] == "b4"]
+
+
 def test_names_of_a_batch_come_from_the_listing(spark, shelf, physical):
     plan = physical(books.read_books(spark, str(shelf)).select("fileName"))
     assert "ReadSchema: struct<path:string>" in plan

@@ -1,11 +1,11 @@
 """Scores of parts of a book: ranges, blocks, rolling passages, trends."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomegauge.functions import grades
 from tomegauge.operators.running import overlapping_chunks
-from tomegauge.operators.scores import book_scores
+from tomegauge.operators.scores import book_scores, graded
 from tomegauge.sinks import keyed
 
 # Fixed value: SMOG is defined on passages of thirty sentences.
@@ -28,6 +28,42 @@ def passage(sentences: DataFrame, first: int, last: int) -> DataFrame:
     return sentences.where(F.col("position").between(first, last))
 
 
+def passage_scores_by_running(
+    sentences: DataFrame, running: DataFrame, first: int, last: int, size: int, file_name: str | None = None
+) -> DataFrame:
+    """``passage_scores``, or ``passage_score`` of one book, as the difference of two running counts.
+
+    ``running`` are the counts before each chunk of ``size`` positions (``sinks.totals``). The
+    counts before ``first`` and after ``last`` each come from one of its rows and the sentences of at
+    most one chunk, so a long passage reads no more than a short one.
+    """
+    if file_name is not None:
+        sentences = sentences.where(keyed.of_book(sentences, file_name))
+        running = running.where(keyed.of_book(running, file_name))
+    low, high = first // size, (last + 1) // size
+
+    def before(chunk: int, kind: str) -> Column:
+        # Past the end of a book its total counts.
+        there = F.max(F.when(F.col("chunk") == chunk, F.col(f"{kind}Before")))
+        return F.coalesce(there, F.when(F.max("chunk") < chunk, F.max(f"{kind}Through")), F.lit(0))
+
+    ends = running.groupBy("fileName").agg(
+        (before(high, "sentences") - before(low, "sentences")).alias("doc_count"),
+        (before(high, "multiSyllables") - before(low, "multiSyllables")).alias("sum_multiSyllables"),
+    )
+    place = F.col("position")
+    taken, given = place.between(low * size, first - 1), place.between(high * size, last)
+    edges = sentences.where(taken | given).select(
+        "fileName", place.alias("position"), F.col("multiSyllableCount").cast("bigint").alias("multiSyllableCount")
+    )
+    sign = F.when(given, 1).otherwise(0) - F.when(taken, 1).otherwise(0)
+    edges = edges.select("fileName", sign.cast("bigint").alias("doc_count"), (sign * F.col("multiSyllableCount")).alias("sum_multiSyllables"))
+    summed = ends.unionByName(edges).groupBy("fileName").agg(
+        F.sum("doc_count").alias("doc_count"), F.sum("sum_multiSyllables").alias("sum_multiSyllables")
+    )
+    return graded(summed.where(F.col("doc_count") > 0))
+
+
 def block_scores(sentences: DataFrame, size: int = PASSAGE_SENTENCES) -> DataFrame:
     """Grade of each full block of ``size`` sentences; a shorter rest has none."""
     return (

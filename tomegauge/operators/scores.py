@@ -34,10 +34,16 @@ def book_totals(sentences: DataFrame) -> DataFrame:
 
 def book_scores(sentences: DataFrame, min_sentences: int = 1) -> DataFrame:
     """SMOG grade per book, of books with at least ``min_sentences``."""
-    totals = book_totals(sentences)
+    return graded(book_totals(sentences), min_sentences)
+
+
+def graded(totals: DataFrame, min_sentences: int = 1) -> DataFrame:
+    """The same from totals per book, such as those kept beside a stored table: no sentence is read."""
     if min_sentences > 1:
         totals = totals.where(F.col("doc_count") >= min_sentences)
-    return totals.withColumn("smog", grades.smog(F.col("sum_multiSyllables"), F.col("doc_count")))
+    return totals.select("fileName", "doc_count", "sum_multiSyllables").withColumn(
+        "smog", grades.smog(F.col("sum_multiSyllables"), F.col("doc_count"))
+    )
 
 
 def score_buckets(sentences: DataFrame, bucket_limit: int | None = None) -> DataFrame:
@@ -65,6 +71,11 @@ def books_in_range(
     return score_buckets(sentences, bucket_limit).where(F.col("smog").between(float(low), float(high)))
 
 
+def kept_books_in_range(totals: DataFrame, low: float | str, high: float | str, min_sentences: int = 1) -> DataFrame:
+    """``books_in_range`` from totals per book: one row per book is read, nothing is grouped."""
+    return graded(totals, min_sentences).where(F.col("smog").between(float(low), float(high)))
+
+
 def score_texts(books: DataFrame) -> DataFrame:
     """The grades of ``book_scores`` straight from whole texts, one row per book.
 

@@ -9,8 +9,9 @@ from tomegauge.functions import text
 from tomegauge.operators import documents, passages, scores, search, sentences, sentiment, vocabulary
 from tomegauge.plans import landing
 from tomegauge.plans.landing import sentences as fact
-from tomegauge.sinks import keyed
-from tomegauge.sources import books, dictionaries, tables
+from tomegauge.plans.load import manifest_path
+from tomegauge.sinks import keyed, totals
+from tomegauge.sources import books, dictionaries, manifest, tables
 from tomegauge.stages import readability_stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -535,6 +536,56 @@ def loaded_in_three(spark, folder):
     return loaded.select(landing.document_id(), *loaded.columns).drop("fileName")
 
 
+@query
+def loaded_by_manifest(spark, folder):
+    """Book files through three incremental loads, of which the last finds nothing new."""
+    loaded = tables.read_sentences(spark, landing.manifest_store(spark, folder))
+    return loaded.select(landing.document_id(), *loaded.columns).drop("fileName")
+
+
+@query
+def manifest_files(spark, folder):
+    """Which load read each file."""
+    files = manifest.known_files(spark, manifest_path(landing.manifest_store(spark, folder)))
+    return files.select(landing.document_id(), "length", "load")
+
+
+@query
+def totals_of_loads(spark, folder):
+    """The totals that the batch load kept beside its table."""
+    kept = spark.read.parquet(totals.totals_path(landing.loaded_store(spark, folder)))
+    return kept.select(landing.document_id(), "doc_count", "sum_multiSyllables", "words")
+
+
+@query
+def maintained_totals(spark, folder):
+    """The totals after a reload with shorter texts."""
+    kept = spark.read.parquet(totals.totals_path(landing.maintained_store(spark, folder)))
+    return kept.select("fileName", "doc_count", "sum_multiSyllables", "words")
+
+
+@query
+def kept_books_in_range(spark, folder):
+    """Books in a range of grades from the kept totals: no sentence is read."""
+    kept = spark.read.parquet(totals.totals_path(landing.maintained_store(spark, folder)))
+    return scores.kept_books_in_range(kept, LOW, HIGH)
+
+
+@query
+def stored_passage_by_running(spark, folder):
+    """A passage of one book by running counts: one bucket, at most two chunks."""
+    path = landing.maintained_store(spark, folder)
+    running = spark.read.parquet(totals.running_path(path))
+    return passages.passage_scores_by_running(spark.read.parquet(path), running, 2, 37, landing.RUNNING_CHUNK, BOOK)
+
+
+@query
+def passage_scores_by_running(spark, folder):
+    path = landing.maintained_store(spark, folder)
+    running = spark.read.parquet(totals.running_path(path))
+    return passages.passage_scores_by_running(spark.read.parquet(path), running, FIRST, LAST, landing.RUNNING_CHUNK)
+
+
 @query
 def stored_book_score(spark, folder):
     """The grade of one book from the stored table: one bucket is opened."""

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from tomegauge.functions import text
 from tomegauge.operators import documents, search
 from tomegauge.operators.sentences import sentence_table
-from tomegauge.plans.load import KEY, load_books
+from tomegauge.plans.load import KEY, load_books, load_new_books
 from tomegauge.session import scratch_path, spread
-from tomegauge.sinks import files, keyed
+from tomegauge.sinks import files, keyed, totals
 from tomegauge.sources import books, tables
 
 INDEX_BUCKETS = 16
 TABLE_BUCKETS = 8
+#: Small, so that passages of the test tables cross chunks.
+RUNNING_CHUNK = 16
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -73,6 +75,18 @@ def shortened_store(spark: SparkSession, folder: str, path: str) -> None:
     keyed.merge_keyed(spark, path, sentence_table(books_), KEY, books_.select("fileName"), unique=True)
 
 
+@_once
+def maintained_store(spark: SparkSession, folder: str, path: str) -> None:
+    """The table of ``shortened_store`` with its totals, which the second load brought up to date."""
+    keyed.create_keyed(sentences(spark, folder), path, KEY, TABLE_BUCKETS, unique=True)
+    totals.refresh(spark, path, size=RUNNING_CHUNK)
+    flagged = tables.flagged_documents(spark, folder)
+    cut = F.substring("rawDocument", 1, 200).alias("rawDocument")
+    books_ = tables.document_books(spark, folder).join(flagged, "fileName", "left_semi").select("fileName", cut)
+    touched = keyed.merge_keyed(spark, path, sentence_table(books_), KEY, books_.select("fileName"), unique=True)
+    totals.refresh(spark, path, touched, RUNNING_CHUNK)
+
+
 @_once
 def refilled_store(spark: SparkSession, folder: str, path: str) -> None:
     """A keyed table that was reset and then loaded, twice."""
@@ -208,6 +222,14 @@ def batched_store(spark: SparkSession, folder: str, path: str) -> None:
         last = load_books(spark, files_, path, third, buckets=TABLE_BUCKETS, after=last)
 
 
+@_once
+def manifest_store(spark: SparkSession, folder: str, path: str) -> None:
+    """A first part of the files by the manifest, then those still new, then none."""
+    files_ = book_files(spark, folder)
+    for limit in (25, None, None):
+        load_new_books(spark, files_, path, limit, buckets=TABLE_BUCKETS)
+
+
 def document_id():
     """The document a file written by ``book_files`` holds."""
     return F.regexp_extract("fileName", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id")

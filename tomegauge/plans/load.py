@@ -1,17 +1,21 @@
-"""The batch load: book files to the stored sentence table."""
+"""The batch load: book files to the stored sentence table, its totals and its manifest."""
 
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tomegauge.functions import text
 from tomegauge.operators.sentences import sentence_table
-from tomegauge.sinks import keyed
-from tomegauge.sources import books
+from tomegauge.sinks import keyed, totals
+from tomegauge.sources import books, manifest
 
 KEY = ["fileName", "position"]
 
+#: Files of one step of an incremental load. The driver holds their addresses beside the listing.
+STEP = 50_000
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
@@ -21,6 +25,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _load(spark: SparkSession, path: str, rows: DataFrame, names: DataFrame, buckets: int | None, size: int = totals.CHUNK) -> None:
+    table = spark.read.parquet(path) if _exists(spark, path) else None
+    if table is None or table.isEmpty():
+        keyed.create_keyed(rows, path, KEY, buckets or keyed.BUCKETS, unique=True)
+        touched = None
+    else:
+        there = table.select("buckets").first().buckets
+        if buckets not in (None, there):
+            raise ValueError(f"{path} has {there} buckets")
+        touched = keyed.merge_keyed(spark, path, rows, KEY, names, unique=True)
+    totals.refresh(spark, path, touched if _exists(spark, totals.totals_path(path)) else None, size)
+
+
 def load_books(
     spark: SparkSession,
     root: str,
@@ -38,24 +55,68 @@ def load_books(
     The table is made if absent or without rows; otherwise each book read replaces what
     the table held of it, so a load may be repeated and a changed book is
     loaded whole. ``buckets`` is for a new table; another number than that of the table is refused.
+    The totals beside the table (``sinks.totals``) are kept up to date.
 
     Gives the address of the last file read, None if there was none. ``after`` that
-    address the next load goes on. The driver holds the listing of ``root``,
+    address the next load goes on. The folder is listed once; the driver holds the listing,
     so a library of many million files is loaded folder by folder.
     """
-    last = books.last_file(spark, root, limit, glob, after)
+    files = books.index(spark, root, glob)
+    last = books.last_file(spark, root, limit, glob, after, files)
     if last is None:
         return None
-    raw = books.read_books(spark, root, None, glob, strict, after, last)
-    # Sentences are numbered within their book, so their keys are unique.
-    rows = sentence_table(raw, min_syllables, abbreviations)
-    table = spark.read.parquet(path) if _exists(spark, path) else None
-    if table is None or table.isEmpty():
-        keyed.create_keyed(rows, path, KEY, buckets or keyed.BUCKETS, unique=True)
-        return last
-    there = table.select("buckets").first().buckets
-    if buckets not in (None, there):
-        raise ValueError(f"{path} has {there} buckets")
-    # The names alone come from the listing; no file is opened for them.
-    keyed.merge_keyed(spark, path, rows, KEY, raw.select("fileName"), unique=True)
+    raw = books.read_books(spark, root, None, glob, strict, after, last, files)
+    # Sentences are numbered within their book, so their keys are unique. The names alone come from the listing.
+    _load(spark, path, sentence_table(raw, min_syllables, abbreviations), raw.select("fileName"), buckets)
     return last
+
+
+def manifest_path(path: str) -> str:
+    return f"{path.rstrip('/')}_files"
+
+
+def load_new_books(
+    spark: SparkSession,
+    root: str,
+    path: str,
+    limit: int | None = None,
+    glob: str | None = "*.txt",
+    strict: bool = True,
+    min_syllables: int = text.MULTI_SYLLABLE_FROM,
+    abbreviations: Sequence[str] = (),
+    buckets: int | None = None,
+    drop_gone: bool = False,
+    step: int = STEP,
+) -> int:
+    """Load the files below ``root`` that are new or changed since they were loaded, at most ``limit``; gives their number.
+
+    ``<path>_files`` is the manifest: address, length and time of every file loaded. The folder is
+    listed once, the listing is joined with the manifest, and only what is left is opened. Files go in by address,
+    ``step`` at a time; each step is added to the manifest once its sentences are in the table, so a load that is broken off
+    goes on from the last step. ``drop_gone`` takes the books of files no longer there out of the table.
+    """
+    files = books.index(spark, root, glob)
+    listed = books.listing(files, root)
+    home = manifest_path(path)
+    first = not _exists(spark, home)
+    known = spark.createDataFrame([], manifest.FILES) if first else manifest.known_files(spark, home)
+    load = 1 if first else manifest.last_load(spark, home) + 1
+    fresh = manifest.changed_files(listed, known)
+    # No more than the listing that the driver holds as it is.
+    fresh = fresh.orderBy("address") if limit is None else fresh.orderBy("address").limit(limit)
+    rows = fresh.collect()
+    for at in range(0, len(rows), step):
+        part = rows[at : at + step]
+        # A range and a list: the first prunes well, the second exactly.
+        wanted = books.address().between(part[0].address, part[-1].address) & books.address().isin([r.address for r in part])
+        raw = books.read_books(spark, root, strict=strict, files=files.where(wanted))
+        _load(spark, path, sentence_table(raw, min_syllables, abbreviations), raw.select("fileName"), buckets)
+        manifest.record_files(spark.createDataFrame([(*row, load) for row in part], manifest.FILES), home, load)
+    if drop_gone and not first:
+        gone = manifest.gone_files(listed, known)
+        if not gone.isEmpty():
+            names = gone.select("fileName")
+            none = spark.read.parquet(path).drop("buckets", "bucket").where(F.lit(False))
+            _load(spark, path, none, names, None)
+            manifest.record_files(gone, home, load, gone=True)
+    return len(rows)

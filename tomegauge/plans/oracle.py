@@ -204,6 +204,22 @@ def _genre(column: str, genre: str, low: float, high: float, limit: str) -> str:
     WHERE {column} = '{genre}' AND smog BETWEEN {low} AND {high} {limit}"""
 
 
+# After a reload with texts cut to 200 characters.
+_SHORTENED = f"""WITH {_BOOKS}, {_facts('books', 'facts')},
+            flagged AS (SELECT fileName, left(rawDocument, 200) AS rawDocument
+              FROM books SEMI JOIN (SELECT doc_id FROM labels WHERE toxic = 1) USING (doc_id)),
+            {_facts('flagged', 'again')},
+            shortened AS (SELECT {_COLUMNS} FROM facts ANTI JOIN flagged USING (fileName)
+              UNION ALL SELECT {_COLUMNS} FROM again)"""
+
+
+def _shortened_passage(first: int, last: int, also: str = "") -> str:
+    return f"""{_SHORTENED},
+            totals AS (SELECT fileName, count(*) AS n, CAST(sum(multiSyllableCount) AS BIGINT) AS m FROM shortened
+              WHERE position BETWEEN {first} AND {last} {also} GROUP BY 1)
+            SELECT fileName, n AS doc_count, m AS sum_multiSyllables, {_SMOG} AS smog FROM totals"""
+
+
 def oracle_sql() -> dict[str, str]:
     key = "fileName || '#' || position"
     test_path, test_text = catalog.TEST_BOOK
@@ -375,11 +391,24 @@ def oracle_sql() -> dict[str, str]:
         "stored_json_documents": f"{_FACTS} SELECT {key} AS sentence_id, {_COLUMNS} FROM facts",
         "upserted_sentences": _RELOADED,
         "reloaded_sentences": _RELOADED,
-        "reloaded_shorter_books": f"""WITH {_BOOKS}, {_facts('books', 'facts')},
-            flagged AS (SELECT fileName, left(rawDocument, 200) AS rawDocument
-              FROM books SEMI JOIN (SELECT doc_id FROM labels WHERE toxic = 1) USING (doc_id)),
-            {_facts('flagged', 'again')}
-            SELECT {_COLUMNS} FROM facts ANTI JOIN flagged USING (fileName) UNION ALL SELECT {_COLUMNS} FROM again""",
+        "reloaded_shorter_books": f"{_SHORTENED} SELECT {_COLUMNS} FROM shortened",
+        "loaded_by_manifest": f"""{_FACTS} SELECT doc_id, {_COLUMNS.replace('fileName, ', '')}
+            FROM facts JOIN books USING (fileName)""",
+        "manifest_files": """SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS length,
+            CAST(CASE WHEN row_number() OVER (ORDER BY 'doc_id=' || doc_id || '/') <= 25 THEN 1 ELSE 2 END AS BIGINT) AS load
+            FROM documents""",
+        "totals_of_loads": f"""{_FACTS} SELECT doc_id, count(*) AS doc_count,
+            CAST(sum(multiSyllableCount) AS BIGINT) AS sum_multiSyllables, CAST(sum(numWordsInSentence) AS BIGINT) AS words
+            FROM facts JOIN books USING (fileName) GROUP BY 1""",
+        "maintained_totals": f"""{_SHORTENED} SELECT fileName, count(*) AS doc_count,
+            CAST(sum(multiSyllableCount) AS BIGINT) AS sum_multiSyllables, CAST(sum(numWordsInSentence) AS BIGINT) AS words
+            FROM shortened GROUP BY 1""",
+        "kept_books_in_range": f"""{_SHORTENED}, totals AS (SELECT fileName, count(*) AS n,
+              CAST(sum(multiSyllableCount) AS BIGINT) AS m FROM shortened GROUP BY 1),
+            scored AS (SELECT fileName, n AS doc_count, m AS sum_multiSyllables, {_SMOG} AS smog FROM totals)
+            SELECT * FROM scored WHERE smog BETWEEN {catalog.LOW} AND {catalog.HIGH}""",
+        "stored_passage_by_running": _shortened_passage(2, 37, f"AND fileName = '{catalog.BOOK}'"),
+        "passage_scores_by_running": _shortened_passage(catalog.FIRST, catalog.LAST),
         "reset_then_loaded": f"WITH {_TURNS}, {_facts('turns', 'chats')} SELECT {_COLUMNS} FROM chats",
         "created_with_repeats": f"{_FACTS} SELECT {_COLUMNS} FROM facts",
         "loaded_in_three": f"""{_FACTS} SELECT doc_id, {_COLUMNS.replace('fileName, ', '')}

@@ -1,6 +1,5 @@
 """Keyed tables on Parquet: a row with a known key replaces the old one."""
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -51,17 +50,18 @@ def _bucketed(rows: DataFrame, bucket_by: str, buckets: int) -> DataFrame:
     return rows.withColumns({"buckets": F.lit(buckets), "bucket": bucket_of(bucket_by, buckets)})
 
 
-def _write(rows: DataFrame, path: str, order: Sequence[str]) -> None:
+def write_bucketed(rows: DataFrame, path: str, order: Sequence[str], mode: str = "static") -> None:
     """Rebalanced by bucket: one file per bucket where it fits, more where a bucket is hot.
 
     Rows are sorted within each file, so a look-up by key skips row groups. The
-    number of buckets is part of the folder names, so that readers need not know it.
+    number of buckets is part of the folder names, so that readers need not know it. A ``dynamic`` write replaces only
+    the buckets that have rows.
     """
     (
         rows.hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", *order)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
+        .option("partitionOverwriteMode", mode)
         .partitionBy("buckets", "bucket")
         .parquet(path)
     )
@@ -80,7 +80,7 @@ def create_keyed(
     Of rows with one key only the newest stays; ``unique`` says that there are none, which saves a shuffle.
     """
     rows = rows if unique else newest(rows, keys)
-    _write(_bucketed(rows, keys[0], buckets), path, keys)
+    write_bucketed(_bucketed(rows, keys[0], buckets), path, keys)
 
 
 def merge_keyed(
@@ -90,26 +90,24 @@ def merge_keyed(
     keys: Sequence[str],
     names: DataFrame | None = None,
     unique: bool = False,
-) -> None:
-    """Load rows into a keyed table.
+) -> list[int] | None:
+    """Load rows into a keyed table; gives the buckets written, None for all.
 
     Without ``names`` a row replaces the one with the same key. With ``names``, one column
     named as the first key, all rows under these names are replaced: what the batch
     no longer holds of them goes. A table without rows, as after a reset, is made anew.
 
-    Only the buckets the batch touches are read and rewritten. They are written
-    beside the table, in a folder of this load alone, and then moved into it, so
-    the table is never read while it is overwritten and a lost executor costs a
-    task. If the driver dies while it writes, run this again; if it dies while it
-    moves, ``install_staged`` on the folder that ``staged_loads`` names finishes the load.
+    Only the buckets the batch touches are read and rewritten. The merged rows are first
+    written to the scratch folder, as a table cannot be overwritten while it is read,
+    and from there by ``replace_buckets``. A lost executor costs a task.
     """
     table = spark.read.parquet(path)
     found = table.select("buckets").first() if "buckets" in table.columns else None
     if found is None:
-        if not table.isEmpty():
+        if "buckets" not in table.columns and not table.isEmpty():
             raise ValueError(f"{path} holds rows but is not a keyed table")
         create_keyed(rows, path, keys, unique=unique)
-        return
+        return None
     buckets = found.buckets
     if names is None:
         # Written once, as the old table is cut by its keys and the merged one holds its rows.
@@ -122,56 +120,26 @@ def merge_keyed(
     # At most ``buckets`` numbers.
     touched = [row.bucket for row in gone.select(bucket_of(keys[0], buckets).alias("bucket")).distinct().collect()]
     if not touched:
-        return
+        return []
     old = table.where(F.col("bucket").isin(touched)).join(gone, gone.columns, "left_anti")
     batch = _bucketed(rows if unique else newest(rows, keys), keys[0], buckets)
-    staged = f"{path.rstrip('/')}_staged-{uuid.uuid4().hex}"
-    _write(old.select(*table.columns).unionByName(batch.select(*table.columns)), staged, keys)
-    install_staged(spark, path, staged, touched)
-    store, left = _files(spark, f"{path.rstrip('/')}/buckets=*/bucket=*/*.parquet")
-    if not store.globStatus(left):  # nothing is left: an empty table, not an unreadable one
-        spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(path)
-
-
-def _files(spark: SparkSession, path: str):
-    """The file system of a path and the path itself, for moves that only the driver makes."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+    merged = scratch_path(spark, "merged")
+    old.select(*table.columns).unionByName(batch.select(*table.columns)).write.parquet(merged)
+    replace_buckets(spark, path, spark.read.schema(table.schema).parquet(merged), keys, buckets, touched)
+    return touched
 
 
-def staged_loads(spark: SparkSession, path: str) -> list[str]:
-    """Folders of loads into a table that were written in full but not yet moved into it."""
-    store, place = _files(spark, path.rstrip("/"))
-    found = store.globStatus(_files(spark, f"{path.rstrip('/')}_staged-*/_SUCCESS")[1])
-    return sorted(status.getPath().getParent().toString() for status in found or [])
-
-
-def install_staged(spark: SparkSession, path: str, staged: str, touched: Sequence[int] | None = None) -> None:
-    """Move the staged buckets of a finished write into the place of the same buckets of a table.
+def replace_buckets(
+    spark: SparkSession, path: str, merged: DataFrame, order: Sequence[str], buckets: int, touched: Sequence[int]
+) -> None:
+    """Put the rows of ``merged``, which must not be read from the table, in the place of the buckets ``touched``.
 
-    At most one move per bucket. Whatever was moved is no longer staged, so after a
-    crash the same call goes on where it stopped. ``touched`` names buckets that may
-    have lost all rows. The staging folder goes at the end.
+    Spark's dynamic partition overwrite does it in one commit. It leaves buckets without rows alone, so
+    those are overwritten with an empty file each. A call that was broken off may be repeated.
     """
-    store, folder = _files(spark, staged)
-    join = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    if not store.exists(join(folder, "_SUCCESS")):
-        raise ValueError(f"{staged} was not written in full")
-    home = _files(spark, path)[1]
-    for level in store.globStatus(join(home, "buckets=*")) or []:
-        for bucket in touched or []:
-            place = join(level.getPath(), f"bucket={bucket}")
-            if store.exists(place) and not store.exists(join(join(folder, level.getPath().getName()), f"bucket={bucket}")):
-                store.delete(place, True)
-    for status in store.globStatus(join(folder, "buckets=*/bucket=*")) or []:
-        source = status.getPath()
-        level = join(home, source.getParent().getName())
-        store.mkdirs(level)
-        place = join(level, source.getName())
-        if store.exists(place):
-            store.delete(place, True)
-        if not store.rename(source, place):
-            raise OSError(f"could not move {source} to {place}")
-    store.delete(folder, True)
+    write_bucketed(merged, path, order, "dynamic")
+    filled = {row.bucket for row in merged.select("bucket").distinct().collect()}  # at most ``buckets`` numbers
+    empty = merged.drop("buckets", "bucket").where(F.lit(False))
+    for bucket in sorted(set(touched) - filled):
+        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/buckets={buckets}/bucket={bucket}")
     spark.catalog.refreshByPath(path)

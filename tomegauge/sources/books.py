@@ -6,11 +6,32 @@ from pyspark.sql import functions as F
 from tomegauge.functions import text
 
 
-def _files(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def index(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """The files below a folder, listed once.
+
+    Whatever is derived from this frame (``files=`` of the functions here) uses the
+    same listing. Many folders are listed by tasks, a few per core rather than one per folder.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root)
+    before = spark.conf.get(LISTING_TASKS, None)
+    spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        return reader.load(root)
+    finally:
+        if before is None:
+            spark.conf.unset(LISTING_TASKS)
+        else:
+            spark.conf.set(LISTING_TASKS, before)
+
+
+def address() -> Column:
+    """The address of a file as filters on it see it: with it files are dropped before they become tasks."""
+    return F.col("_metadata.file_path")
 
 
 def _name(root: str) -> Column:
@@ -19,42 +40,61 @@ def _name(root: str) -> Column:
     return F.concat(F.lit(f"{folder}/"), F.substring_index("path", f"/{folder}/", -1))
 
 
-def list_books(spark: SparkSession, root: str, limit: int | None = None, glob: str | None = None) -> DataFrame:
+def list_books(
+    spark: SparkSession, root: str, limit: int | None = None, glob: str | None = None, files: DataFrame | None = None
+) -> DataFrame:
     """``fileName, path, length`` of the files under a folder, the first ``limit`` in path order.
 
     Folders themselves are not listed. File contents are not read.
     """
-    files = _files(spark, root, glob).select(_name(root).alias("fileName"), "path", "length")
-    return files if limit is None else files.orderBy("path").limit(limit)
+    files = index(spark, root, glob) if files is None else files
+    listed = files.select(_name(root).alias("fileName"), "path", "length")
+    return listed if limit is None else listed.orderBy("path").limit(limit)
+
+
+def listing(files: DataFrame, root: str) -> DataFrame:
+    """``address, fileName, length, modified`` of an index; no file is opened."""
+    return files.select(
+        address().alias("address"), _name(root).alias("fileName"), "length", F.col("modificationTime").alias("modified")
+    )
 
 
 def last_file(
-    spark: SparkSession, root: str, limit: int | None = None, glob: str | None = None, after: str | None = None
+    spark: SparkSession,
+    root: str,
+    limit: int | None = None,
+    glob: str | None = None,
+    after: str | None = None,
+    files: DataFrame | None = None,
 ) -> str | None:
     """Address of the last of the first ``limit`` files that come after an address, from the listing alone."""
-    address = F.col("_metadata.file_path")
-    files = _files(spark, root, glob).select(address.alias("address"))
+    files = (index(spark, root, glob) if files is None else files).select(address().alias("address"))
     files = files if after is None else files.where(F.col("address") > after)
     files = files if limit is None else files.orderBy("address").limit(limit)
     return files.agg(F.max("address")).first()[0]
 
 
 def _contents(
-    spark: SparkSession, root: str, limit: int | None, glob: str | None, after: str | None = None, last: str | None = None
+    spark: SparkSession,
+    root: str,
+    limit: int | None,
+    glob: str | None,
+    after: str | None = None,
+    last: str | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """Files with their bytes; with bounds only those between are opened.
 
     The last path wanted is found from the listing alone. As filters on the
     file metadata the bounds drop the other files before they become tasks.
     """
-    files = _files(spark, root, glob)
-    address = F.col("_metadata.file_path")
+    files = index(spark, root, glob) if files is None else files
     if limit is not None:
-        last = last_file(spark, root, limit, glob, after)
+        last = last_file(spark, root, limit, glob, after, files)
         files = files.where(F.lit(last is not None))
     if after is not None:
-        files = files.where(address > after)
-    return files if last is None else files.where(address <= last)
+        files = files.where(address() > after)
+    return files if last is None else files.where(address() <= last)
 
 
 def read_books(
@@ -65,17 +105,19 @@ def read_books(
     strict: bool = True,
     after: str | None = None,
     last: str | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """One row per file: ``fileName, rawDocument``, line feeds as spaces.
 
     ``limit`` takes the first files by address, those above ``after`` if given; ``last`` is the last address read.
+    ``files`` is an index of ``root`` that may have been filtered; without it the folder is listed.
 
     Text must be UTF-8: a file that is not fails the job, or with
     ``strict=False`` has a NULL text (see ``broken_books``).
     """
     content = F.col("content").cast("string")
     checked = F.validate_utf8(content) if strict else F.try_validate_utf8(content)
-    return _contents(spark, root, limit, glob, after, last).select(
+    return _contents(spark, root, limit, glob, after, last, files).select(
         _name(root).alias("fileName"),
         text.newlines_to_spaces(checked).alias("rawDocument"),
     )
