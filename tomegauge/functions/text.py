@@ -45,6 +45,21 @@ def line_breaks_to_spaces(text: Column | str) -> Column:
     return F.replace(newlines_to_spaces(text), F.lit("\r"), F.lit(" "))
 
 
+def space_before(text: Column | str) -> Column:
+    """The white space a text begins with."""
+    return F.left(_column(text), F.length(_column(text)) - F.length(F.ltrim(_column(text), F.lit(WHITE_SPACE))))
+
+
+def space_after(text: Column | str) -> Column:
+    """The white space a text ends with."""
+    return F.right(_column(text), F.length(_column(text)) - F.length(_without_end_space(text)))
+
+
+def chunks(text: Column | str, size: int) -> Column:
+    """A text in pieces of ``size`` characters or a little more, each up to the end of white space."""
+    return F.regexp_extract_all(_column(text), F.lit(rf"(?s).{{1,{size}}}+\S*+\s*+"), F.lit(0))
+
+
 def base_name(path: Column | str) -> Column:
     """What follows the last slash."""
     return F.substring_index(_column(path), "/", -1)
@@ -58,14 +73,37 @@ def sentence_array(text: Column | str, abbreviations: Sequence[str] = ()) -> Col
     sentences, so the text is walked once and no marker character is needed. A
     full stop after one of ``abbreviations`` does not end a sentence.
     """
-    closers = re.escape(CLOSERS)
-    end = rf"[{SENTENCE_ENDS}]++[{closers}]*+"
-    inside = [rf"[^{SENTENCE_ENDS}]++", rf"{end}(?!\s|\z)"]
+    return F.regexp_extract_all(_without_end_space(text), F.lit(_sentence(abbreviations)), F.lit(0))
+
+
+_END = rf"[{SENTENCE_ENDS}]++[{re.escape(CLOSERS)}]*+"
+
+
+def _names(abbreviations: Sequence[str]) -> str:
+    return rf"(?<!\w)(?:{'|'.join(re.escape(a.rstrip('.')) for a in abbreviations)})"
+
+
+def _sentence(abbreviations: Sequence[str]) -> str:
+    inside = [rf"[^{SENTENCE_ENDS}]++", rf"{_END}(?!\s|\z)"]
     if abbreviations:
-        names = "|".join(re.escape(a.rstrip(".")) for a in abbreviations)
-        inside.insert(1, rf"(?<=(?<!\w)(?:{names}))\.(?=\s)")
-    pattern = rf"(?=\S)(?:{'|'.join(inside)})*+(?:{end}|\z)"
-    return F.regexp_extract_all(F.rtrim(_column(text), F.lit(WHITE_SPACE)), F.lit(pattern), F.lit(0))
+        inside.insert(1, rf"(?<={_names(abbreviations)})\.(?=\s)")
+    return rf"(?=\S)(?:{'|'.join(inside)})*+(?:{_END}|\z)"
+
+
+def _without_end_space(text: Column | str) -> Column:
+    return F.rtrim(_column(text), F.lit(WHITE_SPACE))
+
+
+def sentence_count(text: Column | str, abbreviations: Sequence[str] = ()) -> Column:
+    """Number of ``sentence_array(text)``, without building the array."""
+    return F.regexp_count(_without_end_space(text), F.lit(_sentence(abbreviations)))
+
+
+def ends_open(text: Column | str, abbreviations: Sequence[str] = ()) -> Column:
+    """Whether the last sentence of a text goes on, if more text follows after white space."""
+    text = _without_end_space(text)
+    open_end = ~F.rlike(text, F.lit(rf"{_END}\z"))
+    return open_end | F.rlike(text, F.lit(rf"{_names(abbreviations)}\.\z")) if abbreviations else open_end
 
 
 def tokens(sentence: Column | str, unicode: bool = False) -> Column:

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomegauge.functions import text
@@ -38,6 +38,64 @@ def split_books(books: DataFrame, abbreviations: Sequence[str] = ()) -> DataFram
     )
 
 
+def chunk_books(books: DataFrame, size: int) -> DataFrame:
+    """``books`` → ``fileName, chunk, rawDocument``: texts cut at white space after ``size`` characters."""
+    cut = books.select("fileName", text.chunks("rawDocument", size).alias("_chunks"))
+    return explode_once(cut, "_chunks", "chunk", "rawDocument")
+
+
+def split_chunks(chunks: DataFrame, abbreviations: Sequence[str] = ()) -> DataFrame:
+    """``split_books`` of books that come in chunks, so that one book is cut by many tasks.
+
+    ``chunks(fileName, chunk, rawDocument)``: the texts of a book's chunks, in order of ``chunk``, make
+    up the book; a chunk ends where white space or the book ends. Sentence ends within a chunk are those of
+    the book. What a chunk leaves open is stitched to what the next ones begin with. Positions
+    are the sums of the sentences that begin in earlier chunks, from one narrow row per chunk; only
+    the pieces at chunk ends are grouped. An abbreviation must not hold white space.
+    """
+    if any(set(a) & set(text.WHITE_SPACE) for a in abbreviations):
+        raise ValueError("an abbreviation with white space might be cut by a chunk")
+    whole = F.col("rawDocument")
+    before = Window.partitionBy("fileName").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("fileName").orderBy("chunk").rowsBetween(1, Window.unboundedFollowing)
+    book = Window.partitionBy("fileName")
+    counts = chunks.select(
+        "fileName", "chunk", text.sentence_count(whole, abbreviations).alias("_pieces"), text.ends_open(whole, abbreviations).alias("_open")
+    )
+    goes_on = F.last(F.when(F.col("_pieces") > 0, F.col("_open")), ignorenulls=True).over(before)
+    counts = counts.withColumn("_goesOn", F.coalesce(goes_on, F.lit(False)))
+    begun = F.col("_pieces") - ((F.col("_pieces") > 0) & F.col("_goesOn")).cast("int")
+    counts = counts.withColumns(
+        {
+            "_first": F.coalesce(F.sum(begun).over(before), F.lit(0)),
+            "numSentencesInBook": F.sum(begun).over(book).cast("int"),
+            "_more": F.coalesce(F.max("_pieces").over(after), F.lit(0)) > 0,
+        }
+    )
+    pieces = chunks.join(counts, ["fileName", "chunk"]).select(
+        "fileName", "chunk", "_first", "_goesOn", "numSentencesInBook",
+        F.when(F.col("_pieces") == 0, F.array(whole)).otherwise(text.sentence_array(whole, abbreviations)).alias("_parts"),
+        (F.col("_pieces") == 0).alias("_blank"),
+        F.when(F.col("_open") & F.col("_more"), F.col("_pieces") - 1).otherwise(-1).alias("_openPart"),
+        F.when(F.col("_pieces") > 0, text.space_before(whole)).alias("_lead"),
+        F.when(F.col("_pieces") > 0, text.space_after(whole)).alias("_trail"),
+    )
+    pieces = explode_once(pieces, "_parts", "_place", "sentenceText")
+    place, continues = F.col("_place"), (F.col("_place") == 0) & F.col("_goesOn")
+    pieces = pieces.where(~F.col("_blank") | F.col("_goesOn")).select(
+        "fileName", "chunk", (F.col("_first") + place - F.col("_goesOn").cast("int")).cast("int").alias("position"),
+        F.concat(F.when(continues & ~F.col("_blank"), F.col("_lead")).otherwise(""), "sentenceText",
+                 F.when(place == F.col("_openPart"), F.col("_trail")).otherwise("")).alias("sentenceText"),
+        "numSentencesInBook", (continues | (place == F.col("_openPart"))).alias("_seam"),
+    )
+    closed = pieces.where(~F.col("_seam")).select("fileName", "position", "sentenceText", "numSentencesInBook")
+    parts = F.array_sort(F.collect_list(F.struct("chunk", "sentenceText")))["sentenceText"]
+    stitched = pieces.where("_seam").groupBy("fileName", "position", "numSentencesInBook").agg(
+        F.trim(F.array_join(parts, ""), F.lit(text.WHITE_SPACE)).alias("sentenceText")
+    )
+    return closed.unionByName(stitched)
+
+
 def count_words(sentences: DataFrame, min_syllables: int = text.MULTI_SYLLABLE_FROM) -> DataFrame:
     """Add the word counts of each sentence."""
     return sentences.withColumns(
@@ -61,6 +119,19 @@ def sentence_table(
     )
 
 
+def chunked_sentence_table(
+    chunks: DataFrame,
+    min_syllables: int = text.MULTI_SYLLABLE_FROM,
+    abbreviations: Sequence[str] = (),
+) -> DataFrame:
+    """The same from books in chunks (see ``split_chunks``)."""
+    return (
+        chunks.transform(split_chunks, abbreviations)
+        .transform(count_words, min_syllables)
+        .select(*SENTENCE_COLUMNS)
+    )
+
+
 def sentence_id() -> Column:
     """The key ``(fileName, position)`` as one string.
 

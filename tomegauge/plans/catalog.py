@@ -536,6 +536,20 @@ def loaded_in_three(spark, folder):
     return loaded.select(landing.document_id(), *loaded.columns).drop("fileName")
 
 
+@query
+def loaded_in_chunks(spark, folder):
+    """Book files through a load that reads the larger ones by lines, in chunks."""
+    loaded = tables.read_sentences(spark, landing.chunked_store(spark, folder))
+    return loaded.select(landing.document_id(), *loaded.columns).drop("fileName")
+
+
+@query
+def chunked_segmentation(spark, folder):
+    """Sentences of texts that are cut into chunks of three hundred characters and stitched."""
+    chunks = sentences.chunk_books(tables.document_books(spark, folder), 300)
+    return sentences.chunked_sentence_table(chunks)
+
+
 @query
 def loaded_by_manifest(spark, folder):
     """Book files through three incremental loads, of which the last finds nothing new."""

@@ -213,6 +213,12 @@ def loaded_store(spark: SparkSession, folder: str, path: str) -> None:
         load_books(spark, files_, path, limit, buckets=TABLE_BUCKETS)
 
 
+@_once
+def chunked_store(spark: SparkSession, folder: str, path: str) -> None:
+    """All files in one load, of which those above two thousand bytes are read in chunks."""
+    load_books(spark, book_files(spark, folder), path, buckets=TABLE_BUCKETS, large=2000)
+
+
 @_once
 def batched_store(spark: SparkSession, folder: str, path: str) -> None:
     """All files in three loads, each going on after the one before."""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomegauge.functions import text
-from tomegauge.operators.sentences import sentence_table
+from tomegauge.operators.sentences import chunked_sentence_table, sentence_table
 from tomegauge.sinks import keyed, totals
 from tomegauge.sources import books, manifest
 
@@ -16,6 +16,9 @@ KEY = ["fileName", "position"]
 #: Files of one step of an incremental load. The driver holds their addresses beside the listing.
 STEP = 50_000
 
+#: Bytes of a file above which it is read in chunks, by many tasks.
+LARGE = 64 << 20
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
@@ -25,6 +28,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _sentences(
+    spark: SparkSession, root: str, files: DataFrame, strict: bool, min_syllables: int, abbreviations: Sequence[str], large: int
+) -> DataFrame:
+    """The sentence table of an index of files; those above ``large`` bytes are cut in chunks."""
+    paths = books.large_files(files, large)
+    whole = files.where(F.col("_metadata.file_size") <= large) if paths else files
+    rows = sentence_table(books.read_books(spark, root, strict=strict, files=whole), min_syllables, abbreviations)
+    if not paths:
+        return rows
+    chunks = books.read_chunks(spark, root, paths, strict)
+    return rows.unionByName(chunked_sentence_table(chunks, min_syllables, abbreviations))
+
+
 def _load(spark: SparkSession, path: str, rows: DataFrame, names: DataFrame, buckets: int | None, size: int = totals.CHUNK) -> None:
     table = spark.read.parquet(path) if _exists(spark, path) else None
     if table is None or table.isEmpty():
@@ -49,13 +65,15 @@ def load_books(
     abbreviations: Sequence[str] = (),
     buckets: int | None = None,
     after: str | None = None,
+    large: int = LARGE,
 ) -> str | None:
     """Read the first ``limit`` files below ``root`` and load their sentences into the table at ``path``.
 
     The table is made if absent or without rows; otherwise each book read replaces what
     the table held of it, so a load may be repeated and a changed book is
     loaded whole. ``buckets`` is for a new table; another number than that of the table is refused.
-    The totals beside the table (``sinks.totals``) are kept up to date.
+    The totals beside the table (``sinks.totals``) are kept up to date. Files above ``large`` bytes are read in
+    chunks by several tasks.
 
     Gives the address of the last file read, None if there was none. ``after`` that
     address the next load goes on. The folder is listed once; the driver holds the listing,
@@ -65,9 +83,11 @@ def load_books(
     last = books.last_file(spark, root, limit, glob, after, files)
     if last is None:
         return None
-    raw = books.read_books(spark, root, None, glob, strict, after, last, files)
+    wanted = books.address() <= last
+    files = files.where(wanted if after is None else wanted & (books.address() > after))
     # Sentences are numbered within their book, so their keys are unique. The names alone come from the listing.
-    _load(spark, path, sentence_table(raw, min_syllables, abbreviations), raw.select("fileName"), buckets)
+    rows = _sentences(spark, root, files, strict, min_syllables, abbreviations, large)
+    _load(spark, path, rows, books.listing(files, root).select("fileName"), buckets)
     return last
 
 
@@ -87,6 +107,7 @@ def load_new_books(
     buckets: int | None = None,
     drop_gone: bool = False,
     step: int = STEP,
+    large: int = LARGE,
 ) -> int:
     """Load the files below ``root`` that are new or changed since they were loaded, at most ``limit``; gives their number.
 
@@ -109,8 +130,9 @@ def load_new_books(
         part = rows[at : at + step]
         # A range and a list: the first prunes well, the second exactly.
         wanted = books.address().between(part[0].address, part[-1].address) & books.address().isin([r.address for r in part])
-        raw = books.read_books(spark, root, strict=strict, files=files.where(wanted))
-        _load(spark, path, sentence_table(raw, min_syllables, abbreviations), raw.select("fileName"), buckets)
+        some = files.where(wanted)
+        sentences = _sentences(spark, root, some, strict, min_syllables, abbreviations, large)
+        _load(spark, path, sentences, books.listing(some, root).select("fileName"), buckets)
         manifest.record_files(spark.createDataFrame([(*row, load) for row in part], manifest.FILES), home, load)
     if drop_gone and not first:
         gone = manifest.gone_files(listed, known)

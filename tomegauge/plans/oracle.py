@@ -394,6 +394,9 @@ def oracle_sql() -> dict[str, str]:
         "reloaded_shorter_books": f"{_SHORTENED} SELECT {_COLUMNS} FROM shortened",
         "loaded_by_manifest": f"""{_FACTS} SELECT doc_id, {_COLUMNS.replace('fileName, ', '')}
             FROM facts JOIN books USING (fileName)""",
+        "loaded_in_chunks": f"""{_FACTS} SELECT doc_id, {_COLUMNS.replace('fileName, ', '')}
+            FROM facts JOIN books USING (fileName)""",
+        "chunked_segmentation": f"{_FACTS} SELECT {_COLUMNS} FROM facts",
         "manifest_files": """SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS length,
             CAST(CASE WHEN row_number() OVER (ORDER BY 'doc_id=' || doc_id || '/') <= 25 THEN 1 ELSE 2 END AS BIGINT) AS load
             FROM documents""",

@@ -1,5 +1,8 @@
 """Books as files: list them, read them whole."""
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +37,10 @@ def address() -> Column:
     return F.col("_metadata.file_path")
 
 
-def _name(root: str) -> Column:
+def _name(root: str, path: Column | str = "path") -> Column:
     """The path below the folder that holds ``root``, so that the folder's own name leads: ``txt/10.txt``."""
     folder = root.rstrip("/").rsplit("/", 1)[-1]
-    return F.concat(F.lit(f"{folder}/"), F.substring_index("path", f"/{folder}/", -1))
+    return F.concat(F.lit(f"{folder}/"), F.substring_index(path, f"/{folder}/", -1))
 
 
 def list_books(
@@ -59,6 +62,11 @@ def listing(files: DataFrame, root: str) -> DataFrame:
     )
 
 
+def large_files(files: DataFrame, above: int) -> list[str]:
+    """Paths of the files above a size; no more than the listing that the driver holds as it is."""
+    return [row.path for row in files.where(F.col("_metadata.file_size") > above).select("path").collect()]
+
+
 def last_file(
     spark: SparkSession,
     root: str,
@@ -123,6 +131,33 @@ def read_books(
     )
 
 
+#: Lines of a chunk of a large file.
+CHUNK_LINES = 4096
+
+
+def read_chunks(
+    spark: SparkSession, root: str, paths: Sequence[str], strict: bool = True, lines: int = CHUNK_LINES
+) -> DataFrame:
+    """Large files by lines: ``fileName, chunk, rawDocument``, the texts of a file's chunks in order making up the file.
+
+    Files are split into blocks of ``spark.sql.files.maxPartitionBytes``, so many tasks read one, and
+    no row holds more than ``lines`` lines. Line feeds become spaces, as in ``read_books``; text that is not UTF-8
+    fails the job, or leaves its lines out with ``strict=False``. A single line must fit a row.
+    """
+    escaped = [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
+    rows = spark.read.option("lineSep", "\n").text(escaped)
+    place = F.url_decode(F.replace(address(), F.lit("+"), F.lit("%2B")))
+    # Within a task the lines of a block come in order, so their ids do.
+    rows = rows.select(
+        place.alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), "value"
+    )
+    checked = F.validate_utf8("value") if strict else F.coalesce(F.try_validate_utf8("value"), F.lit(""))
+    rows = rows.withColumn("line", checked).withColumn("part", F.floor(F.col("id") / lines))
+    ordered = F.array_sort(F.collect_list(F.struct("id", "line")))["line"]
+    chunks = rows.groupBy("path", "start", "part").agg(F.concat(F.array_join(ordered, " "), F.lit(" ")).alias("rawDocument"))
+    return chunks.select(_name(root).alias("fileName"), F.struct("start", "part").alias("chunk"), "rawDocument")
+
+
 def broken_books(books: DataFrame) -> DataFrame:
     """Names of the books whose text could not be decoded."""
     return books.where(F.col("rawDocument").isNull()).select("fileName")
