@@ -290,6 +290,27 @@ def test_index_equals_scan(spark, sentences, tmp_path):
     assert search.search_index(spark, path, sentences, "notaword").count() == 0
 
 
+def test_blocks_that_hold_no_hit_are_not_read(spark, tmp_path):
+    draw = random.Random(9)
+    words = ["of", "in", "it", "so", "on"]
+    texts = [" ".join(["the"] * draw.choice([0, 1, 1, 2]) + draw.choices(words, k=draw.randrange(1, 9))) for _ in range(8000)]
+    for at in (5, 700, 7001):
+        texts[at] = "The rare the rare thing"
+    texts[901] = "rare"
+    rows = [(f"b{k % 7}", k // 7, t, 0, 0, len(t.split())) for k, t in enumerate(texts)]
+    table, path = spark.createDataFrame(rows, SENTENCES), str(tmp_path / "index")
+    search.write_index(table, path, 4, block_sentences=16)
+    for phrase, limit in [("the rare", 20), ("the rare", 2), ("the", 20), ("the", 3), ("thing the notaword", 7), ("rare", 5), ("the of", 10)]:
+        expected = search.search(table, phrase, limit).collect()
+        assert search.search_index(spark, path, table, phrase, limit).collect() == expected
+    for phrase, limit in [("the rare", 20), ("the", 20)]:
+        needed = {r.term: (r.needed, r.postings) for r in search.postings_to_read(spark, path, phrase, limit).collect()}
+        assert sum(n for n, _ in needed.values()) < sum(p for _, p in needed.values()) / 10
+    every = search.postings_to_read(spark, path, "the of", 10).collect()
+    assert len(every) == 2 and all(r.needed == r.postings for r in every)
+    assert search.postings_to_read(spark, path, "notaword").count() == 0
+
+
 def test_stages(spark, folder, sentences):
     raw = tables.document_books(spark, folder)
     staged = readability_stages().fit(raw).transform(raw)

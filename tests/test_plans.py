@@ -80,7 +80,7 @@ def test_index_search_reads_postings_once(spark, folder, store, monkeypatch):
     path = landing.search_index(spark, folder)
     opened.clear()
     assert search.search_index(spark, path, store, "the thing of").count() == 20
-    assert [name.rsplit("/", 1)[1] for name in opened] == ["statistics", "terms", "postings"]
+    assert [name.rsplit("/", 1)[1] for name in opened] == ["statistics", "terms", "postings", "blocks"]
 
 
 def test_stored_look_ups_open_one_bucket(store, physical):

@@ -2,7 +2,8 @@
 
 Two ways to the same result: ``search`` scans the sentence table and never
 shuffles it; ``search_index`` reads only the buckets of its terms from postings
-written once by ``write_index``.
+written once by ``write_index``, and of the most frequent term only the blocks
+that can hold a hit.
 """
 
 import re
@@ -23,6 +24,17 @@ TOP = 20
 # The driver holds the hits of an index search.
 MOST_HITS = 10000
 
+# Sentences of a block of postings, the same sentences for every term, and postings that a term has per block, on
+# average, for its blocks to be described.
+BLOCK_SENTENCES = 128
+LEAST_PER_BLOCK = 4
+
+# Postings of the rarer terms of a phrase up to which blocks of the most frequent one are skipped: the driver lists their blocks.
+MOST_LOOKED_UP = 100_000
+
+# Rows of a page of postings, the least that a reader skips.
+PAGE_ROWS = "1024"
+
 HIT_COLUMNS = ["fileName", "position", "multiSyllableCount", "sentenceText"]
 
 
@@ -37,7 +49,12 @@ def _idf(documents: Column, found: Column) -> Column:
 
 
 def _term_score(idf: Column, tf: Column, length: Column, mean: Column) -> Column:
-    return idf * tf / (tf + K1 * (1.0 - B + B * length / mean))
+    # The factor of the term comes last, so scores of one term are in the order of their impacts.
+    return idf * _impact(tf, length, mean)
+
+
+def _impact(tf: Column, length: Column, mean: Column) -> Column:
+    return tf / (tf + K1 * (1.0 - B + B * length / mean))
 
 
 def any_term(sentences: DataFrame, phrase: str, unicode: bool = False) -> DataFrame:
@@ -104,8 +121,13 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def postings(sentences: DataFrame, buckets: int, unicode: bool = False) -> DataFrame:
-    """``term, fileName, position, tf, length`` with the bucket of the term.
+def block_of(blocks: int) -> Column:
+    """The block of a sentence: the same for each of its terms, so terms of a sentence meet in one block."""
+    return F.pmod(F.xxhash64("fileName", "position"), F.lit(blocks)).cast("int")
+
+
+def postings(sentences: DataFrame, buckets: int, unicode: bool = False, blocks: int = 1) -> DataFrame:
+    """``term, fileName, position, tf, length`` with the bucket of the term and the block of the sentence.
 
     Terms are counted within their sentence, so nothing is grouped and nothing shuffled.
     """
@@ -118,46 +140,100 @@ def postings(sentences: DataFrame, buckets: int, unicode: bool = False) -> DataF
     rows = explode_once(cut, "_runs", "_place", "_run").select(
         text.run_token("_run").alias("term"), "fileName", "position", text.run_length("_run").alias("tf"), "length"
     )
-    return rows.withColumn("bucket", term_bucket(F.col("term"), buckets))
-
+    return rows.withColumns({"bucket": term_bucket(F.col("term"), buckets), "block": block_of(blocks)})
 
-def write_index(sentences: DataFrame, path: str, buckets: int = 256, unicode: bool = False) -> None:
-    """Write postings, term frequencies and corpus statistics under ``path``.
 
-    The postings are rebalanced by bucket, which splits a bucket with a frequent term over
-    several tasks. They are sorted by term within each file, so a look-up skips the
-    row groups of other terms as well as the other buckets.
-    """
-    spark = sentences.sparkSession
-    (
-        postings(sentences, buckets, unicode)
-        .hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "term")
-        .write.mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(f"{path}/postings")
+def block_maxima(rows: DataFrame, mean: float) -> DataFrame:
+    """Per bucket, term and block of postings the best one: its impact, and its sentence, the first of equal ones."""
+    impact = _impact(F.col("tf"), F.col("length"), F.lit(mean))
+    best = F.min(F.struct((-impact).alias("impact"), "fileName", "position")).alias("best")
+    return rows.groupBy("bucket", "term", "block").agg(best).select(
+        "bucket", "term", "block", (-F.col("best.impact")).alias("impact"), "best.fileName", "best.position"
     )
+
+
+def _write(rows: DataFrame, path: str, *order: str) -> None:
     (
-        spark.read.parquet(f"{path}/postings")
-        .groupBy("bucket", "term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "term")
+        rows.hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", *order)
         .write.mode("overwrite")
+        .option("parquet.page.row.count.limit", PAGE_ROWS)
         .partitionBy("bucket")
-        .parquet(f"{path}/terms")
+        .parquet(path)
     )
+
+
+def write_index(
+    sentences: DataFrame, path: str, buckets: int = 256, unicode: bool = False, block_sentences: int = BLOCK_SENTENCES
+) -> None:
+    """Write postings, term frequencies, block maxima and corpus statistics under ``path``.
+
+    The postings are rebalanced by bucket, which splits a bucket with a frequent term over
+    several tasks. They are sorted by term and block within each file, so a look-up skips the
+    pages of other terms and blocks as well as the other buckets. The best posting of each block is
+    stored for terms with some postings in most blocks; those of a rarer term are all read.
+    """
+    spark = sentences.sparkSession
     # The sentence table holds the word counts of the default analyser.
     lengths = text.word_count("sentenceText", True) if unicode else F.col("numWordsInSentence")
-    (
-        sentences.agg(
-            F.count(F.lit(1)).alias("documents"),
-            F.avg(lengths).alias("mean"),
-        )
-        .withColumns({"buckets": F.lit(buckets), "unicode": F.lit(unicode)})
-        .write.mode("overwrite")
-        .parquet(f"{path}/statistics")
-    )
+    statistics = sentences.agg(F.count(F.lit(1)).alias("documents"), F.avg(lengths).alias("mean")).first()
+    blocks = max(1, -(-statistics["documents"] // block_sentences))
+    _write(postings(sentences, buckets, unicode, blocks), f"{path}/postings", "term", "block")
+    rows = spark.read.parquet(f"{path}/postings")
+    _write(rows.groupBy("bucket", "term").agg(F.count(F.lit(1)).alias("df")), f"{path}/terms", "term")
+    frequent = spark.read.parquet(f"{path}/terms").where(F.col("df") >= LEAST_PER_BLOCK * blocks).select("bucket", "term")
+    maxima = block_maxima(rows.join(frequent, ["bucket", "term"], "left_semi"), statistics["mean"] or 0.0)
+    _write(maxima, f"{path}/blocks", "term", "block")
+    facts = "documents long, mean double, buckets int, unicode boolean, blocks int"
+    spark.createDataFrame([(*statistics, buckets, unicode, blocks)], facts).write.mode("overwrite").parquet(f"{path}/statistics")
+
+
+class _Lookup:
+    """What an index holds for a phrase, and which of it has to be read for the best hits."""
+
+    def __init__(self, spark: SparkSession, path: str, phrase: str, limit: int) -> None:
+        self.statistics = spark.read.parquet(f"{path}/statistics").first()
+        terms = query_terms(phrase, self.statistics["unicode"])
+        if not self.statistics["documents"]:
+            terms = []
+        self.found: dict[str, int] = {}
+        if terms:
+            # One row per query term.
+            rows = spark.read.parquet(f"{path}/terms").where(self._wanted(terms)).select("term", "df").collect()
+            self.found = {row.term: row.df for row in rows}
+        self.terms = [term for term in terms if term in self.found]
+        self.skipped = None
+        if self.terms:
+            every = spark.read.parquet(f"{path}/postings")
+            self.hits = every.where(self._wanted(self.terms))
+            self._skip(spark, path, every, limit)
+
+    def _wanted(self, terms: list[str]) -> Column:
+        buckets = [term_bucket(F.lit(term), self.statistics["buckets"]) for term in terms]
+        return F.col("bucket").isin(*buckets) & F.col("term").isin(*terms)
+
+    def _skip(self, spark: SparkSession, path: str, every: DataFrame, limit: int) -> None:
+        """Read only some blocks of the most frequent term, where its blocks are described and the other terms are rare.
+
+        A sentence with another term as well lies in a block of that term. One without scores what its own posting does,
+        so it comes after the best posting of its block; if ``limit`` blocks have a better
+        best one, none of the block is among the hits.
+        """
+        frequent = max(self.terms, key=lambda term: (self.found[term], term))
+        rare = [term for term in self.terms if term != frequent]
+        blocks = self.statistics["blocks"]
+        if self.found[frequent] < LEAST_PER_BLOCK * blocks or limit >= blocks or sum(self.found[t] for t in rare) > MOST_LOOKED_UP:
+            return
+        maxima = spark.read.parquet(f"{path}/blocks").where(self._wanted([frequent]))
+        best = maxima.orderBy(F.desc("impact"), "fileName", "position").limit(limit).select("block")
+        needed = {row.block for row in best.collect()}
+        if rare:
+            needed |= {row.block for row in every.where(self._wanted(rare)).select("block").distinct().collect()}
+        if 2 * len(needed) > blocks:
+            return
+        self.skipped = frequent
+        some = self._wanted([frequent]) & F.col("block").isin(sorted(needed))
+        self.hits = every.where(some | self._wanted(rare) if rare else some)
 
 
 def search_index(
@@ -170,44 +246,51 @@ def search_index(
     """``search`` over written postings. Only the final hits are looked up in ``sentences``.
 
     The postings are read once: the hits are counted as they pass by on the way to
-    the top rows. At most ``MOST_HITS`` may be asked for, as the driver holds them.
+    the top rows. Where blocks of the most frequent term are skipped, the sentences without it are counted and the
+    others known from its frequency. At most ``MOST_HITS`` may be asked for, as the driver holds them.
     """
     if not 0 < limit <= MOST_HITS:
         raise ValueError(f"limit must be between 1 and {MOST_HITS}")
-    statistics = spark.read.parquet(f"{path}/statistics").first()
-    terms = query_terms(phrase, statistics["unicode"])
-    if not terms or not statistics["documents"]:
-        return _no_hits(sentences)
-    buckets = [term_bucket(F.lit(term), statistics["buckets"]) for term in terms]
-    wanted = F.col("bucket").isin(*buckets) & F.col("term").isin(*terms)
-    # One row per query term.
-    found = {row.term: row.df for row in spark.read.parquet(f"{path}/terms").where(wanted).select("term", "df").collect()}
-    terms = [term for term in terms if term in found]
+    known = _Lookup(spark, path, phrase, limit)
+    terms, statistics = known.terms, known.statistics
     if not terms:
         return _no_hits(sentences)
     score = {
         term: _term_score(
-            _idf(F.lit(statistics["documents"]), F.lit(found[term])), F.col("tf"), F.col("length"), F.lit(statistics["mean"])
+            _idf(F.lit(statistics["documents"]), F.lit(known.found[term])), F.col("tf"), F.col("length"), F.lit(statistics["mean"])
         )
         for term in terms
     }
-    hits = spark.read.parquet(f"{path}/postings").where(wanted)
     # Added up in the order of the terms, as the scan does, so that both give the same score to the last digit.
-    grouped = hits.groupBy("fileName", "position").agg(
+    grouped = known.hits.groupBy("fileName", "position").agg(
         *[F.max(F.when(F.col("term") == term, score[term])).alias(f"_part{i}") for i, term in enumerate(terms)]
     )
     parts = [F.coalesce(f"_part{i}", F.lit(0.0)) for i in range(len(terms))]
     counted = Observation()
-    scored = grouped.select("fileName", "position", sum(parts[1:], parts[0]).alias("_score"))
-    scored = scored.observe(counted, F.count(F.lit(1)).alias("total"))
+    if known.skipped is None:
+        more, total = 0, F.count(F.lit(1))
+    else:
+        more, total = known.found[known.skipped], F.count_if(F.col(f"_part{terms.index(known.skipped)}").isNull())
+    scored = grouped.observe(counted, total.alias("total"))
+    scored = scored.select("fileName", "position", sum(parts[1:], parts[0]).alias("_score"))
     best = scored.orderBy(F.desc("_score"), "fileName", "position").limit(limit).toArrow()
-    known = spark.createDataFrame(best).withColumn("total", F.lit(counted.get["total"]).cast("bigint"))
-    rows = look_up(sentences, known, sorted(set(best["fileName"].to_pylist())))
+    hits = spark.createDataFrame(best).withColumn("total", F.lit(counted.get["total"] + more).cast("bigint"))
+    rows = look_up(sentences, hits, sorted(set(best["fileName"].to_pylist())))
     return rows.orderBy(F.desc("_score"), "fileName", "position").select(
         *HIT_COLUMNS, F.round("_score", 4).alias("score"), "total"
     )
 
 
+def postings_to_read(spark: SparkSession, path: str, phrase: str, limit: int = TOP) -> DataFrame:
+    """``term, postings, needed`` of each term of a phrase that occurs: how many there are, and how many a search reads."""
+    known = _Lookup(spark, path, phrase, limit)
+    if not known.terms:
+        return spark.createDataFrame([], "term string, postings long, needed long")
+    counts = known.hits.groupBy("term").agg(F.count(F.lit(1)).alias("needed"))
+    found = spark.createDataFrame([(term, known.found[term]) for term in known.terms], "term string, postings long")
+    return found.join(counts, "term").select("term", "postings", "needed")
+
+
 def look_up(sentences: DataFrame, hits: DataFrame, names: list[str]) -> DataFrame:
     """The sentences of a few hits in the books named.
 

@@ -18,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the registered queries, shared with their SQL.
 PHRASE = "the thing with tion"
+RARE_PHRASE = "the thing"
 UNICODE_PHRASE = "été el niño"
 POSITIVE = ["for", "with", "and", "la", "der", "in", "tion"]
 NEGATIVE = ["was", "of", "que", "von", "in", "est", "rewh"]
@@ -402,9 +403,23 @@ def phrase_search_by_index(spark, folder):
     return search.search_index(spark, landing.search_index(spark, folder), store, PHRASE)
 
 
+@query
+def phrase_search_with_rare_term(spark, folder):
+    """A frequent and a rare term, by an index of small blocks: most blocks of the frequent term are skipped."""
+    store = spark.read.parquet(landing.sentence_store(spark, folder))
+    return search.search_index(spark, landing.small_block_index(spark, folder), store, RARE_PHRASE, 5)
+
+
+@query
+def frequent_term_search(spark, folder):
+    """One frequent term alone: as many blocks are read as hits are asked for."""
+    store = spark.read.parquet(landing.sentence_store(spark, folder))
+    return search.search_index(spark, landing.small_block_index(spark, folder), store, "the", 5)
+
+
 @query
 def postings(spark, folder):
-    return search.postings(fact(spark, folder), landing.INDEX_BUCKETS).drop("bucket")
+    return search.postings(fact(spark, folder), landing.INDEX_BUCKETS).drop("bucket", "block")
 
 
 # Sentiment

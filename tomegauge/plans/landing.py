@@ -132,6 +132,12 @@ def search_index(spark: SparkSession, folder: str, path: str) -> None:
     search.write_index(store, path, INDEX_BUCKETS)
 
 
+@_once
+def small_block_index(spark: SparkSession, folder: str, path: str) -> None:
+    """An index with so small blocks that even the smallest test table has enough of them to skip some."""
+    search.write_index(spark.read.parquet(sentence_store(spark, folder)), path, INDEX_BUCKETS, block_sentences=32)
+
+
 def labelled_words(spark: SparkSession, folder: str, label: str) -> DataFrame:
     """The distinct Unicode tokens of the documents with a label set."""
     labels = tables.corpus_labels(spark, folder).where(F.col(label) == 1).select("doc_id")

@@ -166,7 +166,7 @@ def _json(columns: str, key: str = "") -> str:
     return "to_json({" + ", ".join(fields + [f"'{c}': {c}" for c in columns.split(", ")]) + "})"
 
 
-def _bm25(phrase: str, unicode: bool) -> str:
+def _bm25(phrase: str, unicode: bool, limit: int = 20) -> str:
     terms = query_terms(phrase, unicode)
     cut = _unicode_tokens if unicode else _tokens
     gain = "ln(1e0 + (docs - df + 0.5e0) / (df + 0.5e0)) * tf"
@@ -181,7 +181,7 @@ def _bm25(phrase: str, unicode: bool) -> str:
       FROM hits JOIN df USING (term) JOIN sized USING (fileName, position), corpus GROUP BY 1, 2)
     SELECT fileName, position, multiSyllableCount, sentenceText, {_round('score', 4)} AS score,
       (SELECT count(*) FROM ranked) AS total
-    FROM ranked JOIN sized USING (fileName, position) ORDER BY ranked.score DESC, fileName, position LIMIT 20"""
+    FROM ranked JOIN sized USING (fileName, position) ORDER BY ranked.score DESC, fileName, position LIMIT {limit}"""
 
 
 def _replace(levels: int, least: int = 1) -> str:
@@ -354,6 +354,8 @@ def oracle_sql() -> dict[str, str]:
         "phrase_search": _bm25(catalog.PHRASE, False),
         "phrase_search_unicode": _bm25(catalog.UNICODE_PHRASE, True),
         "phrase_search_by_index": _bm25(catalog.PHRASE, False),
+        "phrase_search_with_rare_term": _bm25(catalog.RARE_PHRASE, False, 5),
+        "frequent_term_search": _bm25("the", False, 5),
         "postings": f"""{_FACTS}
             SELECT term, fileName, position, length, count(*) AS tf FROM
               (SELECT fileName, position, CAST(len(words) AS INTEGER) AS length, unnest(words) AS term FROM facts)
