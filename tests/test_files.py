@@ -3,9 +3,13 @@
 import json
 import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -320,6 +324,35 @@ def test_stages(spark, folder, sentences):
     assert difference.count() == 0
 
 
+def test_a_saved_pipeline_gives_equal_rows_elsewhere(spark, folder, tmp_path):
+    raw = tables.document_books(spark, folder)
+    stages = Pipeline(stages=[sentence_splitter(abbreviations=["Dr."]), tokenizer(unicode=True), syllable_counter(minSyllables=3)])
+    for pipeline, path in ((stages, str(tmp_path / "stages")), (readability_stages(), str(tmp_path / "table"))):
+        pipeline.write().overwrite().save(path)
+        expected = pipeline.fit(raw).transform(raw)
+        back = Pipeline.load(path).fit(raw).transform(raw)
+        assert back.columns == expected.columns
+        assert back.exceptAll(expected).count() == 0 == expected.exceptAll(back).count()
+    # In another session: another process that knows nothing but the folder.
+    code = f"""
+from pyspark.ml import Pipeline
+from tomegauge.session import local_session
+from tomegauge.sources import tables
+spark = local_session(2, memory="1g")
+raw = tables.document_books(spark, {folder!r})
+print("rows", Pipeline.load({str(tmp_path / "stages")!r}).fit(raw).transform(raw).selectExpr("sum(multiSyllableCount) as s").first().s)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=Path(__file__).parent.parent)
+    total = stages.fit(raw).transform(raw).selectExpr("sum(multiSyllableCount) as s").first().s
+    assert f"rows {total}" in out.stdout, out.stderr[-2000:]
+
+
+def test_stage_parameters_are_copied(spark):
+    stage = syllable_counter(minSyllables=3)
+    other = stage.copy({stage.minSyllables: 2})
+    assert (stage.getOrDefault(stage.minSyllables), other.getOrDefault(other.minSyllables)) == (3, 2)
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     from tomegauge.session import scratch_path
 

@@ -1,5 +1,9 @@
 """Grades, ranges, passages and word replacement on small hand-checked tables."""
 
+import bisect
+import functools
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -7,7 +11,8 @@ from pyspark.sql import functions as F
 from tomegauge.functions import grades
 from tomegauge.operators import documents, passages, scores, search, sentiment, vocabulary
 from tomegauge.operators.running import running_total
-from tomegauge.schemas import LEXICON, SENTENCES
+from tomegauge.operators.sentences import split_books
+from tomegauge.schemas import BOOKS, LEXICON, SENTENCES
 from tomegauge.sources.dictionaries import given_words
 
 
@@ -162,3 +167,92 @@ def test_dale_chall_without_easy_words_and_with_all(spark, book):
     every = vocabulary.dale_chall_scores(table, given_words(spark, ["cats", "dogs", "run"])).first()
     assert (none.difficult, none.dale_chall) == (4, round(0.1579 * 100 + 0.0496 * 2 + 3.6365, 2))
     assert (every.difficult, every.dale_chall) == (0, 0.1)
+
+
+def graded_blocks(spark, grades_, name="b"):
+    """A book of thirty-sentence blocks that have about the given numbers of multi-syllable words."""
+    return rows_of(spark, [c for g in grades_ for c in [g] + [0] * 29], name)
+
+
+def cheapest(values, penalty):
+    """Least cost over all ways to cut a series, by trying them all."""
+    def cost(part):
+        mean = sum(part) / len(part)
+        return sum((x - mean) ** 2 for x in part)
+
+    n, found = len(values), []
+    for mask in range(1 << (n - 1)):
+        cuts = [0, *[k + 1 for k in range(n - 1) if mask >> k & 1], n]
+        found.append((sum(cost(values[a:b]) + penalty for a, b in zip(cuts, cuts[1:], strict=False)), cuts))
+    return min(found)
+
+
+@pytest.mark.parametrize("penalty", [0.5, 3.0, 12.0, 1000.0])
+def test_change_points_against_all_cuts(spark, penalty):
+    draw = random.Random(int(penalty))
+    books = {f"b{k}": [draw.randrange(0, 3) + draw.choice([0, 20]) * (j > 4) for j in range(draw.randrange(1, 10))] for k in range(12)}
+    table = functools.reduce(lambda a, b: a.unionByName(b), [graded_blocks(spark, g, n) for n, g in books.items()])
+    smog = {n: [r.smog for r in sorted(passages.block_scores(table.where(f"fileName = '{n}'")).collect(), key=lambda r: r.block)] for n in books}
+    found = {}
+    for r in sorted(passages.change_points(table, penalty=penalty).collect(), key=lambda r: (r.fileName, r.segment)):
+        found.setdefault(r.fileName, []).append(r)
+    assert found.keys() == books.keys()
+    for name, rows in found.items():
+        values = smog[name]
+        least, _ = cheapest(values, penalty)
+        assert [r.segment for r in rows] == list(range(len(rows)))
+        assert rows[0].first_block == 0 and rows[-1].last_block == len(values) - 1
+        assert all(a.last_block + 1 == b.first_block for a, b in zip(rows, rows[1:], strict=False))
+        parts = [values[r.first_block : r.last_block + 1] for r in rows]
+        assert [r.mean_smog for r in rows] == [pytest.approx(sum(p) / len(p), abs=0.0051) for p in parts]
+        assert sum(sum((x - sum(p) / len(p)) ** 2 for x in p) + penalty for p in parts) == pytest.approx(least, abs=1e-4)
+
+
+def test_a_long_book_of_two_halves(spark):
+    table = graded_blocks(spark, [3] * 300 + [9] * 300)
+    assert [(r.first_block, r.last_block) for r in passages.change_points(table).orderBy("segment").collect()] == [(0, 299), (300, 599)]
+
+
+def test_merged_sketches_keep_their_rank_error(spark):
+    draw = random.Random(4)
+    names = [f"b{k}" for k in range(40)]
+    blocks = [(n, k, 30, draw.randrange(200)) for n in names for k in range(500)]
+    sentences = spark.createDataFrame(blocks, "fileName string, block int, n int, m int").select(
+        "fileName", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("i"), (F.col("block") * 30 + F.col("i")).alias("position"),
+        F.when(F.col("i") == 0, F.col("m")).otherwise(0).alias("multiSyllableCount"),
+    )
+    exact = sorted(r.smog for r in passages.block_scores(sentences).collect())
+    for size, error in ((200, 0.02), (4096, 0.001)):
+        whole = passages.merged_sketches(passages.grade_sketches(sentences, sketch=size), sketch=size)
+        for row in passages.sketch_quantiles(whole, [0.0, 0.1, 0.5, 0.9, 1.0]).collect():
+            low, high = bisect.bisect_left(exact, row.smog) / len(exact), bisect.bisect_right(exact, row.smog) / len(exact)
+            assert row.blocks == 20_000 and low - error <= row.quantile <= high + error
+
+
+def test_abbreviations_are_learned_from_the_texts(spark):
+    draw = random.Random(6)
+    words = ["the", "walk", "was", "long", "machine", "cat", "house", "went", "home", "no"]
+    names, made, texts = ["dr", "etc", "e.g", "mr"], 0, []
+    for k in range(60):
+        sentences = []
+        for _ in range(20):
+            body = draw.choices(words, k=draw.randrange(4, 9))
+            if draw.random() < 0.5:
+                body.insert(draw.randrange(len(body)), draw.choice(names) + ".")
+            sentences.append(" ".join(body) + ".")
+        made += len(sentences)
+        texts.append((f"t{k}", " ".join(sentences)))
+    books = spark.createDataFrame(texts, BOOKS)
+    learned = [r.word for r in vocabulary.learned_abbreviations(books).collect()]
+    assert sorted(learned) == sorted(names)
+    bare, guarded = (split_books(books, a).count() for a in ([], learned))
+    assert guarded == made < bare
+    assert vocabulary.learned_abbreviations(books.where("false")).count() == 0
+    assert vocabulary.learned_abbreviations(spark.createDataFrame([("a", "mr. mr. mr.")], BOOKS)).count() == 0
+
+
+def test_polar_words_follow_from_the_dictionaries(spark):
+    lemmas = spark.createDataFrame([("worse", "bad"), ("better", "good"), ("good", "fine"), ("better", "well")], "form string, lemma string")
+    lexicon = spark.createDataFrame([("bad", "negative"), ("good", "positive"), ("odd", "positive"), ("odd", "negative")], LEXICON)
+    found = {r.word: r.polarity for r in sentiment.polar_words(lemmas, lexicon).collect()}
+    assert found == {"worse": -1, "bad": -1, "better": 1}  # good itself stands for fine

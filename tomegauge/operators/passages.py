@@ -1,5 +1,7 @@
 """Scores of parts of a book: ranges, blocks, rolling passages, trends."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,13 @@ PASSAGE_SENTENCES = 30
 
 CHUNK_POSITIONS = 3000
 
+# Size of a quantile sketch: exact up to as many blocks, beyond that ranks err by less than a thousandth.
+SKETCH_SIZE = 4096
+QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+# What another segment must save in squared grades.
+PENALTY = 12.0
+
 
 def passage_score(sentences: DataFrame, file_name: str, first: int, last: int) -> DataFrame:
     """Grade of sentences ``first`` to ``last`` of one book, both included; of a stored table one bucket is opened."""
@@ -163,3 +172,78 @@ def book_trends(sentences: DataFrame, size: int = PASSAGE_SENTENCES) -> DataFram
         )
         .where(F.col("blocks") > 1)
     )
+
+
+def grade_sketches(sentences: DataFrame, size: int = PASSAGE_SENTENCES, sketch: int = SKETCH_SIZE) -> DataFrame:
+    """A quantile sketch of the block grades per book: ``fileName, blocks, sketch``, which may be stored and merged."""
+    return block_scores(sentences, size).groupBy("fileName").agg(
+        F.count(F.lit(1)).alias("blocks"), F.kll_sketch_agg_double("smog", sketch).alias("sketch")
+    )
+
+
+def merged_sketches(sketches: DataFrame, *by: str, sketch: int = SKETCH_SIZE) -> DataFrame:
+    """The sketches of groups of books, or without ``by`` of all: the grades themselves are not read again."""
+    return sketches.groupBy(*by).agg(F.sum("blocks").alias("blocks"), F.kll_merge_agg_double("sketch", sketch).alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+    """A row per sketch and quantile: the least grade whose rank reaches it."""
+    pairs = [
+        F.struct(F.lit(float(q)).alias("quantile"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(q))).alias("smog"))
+        for q in quantiles
+    ]
+    kept = [c for c in sketches.columns if c != "sketch"]
+    return sketches.select(*kept, F.inline(F.array(*pairs)))
+
+
+def _cost(at: Column, place: Column, total: Column, square: Column) -> Column:
+    """Least cost of the grades so far, if the last segment begins after candidate ``at``: squared distances from the means."""
+    length = (place - at["place"]).cast("double")
+    gap = total - at["total"]
+    return at["cost"] + ((square - at["square"]) - gap * gap / length)
+
+
+def change_points(sentences: DataFrame, size: int = PASSAGE_SENTENCES, penalty: float = PENALTY) -> DataFrame:
+    """Each book's blocks in segments of about equal grade: ``fileName, segment, first_block, last_block, mean_smog``.
+
+    The segments are those with the least sum of squared distances from their mean grades, plus ``penalty`` per
+    segment; of equal sums (to six decimals) the one whose last segment begins first. Found in one pass over a book's full blocks that
+    keeps only beginnings which may still be best (Killick, Fearnhead and Eckley 2012). A row holds one book's
+    grades, a thirtieth of its sentences; the time grows with the square of the blocks of a book that never changes.
+    """
+    blocks = block_scores(sentences, size).groupBy("fileName").agg(
+        F.array_sort(F.collect_list(F.struct("block", "smog")))["smog"].alias("grades")
+    )
+    start = F.struct(
+        F.lit(0).alias("place"), F.lit(0.0).alias("cost"), F.lit(0.0).alias("total"), F.lit(0.0).alias("square"),
+        F.array().cast("array<int>").alias("cuts"),
+    )
+    state = F.struct(F.array(start).alias("open"), start.alias("best"))
+
+    def step(so_far: Column, grade: Column) -> Column:
+        place = so_far["best"]["place"] + 1
+        total, square = so_far["best"]["total"] + grade, so_far["best"]["square"] + grade * grade
+        # Bound once: each candidate with its cost up to here.
+        costed = F.transform(so_far["open"], lambda at: F.struct(_cost(at, place, total, square).alias("sum"), at.alias("at")))
+        least = F.array_min(F.transform(costed, lambda c: F.struct(F.round(c["sum"] + penalty, 6).alias("cost"), c["at"]["place"].alias("from"), c["at"]["cuts"].alias("cuts"))))
+        joined = F.transform(
+            F.array(F.struct(costed.alias("costed"), least.alias("least"))),
+            lambda x: F.struct(
+                F.filter(x["costed"], lambda c: c["sum"] <= x["least"]["cost"]).alias("costed"),
+                F.struct(
+                    place.alias("place"), x["least"]["cost"].alias("cost"), total.alias("total"), square.alias("square"),
+                    F.concat(x["least"]["cuts"], F.array(x["least"]["from"])).alias("cuts"),
+                ).alias("best"),
+            ),
+        )[0]
+        return F.transform(
+            F.array(joined),
+            lambda x: F.struct(F.concat(F.transform(x["costed"], lambda c: c["at"]), F.array(x["best"])).alias("open"), x["best"].alias("best")),
+        )[0]
+
+    found = blocks.select("fileName", "grades", F.aggregate("grades", state, step)["best"]["cuts"].alias("cuts"))
+    rows = found.select("fileName", "grades", "cuts", F.posexplode("cuts").alias("segment", "first_block"))
+    end = F.coalesce(F.try_element_at("cuts", F.col("segment") + 2), F.size("grades"))
+    part = F.slice("grades", F.col("first_block") + 1, end - F.col("first_block"))
+    mean = F.aggregate(part, F.lit(0.0), lambda a, x: a + x) / F.size(part)
+    return rows.select("fileName", "segment", "first_block", (end - 1).alias("last_block"), F.round(mean, 2).alias("mean_smog"))

@@ -1,6 +1,6 @@
 """Questions that look at single words: difficulty lists, flagged words, replacements."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tomegauge.functions import grades, text
@@ -10,6 +10,10 @@ from tomegauge.operators.sentences import explode_once, sentence_tokens
 
 HEAD_CHARACTERS = 3
 
+# The collocation statistic of Kiss and Strunk (2006) for abbreviations.
+ABBREVIATION_CERTAINTY = 0.99
+ABBREVIATION_SCORE = 0.3
+
 
 def difficult_words(sentences: DataFrame, easy_words: DataFrame) -> DataFrame:
     """Words per book that are not in ``easy_words(word)``."""
@@ -166,3 +170,31 @@ def words_to_replace(
         .where(F.col("before") < F.col("needed"))
         .select("fileName", "word", "occurrences", "before", "needed")
     )
+
+
+def _log_likelihood(hits: Column, trials: Column, share: Column) -> Column:
+    return hits * F.log(share) + (trials - hits) * F.log(1.0 - share)
+
+
+def learned_abbreviations(books: DataFrame, least: float = ABBREVIATION_SCORE) -> DataFrame:
+    """Words that take a full stop far more often than words do: ``word, with_stop, without_stop, score``.
+
+    A likelihood ratio tells whether a full stop belongs to the word; it counts less for longer words, more for words
+    with stops inside, and much less if the word also occurs without. Words are of ASCII letters, between
+    white space, in lower case. One grouping of single words and one row of corpus totals; nothing has to be labelled.
+    """
+    words = books.select(F.regexp_extract_all(F.lower("rawDocument"), F.lit(r"\S++"), F.lit(0)).alias("_words"))
+    words = explode_once(words, "_words", "_place", "_word").where(F.col("_word").rlike(r"\A[a-z]+(\.[a-z]+)*\.?\z"))
+    stop = F.col("_word").endswith(".")
+    counts = words.groupBy(F.rtrim("_word", F.lit(".")).alias("word")).agg(
+        F.count_if(stop).alias("with_stop"), F.count_if(~stop).alias("without_stop")
+    )
+    totals = counts.agg(F.struct(F.sum("with_stop").alias("stops"), F.sum(F.col("with_stop") + F.col("without_stop")).alias("words"))).scalar()
+    hits, trials = F.col("with_stop").cast("double"), (F.col("with_stop") + F.col("without_stop")).cast("double")
+    ratio = 2.0 * (_log_likelihood(hits, trials, F.lit(ABBREVIATION_CERTAINTY)) - _log_likelihood(hits, trials, totals["stops"] / totals["words"]))
+    inside = F.length("word") - F.length(F.replace("word", F.lit("."), F.lit("")))
+    letters = (F.length("word") - inside).cast("double")
+    score = ratio * F.exp(-letters) * (inside + 1) * F.pow(letters, -F.col("without_stop").cast("double"))
+    # A share of one leaves nothing to tell apart.
+    found = counts.where((F.col("with_stop") > 0) & (totals["stops"] < totals["words"])).withColumn("score", F.round(score, 4))
+    return found.where(F.col("score") >= least)

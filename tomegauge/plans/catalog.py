@@ -312,6 +312,23 @@ def block_changes(spark, folder):
     return passages.block_changes(fact(spark, folder))
 
 
+@query
+def genre_quantiles(spark, folder):
+    """Quantiles of the block grades per genre, from sketches per book."""
+    sketches = passages.grade_sketches(fact(spark, folder)).join(tables.document_genres(spark, folder), "fileName")
+    return passages.sketch_quantiles(passages.merged_sketches(sketches, "genre"))
+
+
+@query
+def change_points(spark, folder):
+    return passages.change_points(fact(spark, folder))
+
+
+@query
+def learned_abbreviations(spark, folder):
+    return vocabulary.learned_abbreviations(tables.document_books(spark, folder))
+
+
 @query
 def book_trends(spark, folder):
     return passages.book_trends(fact(spark, folder))

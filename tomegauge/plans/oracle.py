@@ -306,6 +306,43 @@ def oracle_sql() -> dict[str, str]:
             SELECT fileName, count(*) AS blocks, min(smog) AS min_smog,
                    {_round('quantile_cont(smog, 0.25)', 4)} AS q1_smog, {_round('quantile_cont(smog, 0.5)', 4)} AS median_smog,
                    {_round('quantile_cont(smog, 0.75)', 4)} AS q3_smog, max(smog) AS max_smog FROM blocks GROUP BY 1""",
+        "genre_quantiles": f"""{_BLOCKS}, graded AS (SELECT source AS genre, smog FROM blocks JOIN books USING (fileName)),
+            asked AS (SELECT unnest([0.05e0, 0.25e0, 0.5e0, 0.75e0, 0.95e0]) AS quantile),
+            placed AS (SELECT genre, smog, row_number() OVER (PARTITION BY genre ORDER BY smog) AS place,
+              count(*) OVER (PARTITION BY genre) AS blocks FROM graded)
+            SELECT genre, CAST(blocks AS BIGINT) AS blocks, quantile, min(smog) AS smog FROM placed, asked
+            WHERE place >= quantile * blocks GROUP BY 1, 2, 3""",
+        # Every beginning of the last segment is tried at every block; nothing is left out.
+        "change_points": f"""{_BLOCKS.replace('WITH', 'WITH RECURSIVE', 1)},
+            series AS (SELECT fileName, list(smog ORDER BY block) AS g FROM blocks GROUP BY 1),
+            summed AS (SELECT fileName, g, list_transform(range(0, len(g) + 1), lambda k: coalesce(list_sum(g[1:k]), 0e0)) AS s,
+              list_transform(range(0, len(g) + 1), lambda k: coalesce(list_sum(list_transform(g[1:k], lambda x: x * x)), 0e0)) AS q FROM series),
+            best(fileName, t, costs, froms) AS (
+              SELECT fileName, 0, [0e0], [CAST(0 AS BIGINT)] FROM summed
+              UNION ALL
+              SELECT fileName, t, list_append(costs, list_min(tried)), list_append(froms, CAST(list_position(tried, list_min(tried)) - 1 AS BIGINT))
+              FROM (SELECT b.fileName, b.t + 1 AS t, costs, froms,
+                  list_transform(range(0, b.t + 1), lambda k: round(costs[k + 1] + ((q[b.t + 2] - q[k + 1])
+                    - (s[b.t + 2] - s[k + 1]) * (s[b.t + 2] - s[k + 1]) / CAST(b.t + 1 - k AS DOUBLE)) + 12e0, 6)) AS tried
+                FROM best b JOIN summed USING (fileName) WHERE b.t < len(g))),
+            done AS (SELECT fileName, g, froms FROM best JOIN summed USING (fileName) WHERE t = len(g)),
+            walked(fileName, a, b) AS (
+              SELECT fileName, froms[len(g) + 1], CAST(len(g) AS BIGINT) FROM done
+              UNION ALL
+              SELECT w.fileName, froms[a + 1], a FROM walked w JOIN done USING (fileName) WHERE a > 0)
+            SELECT fileName, CAST(row_number() OVER (PARTITION BY fileName ORDER BY a) - 1 AS INTEGER) AS segment, CAST(a AS INTEGER) AS first_block,
+              CAST(b - 1 AS INTEGER) AS last_block, {_round('list_sum(g[a + 1:b]) / (b - a)', 2)} AS mean_smog FROM walked JOIN done USING (fileName)""",
+        "learned_abbreviations": f"""WITH {_BOOKS},
+            words AS (SELECT w FROM (SELECT unnest(regexp_split_to_array(lower(rawDocument), '\\s+')) AS w FROM books)
+              WHERE regexp_full_match(w, '[a-z]+(\\.[a-z]+)*\\.?')),
+            counts AS (SELECT rtrim(w, '.') AS word, count(*) FILTER (WHERE suffix(w, '.')) AS with_stop,
+              count(*) FILTER (WHERE NOT suffix(w, '.')) AS without_stop FROM words GROUP BY 1),
+            totals AS (SELECT CAST(sum(with_stop) AS DOUBLE) / sum(with_stop + without_stop) AS share FROM counts),
+            scored AS (SELECT word, with_stop, without_stop, length(replace(word, '.', '')) AS letters,
+              2e0 * ((with_stop * ln(0.99e0) + without_stop * ln(1e0 - 0.99e0)) - (with_stop * ln(share) + without_stop * ln(1e0 - share))) AS ratio,
+              FROM counts, totals WHERE with_stop > 0)
+            SELECT word, with_stop, without_stop, {_round("ratio * exp(-letters) * (length(word) - letters + 1) * pow(letters, -without_stop)", 4)} AS score
+            FROM scored WHERE {_round("ratio * exp(-letters) * (length(word) - letters + 1) * pow(letters, -without_stop)", 4)} >= 0.3""",
         "block_histogram": f"""{_BLOCKS}
             SELECT fileName, CAST(floor(smog) AS BIGINT) AS grade, count(*) AS blocks FROM blocks GROUP BY 1, 2""",
         "rolling_scores": f"""{_FACTS},

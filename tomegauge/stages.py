@@ -1,12 +1,13 @@
 """The same transformations as stages of a ``pyspark.ml`` pipeline.
 
-A stage only names columns and calls the DataFrame function; there is nothing
-to train, so ``fit`` runs no job.
+A stage has parameters and calls a DataFrame function with them; there is nothing
+to train, so ``fit`` runs no job. Stages and pipelines can be saved and loaded in another session.
 """
 
-from collections.abc import Callable
-
 from pyspark.ml import Pipeline, Transformer
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
 from tomegauge.functions import text
@@ -14,35 +15,77 @@ from tomegauge.operators import sentences
 from tomegauge.schemas import SENTENCE_COLUMNS
 
 
-class FrameStage(Transformer):
-    """A pipeline stage from a function on DataFrames."""
+class _Stage(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """A stage whose parameters are set by name; ``_defaults`` are those it starts with."""
+
+    _defaults: dict = {}
 
-    def __init__(self, step: Callable[[DataFrame], DataFrame]):
+    def __init__(self, **params):
         super().__init__()
-        self.step = step
+        self._setDefault(**self._defaults)
+        self._set(**params)
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return self.step(dataset)
+    def _value(self, name: str):
+        return self.getOrDefault(getattr(self, name))
 
 
-def sentence_splitter() -> FrameStage:
+class SentenceSplitter(_Stage):
     """Books to sentences."""
-    return FrameStage(sentences.split_books)
 
+    abbreviations = Param(Params._dummy(), "abbreviations", "words whose full stop ends no sentence", TypeConverters.toListString)
+    _defaults = {"abbreviations": []}
 
-def tokenizer(input_col: str = "sentenceText", output_col: str = "words") -> FrameStage:
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return sentences.split_books(dataset, self._value("abbreviations"))
+
+
+class WordTokenizer(_Stage, HasInputCol, HasOutputCol):
     """Add the token array of a column."""
-    return FrameStage(lambda rows: rows.withColumn(output_col, text.tokens(input_col)))
 
+    unicode = Param(Params._dummy(), "unicode", "whether letters and digits of all scripts make words", TypeConverters.toBoolean)
+    _defaults = {"inputCol": "sentenceText", "outputCol": "words", "unicode": False}
 
-def syllable_counter(input_col: str = "words", output_col: str = "multiSyllableCount") -> FrameStage:
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn(self.getOutputCol(), text.tokens(self.getInputCol(), self._value("unicode")))
+
+
+class _Counting(_Stage):
+    minSyllables = Param(Params._dummy(), "minSyllables", "syllables from which a word counts as multi-syllable", TypeConverters.toInt)
+
+
+class SyllableCounter(_Counting, HasInputCol, HasOutputCol):
     """Add the multi-syllable words of a token array."""
-    return FrameStage(lambda rows: rows.withColumn(output_col, text.multi_syllable_words(input_col)))
 
+    _defaults = {"inputCol": "words", "outputCol": "multiSyllableCount", "minSyllables": text.MULTI_SYLLABLE_FROM}
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        count = text.multi_syllable_words(self.getInputCol(), self._value("minSyllables"))
+        return dataset.withColumn(self.getOutputCol(), count)
 
-def sentence_counter() -> FrameStage:
+
+class SentenceCounter(_Counting):
     """Add both word counts of a sentence and keep the columns of the sentence table."""
-    return FrameStage(lambda rows: sentences.count_words(rows).select(*SENTENCE_COLUMNS))
+
+    _defaults = {"minSyllables": text.MULTI_SYLLABLE_FROM}
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return sentences.count_words(dataset, self._value("minSyllables")).select(*SENTENCE_COLUMNS)
+
+
+def sentence_splitter(**params) -> SentenceSplitter:
+    return SentenceSplitter(**params)
+
+
+def tokenizer(input_col: str = "sentenceText", output_col: str = "words", unicode: bool = False) -> WordTokenizer:
+    return WordTokenizer(inputCol=input_col, outputCol=output_col, unicode=unicode)
+
+
+def syllable_counter(input_col: str = "words", output_col: str = "multiSyllableCount", **params) -> SyllableCounter:
+    return SyllableCounter(inputCol=input_col, outputCol=output_col, **params)
+
+
+def sentence_counter(**params) -> SentenceCounter:
+    return SentenceCounter(**params)
 
 
 def readability_stages() -> Pipeline:
