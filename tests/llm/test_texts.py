@@ -234,6 +234,36 @@ def test_word_by_word_encoding_is_exact(config, texts):
         assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_encoding_with_little_memory_is_exact(config, texts):
+    whole, encoder = Tokenizer.from_str(config), tokens.Encoder(config, remembered=256)
+    draw = random.Random(3)
+    every = ["| a|b x|", "x" * 25 + " y" * 3, "z" * 300, "", " ".join(f"{draw.choice('ab|~')}{k}" for k in range(600)), *(t or "" for t in list(texts.values())[:40])]
+    for _ in range(2):
+        for at in range(0, len(every), 7):
+            part = every[at : at + 7]
+            for text, ids in zip(part, encoder.encode(part, 2), strict=True):
+                assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_words_are_found_by_all_their_bytes():
+    known = tokens.WordIds("<u2", 64)
+    words = [b"a", b"ab", b"a\0", b"abcdefgh", b"abcdefghi", b"abcdefgh" * 3, b"abcdefgh" * 2 + b"abcdefgx", *(b"w%d" % k for k in range(50))]
+    data = b"".join(words)
+    ends = np.cumsum([len(w) for w in words])
+    lengths = np.array([len(w) for w in words])
+    lanes = known.cut(np.frombuffer(data + bytes(32), np.uint8), ends - lengths, lengths)
+    sizes = lengths.astype(np.uint8)
+    assert (known.find(lanes, sizes) == -1).all()
+    known.insert(lanes, sizes, np.arange(len(words)), lengths)
+    slots = known.find(lanes, sizes)
+    assert (known.start[slots] == np.arange(len(words))).all() and (known.count[slots] == lengths).all()
+    known.used[:] = False
+    known.used[slots[:3]] = True
+    known.add_ids(np.arange(100, dtype=np.uint16))
+    known.make_room(20)
+    assert (known.find(lanes, sizes) >= 0).tolist() == [True] * 3 + [False] * (len(words) - 3)
+
+
 @pytest.mark.parametrize(("shard_tokens", "ranges"), [(3000, 5), (2_000_000, 1)])
 def test_round_trip(documents, texts, config, shard_tokens, ranges):
     rows = sorted(tokens.round_trip(documents, config, 2, shard_tokens, ranges).collect(), key=lambda r: r.doc_id)

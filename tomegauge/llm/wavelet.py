@@ -79,7 +79,12 @@ class WaveletMatrix:
     def pack(doc_ids: Sequence[int | None], documents: Sequence[np.ndarray]) -> bytes:
         """The file of a shard: its documents in order, each the array of its ids."""
         tokens = np.concatenate([*documents, np.empty(0, np.uint32)]).astype(np.uint32)
-        alphabet, codes = np.unique(tokens, return_inverse=True)
+        if len(tokens) and int(tokens.max()) < max(1 << 20, len(tokens)):
+            ranks = np.bincount(tokens) > 0  # the ids of a tokenizer: counted, not sorted
+            alphabet = np.flatnonzero(ranks).astype(np.uint32)
+            codes = (np.cumsum(ranks) - 1)[tokens]
+        else:
+            alphabet, codes = np.unique(tokens, return_inverse=True)
         codes = codes.astype(np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
         press, planes = zstandard.ZstdCompressor(level=3), []
         for place in reversed(range(max(0, len(alphabet) - 1).bit_length())):
