@@ -4,6 +4,15 @@ from pyspark.sql import types as T
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType())])
 
 
+#: Names that operators use themselves.
+INNER = ["_id", "_hash", "_rows", "_group", "_size", "_tie", "_key", "_place", "_bucket", "_row", "_copy", "_own", "_range", "_part", "_from"]
+
+
+@pytest.fixture(scope="session")
+def inner_names():
+    return INNER
+
+
 @pytest.fixture(scope="session")
 def make(spark):
     """A small documents table from (doc_id, text) or (doc_id, text, source) rows."""
@@ -22,7 +31,7 @@ def odd(spark, make):
             (5, "same text for two rows of it", "b"), (5, "same text for two rows of it", "b"), (6, "same text for two rows of it", None),
             (5, "another text under an id that is taken", "b"), (7, "é ñ 漢字 \U0001f600 ß", "a")]
     docs = make(*rows)
-    for name in ("size", "shard", "slot", "score", "predicted", "key", "node", "target", "n_chars"):
+    for name in ("size", "shard", "slot", "score", "predicted", "key", "node", "target", "n_chars", *INNER):
         docs = docs.selectExpr("*", f"'{name}' as {name}")
     return docs
 

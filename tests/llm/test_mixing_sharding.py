@@ -69,12 +69,14 @@ def test_mixed_rows(make, documents):
     assert {r.doc_id: r["count"] for r in rows.groupBy("doc_id").count().collect()} == copies
 
 
-def test_odd_rows(odd, empty):
+def test_odd_rows(odd, empty, inner_names):
     found = mixing.mix(odd)
     assert found.count() == odd.count()
     assert all(r.taken <= 3 * r.size for r in found.collect())
     assert {r.doc_id: r.taken for r in found.collect()}[1] == 0
     assert mixing.mixed(odd).columns == odd.columns
+    for result in (found, mixing.mixed(odd), sharding.shard(odd, 3)):
+        assert all(row[name] == name for row in result.collect() for name in inner_names)
     sharded = sharding.shard(odd, 3, ranges=4).collect()
     assert len(sharded) == odd.count()
     assert sum(r["size"] for r in sharded) == sum(len((r.text or "").encode()) + 1 for r in odd.collect())

@@ -77,13 +77,14 @@ def test_estimate_from_union_sketches(spark):
     assert {(r.a, r.b) for r in kept} == expected and 100 < len(expected) < 400
 
 
-def test_odd_rows(odd, empty):
+def test_odd_rows(odd, empty, inner_names):
     found = near_dedup.near_duplicates(odd).collect()
     assert len(found) == odd.count()
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in found)
     assert [g for g in got if g[0] in (0, 1, 2, 3, 6)] == [(0, 4, 0, True), (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (6, 5, 5, False)]
     left = near_dedup.dedup(odd, 3, 85)
     assert left.columns == odd.columns
+    assert all(row[name] == name for row in left.collect() for name in inner_names)
     assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 2, 3, 4, 5, 5, 7]
     assert near_dedup.near_duplicates(empty).count() == near_dedup.dedup(empty).count() == 0
 

@@ -36,7 +36,7 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.measured(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "_size", "_tie")
     weighted = mixing.quality(docs, read_table(spark, sf_dir, "labels"))
-    found = mixing.mix(weighted, F.col("_weight"))
+    found = mixing.mix(weighted, F.col("_weight"), size=F.col("_size"), tie=F.col("_tie"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 

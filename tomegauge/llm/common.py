@@ -69,6 +69,21 @@ def new_names(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])
 
 
+def nested(docs: DataFrame, *columns: Column, without: Sequence[str] = ()) -> DataFrame:
+    """The rows as one struct ``_row``, less the columns ``without``, beside what an operator derives from them.
+
+    Whatever names the caller's columns have, they clash with none of an operator; ``unnested`` gives them back.
+    """
+    kept = new_names(docs, without).columns
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(None).alias("none"))
+    return docs.select(whole.alias("_row"), *columns)
+
+
+def unnested(docs: DataFrame, without: Sequence[str] = ()) -> list[Column]:
+    """The caller's columns out of ``_row``; ``docs`` is the table that was nested."""
+    return [F.col(f"_row.`{c}`").alias(c) for c in new_names(docs, without).columns]
+
+
 def partitions_for(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

@@ -17,12 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tomegauge.llm.common import new_names, word_count
+from tomegauge.llm.common import nested, unnested, word_count
 
 #: Key buckets of a source. More buckets mean fewer documents in the one that is sorted.
 BUCKETS = 16384
 #: A target never exceeds this many times its source.
 MOST = 3.0
+ADDED = ["size", "source_size", "target", "taken", "copies"]
 
 
 def targets(sizes: DataFrame, most: float = MOST) -> DataFrame:
@@ -76,10 +77,8 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_size", word_count(F.col("text"))).withColumn("_tie", F.xxhash64("text"))
 
 
-def _planned(docs: DataFrame, weight: Column | None, seed: int, whole: bool, most: float) -> DataFrame:
-    """The rows with ``_size``, ``_key`` and ``_tie``, and what the mix takes: ``_epochs`` whole and ``_part`` words more."""
-    rows = docs if "_size" in docs.columns else measured(docs)
-    rows = rows.withColumn("_key", sampling_key(F.col("doc_id"), weight, seed))
+def _planned(rows: DataFrame, whole: bool, most: float) -> DataFrame:
+    """Rows with ``source``, ``_size``, ``_key`` and ``_tie``, and what the mix takes: ``_epochs`` whole and ``_part`` words more."""
     rows = rows.withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * BUCKETS))
 
     totals = rows.groupBy("source", "_bucket").agg(F.sum("_size").alias("_size"))
@@ -103,9 +102,13 @@ def _planned(docs: DataFrame, weight: Column | None, seed: int, whole: bool, mos
     return settled.withColumn("_part", F.col("_part").cast("long")).union(ending)
 
 
-def mix(docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: bool = False, most: float = MOST) -> DataFrame:
-    """``docs(doc_id, text, source)``, or what measured() made of it, with
-    ``size, source_size, target, taken, copies`` added; all rows stay.
+def mix(
+    docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: bool = False, most: float = MOST,
+    size: Column | None = None, tie: Column | None = None,
+) -> DataFrame:
+    """``docs(doc_id, text, source)`` with ``size, source_size, target, taken, copies`` added; all rows stay.
+
+    ``size`` and ``tie`` may name columns that measured() made, where the text has been dropped.
 
     ``taken`` counts the words the mix takes of a row, repeats included. The document
     in which a budget ends gives just the words that are left of it, or, with
@@ -115,14 +118,18 @@ def mix(docs: DataFrame, weight: Column | None = None, seed: int = 1, whole: boo
     A null text has size 0 and gives nothing; a null source is a source of its
     own, the last. Quality weights that are null or not positive count as 1. Rows
     with equal ids have equal keys; the larger goes first, then by text hash, and the
-    order of equal rows changes nothing. Columns named like the new ones are replaced; no rows give no rows.
+    order of equal rows changes nothing. Columns named like the new ones are replaced, all others
+    are kept as they were; no rows give no rows.
     """
-    own = new_names(docs, ["size", "source_size", "target", "taken", "copies"])
-    rows = _planned(own, weight, seed, whole, most)
+    rows = nested(
+        docs, F.col("source"), sampling_key(F.col("doc_id"), weight, seed).alias("_key"),
+        (word_count(F.col("text")) if size is None else size).alias("_size"),
+        (F.xxhash64("text") if tie is None else tie).alias("_tie"), without=ADDED,
+    )
+    rows = _planned(rows, whole, most)
     taken = F.col("_epochs") * F.col("_size") + F.col("_part")
     return rows.select(
-        *[c for c in own.columns if c not in ("_size", "_tie")],
-        F.col("_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken"),
+        *unnested(docs, ADDED), F.col("_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken"),
         (F.col("_epochs") + F.when(F.col("_part") > 0, 1).otherwise(0)).cast("int").alias("copies"),
     )
 
@@ -143,16 +150,18 @@ def mixed(docs: DataFrame, weight: Column | None = None, seed: int = 1, most: fl
     The plan is made on ids and sizes; per source it comes down to a number of
     epochs and the last key taken after them, so the texts are not shuffled unless
     the sources are too many to broadcast. Rows equal to the last one taken are taken too.
-    Documents without words are taken in complete epochs only.
+    Documents without words, null texts among them, are taken in complete epochs only. A null source is a source
+    of its own; a null doc_id draws one key for all such rows. Columns may have any names; an empty table gives no rows.
     """
     weight = text_quality() if weight is None else weight
-    narrow = measured(docs).select("doc_id", "source", weight.alias("_weight"), "_size", "_tie")
-    plan = _planned(narrow, F.col("_weight"), seed, True, most)
+    key = sampling_key(F.col("doc_id"), weight, seed).alias("_key")
+    facts = [F.col("source"), key, word_count(F.col("text")).alias("_size"), F.xxhash64("text").alias("_tie")]
+    plan = _planned(docs.select(*facts), True, most)
     mark = F.struct("_key", (-F.col("_size")).alias("_less"), "_tie")
     cuts = plan.groupBy("source").agg(F.max("_epochs").alias("_epochs"), F.max(F.when(F.col("_part") > 0, mark)).alias("_last"))
     cuts = cuts.withColumnRenamed("source", "_from")
-    own = measured(docs.withColumn("_key", sampling_key(F.col("doc_id"), weight, seed)))
+    own = nested(docs, *facts)
     own = own.join(cuts, F.col("source").eqNullSafe(F.col("_from")))
     more = F.when((F.col("_size") > 0) & (F.struct("_key", (-F.col("_size")).alias("_less"), "_tie") <= F.col("_last")), 1).otherwise(0)
     own = own.withColumn("_copies", (F.col("_epochs") + more).cast("int")).where("_copies > 0")
-    return own.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    return own.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*unnested(docs))

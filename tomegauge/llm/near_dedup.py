@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tomegauge.llm import hashing
-from tomegauge.llm.common import new_names, ready_for_python, stored
+from tomegauge.llm.common import nested, ready_for_python, stored, unnested
 from tomegauge.llm.components import components
 
 SKETCH = 64
@@ -179,7 +179,7 @@ def links(docs: DataFrame, rows: DataFrame, width: int = 3, percent: int = 85) -
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: ``doc_id, n_shingles, component_id, kept, text_hash, links_node``.
+    """One row per row of ``docs(doc_id, text)``: ``doc_id, n_shingles, component_id, kept, text_hash, group``.
 
     ``component_id`` is the least doc_id linked, directly or through others.
     Texts without words (null, empty, white space) are linked with nothing.
@@ -203,16 +203,18 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
 def dedup(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` with one document of each group kept, all columns as they were.
 
-    Of rows that repeat a kept document exactly one stays, too.
+    Of rows that repeat a kept document exactly one stays, too. Texts that are null, empty or without words are in no
+    group: such a row stays, and so does the row of a null doc_id in a group without ids. Columns may have any names; an
+    empty table gives no rows.
     """
     found = near_duplicates(docs, width, percent)
     kept = found.where("kept").groupBy("doc_id", "text_hash").agg(F.count("*").alias("_rows"), F.min("group").alias("_group"))
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_rows", "_group")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    chosen = new_names(docs, ["_id", "_hash", "_rows", "_group"]).join(kept, same)
+    rows = nested(docs, F.col("doc_id").cast("long").alias("_own"), F.xxhash64("text").alias("_mine"))
+    chosen = rows.join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_hash")))
     busy = found.where("kept").where("group is not null").groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
     busy = busy.select(F.col("group").alias("_busy"))
     chosen = chosen.join(busy, F.col("_group") == F.col("_busy"), "left")
     single = chosen.where("_busy is null")
     several = chosen.where("_busy is not null").dropDuplicates(["_busy"])
-    return single.union(several).select(*docs.columns)
+    return single.union(several).select(*unnested(docs))

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tomegauge.llm.common import new_names, partitions_for, range_splits, with_range
+from tomegauge.llm.common import nested, partitions_for, range_splits, unnested, with_range
 
 SHARDS = 8
+ADDED = ["size", "shard", "slot"]
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, ranges: int | None = None) -> DataFrame:
@@ -24,12 +25,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges: int | None = None) -> D
     its bytes falls, so a shard is off an equal part by at most the largest
     row at either end; shards may stay empty where a row is larger than a part.
     ``slot`` counts the rows of a shard from 0 in that order. Columns named like the
-    new ones are replaced. An empty table gives no rows.
+    new ones are replaced, all others are kept as they were. An empty table gives no rows.
     """
     ranges = ranges or partitions_for(docs)
-    rows = new_names(docs, ["size", "shard", "slot"])
-    rows = rows.withColumn("_size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1)
-    rows = rows.withColumn("_tie", F.xxhash64("text"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    rows = nested(docs, F.col("doc_id"), size.alias("_size"), F.xxhash64("text").alias("_tie"), without=ADDED)
     rows = with_range(rows, "doc_id", range_splits(docs, "doc_id", ranges), "_place")
 
     totals = rows.groupBy("_place").agg(F.sum("_size").alias("_bytes"), F.count("*").alias("_rows"))
@@ -48,8 +48,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges: int | None = None) -> D
     rows = rows.withColumn("_rank", F.col("_rows_before") + F.col("_rank") - 1)
     firsts = rows.groupBy("_shard").agg(F.min("_rank").alias("_first")).withColumnRenamed("_shard", "_of")
     rows = rows.join(F.broadcast(firsts), F.col("_shard") == F.col("_of"))  # one row per shard
-    kept = [c for c in docs.columns if c in rows.columns]
     return rows.select(
-        *kept, F.col("_size").alias("size"), F.col("_shard").cast("int").alias("shard"),
+        *unnested(docs, ADDED), F.col("_size").alias("size"), F.col("_shard").cast("int").alias("shard"),
         (F.col("_rank") - F.col("_first")).alias("slot"),
     )
