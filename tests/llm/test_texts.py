@@ -225,6 +225,20 @@ def test_wavelet_matrix(high):
         wavelet.WaveletMatrix(b"something else")
 
 
+def test_a_look_up_unpacks_few_pieces():
+    draw = np.random.default_rng(11)
+    tokens_ = draw.integers(0, 5000, 600_000).astype(np.uint32)
+    data = wavelet.WaveletMatrix.pack([1], [tokens_])
+    for ask in (lambda m: m.access(599_999), lambda m: m.rank(17, 400_000), lambda m: m.select(17, 3)):
+        matrix = wavelet.WaveletMatrix(data)
+        ask(matrix)
+        assert all(plane.unpacked_pieces() <= 2 for plane in matrix.planes) and len(matrix.planes[0]._pieces) > 2
+    matrix = wavelet.WaveletMatrix(data)
+    assert matrix.access(599_999) == tokens_[-1] and matrix.rank(17, 400_000) == (tokens_[:400_000] == 17).sum()
+    assert matrix.select(17, 3) == np.flatnonzero(tokens_ == 17)[3] and (matrix.tokens() == tokens_).all()
+    assert len(data) < tokens_.nbytes / 2
+
+
 def test_word_by_word_encoding_is_exact(config, texts):
     whole = Tokenizer.from_str(config)
     draw = random.Random(9)
