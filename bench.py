@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tomegauge.operators import passages, scores, search, sentences, sentiment, vocabulary  # noqa: E402
 from tomegauge.plans import catalog, landing, load  # noqa: E402
 from tomegauge.session import local_session, scratch_path  # noqa: E402
-from tomegauge.sinks import keyed  # noqa: E402
+from tomegauge.sinks import keyed, totals  # noqa: E402
 from tomegauge.sources import dictionaries, tables  # noqa: E402
 
 RUNS = 3
@@ -64,6 +64,10 @@ def main() -> None:
     fresh = iter(loads)
     times["load_books_first"] = seconds(lambda: load.load_books(spark, library, next(fresh), buckets=BUCKETS))
     times["load_books_again"] = seconds(lambda: load.load_books(spark, library, loads[0]))
+    by_manifest = scratch_path(spark, "bench-manifest")
+    load.load_new_books(spark, library, by_manifest, buckets=BUCKETS)
+    times["load_nothing_new"] = seconds(lambda: load.load_new_books(spark, library, by_manifest))
+    kept = spark.read.parquet(totals.totals_path(by_manifest))
 
     easy = catalog.easy_words(spark, folder)
     lexicon = catalog.lexicon(spark)
@@ -75,6 +79,7 @@ def main() -> None:
         "score_whole_texts": lambda: scores.score_texts(books),
         "books_in_range": lambda: scores.books_in_range(fact, catalog.LOW, catalog.HIGH),
         "books_in_range_of_largest": lambda: scores.books_in_range(fact, catalog.LOW, catalog.HIGH, 10),
+        "kept_books_in_range": lambda: scores.kept_books_in_range(kept, catalog.LOW, catalog.HIGH),
         "books_of_genre": lambda: scores.books_of_genre(fact, genres, catalog.GENRE, 5, 15, 20),
         "books_without_theme": lambda: scores.books_without_theme(fact, flagged, 3, 30),
         "one_book": lambda: tables.read_book(spark, store, catalog.BOOK),
@@ -83,6 +88,7 @@ def main() -> None:
         "block_distribution": lambda: passages.block_distribution(fact),
         "book_trends": lambda: passages.book_trends(fact),
         "phrase_search_by_index": lambda: search.search_index(spark, index, fact, catalog.PHRASE),
+        "phrase_search_skipping_blocks": lambda: search.search_index(spark, index, fact, catalog.RARE_PHRASE),
         "phrase_search_by_scan": lambda: search.search(fact, catalog.PHRASE),
         "flesch_scores": lambda: scores.flesch_scores(fact),
         "dale_chall_scores": lambda: vocabulary.dale_chall_scores(fact, easy),

@@ -20,6 +20,18 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
+def test_queries_without_the_optional_packages(monkeypatch):
+    load = contract.importlib.import_module
+
+    def missing(name, *rest):
+        if name == "tomegauge.llm.catalog":
+            raise ModuleNotFoundError("no such package")
+        return load(name, *rest)
+
+    monkeypatch.setattr(contract.importlib, "import_module", missing)
+    assert set(contract.queries()) == set(QUERIES) and set(contract.oracle_sql()) == set(ORACLES)
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(name, spark, folder, connection):
     assert differences(QUERIES[name](spark, folder), connection, ORACLES[name]) == []
