@@ -246,11 +246,12 @@ def hard_negatives(vectors: DataFrame, anchor: Column, label: Column, positives:
         F.col("vec_id").cast("long").alias("vec_id"), label.cast("int").alias("label"),
         whole(F.col("embedding")).alias("vector"), F.coalesce(anchor, F.lit(False)).alias("anchor"),
     ).dropna(subset=["vec_id", "label", "vector"])
-    rows = rows.groupBy("vec_id").agg(F.min(F.struct("label", "vector", "anchor")).alias("r")).select("vec_id", "r.*")
+    # Of all rows, repeated ones too: it takes one scan and no shuffle.
     facts = rows.agg(
         F.count("*").alias("rows"), F.count_if("anchor").alias("anchors"), F.max(F.size("vector")).alias("dims"),
         F.max(F.array_max("vector")).alias("high"), F.min(F.array_min("vector")).alias("low"),
     ).first()
+    rows = rows.groupBy("vec_id").agg(F.min(F.struct("label", "vector", "anchor")).alias("r")).select("vec_id", "r.*")
     high, low, dims = facts.high or 0, facts.low or 0, max(1, facts.dims or 0)
     largest = max(high, -low)
     if largest > LARGEST or dims * largest * largest >= 1 << 63:
