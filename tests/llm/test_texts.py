@@ -77,6 +77,31 @@ def test_recall_of_edited_passages(make):
     assert found <= alike and len(found) >= 0.996 * len(alike)
 
 
+@pytest.mark.parametrize(("holders", "held"), [(10, 40), (10, 48), (50, 48)])
+def test_equal_passages_beside_holders_of_a_part(make, holders, held):
+    draw, rows, pairs = random.Random(holders + held), [], []
+    for k in range(0, 300, 2):
+        passage = invented(draw, 60)
+        rows += [(j, " ".join(invented(draw, 40) + passage + invented(draw, 40))) for j in (k, k + 1)]
+        rows += [(1000 + k * 50 + j, " ".join(invented(draw, 30) + passage[:held] + invented(draw, 30))) for j in range(holders)]
+        pairs.append((k, k + 1))
+    found = passages.repeated_passages(make(*rows)).collect()
+    least = {}
+
+    def root(doc_id):
+        while least.get(doc_id, doc_id) != doc_id:
+            doc_id = least[doc_id]
+        return doc_id
+
+    for r in found:
+        least[root(r.doc_id)] = root(r.other_id)
+    assert all(root(a) == root(b) for a, b in pairs)
+    texts = {doc_id: text.split() for doc_id, text in rows}
+    for r in found:
+        mine, theirs = texts[r.doc_id][r.first_word : r.last_word + 1], texts[r.other_id][r.other_first_word : r.other_last_word + 1]
+        assert len(mine) >= 50 and (r.similarity < 1 or mine == theirs)
+
+
 def test_passages_of_odd_rows(odd, empty):
     assert passages.repeated_passages(odd).collect() == []
     assert passages.repeated_passages(empty).count() == 0
