@@ -249,7 +249,11 @@ def _clean(index: Index, similarity: float) -> Callable:
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with their columns as they were."""
+    """The rows of ``docs`` in which no item is found, with their columns as they were.
+
+    Null and empty texts hold nothing and stay; rows that repeat share their fate. Null, empty and very short items are found
+    nowhere. Columns may have any names; an empty table on either side drops nothing.
+    """
     ready_for_python(docs.sparkSession)
     for index in blocks(items):
         docs = docs.where(_clean(index, similarity)("text"))

@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     """One row per row of ``docs(doc_id, text)``: ``doc_id, n_shingles, component_id, kept, text_hash, group``.
 
     ``component_id`` is the least doc_id linked, directly or through others.
-    Texts without words (null, empty, white space) are linked with nothing.
+    Texts without words (null, empty, white space) are linked with nothing; their ``group`` is null.
     Rows with equal texts are one group, also if they repeat a doc_id. A null
     doc_id counts as larger than all others; its row is kept only if no row
     with an id is in its group. Other columns are ignored; no rows give no rows.

@@ -343,7 +343,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_shards(shards: DataFrame, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32, file`` of every document in the files of a folder.
 
-    ``start`` counts the ids of all documents before, over all shards in order.
+    ``start`` counts the ids of all documents before, over all shards in order. What holds for nulls, empty texts and
+    repeats was settled when the files were written. A folder without files cannot be read.
     """
     spark = shards.sparkSession
     order = Window.orderBy("place", "part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
@@ -358,7 +359,11 @@ def read_shards(shards: DataFrame, folder: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, config: str, end: int, shard_tokens: int = SHARD_TOKENS, ranges: int | None = None) -> DataFrame:
-    """Write the shards of ``docs`` to the scratch folder and read them back."""
+    """Write the shards of ``docs`` to the scratch folder and read them back: one row per row of ``docs``.
+
+    Null and empty texts are the end id alone. Repeated rows and ids are documents of their own; a null doc_id comes last.
+    Other columns are ignored; an empty table gives no rows.
+    """
     folder = scratch_path(docs.sparkSession, "tokens")
     shards = write_shards(docs, folder, config, end, shard_tokens, ranges)
     if shards.isEmpty():

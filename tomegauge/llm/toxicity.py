@@ -302,6 +302,10 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with their columns as they were."""
+    """The rows of ``docs`` that are not predicted toxic, with their columns as they were.
+
+    Null texts score as empty ones; rows that repeat score alike. Without labels every row stays. Columns may have any
+    names; an empty table gives no rows.
+    """
     ready_for_python(docs.sparkSession)
     return docs.where(scorer(train(docs, labels))("text") < threshold)
