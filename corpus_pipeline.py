@@ -3,7 +3,7 @@
 Each stage takes the documents its predecessor kept, works on all of them and
 gives those it keeps; the last one adds the shard of each.
 
-All but the last give the columns they were given, of any names. Null and empty texts are neither toxic nor copies nor leaks;
+All but the last give the columns they were given, of any names. Null and empty texts score as texts without words and are no copies and no leaks;
 mixing takes them in complete epochs only. Null ids and sources are kept as they are. Rows that repeat count as copies, of
 which one stays, unless they have no words. An empty table gives no rows.
 """
