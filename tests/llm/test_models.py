@@ -1,6 +1,5 @@
 """Toxicity and language-model scores."""
 
-import functools
 import math
 import re
 import zlib
@@ -84,30 +83,27 @@ def test_toxicity_learns_from_huge_texts_only(spark, make):
 class Backoff:
     """The same model, recursively, on the words themselves."""
 
-    def __init__(self, texts, order, share):
+    def __init__(self, texts, order, least):
         self.counts = Counter(w for t in texts for w in t)
         self.n, self.v = sum(self.counts.values()), len(self.counts)
         grams = Counter()
         for t in texts:
             line = ["<s>", *t]
             grams.update(tuple(line[k : k + n]) for n in range(2, order + 1) for k in range(len(line) - n + 1))
-        self.kept = {g: c for g, c in grams.items() if c >= share * self.n}
+        self.kept = {g: c for g, c in grams.items() if c >= least}
         self.times = {(w,): c for w, c in self.counts.items()} | {("<s>",): self.counts["</s>"]} | self.kept
         self.after = defaultdict(list)
         for g in self.kept:
             self.after[g[:-1]].append(g)
-        self.weight = functools.lru_cache(None)(self.weight)
-
-    def weight(self, context):
-        listed = self.after[context]
-        return (1 - sum((self.kept[g] - 0.5) / self.times[context] for g in listed)) / (1 - sum(self.chance(g[1:-1], g[-1]) for g in listed))
 
     def chance(self, context, word):
         if not context:
             return (self.counts[word] + 1) / (self.n + self.v + 1)
-        if (*context, word) in self.kept:
-            return (self.kept[(*context, word)] - 0.5) / self.times[context]
-        return (self.weight(context) if context in self.after else 1) * self.chance(context[1:], word)
+        shorter = self.chance(context[1:], word)
+        if context not in self.after:
+            return shorter
+        own = max(self.kept.get((*context, word), 0.5) - 0.5, 0) / self.times[context]
+        return own + (1 - sum((self.kept[g] - 0.5) / self.times[context] for g in self.after[context])) * shorter
 
     def score(self, text, order):
         line = ["<s>", *text]
@@ -118,12 +114,12 @@ def cut(text):
     return [*re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower()), "</s>"]
 
 
-@pytest.mark.parametrize(("share", "known", "order"), [(1e-6, 2e-7, 3), (2e-4, 5e-5, 3), (1e-3, 1e-3, 2)])
-def test_language_model_against_recursion(documents, texts, share, known, order):
+@pytest.mark.parametrize(("order", "least", "group", "heavy"), [(3, 2, 1 << 20, 1 << 20), (3, 2, 3000, 1 << 20), (3, 2, 1 << 20, 20), (3, 2, 3000, 20), (4, 3, 10_000, 100), (2, 1, 50_000, 5), (1, 2, 9000, 50)])
+def test_language_model_against_recursion(documents, texts, order, least, group, heavy):
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    found = {r.doc_id: r for r in language_model.scores(documents, ~held_out, order, share, known).collect()}
+    found = {r.doc_id: r for r in language_model.scores(documents, ~held_out, order, least, group, heavy).collect()}
     tokens = {d: cut(t) for d, t in texts.items()}
-    model = Backoff([t for d, t in tokens.items() if marked(d, 7) != 2], order, share)
+    model = Backoff([t for d, t in tokens.items() if marked(d, 7) != 2], order, least)
     for doc_id, text in tokens.items():
         row = found[doc_id]
         assert (row.n_tokens, row.train_tokens, row.n_known) == (len(text), model.n, sum(model.counts[w] > 0 for w in text))
@@ -140,6 +136,18 @@ def test_language_model_beats_unigrams_on_held_out_texts(spark, folder):
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_language_model_keeps_what_occurs_twice_in_any_corpus(make):
+    """What is seen twice counts as much among many other texts as among few."""
+    twice, once = "alpha beta gamma delta epsilon zeta eta theta", "iota kappa lambda mu nu xi omicron pi"
+    gains = []
+    for others in (10, 2000):
+        rows = [(0, twice), (1, twice), (2, once), *[(3 + k, " ".join(f"w{(k * 31 + j * j * 7) % 5003}" for j in range(20))) for k in range(others)]]
+        found = {r.doc_id: r.score - r.base_score for r in language_model.scores(make(*rows), F.lit(True)).collect()}
+        assert found[0] == found[1] > found[2] + 8
+        gains.append(found[0])
+    assert gains[1] > gains[0]
+
+
 def test_language_model_on_odd_rows(odd, empty):
     rows = language_model.scores(odd, F.lit(True)).collect()
     assert len(rows) == odd.count() and all(math.isfinite(r.score) for r in rows)

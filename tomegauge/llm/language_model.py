@@ -1,38 +1,54 @@
 """Language-model scores from a weighted backoff automaton.
 
-N-grams are counted over all training documents; those that make up at least
-``SHARE`` of all tokens become states and arcs, so there are at most 1 / SHARE of them per
-order, whatever the corpus. A context that keeps n-grams is a state. Its explicit arcs have
-discounted probabilities; the failure arc carries the weight that makes the
-probabilities of all words sum to one, and leads to the shorter context. At the end of all
-failures is the add-one unigram probability of the word. A text is scored in one
-traversal from left to right that carries the state and adds up logarithms.
-
-Counts of the words above ``KNOWN`` of all tokens, at most 1 / KNOWN of them, travel to the tasks. The
-others are looked up by a join on the word, summed per document first.
+N-grams are counted over all training documents. Those seen at least ``LEAST`` times, a number
+that is the same for every corpus, become arcs, and their contexts states. With discounted counts,
+an n-gram's probability is ``(count - DISCOUNT) / count of context`` plus the context's weight times the
+probability one order down. The weight is what its arcs leave free, so that the probabilities of
+all words sum to one, and it is what the failure arc to the shorter context costs. At the end of all failures
+is the add-one unigram probability of the word. A text is scored in one traversal
+from left to right that carries the state and adds up logarithms.
+
+The automaton grows with the corpus and is nowhere held whole. Texts are dealt to groups of about ``GROUP`` tokens.
+A group sends its distinct n-grams, one message per part, to the parts that count them, and each part
+answers with the totals in the order it was asked, so keys travel once and totals take about a byte. With its answers
+a group builds all states and arcs that its texts can reach. From trigrams on only n-grams are asked
+for whose two parts were both kept, which loses none.
+
+A part counts all n-grams of its contexts, so it knows what they leave free. A context with very many
+n-grams is dealt to all parts, and its sums are added up over them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tomegauge.llm import hashing
-from tomegauge.llm.common import ready_for_python, stored
+from tomegauge.llm.common import partitions_for, ready_for_python, stored
 
 ORDER = 3
-SHARE = 1e-6
-KNOWN = 2e-7
+LEAST = 2
 DISCOUNT = 0.5
-#: Keys a task counts before it hands them on.
-HELD = 4_000_000
+#: Tokens of a group, and n-grams that a part counts in the mean; both are held by one task at a time.
+GROUP, PART = 1 << 20, 1 << 22
+#: A context with so many tokens, or this share of all where that is more, is dealt to all parts; so there are at most a million such contexts.
+HEAVY, HEAVY_SHARE = PART // 4, 1e-6
 #: Stand for the end of a text, which is a token, and its start, which is only a context.
 END, START = (int(x) for x in hashing.seeded(2, 97))
+_NEXT = np.uint64(int(hashing.seeded(1, 98)[0]) | 1)
+
+_CHUNKS = "group long, doc_ids array<long>, sizes array<int>, training array<boolean>, words binary, ids binary, tokens long, trained long, starts long"
+_ASKED = "part int, group long, contexts binary, runs binary, grams binary, counts binary"
+_ANSWERS = (
+    "group long, part int, totals binary, sums binary, kinds binary, seen long, "
+    "heavy array<long>, split array<struct<context: long, total: long, kinds: long>>"
+)
 
 
 def text_tokens(text: str | None) -> np.ndarray:
@@ -40,75 +56,238 @@ def text_tokens(text: str | None) -> np.ndarray:
     return np.append(hashing.words(hashing.fold(text))[0], np.uint64(END))
 
 
-def _counted(keys_of: Callable[[str | None], np.ndarray]):
-    """Count keys per task in blocks; equal keys of a block leave as one row."""
+def pack(values: np.ndarray) -> bytes:
+    """Numbers byte by byte of equal weight, compressed; their size comes first."""
+    data = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(data).to_bytes(8, "little") + (pa.compress(data, codec="zstd", asbytes=True) if data else b"")
+
+
+def unpack(data: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    if not size:
+        return np.empty(0, kind)
+    plain = np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(plain.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
 
-    def rows(held: list[np.ndarray]) -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts.astype(np.int64))], ["key", "n"])
+def _chunked(group_tokens: int):
+    """Texts to groups: the distinct words of a group, ascending by hash, and each token as a number of one."""
+
+    def row(held: list[tuple[int | None, bool, np.ndarray]], number: int) -> pa.RecordBatch:
+        words, ids = np.unique(np.concatenate([tokens for _, _, tokens in held]), return_inverse=True)
+        task = TaskContext.get().partitionId()
+        values = (task << 32 | number, [h[0] for h in held], [len(h[2]) for h in held], [h[1] for h in held], pack(np.diff(words, prepend=np.uint64(0))),
+                  pack(ids.astype(np.uint32)), len(ids), sum(len(h[2]) for h in held if h[1]), sum(h[1] for h in held))
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["group", "doc_ids", "sizes", "training", "words", "ids", "tokens", "trained", "starts"]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, number = [], 0, 0
         for batch in batches:
-            for text in batch.column("text"):
-                held.append(keys_of(text.as_py()))
-                size += len(held[-1])
-                if size >= HELD:
-                    yield rows(held)
-                    held, size = [], 0
+            for doc_id, training, text in zip(*(batch.column(c) for c in ("doc_id", "training", "text")), strict=True):
+                held.append((doc_id.as_py(), training.as_py(), text_tokens(text.as_py())))
+                size += len(held[-1][2])
+                if size >= group_tokens:
+                    yield row(held, number)
+                    held, size, number = [], 0, number + 1
         if held:
-            yield rows(held)
+            yield row(held, number)
 
     return run
 
 
-def count_keys(docs: DataFrame, keys_of: Callable[[str | None], np.ndarray]) -> DataFrame:
-    return docs.select("text").mapInArrow(_counted(keys_of), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+@dataclass
+class Deal:
+    """How n-grams of one order are dealt to parts."""
+
+    parts: int
+    heavy: np.ndarray
+
+    def order(self, contexts: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the n-grams by part, equal contexts side by side, with the parts there are and where each begins."""
+        key = np.where(np.isin(contexts, self.heavy), grams, contexts) if len(self.heavy) else contexts
+        part = (hashing.mix(key) % np.uint64(self.parts)).astype(np.int32)
+        places = np.argsort(part, kind="stable")
+        found, begins = np.unique(part[places], return_index=True)
+        return places, found, np.append(begins, len(places))
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.empty(0, np.int64)
 
 
 @dataclass
-class Vocabulary:
-    """Frequent words by hash, ascending, with their counts."""
+class Level:
+    """The distinct n-grams of one order in a group, ascending by context and last word."""
 
     hashes: np.ndarray
+    context: np.ndarray
+    last: np.ndarray
+    suffix: np.ndarray
     counts: np.ndarray
+    #: Number of the n-gram that ends at each place, -1 where none does.
+    ends: np.ndarray
+    totals: np.ndarray = field(default_factory=lambda: np.empty(0))
+    #: Of contexts of this order: total and number of the n-grams kept one order up.
+    sums: np.ndarray = field(default_factory=lambda: np.empty(0))
+    kinds: np.ndarray = field(default_factory=lambda: np.empty(0))
+
+
+class Group:
+    """The texts of a group as one sequence, a start before each, with their n-grams."""
+
+    def __init__(self, row: dict) -> None:
+        self.row = row
+        hashes = np.append(np.cumsum(unpack(row["words"], np.uint64), dtype=np.uint64), np.uint64(START))
+        self.start = len(hashes) - 1
+        self.ids = unpack(row["ids"], np.uint32).astype(np.int64)
+        self.sizes = np.array(row["sizes"], dtype=np.int64)
+        begins = np.cumsum(self.sizes) - self.sizes
+        self.sequence = np.insert(self.ids, begins, self.start)
+        self.training = np.repeat(np.array(row["training"], dtype=bool), self.sizes + 1)
+        seen = self.training & (self.sequence != self.start)
+        counts = np.bincount(self.sequence[seen], minlength=len(hashes))
+        number = np.arange(len(hashes))
+        self.levels = [Level(hashes, np.zeros(len(hashes), np.int64), number, number, counts, self.sequence)]
+
+    def grow(self, least: int) -> None:
+        """The next order: from three words on, only n-grams whose two parts occur often enough.
+
+        A context of which a text needs no n-gram has one that ends with the start and occurs nowhere,
+        since what the context leaves free has to be asked for.
+        """
+        below = self.levels[-1]
+        context, last = np.append(-1, below.ends[:-1]), self.sequence
+        fits, real = (context >= 0) & (last != self.start), np.ones(len(last), dtype=bool)
+        if len(self.levels) > 1:
+            kept = np.append(below.totals >= least, False)
+            fits &= kept[context]
+            real = kept[below.ends]
+            last = np.where(real, last, self.start)
+        places = np.flatnonzero(fits)
+        keys, first, number = np.unique(context[places] << 32 | last[places], return_index=True, return_inverse=True)
+        ends = np.full(len(last), -1)
+        ends[places] = np.where(real[places], number, -1)
+        context, last = keys >> 32, keys & 0xFFFFFFFF
+        hashes = hashing.mix(below.hashes[context] * _NEXT + self.levels[0].hashes[last])
+        counts = np.bincount(number[(self.training & real)[places]], minlength=len(keys))
+        self.levels.append(Level(hashes, context, last, below.ends[places[first]], counts, ends))
+
+    def _keys(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """Context and key of each n-gram; a single word is its own context, and the start is not asked for."""
+        level = self.levels[order - 1]
+        if order == 1:
+            return level.hashes[:-1], level.hashes[:-1]
+        return self.levels[order - 2].hashes[level.context], level.hashes
+
+    def questions(self, order: int, deal: Deal) -> Iterator[tuple]:
+        contexts, grams = self._keys(order)
+        places, parts, begins = deal.order(contexts, grams)
+        for part, a, b in zip(parts.tolist(), begins[:-1], begins[1:], strict=True):
+            at = places[a:b]
+            runs = _runs(contexts[at])
+            sizes = np.diff(np.append(runs, len(at))).astype(np.uint32)
+            yield part, self.row["group"], pack(contexts[at][runs]), pack(sizes), pack(grams[at]), pack(self.levels[order - 1].counts[at].astype(np.uint64))
+
+    def answered(self, order: int, deal: Deal, answers: dict[int, dict], split: dict[str, np.ndarray]) -> None:
+        """Take in the totals of one order and what its contexts keep."""
+        contexts, grams = self._keys(order)
+        places, parts, begins = deal.order(contexts, grams)
+        level = self.levels[order - 1]
+        level.totals = np.zeros(len(level.hashes), np.int64)
+        below = self.levels[order - 2] if order > 1 else None
+        if below is not None:
+            below.sums, below.kinds = np.zeros(len(below.hashes)), np.zeros(len(below.hashes))
+        for part, a, b in zip(parts.tolist(), begins[:-1], begins[1:], strict=True):
+            at, answer = places[a:b], answers[part]
+            level.totals[at] = unpack(answer["totals"], np.uint64).astype(np.int64)
+            if below is not None:
+                asked = level.context[at][_runs(level.context[at])]
+                below.sums[asked], below.kinds[asked] = unpack(answer["sums"], np.uint64), unpack(answer["kinds"], np.uint64)
+        if below is not None and len(split["context"]):
+            at = np.minimum(np.searchsorted(split["context"], below.hashes), len(split["context"]) - 1)
+            found = split["context"][at] == below.hashes
+            below.sums[found], below.kinds[found] = split["total"][at[found]], split["kinds"][at[found]]
+
+
+def _asking(order: int, deal: Deal):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                group = Group(row)
+                for _ in range(order - 1):
+                    group.grow(0)
+                yield _questions(group, order, deal).to_batches()[0]
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Number of each word, -1 where it is not here."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
-
-
-def _collect(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys with at least so many occurrences; callers bound their number by a share of all tokens."""
-    found = counts.where(F.col("n") >= float(least)).select("key", "n").toArrow()
-    keys = found.column("key").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], found.column("n").to_numpy()[order]
+    return run
 
 
-def _grams(vocabulary: Vocabulary, lower: list[np.ndarray], order: int) -> Callable[[str | None], np.ndarray]:
-    """Keys of a text's n-grams: number of the (n-1)-gram, shifted, with that of the last word.
+def _questions(group: Group, order: int, deal: Deal) -> pa.Table:
+    columns = list(zip(*group.questions(order, deal), strict=True)) or [()] * 6
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "group", "contexts", "runs", "grams", "counts"])
+    return pa.Table.from_batches([batch])
+
+
+def _counting(order: int, deal: Deal, least: int, heavy_from: float):
+    """A part: totals of its n-grams, those seen too rarely as 0, for each group that asked."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        rows = asked.to_pylist()
+        part = rows[0]["part"]
+        grams = [unpack(r["grams"], np.uint64) for r in rows]
+        heads = [unpack(r["contexts"], np.uint64) for r in rows]
+        runs = np.concatenate([unpack(r["runs"], np.uint32) for r in rows])
+        counts = np.concatenate([unpack(r["counts"], np.uint64) for r in rows]).astype(np.int64)
+        keys, first, number = np.unique(np.concatenate(grams), return_index=True, return_inverse=True)
+        totals = np.zeros(len(keys), np.int64)
+        np.add.at(totals, number, counts)
+        contexts, head = np.unique(np.concatenate(heads), return_inverse=True)
+        own = np.repeat(head, runs)[first]
+        kept = totals >= least
+        sums = np.zeros(len(contexts), np.int64)
+        np.add.at(sums, own[kept], totals[kept])
+        kinds = np.bincount(own[kept], minlength=len(contexts))
+        given = np.where(kept, totals, 0)
+        out, a, c = [], 0, 0
+        for row, asked_grams, asked_heads in zip(rows, grams, heads, strict=True):
+            b, d = a + len(asked_grams), c + len(asked_heads)
+            out.append((row["group"], part, pack(given[number[a:b]].astype(np.uint64)), pack(sums[head[c:d]].astype(np.uint64)),
+                        pack(kinds[head[c:d]].astype(np.uint64)), None, None, None))
+            a, c = b, d
+        shared = np.flatnonzero(np.isin(contexts, deal.heavy)) if order > 1 else ()
+        split = [{"context": int(contexts[k].astype(np.int64)), "total": int(sums[k]), "kinds": int(kinds[k])} for k in shared]
+        out.append((None, part, None, None, None, int((totals > 0).sum()), keys[totals >= heavy_from].astype(np.int64).tolist(), split))
+        kind = pa.struct([("context", pa.int64()), ("total", pa.int64()), ("kinds", pa.int64())])
+        types = [pa.int64(), pa.int32(), *[pa.binary()] * 3, pa.int64(), pa.list_(pa.int64()), pa.list_(kind)]
+        names = ["group", "part", "totals", "sums", "kinds", "seen", "heavy", "split"]
+        return pa.table([pa.array(x, k) for x, k in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    A frequent n-gram has frequent parts, so only those whose parts were kept are counted.
-    """
-    start = len(vocabulary.hashes)
+    return run
 
-    def keys_of(text: str | None) -> np.ndarray:
-        ids = np.append(start, vocabulary.find(text_tokens(text)))
-        context, last = ids[:-1], ids[1:]
-        keys = np.where((context >= 0) & (last >= 0), context << 32 | last, -1)
-        for kept in lower:
-            at = np.minimum(np.searchsorted(kept, keys), len(kept) - 1) if len(kept) else np.zeros(len(keys), np.int64)
-            known = (keys >= 0) & (kept[at] == keys) if len(kept) else np.zeros(len(keys), bool)
-            number = np.where(known, at, -1)
-            # The n-gram that ends one word before, followed by the word, whose own n-gram must be kept too.
-            keys = np.where((number[:-1] >= 0) & (number[1:] >= 0), number[:-1] << 32 | ids[len(ids) - len(number) + 1 :], -1)
-        return keys[keys >= 0].astype(np.uint64)
 
-    return keys_of
+@dataclass
+class Counted:
+    """What the parts answered about one order."""
+
+    deal: Deal
+    answers: DataFrame
+    heavy: np.ndarray
+    split: dict[str, np.ndarray]
+
+    @staticmethod
+    def of(asked: DataFrame, order: int, deal: Deal, least: int, heavy_from: float) -> Counted:
+        found = asked.groupBy("part").applyInArrow(_counting(order, deal, least, heavy_from), _ANSWERS)
+        found = stored(found, f"totals-{order}")
+        notes = found.where("group is null")
+        heavy = notes.select(F.explode("heavy").alias("key")).toArrow().column("key").to_numpy()
+        split = notes.select(F.inline("split")).groupBy("context").agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).toArrow()
+        columns = {c: split.column(c).to_numpy().astype(np.int64) for c in split.column_names}
+        columns["context"] = columns["context"].view(np.uint64)
+        by = np.argsort(columns["context"])
+        return Counted(deal, found, np.sort(heavy.astype(np.int64).view(np.uint64)), {c: v[by] for c, v in columns.items()})
 
 
 @dataclass
@@ -124,12 +303,12 @@ class Automaton:
     first: int
 
     def traverse(self, ids: list[int]) -> float:
-        """Log10 probability of a token sequence; words numbered -1 only pay the failures here."""
+        """Log10 probability of a token sequence."""
         state, total, words = self.first, 0.0, self.words
         arcs, fail, toll, base, enter = self.arcs, self.fail, self.toll, self.base, self.enter
         for word in ids:
             while state:
-                arc = arcs.get(state * words + word) if word >= 0 else None
+                arc = arcs.get(state * words + word)
                 if arc is not None:
                     total += arc[0]
                     state = arc[1]
@@ -137,111 +316,95 @@ class Automaton:
                 total += toll[state]
                 state = fail[state]
             else:
-                if word >= 0:
-                    total += base[word]
-                    state = enter[word]
+                total += base[word]
+                state = enter[word]
         return total
 
 
-def build(vocabulary: Vocabulary, grams: list[dict[tuple[int, ...], int]], tokens: int, distinct: int) -> Automaton:
-    """States and arcs from the kept n-grams with their counts, by order from 2 on."""
-    words = len(vocabulary.hashes) + 1
-    chance = (vocabulary.counts + 1) / (tokens + distinct + 1)
-    end = int(vocabulary.find(np.array([END], dtype=np.uint64))[0])
-    seen = {(k,): int(n) for k, n in enumerate(vocabulary.counts)}
-    seen[(words - 1,)] = int(vocabulary.counts[end]) if end >= 0 else 0
-    for kept in grams:
-        seen |= kept
-
-    def probability(gram: tuple[int, ...]) -> float:
-        return (seen[gram] - DISCOUNT) / seen[gram[:-1]] if len(gram) > 1 else float(chance[gram[0]])
-
-    arcs_of: dict[tuple[int, ...], list[tuple[int, ...]]] = {}
-    for kept in grams:
-        for gram in kept:
-            arcs_of.setdefault(gram[:-1], []).append(gram)
-    contexts = sorted(arcs_of, key=len)
-    state_of = {context: k + 1 for k, context in enumerate(contexts)}
-
-    def longest(context: tuple[int, ...]) -> int:
-        while context and context not in state_of:
-            context = context[1:]
-        return state_of.get(context, 0)
-
-    fail, toll, arcs = [0], [0.0], {}
-    most = max((len(gram) for kept in grams for gram in kept), default=1)
-    for context in contexts:
-        listed = arcs_of[context]
-        left = 1 - sum(map(probability, listed))
-        free = 1 - sum(probability(gram[1:]) for gram in listed)
-        fail.append(longest(context[1:]))
-        toll.append(float(np.log10(max(left, 1e-300) / max(free, 1e-12))))
-        for gram in listed:
-            follows = longest(gram if len(gram) < most else gram[1:])
-            arcs[state_of[context] * words + gram[-1]] = (float(np.log10(probability(gram))), follows)
-    enter = [longest((k,)) for k in range(words)]
-    return Automaton(words, np.log10(chance).tolist(), enter, arcs, fail, toll, enter[-1])
+def build(group: Group, least: int, size: float, starts: int) -> Automaton:
+    """All states and arcs that the texts of the group can reach; ``size`` is what unigrams are divided by."""
+    levels, words = group.levels, group.start + 1
+    chance = [(levels[0].totals + 1) / size]
+    fail, toll, arcs = [np.zeros(1, np.int64)], [np.zeros(1)], {}
+    state: list[np.ndarray] = []
+    target: list[np.ndarray] = []
+    count = 1
+    for n, level in enumerate(levels):
+        # States of this order: contexts that keep n-grams one order up.
+        open_here = level.kinds > 0 if n + 1 < len(levels) else np.zeros(len(level.hashes), bool)
+        numbers = np.where(open_here, count + np.cumsum(open_here) - 1, 0)
+        count += int(open_here.sum())
+        shorter = target[n - 1][level.suffix] if n else np.zeros(len(level.hashes), np.int64)
+        target.append(np.where(open_here, numbers, shorter))
+        state.append(numbers)
+        occurs = level.totals.astype(float)
+        if n == 0:
+            occurs[group.start] = starts
+        weight = np.ones(len(level.hashes))
+        if n + 1 < len(levels):
+            weight[open_here] = 1 - (level.sums[open_here] - DISCOUNT * level.kinds[open_here]) / occurs[open_here]
+        fail.append(shorter[open_here])
+        toll.append(np.log10(weight[open_here]))
+        if n:
+            kept = level.totals >= least
+            own = np.zeros(len(kept))
+            own[kept] = (level.totals[kept] - DISCOUNT) / above_occurs[level.context[kept]]
+            chance.append(own + above_weight[level.context] * chance[n - 1][level.suffix])
+            keys = state[n - 1][level.context[kept]] * words + level.last[kept]
+            arcs |= zip(keys.tolist(), zip(np.log10(chance[n][kept]).tolist(), target[n][kept].tolist(), strict=True), strict=True)
+        above_occurs, above_weight = occurs, weight
+    base = np.log10(chance[0])
+    return Automaton(words, base.tolist(), target[0].tolist(), arcs, np.concatenate(fail).tolist(), np.concatenate(toll).tolist(), int(target[0][group.start]))
+
+
+def _taken_in(chunk: pa.Table, answers: pa.Table, known: list[tuple[Deal, dict[str, np.ndarray]]], first: int, least: int) -> Group:
+    """The group with its answers of the orders ``first``, ``first + 1`` and so on."""
+    group = Group(chunk.to_pylist()[0])
+    found: dict[int, dict[int, dict]] = {}
+    for row in answers.to_pylist():
+        found.setdefault(row["order"], {})[row["part"]] = row
+    for order, (deal, split) in enumerate(known, 1):
+        if order > 1:
+            group.grow(least)
+        if order >= first:
+            group.answered(order, deal, found.get(order, {}), split)
+    return group
+
+
+def _asking_on(order: int, deal: Deal, known: list, least: int):
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        group = _taken_in(chunk, answers, known, 2, least)
+        group.grow(least)
+        return _questions(group, order, deal)
 
+    return run
 
-@dataclass
-class Model:
-    """The automaton with what the counts say of all training tokens."""
-
-    vocabulary: Vocabulary
-    automaton: Automaton
-    tokens: int
-    distinct: int
 
-    @property
-    def unseen(self) -> float:
-        return self.tokens + self.distinct + 1
+def _scoring(known: list, least: int, size: float, starts: int, tokens: int):
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        group = _taken_in(chunk, answers, known, 1, least)
+        model = build(group, least, size, starts)
+        base, seen = np.array(model.base)[group.ids], (group.levels[0].totals > 0)[group.ids]
+        begins = np.cumsum(group.sizes) - group.sizes
+        ids = group.ids.tolist()
+        paths = [model.traverse(ids[a : a + n]) for a, n in zip(begins.tolist(), group.sizes.tolist(), strict=True)]
+        columns = [pa.array(group.row["doc_ids"], pa.int64()), pa.array(group.sizes), pa.array(np.add.reduceat(seen.astype(np.int64), begins)),
+                   pa.array(np.full(len(paths), tokens, np.int64)), pa.array(np.add.reduceat(base, begins)), pa.array(paths, pa.float64())]
+        return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
+    return run
 
-def train(docs: DataFrame, order: int = ORDER, share: float = SHARE, known: float = KNOWN) -> tuple[Model, DataFrame]:
-    """The model of ``docs(text)`` and the table of its word counts ``key, n``."""
-    ready_for_python(docs.sparkSession)
-    counts = stored(count_keys(docs, text_tokens), "word-counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
-    vocabulary = Vocabulary(*_collect(counts, known * total.tokens))
-    frequent = vocabulary.counts >= share * total.tokens
-    narrow = Vocabulary(vocabulary.hashes[frequent], vocabulary.counts[frequent])
-    wide = np.append(np.flatnonzero(frequent), len(vocabulary.hashes))  # numbers in the whole vocabulary, START last
-    lower: list[np.ndarray] = []
-    grams: list[dict[tuple[int, ...], int]] = []
-    shapes = [(k,) for k in wide.tolist()]
-    for n in range(2, order + 1):
-        keys, found = _collect(count_keys(docs, _grams(narrow, lower, n)), share * total.tokens)
-        plain = keys.astype(np.int64)
-        shapes = [(*shapes[a], int(wide[b])) for a, b in zip((plain >> 32).tolist(), (plain & 0xFFFFFFFF).tolist(), strict=True)]
-        lower.append(plain)
-        grams.append(dict(zip(shapes, found.tolist(), strict=True)))
-    return Model(vocabulary, build(vocabulary, grams, total.tokens, total.distinct), total.tokens, total.distinct), counts
-
-
-def _scored(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        chance = np.array(model.automaton.base)
-        for batch in batches:
-            columns = [[] for _ in range(6)]
-            for text in batch.column("text"):
-                tokens = text_tokens(text.as_py())
-                ids = model.vocabulary.find(tokens)
-                rare, times = np.unique(tokens[ids < 0], return_counts=True)
-                known = ids[ids >= 0]
-                row = (len(tokens), len(known), float(chance[known].sum()), model.automaton.traverse(ids.tolist()), rare.astype(np.int64), times.astype(np.int32))
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                ["row", "doc_id", "n_tokens", "known", "base", "path", "rare", "times"],
-            )
 
-    return run
+def _met(chunks: DataFrame, counted: list[Counted], first: int, work: Callable, schema: str) -> DataFrame:
+    """The groups with their answers of the orders from ``first`` on."""
+    answers = [c.answers.where("group is not null").select("group", F.lit(k).alias("order"), "part", "totals", "sums", "kinds") for k, c in enumerate(counted, 1)]
+    both = answers[first - 1]
+    for more in answers[first:]:
+        both = both.union(more)
+    return chunks.groupBy("group").cogroup(both.groupBy("group")).applyInArrow(work, schema)
 
 
-def scores(docs: DataFrame, training: Column, order: int = ORDER, share: float = SHARE, known: float = KNOWN) -> DataFrame:
+def scores(docs: DataFrame, training: Column, order: int = ORDER, least: int = LEAST, group_tokens: int = GROUP, heavy: int = HEAVY) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``.
 
     Learns from the rows for which ``training`` holds. Texts that are null or empty
@@ -250,20 +413,23 @@ def scores(docs: DataFrame, training: Column, order: int = ORDER, share: float =
     Rows that repeat are scored alike and count as often as they occur in training. Extra
     columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    model, counts = train(docs.where(training), order, share, known)
-    shared = spark.sparkContext.broadcast(model)  # at most 1 / known words and 1 / share n-grams per order
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "row long, doc_id long, n_tokens long, known long, base double, path double, rare array<long>, times array<int>"
-    rows = stored(rows.mapInArrow(_scored(shared), schema), "paths")
-    pairs = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("key"), "w.times")
-    found = pairs.join(counts, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    chance = F.log10((F.col("n") + 1) / F.lit(float(model.unseen)))
-    sums = found.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"), F.sum(chance * F.col("times")).alias("rest")
-    )
-    rest = F.coalesce("rest", F.lit(0.0))
-    return rows.drop("rare", "times").join(sums, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base") + rest).alias("base_score"), (F.col("path") + rest).alias("score"),
-    )
+    ready_for_python(docs.sparkSession)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("training"), "text")
+    chunks = stored(source.mapInArrow(_chunked(group_tokens), _CHUNKS), "groups")
+    total = chunks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "trained", "starts")]).first()
+    parts = max(partitions_for(docs), -(-total.tokens // PART))
+    heavy_from = max(heavy, HEAVY_SHARE * total.trained)
+    counted: list[Counted] = []
+    for n in range(1, order + 1):
+        apart = counted[-1].heavy if n > 1 else np.empty(0, np.uint64)
+        deal = Deal(parts, np.sort(np.append(apart, np.uint64(START))) if n == 2 else apart)
+        if n < 3:
+            asked = chunks.mapInArrow(_asking(n, deal), _ASKED)
+        else:
+            known = [(c.deal, c.split) for c in counted]
+            asked = _met(chunks, counted, 2, _asking_on(n, deal, known, least), _ASKED)
+        counted.append(Counted.of(asked, n, deal, 1 if n == 1 else least, heavy_from))
+    distinct = counted[0].answers.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
+    known = [(c.deal, c.split) for c in counted]
+    work = _scoring(known, least, float(total.trained + distinct + 1), total.starts, total.trained)
+    return _met(chunks, counted, 1, work, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
