@@ -17,6 +17,7 @@ from tomegauge.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that Python holds at once; texts may be long.
 BATCH_ROWS = 500
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Applications whose executors have the package.
 _SHIPPED: set[str] = set()
 
@@ -25,14 +26,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """Write a table to the shared scratch folder and read it back, which cuts its lineage.
 
-    What is read back survives the loss of any executor.
+    What is read back survives the loss of any executor. With ``tidy`` Spark removes
+    the shuffle files of the work as soon as the table is written.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true" if tidy else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ready_for_python(spark: SparkSession) -> None:

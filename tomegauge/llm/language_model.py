@@ -10,7 +10,8 @@ from left to right that carries the state and adds up logarithms.
 
 The automaton grows with the corpus and is nowhere held whole. Texts are dealt to groups of about ``GROUP`` tokens.
 A group sends its distinct n-grams, one message per part, to the parts that count them, and each part
-answers with the totals in the order it was asked, so keys travel once and totals take about a byte. With its answers
+answers with the totals in the order it was asked, so keys travel once and totals take about a byte. The last word
+of an n-gram is sent as its rank if it is one of the ``COMMON`` most frequent, else as its hash. With its answers
 a group builds all states and arcs that its texts can reach. From trigrams on only n-grams are asked
 for whose two parts were both kept, which loses none.
 
@@ -39,12 +40,14 @@ DISCOUNT = 0.5
 GROUP, PART = 1 << 20, 1 << 22
 #: A context with so many tokens, or this share of all where that is more, is dealt to all parts; so there are at most a million such contexts.
 HEAVY, HEAVY_SHARE = PART // 4, 1e-6
+#: Words that are sent by rank; two bytes hold it.
+COMMON = 60_000
 #: Stand for the end of a text, which is a token, and its start, which is only a context.
 END, START = (int(x) for x in hashing.seeded(2, 97))
 _NEXT = np.uint64(int(hashing.seeded(1, 98)[0]) | 1)
 
 _CHUNKS = "group long, doc_ids array<long>, sizes array<int>, training array<boolean>, words binary, ids binary, tokens long, trained long, starts long"
-_ASKED = "part int, group long, contexts binary, runs binary, grams binary, counts binary"
+_ASKED = "part int, group long, contexts binary, runs binary, last binary, others binary, counts binary"
 _ANSWERS = (
     "group long, part int, totals binary, sums binary, kinds binary, seen long, "
     "heavy array<long>, split array<struct<context: long, total: long, kinds: long>>"
@@ -103,6 +106,22 @@ class Deal:
 
     parts: int
     heavy: np.ndarray
+    #: Common words by rank, and the same ascending by hash with their ranks.
+    common: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    ascending: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    ranks: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+
+    def sent(self, words: np.ndarray) -> tuple[bytes, bytes]:
+        """Words as ranks, 0 for those that follow as hashes."""
+        at = np.minimum(np.searchsorted(self.ascending, words), len(self.ascending) - 1)
+        found = self.ascending[at] == words
+        return pack(np.where(found, self.ranks[at] + 1, 0).astype(np.uint16)), pack(words[~found])
+
+    def received(self, ranks: bytes, others: bytes) -> np.ndarray:
+        numbers = unpack(ranks, np.uint16).astype(np.int64)
+        words = self.common[np.maximum(numbers, 1) - 1]
+        words[numbers == 0] = unpack(others, np.uint64)
+        return words
 
     def order(self, contexts: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of the n-grams by part, equal contexts side by side, with the parts there are and where each begins."""
@@ -113,6 +132,11 @@ class Deal:
         return places, found, np.append(begins, len(places))
 
 
+def extended(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of contexts with one word more."""
+    return hashing.mix(contexts * _NEXT + words)
+
+
 def _runs(values: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin."""
     return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.empty(0, np.int64)
@@ -171,7 +195,7 @@ class Group:
         ends = np.full(len(last), -1)
         ends[places] = np.where(real[places], number, -1)
         context, last = keys >> 32, keys & 0xFFFFFFFF
-        hashes = hashing.mix(below.hashes[context] * _NEXT + self.levels[0].hashes[last])
+        hashes = extended(below.hashes[context], self.levels[0].hashes[last])
         counts = np.bincount(number[(self.training & real)[places]], minlength=len(keys))
         self.levels.append(Level(hashes, context, last, below.ends[places[first]], counts, ends))
 
@@ -189,7 +213,8 @@ class Group:
             at = places[a:b]
             runs = _runs(contexts[at])
             sizes = np.diff(np.append(runs, len(at))).astype(np.uint32)
-            yield part, self.row["group"], pack(contexts[at][runs]), pack(sizes), pack(grams[at]), pack(self.levels[order - 1].counts[at].astype(np.uint64))
+            last = deal.sent(self.levels[0].hashes[self.levels[order - 1].last[at]]) if order > 1 else (None, None)
+            yield part, self.row["group"], pack(contexts[at][runs]), pack(sizes), *last, pack(self.levels[order - 1].counts[at].astype(np.uint64))
 
     def answered(self, order: int, deal: Deal, answers: dict[int, dict], split: dict[str, np.ndarray]) -> None:
         """Take in the totals of one order and what its contexts keep."""
@@ -225,9 +250,9 @@ def _asking(order: int, deal: Deal):
 
 
 def _questions(group: Group, order: int, deal: Deal) -> pa.Table:
-    columns = list(zip(*group.questions(order, deal), strict=True)) or [()] * 6
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "group", "contexts", "runs", "grams", "counts"])
+    columns = list(zip(*group.questions(order, deal), strict=True)) or [()] * 7
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "group", "contexts", "runs", "last", "others", "counts"])
     return pa.Table.from_batches([batch])
 
 
@@ -237,9 +262,12 @@ def _counting(order: int, deal: Deal, least: int, heavy_from: float):
     def run(asked: pa.Table) -> pa.Table:
         rows = asked.to_pylist()
         part = rows[0]["part"]
-        grams = [unpack(r["grams"], np.uint64) for r in rows]
         heads = [unpack(r["contexts"], np.uint64) for r in rows]
-        runs = np.concatenate([unpack(r["runs"], np.uint32) for r in rows])
+        sizes = [unpack(r["runs"], np.uint32) for r in rows]
+        grams = heads
+        if order > 1:
+            grams = [extended(np.repeat(h, k), deal.received(r["last"], r["others"])) for h, k, r in zip(heads, sizes, rows, strict=True)]
+        runs = np.concatenate(sizes)
         counts = np.concatenate([unpack(r["counts"], np.uint64) for r in rows]).astype(np.int64)
         keys, first, number = np.unique(np.concatenate(grams), return_index=True, return_inverse=True)
         totals = np.zeros(len(keys), np.int64)
@@ -257,7 +285,10 @@ def _counting(order: int, deal: Deal, least: int, heavy_from: float):
             out.append((row["group"], part, pack(given[number[a:b]].astype(np.uint64)), pack(sums[head[c:d]].astype(np.uint64)),
                         pack(kinds[head[c:d]].astype(np.uint64)), None, None, None))
             a, c = b, d
-        shared = np.flatnonzero(np.isin(contexts, deal.heavy)) if order > 1 else ()
+        # Heavy contexts are summed over all parts; of single words the most frequent are told.
+        shared = np.flatnonzero(np.isin(contexts, deal.heavy)) if order > 1 else np.argsort(-sums, kind="stable")[: -(-COMMON // deal.parts)]
+        if order == 1 and deal.parts > COMMON:
+            shared = shared[sums[shared] >= heavy_from]
         split = [{"context": int(contexts[k].astype(np.int64)), "total": int(sums[k]), "kinds": int(kinds[k])} for k in shared]
         out.append((None, part, None, None, None, int((totals > 0).sum()), keys[totals >= heavy_from].astype(np.int64).tolist(), split))
         kind = pa.struct([("context", pa.int64()), ("total", pa.int64()), ("kinds", pa.int64())])
@@ -280,7 +311,7 @@ class Counted:
     @staticmethod
     def of(asked: DataFrame, order: int, deal: Deal, least: int, heavy_from: float) -> Counted:
         found = asked.groupBy("part").applyInArrow(_counting(order, deal, least, heavy_from), _ANSWERS)
-        found = stored(found, f"totals-{order}")
+        found = stored(found, f"totals-{order}", tidy=True)
         notes = found.where("group is null")
         heavy = notes.select(F.explode("heavy").alias("key")).toArrow().column("key").to_numpy()
         split = notes.select(F.inline("split")).groupBy("context").agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).toArrow()
@@ -404,6 +435,13 @@ def _met(chunks: DataFrame, counted: list[Counted], first: int, work: Callable,
     return chunks.groupBy("group").cogroup(both.groupBy("group")).applyInArrow(work, schema)
 
 
+def _ranked(split: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The common words by rank, by hash, and the ranks by hash; the start is the first of all."""
+    common = np.append(np.uint64(START), split["context"][np.argsort(-split["total"], kind="stable")][:COMMON])
+    order = np.argsort(common)
+    return common, common[order], order
+
+
 def scores(docs: DataFrame, training: Column, order: int = ORDER, least: int = LEAST, group_tokens: int = GROUP, heavy: int = HEAVY) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -415,14 +453,14 @@ def scores(docs: DataFrame, training: Column, order: int = ORDER, least: int = L
     """
     ready_for_python(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("training"), "text")
-    chunks = stored(source.mapInArrow(_chunked(group_tokens), _CHUNKS), "groups")
+    chunks = stored(source.mapInArrow(_chunked(group_tokens), _CHUNKS), "groups", tidy=True)
     total = chunks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "trained", "starts")]).first()
     parts = max(partitions_for(docs), -(-total.tokens // PART))
     heavy_from = max(heavy, HEAVY_SHARE * total.trained)
     counted: list[Counted] = []
     for n in range(1, order + 1):
         apart = counted[-1].heavy if n > 1 else np.empty(0, np.uint64)
-        deal = Deal(parts, np.sort(np.append(apart, np.uint64(START))) if n == 2 else apart)
+        deal = Deal(parts, np.sort(np.append(apart, np.uint64(START))) if n == 2 else apart, *(_ranked(counted[0].split) if n > 1 else ()))
         if n < 3:
             asked = chunks.mapInArrow(_asking(n, deal), _ASKED)
         else:
