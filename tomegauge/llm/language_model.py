@@ -37,7 +37,7 @@ ORDER = 3
 LEAST = 2
 DISCOUNT = 0.5
 #: Tokens of a group, and n-grams that a part counts in the mean; both are held by one task at a time.
-GROUP, PART = 1 << 20, 1 << 22
+GROUP, PART = 1 << 19, 1 << 22
 #: A context with so many tokens, or this share of all where that is more, is dealt to all parts; so there are at most a million such contexts.
 HEAVY, HEAVY_SHARE = PART // 4, 1e-6
 #: Words that are sent by rank; two bytes hold it.
@@ -74,13 +74,16 @@ def unpack(data: bytes, kind: type) -> np.ndarray:
 
 
 def _chunked(group_tokens: int):
-    """Texts to groups: the distinct words of a group, ascending by hash, and each token as a number of one."""
+    """Texts to groups: the distinct words of a group, the most frequent first, and each token as a number of one."""
 
     def row(held: list[tuple[int | None, bool, np.ndarray]], number: int) -> pa.RecordBatch:
-        words, ids = np.unique(np.concatenate([tokens for _, _, tokens in held]), return_inverse=True)
+        words, ids, counts = np.unique(np.concatenate([tokens for _, _, tokens in held]), return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
         task = TaskContext.get().partitionId()
-        values = (task << 32 | number, [h[0] for h in held], [len(h[2]) for h in held], [h[1] for h in held], pack(np.diff(words, prepend=np.uint64(0))),
-                  pack(ids.astype(np.uint32)), len(ids), sum(len(h[2]) for h in held if h[1]), sum(h[1] for h in held))
+        values = (task << 32 | number, [h[0] for h in held], [len(h[2]) for h in held], [h[1] for h in held], pack(words[order]),
+                  pack(rank[ids]), len(ids), sum(len(h[2]) for h in held if h[1]), sum(h[1] for h in held))
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         names = ["group", "doc_ids", "sizes", "training", "words", "ids", "tokens", "trained", "starts"]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
@@ -164,7 +167,7 @@ class Group:
 
     def __init__(self, row: dict) -> None:
         self.row = row
-        hashes = np.append(np.cumsum(unpack(row["words"], np.uint64), dtype=np.uint64), np.uint64(START))
+        hashes = np.append(unpack(row["words"], np.uint64), np.uint64(START))
         self.start = len(hashes) - 1
         self.ids = unpack(row["ids"], np.uint32).astype(np.int64)
         self.sizes = np.array(row["sizes"], dtype=np.int64)
