@@ -37,7 +37,7 @@ ORDER = 3
 LEAST = 2
 DISCOUNT = 0.5
 #: Tokens of a group, and n-grams that a part counts in the mean; both are held by one task at a time.
-GROUP, PART = 1 << 19, 1 << 22
+GROUP, PART = 1 << 20, 1 << 22
 #: A context with so many tokens, or this share of all where that is more, is dealt to all parts; so there are at most a million such contexts.
 HEAVY, HEAVY_SHARE = PART // 4, 1e-6
 #: Words that are sent by rank; two bytes hold it.
@@ -326,69 +326,76 @@ class Counted:
 
 @dataclass
 class Automaton:
-    """States are contexts, 0 the empty one; arcs are keyed by state and word."""
+    """States are contexts, 0 the empty one, and arcs the n-grams kept.
 
-    words: int
-    base: list[float]
-    enter: list[int]
-    arcs: dict[int, tuple[float, int]]
+    A state with a context of n words is left by an n-gram of n + 1 words that ends with the next word. The texts are
+    known, so the arcs are laid out by place: ``gains[n]`` has the logarithm of the only arc that such a state can take there,
+    not a number where it has none, and ``after`` the state that any arc at this place leads to.
+    """
+
+    sequence_base: np.ndarray
+    gains: list[np.ndarray]
+    after: np.ndarray
+    length: list[int]
     fail: list[int]
     toll: list[float]
-    first: int
 
-    def traverse(self, ids: list[int]) -> float:
-        """Log10 probability of a token sequence."""
-        state, total, words = self.first, 0.0, self.words
-        arcs, fail, toll, base, enter = self.arcs, self.fail, self.toll, self.base, self.enter
-        for word in ids:
+    def traverse(self, begin: int, end: int) -> float:
+        """Log10 probability of the text whose start and tokens are at these places."""
+        state, total = int(self.after[begin]), 0.0
+        length, fail, toll = self.length, self.fail, self.toll
+        base, after = self.sequence_base[begin:end].tolist(), self.after[begin:end].tolist()
+        gains = [g[begin:end].tolist() for g in self.gains]
+        for place in range(1, end - begin):
             while state:
-                arc = arcs.get(state * words + word)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
+                gain = gains[length[state]][place]
+                if gain == gain:
+                    total += gain
                     break
                 total += toll[state]
                 state = fail[state]
             else:
-                total += base[word]
-                state = enter[word]
+                total += base[place]
+            state = after[place]
         return total
 
 
 def build(group: Group, least: int, size: float, starts: int) -> Automaton:
     """All states and arcs that the texts of the group can reach; ``size`` is what unigrams are divided by."""
-    levels, words = group.levels, group.start + 1
+    levels, sequence = group.levels, group.sequence
     chance = [(levels[0].totals + 1) / size]
-    fail, toll, arcs = [np.zeros(1, np.int64)], [np.zeros(1)], {}
-    state: list[np.ndarray] = []
+    fail, toll, length = [np.zeros(1, np.int64)], [np.zeros(1)], [0]
+    gains: list[np.ndarray] = [np.empty(0)]
     target: list[np.ndarray] = []
-    count = 1
+    after = np.zeros(len(sequence), np.int64)
+    occurs_below = weight_below = np.empty(0)
     for n, level in enumerate(levels):
         # States of this order: contexts that keep n-grams one order up.
-        open_here = level.kinds > 0 if n + 1 < len(levels) else np.zeros(len(level.hashes), bool)
-        numbers = np.where(open_here, count + np.cumsum(open_here) - 1, 0)
-        count += int(open_here.sum())
+        last = n + 1 == len(levels)
+        is_state = np.zeros(len(level.hashes), dtype=bool) if last else level.kinds > 0
         shorter = target[n - 1][level.suffix] if n else np.zeros(len(level.hashes), np.int64)
-        target.append(np.where(open_here, numbers, shorter))
-        state.append(numbers)
+        target.append(np.where(is_state, len(length) + np.cumsum(is_state) - 1, shorter))
+        length += [n + 1] * int(is_state.sum())
+        there = level.ends >= 0
+        after[there] = target[n][level.ends[there]]
         occurs = level.totals.astype(float)
         if n == 0:
             occurs[group.start] = starts
         weight = np.ones(len(level.hashes))
-        if n + 1 < len(levels):
-            weight[open_here] = 1 - (level.sums[open_here] - DISCOUNT * level.kinds[open_here]) / occurs[open_here]
-        fail.append(shorter[open_here])
-        toll.append(np.log10(weight[open_here]))
+        if not last:
+            weight[is_state] = 1 - (level.sums[is_state] - DISCOUNT * level.kinds[is_state]) / occurs[is_state]
+        fail.append(shorter[is_state])
+        toll.append(np.log10(weight[is_state]))
         if n:
             kept = level.totals >= least
             own = np.zeros(len(kept))
-            own[kept] = (level.totals[kept] - DISCOUNT) / above_occurs[level.context[kept]]
-            chance.append(own + above_weight[level.context] * chance[n - 1][level.suffix])
-            keys = state[n - 1][level.context[kept]] * words + level.last[kept]
-            arcs |= zip(keys.tolist(), zip(np.log10(chance[n][kept]).tolist(), target[n][kept].tolist(), strict=True), strict=True)
-        above_occurs, above_weight = occurs, weight
-    base = np.log10(chance[0])
-    return Automaton(words, base.tolist(), target[0].tolist(), arcs, np.concatenate(fail).tolist(), np.concatenate(toll).tolist(), int(target[0][group.start]))
+            own[kept] = (level.totals[kept] - DISCOUNT) / occurs_below[level.context[kept]]
+            chance.append(own + weight_below[level.context] * chance[n - 1][level.suffix])
+            found = np.full(len(kept) + 1, np.nan)
+            found[:-1][kept] = np.log10(chance[n][kept])
+            gains.append(found[level.ends])
+        occurs_below, weight_below = occurs, weight
+    return Automaton(np.log10(chance[0])[sequence], gains, after, length, np.concatenate(fail).tolist(), np.concatenate(toll).tolist())
 
 
 def _taken_in(chunk: pa.Table, answers: pa.Table, known: list[tuple[Deal, dict[str, np.ndarray]]], first: int, least: int) -> Group:
@@ -418,10 +425,10 @@ def _scoring(known: list, least: int, size: float, starts: int, tokens: int):
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         group = _taken_in(chunk, answers, known, 1, least)
         model = build(group, least, size, starts)
-        base, seen = np.array(model.base)[group.ids], (group.levels[0].totals > 0)[group.ids]
+        base, seen = model.sequence_base[group.sequence != group.start], (group.levels[0].totals > 0)[group.ids]
         begins = np.cumsum(group.sizes) - group.sizes
-        ids = group.ids.tolist()
-        paths = [model.traverse(ids[a : a + n]) for a, n in zip(begins.tolist(), group.sizes.tolist(), strict=True)]
+        ends = np.cumsum(group.sizes + 1)
+        paths = [model.traverse(b - n - 1, b) for b, n in zip(ends.tolist(), group.sizes.tolist(), strict=True)]
         columns = [pa.array(group.row["doc_ids"], pa.int64()), pa.array(group.sizes), pa.array(np.add.reduceat(seen.astype(np.int64), begins)),
                    pa.array(np.full(len(paths), tokens, np.int64)), pa.array(np.add.reduceat(base, begins)), pa.array(paths, pa.float64())]
         return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
