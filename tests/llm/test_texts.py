@@ -138,20 +138,52 @@ def test_exact_leaks_of_documents(spark, folder, texts):
     assert len(rows) == len({(r.doc_id, r.item_id) for r in rows})
 
 
-@pytest.mark.parametrize(("share", "least"), [(0.04, 0.98), (0.1, 0.9)])
+@pytest.mark.parametrize(("share", "least"), [(0.04, 0.98), (0.1, 0.95), (0.16, 0.9), (0.2, 0.9)])
 def test_recall_of_edited_leaks(spark, folder, texts, share, least):
     draw = random.Random(6)
     items = [decontamination.plain(r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
-    index = decontamination.Index.build(list(enumerate(items)))
+    index = decontamination.Index(list(enumerate(items)))
     around, planted = [t for t in texts.values() if t and len(t) > 400], []
-    for item in items * 4:
+    for item in items * 8:
         noisy = "".join(draw.choice(["", c + "e", "o"]) if draw.random() < share else c for c in item.decode())
         planted.append(f"{draw.choice(around)[:300]} {noisy} {draw.choice(around)[:300]}")
     within = [k for k, t in enumerate(planted) if decontamination.edits(items[k % len(items)], decontamination.plain(t)) <= len(items[k % len(items)]) // 5]
     found = index.search(planted, 0.8)
+    assert len(within) > 100
+    for k, text in enumerate(planted):  # nothing is reported that brute force does not confirm
+        data = decontamination.plain(text)
+        assert all(decontamination.edits(items[j], data) <= d <= len(items[j]) // 5 for j, d in found[k].items())
     assert sum(k % len(items) in found[k] for k in within) >= least * len(within)
 
 
+def test_items_without_blanks_and_items_alike(make, spark):
+    draw = random.Random(8)
+    signs = [chr(0x4E00 + k) for k in range(900)]
+    chinese = ["".join(draw.choices(signs, k=n)) for n in (20, 40, 90, 200)]
+    template = "which of the following statements about the history of the region is true and which is false: "
+    alike = [template + " ".join(invented(draw, 12)) for _ in range(30)]
+    items = spark.createDataFrame(list(enumerate([*chinese, *alike, chinese[0][:19]])), "item_id long, text string")
+    texts = [signs[5] * 40 + c + signs[7] * 30 for c in chinese] + ["so " * 50 + a.upper() + " so" * 50 for a in alike]
+    edited = chinese[3][:60] + signs[1] + chinese[3][62:120] + chinese[3][125:]
+    docs = make(*enumerate([*texts, edited, template * 3, "so " * 400]))
+    found = {(r.doc_id, r.item_id): r.distance for r in decontamination.leaks(docs, items).collect()}
+    assert all(found[k, k] == 0 for k in range(len(texts)))
+    assert 0 < found[len(texts), 3] <= 21
+    assert not any(d > len(texts) for d, _ in found)  # the template alone is no leak
+
+
+def test_exact_occurrences_are_always_found():
+    draw = random.Random(9)
+    items = [("".join(draw.choices("ab ", k=draw.randint(24, 90)))).strip().encode() for _ in range(60)]
+    items = [decontamination.plain(i.decode()) for i in items]
+    items = [i for i in items if len(i) >= 20] + [b"x" * 50, b"ab" * 40, b"a b " * 30 + b"c"]
+    index = decontamination.Index(list(enumerate(items)))
+    texts = ["".join(draw.choices("ab ", k=40)) + f"{i.decode()}" + "".join(draw.choices("ba ", k=40)) for i in items]
+    for k, (found, text) in enumerate(zip(index.search(texts, 0.8), texts, strict=True)):
+        if items[k] in decontamination.plain(text):
+            assert found.get(k) == 0
+
+
 def test_leaks_of_odd_rows(spark, odd, empty, make):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "too short"), (None, "same text for two rows of it"), (5, "x " * 4000)], "item_id long, text string")
     assert [(r.doc_id, r.item_id, r.distance) for r in decontamination.leaks(odd, items).orderBy("doc_id").collect()] == [(5, None, 0), (6, None, 0)]
