@@ -13,7 +13,9 @@ the others the steps are:
    fewest shingles of its own, so a group of copies costs one pair per copy.
    Links found make components.
 4. Members of a list still in different components are paired if size,
-   position and the estimate from the union of both sketches allow a link.
+   position and the estimate from the union of both sketches allow a link. The position in
+   the prefix bounds the sizes a partner may have, so members meet by item and band of
+   sizes: those whose bounds exclude each other are in no common group. Large groups are dealt to several tasks.
 5. Each pair is confirmed on the full sets, and the components are drawn anew.
 
 Steps 1 and 4 miss a link with a chance below 1e-6, also where one set holds the
@@ -23,7 +25,10 @@ gathered in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +45,8 @@ PROBED = 32
 SHARED = 0.4
 #: An estimate from the union sketch below this much under the threshold excludes a link.
 SLACK = 0.3
+#: Bands of sizes per factor of the similarity, and members of a group that one task compares others with.
+BANDS, DEALT = 4, 1000
 
 
 def _signed(found: np.ndarray) -> np.ndarray:
@@ -115,6 +122,32 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (left * (100 + percent) >= (n + m) * percent)
 
 
+def _met(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of ``members(node, n_shingles, item, place, part, first)`` of unlike parts that may be linked, each once.
+
+    The larger set looks for partners in the bands between the least size that is similar and the most that
+    its place leaves room for; a set whose own place allows no partner of its size or more is not looked for.
+    """
+    size, place = F.col("n_shingles"), F.col("place")
+    most = F.floor((size - place) * F.lit(100 + percent) / F.lit(percent) + 1e-9).cast("long") - size
+    band = lambda n: F.floor(F.log(n.cast("double")) * F.lit(BANDS / math.log(100 / min(percent, 99)))).cast("int")
+    low, high = F.ceil(size * percent / 100).cast("long"), F.least(size, most)
+    found = members.where(most >= size).withColumn("band", band(size))
+    seekers = members.where(low <= high).withColumn("band", F.explode(F.sequence(band(low), band(high))))
+    full = found.groupBy("item", "band").agg(F.count("*").alias("m")).where("m > 1")
+    full = full.select("item", "band", F.ceil(F.col("m") / DEALT).cast("int").alias("deals"))
+    # The only member of a group may still be sought by members of other bands, so a group without a row here has one deal.
+    found = found.join(full, ["item", "band"], "left").withColumn("deal", F.pmod(F.xxhash64("node"), F.coalesce("deals", F.lit(1))).cast("int"))
+    seekers = seekers.join(full, ["item", "band"], "left")
+    seekers = seekers.withColumn("deal", F.explode(F.sequence(F.lit(0), F.coalesce("deals", F.lit(1)) - 1)))
+    x, y = seekers.drop("deals").alias("x"), found.drop("deals").alias("y")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("item", "band", "deal")]
+    once = F.struct("x.n_shingles", "x.node") > F.struct("y.n_shingles", "y.node")
+    pairs = x.join(y, reduce(and_, same) & once & (F.col("x.part") != F.col("y.part")) & _may_link("x", "y", percent)
+                   & (F.array_intersect("x.first", "y.first")[0] == F.col("x.item")))
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
@@ -169,11 +202,7 @@ def links(docs: DataFrame, rows: DataFrame, width: int = 3, percent: int = 85) -
     known = lists.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     open_lists = known.groupBy("item").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("item")
     known = known.join(open_lists, "item", "left_semi").drop("own").join(prefixes.select("node", "first"), "node")
-    one, two = known.alias("x"), known.alias("y")
-    rest = one.join(two, (F.col("x.item") == F.col("y.item")) & (F.col("x.node") < F.col("y.node"))
-                    & (F.col("x.part") != F.col("y.part")) & _may_link("x", "y", percent)
-                    & (F.array_intersect("x.first", "y.first")[0] == F.col("x.item")))
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    rest = _met(known, percent)
     second = _verified(_estimated(rest, sets, percent), sets, percent)
     return stored(first.union(second), "links")
 
