@@ -58,29 +58,6 @@ def test_chains_and_large_groups(make):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, v in expected.items() if v[2])
 
 
-@pytest.mark.parametrize("dealt", [2, 1000])
-def test_shared_boilerplate_around_the_threshold(make, monkeypatch, dealt):
-    monkeypatch.setattr(near_dedup, "DEALT", dealt)
-    draw = random.Random(5)
-    shared, pool = [f"s{k}" for k in range(130)], [f"p{k}" for k in range(40)]
-    made = []
-    for k in range(160):
-        own = [f"o{k}x{j}" for j in range(draw.randrange(4, 16))]
-        some = [w for j in range(0, 40, 4) if draw.random() < 0.4 for w in pool[j : j + 4]]
-        made.append((k, " ".join(shared[draw.randrange(6) :] + some + own)))
-    expected = {d: (n, c, c == d) for d, (n, c) in brute(dict(made), 3, 85).items()}
-    assert 20 < sum(v[2] for v in expected.values()) < 140
-    assert rows(near_dedup.near_duplicates(make(*made))) == expected
-
-
-def test_members_that_exclude_each_other_do_not_meet(spark):
-    # Sets of 100 with ten shingles of their own before a common one: no partner of their size is possible.
-    members = spark.createDataFrame([(k, 100, 7, 10, k, [7]) for k in range(3000)], "node long, n_shingles long, item long, place int, part long, first array<long>")
-    assert near_dedup._met(members, 85).count() == 0
-    apart = members.selectExpr("node", "n_shingles", "item", "place - 10 as place", "part", "first").where("node < 50")
-    assert near_dedup._met(apart, 85).distinct().count() == near_dedup._met(apart, 85).count() == 50 * 49 // 2
-
-
 def test_estimate_from_union_sketches(spark):
     draw = random.Random(9)
     texts, pairs = [], []
