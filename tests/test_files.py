@@ -238,6 +238,65 @@ def test_manifest_loads_open_only_new_or_changed_files(spark, shelf, tmp_path, m
     assert load()[0] == ["txt/2 b.txt"]
 
 
+def test_files_of_rows_are_those_of_spark(spark, tmp_path):
+    rows = [(1, "a\nb"), (1, "c"), (-2, "\u00e9 \u6f22"), (3, None), (None, "no key"), (4, "")]
+    raw = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    home, plain = tmp_path / "files a", tmp_path / "plain"
+    files.write_text_files(raw, str(home), "doc_id", "text")
+    raw.write.partitionBy("doc_id").text(str(plain))
+
+    def contents(root):
+        return sorted((str(f.parent.relative_to(root)), f.read_bytes()) for f in root.rglob("*.txt"))
+
+    assert contents(home) == contents(plain) and len(contents(home)) == 5
+    # No checksums beside the files, each of which costs a process, and nothing unfinished.
+    assert not [f for f in home.rglob("*") if f.parent != home and f.name.startswith(".")]
+    files.write_text_files(raw.where("false"), str(tmp_path / "none"), "doc_id", "text")
+    assert books.list_books(spark, str(tmp_path / "none"), glob="*.txt").count() == 0
+    files.write_text_files(raw, f"file://{tmp_path}/by uri", "doc_id", "text")
+    assert contents(tmp_path / "by uri") == contents(plain)
+
+
+def test_steps_of_a_load_name_no_more_files_than_needed(spark, tmp_path, monkeypatch):
+    shelf, path = tmp_path / "txt", str(tmp_path / "table")
+    shelf.mkdir()
+    for k in range(40):
+        (shelf / f"{k:02}.txt").write_text(f"Book {k}. End.")
+    filters, real = [], books.read_books
+
+    def seen(*args, files, **options):
+        filters.append(files._jdf.queryExecution().optimizedPlan().toString())
+        return real(*args, files=files, **options)
+
+    monkeypatch.setattr(books, "read_books", seen)
+    assert load_new_books(spark, str(shelf), path, 12, buckets=2) == 12
+    assert load_new_books(spark, str(shelf), path, buckets=2, step=20) == 28
+    assert len(filters) == 3 and not any("INSET" in f or " IN (" in f for f in filters)
+    (shelf / "05.txt").write_text("Changed book.")
+    for k in (3, 11, 41):
+        (shelf / f"{k:02}.txt").write_text("Another one. Of three. Sentences.")
+    assert load_new_books(spark, str(shelf), path, buckets=2) == 4
+    there = tables.read_sentences(spark, path).groupBy("fileName").count().collect()
+    assert {r[0]: r[1] for r in there} == {f"txt/{k:02}.txt": 2 for k in range(40)} | {"txt/05.txt": 1} | {f"txt/{k:02}.txt": 3 for k in (3, 11, 41)}
+    kept = spark.read.parquet(totals.totals_path(path)).select("fileName", "doc_count").collect()
+    assert {r[0]: r[1] for r in kept} == {r[0]: r[1] for r in there}
+
+
+def test_books_new_to_a_table_are_added_to_it(spark, tmp_path):
+    path = str(tmp_path / "table")
+    first = spark.createDataFrame([("a", 0, "x"), ("b", 0, "x")], "fileName string, position int, text string")
+    keyed.create_keyed(first, path, KEY, 2)
+    before = {str(f): f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+    more = spark.createDataFrame([("c", 0, "y"), ("d", 0, "y"), ("d", 1, "y")], first.schema)
+    touched = keyed.merge_keyed(spark, path, more, KEY, more.select("fileName"))
+    after = {str(f): f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+    assert before.items() < after.items() and set(touched) <= {0, 1}
+    assert sorted(r[:3] for r in spark.read.parquet(path).collect()) == [("a", 0, "x"), ("b", 0, "x"), ("c", 0, "y"), ("d", 0, "y"), ("d", 1, "y")]
+    again = spark.createDataFrame([("d", 0, "z")], first.schema)
+    keyed.merge_keyed(spark, path, again, KEY, again.select("fileName"))
+    assert sorted(r[:3] for r in spark.read.parquet(path).collect()) == [("a", 0, "x"), ("b", 0, "x"), ("c", 0, "y"), ("d", 0, "z")]
+
+
 def test_totals_of_a_table_that_loses_all_rows(spark, tmp_path):
     path = str(tmp_path / "table")
     keyed.create_keyed(small(spark, [("a", k, "t", 3) for k in range(5)]), path, KEY, 2)

@@ -50,7 +50,7 @@ def conversation_sentences(spark: SparkSession, folder: str) -> DataFrame:
 def book_files(spark: SparkSession, folder: str, path: str) -> None:
     """One text file per document, as the file sources expect them."""
     raw = tables.corpus_documents(spark, folder).select("doc_id", "text")
-    spread(raw, "doc_id").write.partitionBy("doc_id").text(path)
+    files.write_text_files(spread(raw, "doc_id"), path, "doc_id", "text")
 
 
 @_once

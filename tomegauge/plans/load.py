@@ -1,9 +1,10 @@
 """The batch load: book files to the stored sentence table, its totals and its manifest."""
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomegauge.functions import text
@@ -95,6 +96,27 @@ def manifest_path(path: str) -> str:
     return f"{path.rstrip('/')}_files"
 
 
+def _between(unchanged: DataFrame, rows: list) -> list[str] | None:
+    """Addresses of unchanged files among those to load, in order; None if they are more than these."""
+    among = unchanged.select("address").where(F.col("address").between(rows[0].address, rows[-1].address))
+    found = among.limit(len(rows) + 1).collect()
+    return sorted(row.address for row in found) if len(found) <= len(rows) else None
+
+
+def _wanted(part: list[str], stay: list[str] | None) -> Column:
+    """The files of a step, as bounds and the shorter list of those in it and those to leave out.
+
+    All files between two that are loaded are either loaded or unchanged, so where none is unchanged the bounds tell the
+    step. A list of ten thousands takes the planner longer than the files take to read.
+    """
+    bounds = books.address().between(part[0], part[-1])
+    if stay is not None:
+        out = stay[bisect_left(stay, part[0]) : bisect_right(stay, part[-1])]
+        if len(out) < len(part):
+            return bounds & ~books.address().isin(out) if out else bounds
+    return bounds & books.address().isin(part)
+
+
 def load_new_books(
     spark: SparkSession,
     root: str,
@@ -126,11 +148,10 @@ def load_new_books(
     # No more than the listing that the driver holds as it is.
     fresh = fresh.orderBy("address") if limit is None else fresh.orderBy("address").limit(limit)
     rows = fresh.collect()
+    stay = [] if first or not rows else _between(manifest.unchanged_files(listed, known), rows)
     for at in range(0, len(rows), step):
         part = rows[at : at + step]
-        # A range and a list: the first prunes well, the second exactly.
-        wanted = books.address().between(part[0].address, part[-1].address) & books.address().isin([r.address for r in part])
-        some = files.where(wanted)
+        some = files.where(_wanted([row.address for row in part], stay))
         sentences = _sentences(spark, root, some, strict, min_syllables, abbreviations, large)
         _load(spark, path, sentences, books.listing(some, root).select("fileName"), buckets)
         manifest.record_files(spark.createDataFrame([(*row, load) for row in part], manifest.FILES), home, load)

@@ -1,8 +1,18 @@
 """Plain files. Each write replaces what the folder held."""
 
+import os
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: The folder of a row without a key, as Spark names it.
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+
 
 def write_lines(rows: DataFrame, path: str) -> None:
     """One string column as lines of text."""
@@ -24,3 +34,56 @@ def write_lexicon(lexicon: DataFrame, path: str, distinct: bool = False) -> None
 def reset_table(spark: SparkSession, path: str, schema: StructType) -> None:
     """An empty table in the place of whatever was there, made if absent."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
+def _mounted(path: str) -> str:
+    """The path by which a task opens a folder that Spark knows by ``path``, whether or not there is one."""
+    return re.sub(r"\Afile:(//[^/]*)?", "", path)
+
+
+def _files_of(folder: str, key: str):
+    """Writes the rows of a task, sorted by key: a file for each key, in place once it is whole."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not os.path.isdir(folder):
+            raise FileNotFoundError(f"{folder} is not shared with this executor")
+        task = TaskContext.get()
+        name, attempt = f"part-{task.partitionId():05d}.txt", f".{task.taskAttemptId()}"
+        last, file, count = None, None, 0
+
+        def close():
+            file.close()
+            os.replace(file.name, os.path.join(last, name))
+
+        for batch in batches:
+            for at, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                home = os.path.join(folder, f"{key}={NO_KEY if at is None else at}")
+                if home != last:
+                    if file is not None:
+                        close()
+                    os.makedirs(home, exist_ok=True)
+                    last, file, count = home, open(os.path.join(home, attempt), "wb"), count + 1
+                file.write((text.as_py() or b"") + b"\n")
+        if file is not None:
+            close()
+        yield pa.RecordBatch.from_pydict({"files": pa.array([count], pa.int64())})
+
+    return write
+
+
+def write_text_files(rows: DataFrame, path: str, key: str, value: str) -> None:
+    """A text file in a folder ``key=...`` for each value of an integer key, as ``partitionBy(key).text`` lays them out.
+
+    Into a folder that is mounted the tasks write the files themselves, as Hadoop's local file
+    system starts a process for every folder, file and checksum that it makes. On other stores Spark's writer
+    does it, and the tasks put their files in place instead of the driver.
+    """
+    rows = rows.select(key, value)
+    rows.where(F.lit(False)).write.partitionBy(key).text(path)
+    folder = _mounted(path)
+    if os.path.isdir(folder):
+        sorted_ = rows.select(key, F.col(value).cast("binary")).sortWithinPartitions(key)
+        sorted_.mapInArrow(_files_of(folder, key), "files long").agg(F.sum("files")).first()
+    else:
+        by_tasks = rows.write.partitionBy(key).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        by_tasks.mode("append").text(path)

@@ -55,13 +55,13 @@ def write_bucketed(rows: DataFrame, path: str, order: Sequence[str], mode: str =
 
     Rows are sorted within each file, so a look-up by key skips row groups. The
     number of buckets is part of the folder names, so that readers need not know it. A ``dynamic`` write replaces only
-    the buckets that have rows.
+    the buckets that have rows, an ``append`` adds files to them.
     """
     (
         rows.hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", *order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
+        .write.mode("append" if mode == "append" else "overwrite")
+        .option("partitionOverwriteMode", "dynamic" if mode == "dynamic" else "static")
         .partitionBy("buckets", "bucket")
         .parquet(path)
     )
@@ -97,7 +97,8 @@ def merge_keyed(
     named as the first key, all rows under these names are replaced: what the batch
     no longer holds of them goes. A table without rows, as after a reset, is made anew.
 
-    Only the buckets the batch touches are read and rewritten. The merged rows are first
+    Where the table holds nothing under ``names``, the batch is added to it. Else
+    only the buckets the batch touches are read and rewritten. The merged rows are first
     written to the scratch folder, as a table cannot be overwritten while it is read,
     and from there by ``replace_buckets``. A lost executor costs a task.
     """
@@ -116,13 +117,21 @@ def merge_keyed(
         rows = spark.read.schema(rows.schema).parquet(batch_path)
         gone = rows.select(*keys).distinct()
     else:
-        gone = names.select(keys[0]).distinct()
+        # Written once too: small as it is it can be sent to the old rows, and what it comes from is read once.
+        names_path = scratch_path(spark, "names")
+        names.select(keys[0]).distinct().write.parquet(names_path)
+        gone = spark.read.parquet(names_path)
     # At most ``buckets`` numbers.
     touched = [row.bucket for row in gone.select(bucket_of(keys[0], buckets).alias("bucket")).distinct().collect()]
     if not touched:
         return []
-    old = table.where(F.col("bucket").isin(touched)).join(gone, gone.columns, "left_anti")
+    here = table.where(F.col("bucket").isin(touched))
     batch = _bucketed(rows if unique else newest(rows, keys), keys[0], buckets)
+    if names is not None and here.select(keys[0]).join(gone, gone.columns, "left_semi").isEmpty():
+        write_bucketed(batch, path, keys, "append")
+        spark.catalog.refreshByPath(path)
+        return touched
+    old = here.join(gone, gone.columns, "left_anti")
     merged = scratch_path(spark, "merged")
     old.select(*table.columns).unionByName(batch.select(*table.columns)).write.parquet(merged)
     replace_buckets(spark, path, spark.read.schema(table.schema).parquet(merged), keys, buckets, touched)

@@ -29,6 +29,11 @@ def changed_files(listed: DataFrame, known: DataFrame) -> DataFrame:
     return listed.join(known.select(*SAME_FILE), SAME_FILE, "left_anti").select("address", "fileName", "length", "modified")
 
 
+def unchanged_files(listed: DataFrame, known: DataFrame) -> DataFrame:
+    """The other listed files: loaded as they are."""
+    return listed.join(known.select(*SAME_FILE), SAME_FILE, "left_semi")
+
+
 def gone_files(listed: DataFrame, known: DataFrame) -> DataFrame:
     """Files that were loaded and are no longer there."""
     return known.join(listed.select("address"), "address", "left_anti")
