@@ -374,6 +374,17 @@ def test_blocks_that_hold_no_hit_are_not_read(spark, tmp_path):
     assert search.postings_to_read(spark, path, "notaword").count() == 0
 
 
+def test_many_blocks_meet_their_postings_in_a_join(spark, tmp_path, monkeypatch):
+    names = [(f"b{k}", 0, "the rare word" if k % 50 == 0 else f"the word{k % 7} goes the way", 1, 0, 3 if k % 50 == 0 else 5) for k in range(600)]
+    table, path = spark.createDataFrame(names, SENTENCES), str(tmp_path / "index")
+    search.write_index(table, path, 2, block_sentences=8)
+    expected = search.search(table, "the rare", 5).collect()
+    monkeypatch.setattr(search, "MOST_NAMED", 0)
+    found = search._Lookup(spark, path, "the rare", 5)
+    assert found.skipped == "the" and "LeftSemi" in found.hits._jdf.queryExecution().optimizedPlan().toString()
+    assert search.search_index(spark, path, table, "the rare", 5).collect() == expected
+
+
 def test_stages(spark, folder, sentences):
     raw = tables.document_books(spark, folder)
     staged = readability_stages().fit(raw).transform(raw)

@@ -32,6 +32,9 @@ LEAST_PER_BLOCK = 4
 # Postings of the rarer terms of a phrase up to which blocks of the most frequent one are skipped: the driver lists their blocks.
 MOST_LOOKED_UP = 100_000
 
+# Blocks that a filter names one by one; more of them meet the postings in a join, as a list takes the planner too long.
+MOST_NAMED = 1000
+
 # Rows of a page of postings, the least that a reader skips.
 PAGE_ROWS = "1024"
 
@@ -182,7 +185,8 @@ def write_index(
     rows = spark.read.parquet(f"{path}/postings")
     _write(rows.groupBy("bucket", "term").agg(F.count(F.lit(1)).alias("df")), f"{path}/terms", "term")
     frequent = spark.read.parquet(f"{path}/terms").where(F.col("df") >= LEAST_PER_BLOCK * blocks).select("bucket", "term")
-    maxima = block_maxima(rows.join(frequent, ["bucket", "term"], "left_semi"), statistics["mean"] or 0.0)
+    # Some hundreds however large the table: a term needs LEAST_PER_BLOCK postings a block, and a block has the words of its sentences.
+    maxima = block_maxima(rows.join(F.broadcast(frequent), ["bucket", "term"], "left_semi"), statistics["mean"] or 0.0)
     _write(maxima, f"{path}/blocks", "term", "block")
     facts = "documents long, mean double, buckets int, unicode boolean, blocks int"
     spark.createDataFrame([(*statistics, buckets, unicode, blocks)], facts).write.mode("overwrite").parquet(f"{path}/statistics")
@@ -232,8 +236,15 @@ class _Lookup:
         if 2 * len(needed) > blocks:
             return
         self.skipped = frequent
-        some = self._wanted([frequent]) & F.col("block").isin(sorted(needed))
-        self.hits = every.where(some | self._wanted(rare) if rare else some)
+        if len(needed) <= MOST_NAMED:
+            some = self._wanted([frequent]) & F.col("block").isin(sorted(needed))
+            self.hits = every.where(some | self._wanted(rare) if rare else some)
+            return
+        # No more than MOST_LOOKED_UP and ``limit`` numbers.
+        blocks_ = spark.createDataFrame([(block,) for block in needed], "block int")
+        self.hits = every.where(self._wanted([frequent])).join(F.broadcast(blocks_), "block", "left_semi").select(*every.columns)
+        if rare:
+            self.hits = self.hits.unionByName(every.where(self._wanted(rare)))
 
 
 def search_index(
