@@ -282,6 +282,39 @@ def test_steps_of_a_load_name_no_more_files_than_needed(spark, tmp_path, monkeyp
     assert {r[0]: r[1] for r in kept} == {r[0]: r[1] for r in there}
 
 
+def test_steps_of_a_load_count_only_their_own_books(spark, tmp_path, monkeypatch):
+    shelf, path, counted, tasks = tmp_path / "txt", str(tmp_path / "a table"), [], []
+    shelf.mkdir()
+    for k in range(500):
+        (shelf / f"{k:03}.txt").write_text("Sentence of any book. " * (k % 3) or " ")
+    refresh, whole = totals.refresh, books.read_books
+    monkeypatch.setattr(totals, "refresh", lambda *a, **k: counted.append(1) or refresh(*a, **k))
+    monkeypatch.setattr(books, "read_books", lambda *a, **k: tasks.append((frame := whole(*a, **k)).rdd.getNumPartitions()) or frame)
+
+    def kept():
+        table = spark.read.parquet(path)
+        for rows, home in ((totals.totals_of(table), totals.totals_path(path)), (totals.running_of(table), totals.running_path(path))):
+            there = spark.read.parquet(home).select(*rows.columns)
+            assert sorted(map(str, there.collect())) == sorted(map(str, rows.collect()))
+
+    before = spark.conf.get(books.OPEN_COST)
+    assert load_new_books(spark, str(shelf), path, buckets=3, step=200) == 500
+    # Small files come by hundreds a task, and only the first step counts a whole table.
+    assert max(tasks) <= spark.sparkContext.defaultParallelism + 1 and len(counted) == 1
+    assert spark.conf.get(books.OPEN_COST) == before
+    kept()
+    (shelf / "000.txt").write_text("Now it has one.")
+    (shelf / "001.txt").write_text("Another.")
+    (shelf / "new.txt").write_text("One more. " * 1500)
+    assert load_new_books(spark, str(shelf), path) == 3
+    kept()
+    # Totals of a book that the table no longer holds, as a load leaves them that is broken off.
+    keyed.merge_keyed(spark, path, spark.read.parquet(path).drop("buckets", "bucket").where("false"), KEY, spark.createDataFrame([("txt/new.txt",)], "fileName string"))
+    (shelf / "new.txt").write_text("Shorter.")
+    assert load_new_books(spark, str(shelf), path) == 1
+    kept()
+
+
 def test_books_new_to_a_table_are_added_to_it(spark, tmp_path):
     path = str(tmp_path / "table")
     first = spark.createDataFrame([("a", 0, "x"), ("b", 0, "x")], "fileName string, position int, text string")

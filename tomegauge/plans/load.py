@@ -30,10 +30,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _sentences(
-    spark: SparkSession, root: str, files: DataFrame, strict: bool, min_syllables: int, abbreviations: Sequence[str], large: int
+    spark: SparkSession, root: str, files: DataFrame, paths: list[str], strict: bool, min_syllables: int, abbreviations: Sequence[str], large: int
 ) -> DataFrame:
-    """The sentence table of an index of files; those above ``large`` bytes are cut in chunks."""
-    paths = books.large_files(files, large)
+    """The sentence table of an index of files; those above ``large`` bytes, which are at ``paths``, are cut in chunks."""
     whole = files.where(F.col("_metadata.file_size") <= large) if paths else files
     rows = sentence_table(books.read_books(spark, root, strict=strict, files=whole), min_syllables, abbreviations)
     if not paths:
@@ -51,6 +50,12 @@ def _load(spark: SparkSession, path: str, rows: DataFrame, names: DataFrame, buc
         there = table.select("buckets").first().buckets
         if buckets not in (None, there):
             raise ValueError(f"{path} has {there} buckets")
+        # Of added books the totals are counted from their rows alone, so that a load in steps reads no row twice for them.
+        kept = all(_exists(spark, home) for home in (totals.totals_path(path), totals.running_path(path)))
+        added = keyed.add_keyed(spark, path, rows, KEY, names, unique=True) if kept else None
+        if added is not None:
+            totals.add(spark, path, added, size)
+            return
         touched = keyed.merge_keyed(spark, path, rows, KEY, names, unique=True)
     totals.refresh(spark, path, touched if _exists(spark, totals.totals_path(path)) else None, size)
 
@@ -81,14 +86,15 @@ def load_books(
     so a library of many million files is loaded folder by folder.
     """
     files = books.index(spark, root, glob)
-    last = books.last_file(spark, root, limit, glob, after, files)
-    if last is None:
-        return None
-    wanted = books.address() <= last
-    files = files.where(wanted if after is None else wanted & (books.address() > after))
-    # Sentences are numbered within their book, so their keys are unique. The names alone come from the listing.
-    rows = _sentences(spark, root, files, strict, min_syllables, abbreviations, large)
-    _load(spark, path, rows, books.listing(files, root).select("fileName"), buckets)
+    with books.small_files(spark):
+        last = books.last_file(spark, root, limit, glob, after, files)
+        if last is None:
+            return None
+        wanted = books.address() <= last
+        files = files.where(wanted if after is None else wanted & (books.address() > after))
+        # Sentences are numbered within their book, so their keys are unique. The names alone come from the listing.
+        rows = _sentences(spark, root, files, books.large_files(files, large), strict, min_syllables, abbreviations, large)
+        _load(spark, path, rows, books.listing(files, root).select("fileName"), buckets)
     return last
 
 
@@ -139,27 +145,31 @@ def load_new_books(
     goes on from the last step. ``drop_gone`` takes the books of files no longer there out of the table.
     """
     files = books.index(spark, root, glob)
-    listed = books.listing(files, root)
-    home = manifest_path(path)
-    first = not _exists(spark, home)
-    known = spark.createDataFrame([], manifest.FILES) if first else manifest.known_files(spark, home)
-    load = 1 if first else manifest.last_load(spark, home) + 1
-    fresh = manifest.changed_files(listed, known)
-    # No more than the listing that the driver holds as it is.
-    fresh = fresh.orderBy("address") if limit is None else fresh.orderBy("address").limit(limit)
-    rows = fresh.collect()
-    stay = [] if first or not rows else _between(manifest.unchanged_files(listed, known), rows)
-    for at in range(0, len(rows), step):
-        part = rows[at : at + step]
-        some = files.where(_wanted([row.address for row in part], stay))
-        sentences = _sentences(spark, root, some, strict, min_syllables, abbreviations, large)
-        _load(spark, path, sentences, books.listing(some, root).select("fileName"), buckets)
-        manifest.record_files(spark.createDataFrame([(*row, load) for row in part], manifest.FILES), home, load)
-    if drop_gone and not first:
-        gone = manifest.gone_files(listed, known)
-        if not gone.isEmpty():
-            names = gone.select("fileName")
-            none = spark.read.parquet(path).drop("buckets", "bucket").where(F.lit(False))
-            _load(spark, path, none, names, None)
-            manifest.record_files(gone, home, load, gone=True)
-    return len(rows)
+    with books.small_files(spark):
+        listed = books.listing(files, root)
+        home = manifest_path(path)
+        first = not _exists(spark, home)
+        known = spark.createDataFrame([], manifest.FILES) if first else manifest.known_files(spark, home)
+        load = 1 if first else manifest.last_load(spark, home) + 1
+        fresh = manifest.changed_files(listed, known)
+        # No more than the listing that the driver holds as it is.
+        fresh = fresh.orderBy("address") if limit is None else fresh.orderBy("address").limit(limit)
+        rows = fresh.collect()
+        stay = [] if first or not rows else _between(manifest.unchanged_files(listed, known), rows)
+        long = books.large_addresses(files, large) if rows else {}
+        for at in range(0, len(rows), step):
+            part = rows[at : at + step]
+            some = files.where(_wanted([row.address for row in part], stay))
+            paths = [long[row.address] for row in part if row.address in long]
+            sentences = _sentences(spark, root, some, paths, strict, min_syllables, abbreviations, large)
+            read = spark.createDataFrame([(*row, load) for row in part], manifest.FILES)
+            _load(spark, path, sentences, read.select("fileName"), buckets)
+            manifest.record_files(read, home, load)
+        if drop_gone and not first:
+            gone = manifest.gone_files(listed, known)
+            if not gone.isEmpty():
+                names = gone.select("fileName")
+                none = spark.read.parquet(path).drop("buckets", "bucket").where(F.lit(False))
+                _load(spark, path, none, names, None)
+                manifest.record_files(gone, home, load, gone=True)
+        return len(rows)

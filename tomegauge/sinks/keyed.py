@@ -83,6 +83,56 @@ def create_keyed(
     write_bucketed(_bucketed(rows, keys[0], buckets), path, keys)
 
 
+def _names(spark: SparkSession, names: DataFrame, key: str) -> DataFrame:
+    """The distinct names, written once: small as they are they can be sent to the old rows, and what they come from is read once."""
+    names_path = scratch_path(spark, "names")
+    names.select(key).distinct().write.parquet(names_path)
+    return spark.read.parquet(names_path)
+
+
+def _buckets_of(names: DataFrame, key: str, buckets: int) -> list[int]:
+    """The buckets of keys, at most ``buckets`` numbers."""
+    return [row.bucket for row in names.select(bucket_of(key, buckets).alias("bucket")).distinct().collect()]
+
+
+def _add(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], gone: DataFrame, touched: Sequence[int], unique: bool) -> bool:
+    """Add rows to a table that holds nothing under the names ``gone``; where it does, nothing is written.
+
+    The least and greatest name let the look-up skip row groups, as the files are sorted by key.
+    """
+    table = spark.read.parquet(path)
+    ends = gone.agg(F.min(keys[0]).alias("least"), F.max(keys[0]).alias("greatest")).first()
+    near = F.col(keys[0]).between(F.lit(ends.least), F.lit(ends.greatest))
+    here = table.where(F.col("bucket").isin(list(touched)) & near).select(keys[0])
+    if not here.join(gone, gone.columns, "left_semi").isEmpty():
+        return False
+    buckets = table.select("buckets").first().buckets
+    write_bucketed(_bucketed(rows if unique else newest(rows, keys), keys[0], buckets), path, keys, "append")
+    spark.catalog.refreshByPath(path)
+    return True
+
+
+def _file_names(table: DataFrame) -> set[str]:
+    return {file.rsplit("/", 1)[-1] for file in table.inputFiles()}
+
+
+def add_keyed(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], names: DataFrame, unique: bool = False) -> DataFrame | None:
+    """Add a batch to a keyed table with rows that holds nothing under ``names``; gives the rows added, as read back.
+
+    None if the table does hold some, or there are no names: then nothing is written, and ``merge_keyed`` has to be called.
+    """
+    table = spark.read.parquet(path)
+    buckets = table.select("buckets").first().buckets
+    gone = _names(spark, names, keys[0])
+    touched = _buckets_of(gone, keys[0], buckets)
+    before = _file_names(table)
+    if not touched or not _add(spark, path, rows, keys, gone, touched, unique):
+        return None
+    table = spark.read.parquet(path)
+    # Each write has names of its own, one for each task; other files are not opened.
+    return table.where(F.col("_metadata.file_name").isin(sorted(_file_names(table) - before)))
+
+
 def merge_keyed(
     spark: SparkSession,
     path: str,
@@ -117,20 +167,14 @@ def merge_keyed(
         rows = spark.read.schema(rows.schema).parquet(batch_path)
         gone = rows.select(*keys).distinct()
     else:
-        # Written once too: small as it is it can be sent to the old rows, and what it comes from is read once.
-        names_path = scratch_path(spark, "names")
-        names.select(keys[0]).distinct().write.parquet(names_path)
-        gone = spark.read.parquet(names_path)
-    # At most ``buckets`` numbers.
-    touched = [row.bucket for row in gone.select(bucket_of(keys[0], buckets).alias("bucket")).distinct().collect()]
+        gone = _names(spark, names, keys[0])
+    touched = _buckets_of(gone, keys[0], buckets)
     if not touched:
         return []
+    if names is not None and _add(spark, path, rows, keys, gone, touched, unique):
+        return touched
     here = table.where(F.col("bucket").isin(touched))
     batch = _bucketed(rows if unique else newest(rows, keys), keys[0], buckets)
-    if names is not None and here.select(keys[0]).join(gone, gone.columns, "left_semi").isEmpty():
-        write_bucketed(batch, path, keys, "append")
-        spark.catalog.refreshByPath(path)
-        return touched
     old = here.join(gone, gone.columns, "left_anti")
     merged = scratch_path(spark, "merged")
     old.select(*table.columns).unionByName(batch.select(*table.columns)).write.parquet(merged)

@@ -83,3 +83,15 @@ def refresh(spark: SparkSession, path: str, touched: Sequence[int] | None = None
         here = table.where(F.col("bucket").isin(list(touched)))
         _put(spark, totals_of(here), totals_path(path), ["fileName"], buckets, touched)
         _put(spark, running_of(here, size), running_path(path), ["fileName", "chunk"], buckets, touched)
+
+
+def add(spark: SparkSession, path: str, added: DataFrame, size: int = CHUNK) -> None:
+    """Count books that were added to a keyed sentence table, from their rows alone.
+
+    Where the totals hold one of them, as after a load that was broken off, all buckets are counted anew.
+    """
+    for home in (totals_path(path), running_path(path)):
+        if not spark.read.parquet(home).join(added.select("fileName").distinct(), "fileName", "left_semi").isEmpty():
+            return refresh(spark, path, None, size)
+    keyed.write_bucketed(totals_of(added), totals_path(path), ["fileName"], "append")
+    keyed.write_bucketed(running_of(added, size), running_path(path), ["fileName", "chunk"], "append")
