@@ -102,6 +102,46 @@ def test_equal_passages_beside_holders_of_a_part(make, holders, held):
         assert len(mine) >= 50 and (r.similarity < 1 or mine == theirs)
 
 
+def linked(found, a, b):
+    least = {}
+
+    def root(doc_id):
+        while least.get(doc_id, doc_id) != doc_id:
+            doc_id = least[doc_id]
+        return doc_id
+
+    for r in found:
+        least[root(r.doc_id)] = root(r.other_id)
+    return root(a) == root(b)
+
+
+def test_equal_passages_of_which_a_hub_is_similar_to_one(make):
+    draw, rows = random.Random(12), []
+    for k in range(0, 150, 3):
+        passage = invented(draw, 140)
+        edited = passage.copy()
+        edited[66] = edited[74] = "edited"  # similar to the whole passage, not to the 60 words around its middle
+        held = (edited, passage, passage[40:100])
+        rows += [(k + j, " ".join(invented(draw, 40) + words + invented(draw, 40))) for j, words in enumerate(held)]
+    found = passages.repeated_passages(make(*rows)).collect()
+    assert all(linked(found, k + 1, k + 2) for k in range(0, 150, 3))
+
+
+def test_a_repeated_word_is_one_passage(make):
+    draw = random.Random(4)
+    rows = [(k, " ".join(invented(draw, 60) + ["again"] * (120 + 40 * k) + invented(draw, 60))) for k in range(5)]
+    phrase = invented(draw, 7)
+    rows += [(10 + k, " ".join(invented(draw, 60) + phrase * (20 + 5 * k) + invented(draw, 60))) for k in range(5)]
+    found = passages.repeated_passages(make(*rows)).collect()
+    assert all(linked(found, a, b) for a, b in ((0, 4), (1, 2), (2, 3), (3, 4), (10, 14), (11, 12), (12, 13), (13, 14)))
+    assert len(found) <= 60  # each by each representative a few times, not once for every place
+    texts = {doc_id: text.split() for doc_id, text in rows}
+    for r in found:
+        mine, theirs = texts[r.doc_id][r.first_word : r.last_word + 1], texts[r.other_id][r.other_first_word : r.other_last_word + 1]
+        one, two = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (mine, theirs))
+        assert len(mine) >= 50 and r.similarity == pytest.approx(len(one & two) / len(one | two))
+
+
 def test_passages_of_odd_rows(odd, empty):
     assert passages.repeated_passages(odd).collect() == []
     assert passages.repeated_passages(empty).count() == 0
