@@ -118,3 +118,24 @@ def test_replacement_counts_words_once(store):
     frame = vocabulary.words_to_replace(store, -2)
     frame.collect()
     assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("levels", [-2, 2])
+def test_words_to_replace_cut_the_sentences_once(store, levels):
+    frame = vocabulary.words_to_replace(store, levels, min_sentences=30)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and plan.count("ReusedExchange") >= 2
+
+
+def test_words_to_replace_of_odd_sentences(spark):
+    """Null texts count as sentences, null names and counts give no row; texts of blanks are no words."""
+    long = "Deteriorating machinery considerably irritated everybody"
+    rows = [("a", 0, long, 3), ("a", 1, None, 0), ("a", 2, "  ", None), (None, 0, long, 3), ("b", 0, long, None), ("b", 1, "Short", None)]
+    sentences = spark.createDataFrame(rows, "fileName string, position int, sentenceText string, multiSyllableCount int")
+    found = vocabulary.words_to_replace(sentences, -2).collect()
+    assert {r.fileName for r in found} == {"a"} and all(r.word.strip() for r in found)
+    count, multi = 3, 3
+    exact = 1.0430 * (30 * multi / count) ** 0.5 + 3.1291 - 2
+    target = count / 30 * ((exact - 3.1291) / 1.0430) ** 2
+    assert {r.needed for r in found} == {-(-(multi - target) // 1)}

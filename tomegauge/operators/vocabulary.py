@@ -5,11 +5,14 @@ from pyspark.sql import functions as F
 
 from tomegauge.functions import grades, text
 from tomegauge.operators.running import running_total
-from tomegauge.operators.scores import book_scores, sentence_counts, text_totals
+from tomegauge.operators.scores import graded, sentence_counts, text_totals
 from tomegauge.operators.sentences import explode_once, sentence_tokens
 
 HEAD_CHARACTERS = 3
 
+# Stand for totals among the words of a book; no token is empty or blank.
+SENTENCES, MULTI_SYLLABLES = "", " "
+
 # The collocation statistic of Kiss and Strunk (2006) for abbreviations.
 ABBREVIATION_CERTAINTY = 0.99
 ABBREVIATION_SCORE = 0.3
@@ -141,21 +144,33 @@ def words_to_replace(
     count, multi = F.col("doc_count"), F.col("sum_multiSyllables")
     target = grades.multi_syllables_for(grades.smog_exact(multi, count) + float(levels), count)
     missing = multi - target if levels < 0 else target - multi
-    needs = (
-        book_scores(sentences, min_sentences)
-        .select("fileName", F.ceil(missing).alias("needed"))
-        .where(F.col("needed") > 0)
-    )
+    # The totals of a book are counted with its words, as two words that no text holds, so that its sentences are cut once.
+    tokens = F.coalesce(text.tokens_by_flag("sentenceText", 1 if levels < 0 else 0), F.array().cast("array<string>"))
     candidates = sentences.select(
-        "fileName", text.tokens_by_flag("sentenceText", 1 if levels < 0 else 0).alias("_words")
+        "fileName", "multiSyllableCount", F.concat(tokens, F.array(F.lit(SENTENCES), F.lit(MULTI_SYLLABLES))).alias("_words")
     )
-    words = (
+    counted = (
         explode_once(candidates, "_words", "_place", "word")
         .groupBy("fileName", "word")
-        .agg(F.count(F.lit(1)).alias("occurrences"))
-        # Never NULL, and known as such: a NULL test on one side of the coming join would keep Spark
-        # from counting the words once for both sides.
-        .withColumn("head", F.coalesce(F.substring("word", 1, HEAD_CHARACTERS), F.lit("")))
+        .agg(
+            F.sum(F.when(F.col("word") == MULTI_SYLLABLES, F.col("multiSyllableCount")).otherwise(1)).alias("occurrences"),
+            # Found by the grouping: a test on the word itself would be moved before it, and the words be counted once for each use.
+            F.max(F.col("word").isin(SENTENCES, MULTI_SYLLABLES)).alias("_total"),
+        )
+    )
+    totals = counted.where("_total").groupBy("fileName").agg(
+        F.max(F.when(F.col("word") == SENTENCES, F.col("occurrences"))).alias("doc_count"),
+        F.max(F.when(F.col("word") == MULTI_SYLLABLES, F.col("occurrences"))).alias("sum_multiSyllables"),
+    )
+    needs = (
+        graded(totals, min_sentences)
+        .select("fileName", F.ceil(missing).alias("needed"))
+        .where(F.col("needed") > 0)
+    )
+    # The head is never NULL, and known as such: a NULL test on one side of the coming join would keep Spark
+    # from counting the words once for both sides.
+    words = counted.where(~F.col("_total")).select(
+        "fileName", "word", "occurrences", F.coalesce(F.substring("word", 1, HEAD_CHARACTERS), F.lit("")).alias("head")
     )
     return (
         running_total(
