@@ -257,6 +257,42 @@ def test_files_of_rows_are_those_of_spark(spark, tmp_path):
     assert contents(tmp_path / "by uri") == contents(plain)
 
 
+def test_book_files_come_many_to_a_folder_in_the_order_of_their_names(spark, tmp_path):
+    home = tmp_path / "txt"
+    rows = [(k, f"Text {k}.") for k in range(130)] + [(7, "More."), (None, "Nameless."), (1000, None)]
+    raw = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    files.write_listed_files(raw, str(home), "doc_id", "text", most=4)
+    found = sorted(str(f.relative_to(home)) for f in home.rglob("*.txt"))
+    assert not [f for f in home.iterdir() if f.name.startswith(".") and f.is_dir()]
+    names = [f.rsplit("/", 1)[1] for f in found]
+    assert names == sorted(f"doc_id={'__HIVE_DEFAULT_PARTITION__' if k is None else k}.txt" for k in {k for k, _ in rows})
+    folders = [f.rsplit("/", 1)[0] for f in found]
+    assert max(map(folders.count, folders)) == 4 and len(set(folders)) <= 132 // 4 + 16
+    texts = {f.rsplit("/", 1)[1]: (home / f).read_text() for f in found}
+    assert texts["doc_id=12.txt"] == "Text 12.\n" and texts["doc_id=1000.txt"] == "\n"
+    assert sorted(texts["doc_id=7.txt"].splitlines()) == ["More.", "Text 7."]
+    first = books.list_books(spark, str(home), 3, "*.txt").select(landing.document_id(), "length").collect()
+    assert sorted(map(tuple, first)) == [(0, 8), (1, 8), (10, 9)]
+
+
+def test_an_attempt_finds_the_folders_of_the_one_before_it(tmp_path, monkeypatch):
+    batch = files.pa.record_batch({"name": [f"{k}." for k in range(5)], "text": [b"Text."] * 5})
+    for attempt in (1, 2):
+        task = SimpleNamespace(partitionId=lambda: 3, taskAttemptId=lambda at=attempt: at)
+        monkeypatch.setattr(files, "TaskContext", SimpleNamespace(get=lambda task=task: task))
+        assert [b.to_pydict() for b in files._folders_of(str(tmp_path), "k", 2)([batch])] == [{"files": [5]}]
+        assert sorted(f.name for f in tmp_path.iterdir()) == [f"part-00003-00000{k}" for k in range(3)]
+        assert sorted(f.name for f in tmp_path.rglob("*.txt")) == [f"k={k}.txt" for k in range(5)]
+
+
+def test_many_files_are_listed_by_few_tasks(spark, tmp_path):
+    for k in range(1500):
+        (tmp_path / f"{k}.txt").write_text("One. ")
+    listed = books.list_books(spark, str(tmp_path), glob="*.txt")
+    assert listed.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert listed.count() == 1500 == listed.select("path").distinct().count()
+
+
 def test_steps_of_a_load_name_no_more_files_than_needed(spark, tmp_path, monkeypatch):
     shelf, path = tmp_path / "txt", str(tmp_path / "table")
     shelf.mkdir()

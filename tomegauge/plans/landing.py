@@ -13,7 +13,7 @@ from tomegauge.functions import text
 from tomegauge.operators import documents, search
 from tomegauge.operators.sentences import sentence_table
 from tomegauge.plans.load import KEY, load_books, load_new_books
-from tomegauge.session import scratch_path, spread
+from tomegauge.session import scratch_path
 from tomegauge.sinks import files, keyed, totals
 from tomegauge.sources import books, tables
 
@@ -49,8 +49,7 @@ def conversation_sentences(spark: SparkSession, folder: str) -> DataFrame:
 @_once
 def book_files(spark: SparkSession, folder: str, path: str) -> None:
     """One text file per document, as the file sources expect them."""
-    raw = tables.corpus_documents(spark, folder).select("doc_id", "text")
-    files.write_text_files(spread(raw, "doc_id"), path, "doc_id", "text")
+    files.write_listed_files(tables.corpus_documents(spark, folder), path, "doc_id", "text")
 
 
 @_once
@@ -244,7 +243,7 @@ def manifest_store(spark: SparkSession, folder: str, path: str) -> None:
 
 def document_id():
     """The document a file written by ``book_files`` holds."""
-    return F.regexp_extract("fileName", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id")
+    return F.regexp_extract("fileName", r"doc_id=(\d+)[/.]", 1).cast("bigint").alias("doc_id")
 
 
 def read_book_files(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
