@@ -116,6 +116,35 @@ def test_loading_twice_equals_loading_once(spark, tmp_path):
     assert expected.exceptAll(table).count() == 0 == table.exceptAll(expected).count()
 
 
+def test_a_merge_shuffles_only_the_books_it_may_change(spark, physical, tmp_path, monkeypatch):
+    path, parts, writes = str(tmp_path / "table"), [], []
+    first = small(spark, [(f"b{i}", p, "old", 0) for i in range(200) for p in range(3)] + [(None, 0, "old", 0)])
+    second = small(spark, [("b1", 1, "new", 5), ("b1", 9, "new", 5), ("c", 0, "new", 5), (None, 0, "new", 5)])
+    keyed.create_keyed(first, path, KEY, 4)
+    apart, write = keyed._apart, keyed.write_bucketed
+
+    def seen(*args):
+        stay, near = apart(*args)
+        parts.append((physical(stay), stay.count(), near.count()))
+        return stay, near
+
+    monkeypatch.setattr(keyed, "_apart", seen)
+    monkeypatch.setattr(keyed, "write_bucketed", lambda rows, *a, **k: writes.append((a, k)) or write(rows, *a, **k))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        keyed.merge_keyed(spark, path, second, KEY)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    ((plan, stay, near),) = parts
+    assert "hashpartitioning" not in plan and near == 3 and stay > 100
+    assert len(writes) == 2 and writes[1][0][2:] == ("dynamic", True)
+    table = tables.read_sentences(spark, path)
+    # Rows without a name never meet, so both stay, as before.
+    nameless = first.where("fileName is null").unionByName(second.where("fileName is null"))
+    expected = keyed.upsert(first.where("fileName is not null"), second.where("fileName is not null"), KEY).unionByName(nameless)
+    assert sorted(map(str, table.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_merge_leaves_other_buckets_alone(spark, tmp_path):
     path = tmp_path / "table"
     keyed.create_keyed(small(spark, [(f"b{i}", 0, "old", 0) for i in range(40)]), str(path), KEY, 8)

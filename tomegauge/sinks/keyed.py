@@ -9,6 +9,9 @@ from tomegauge.session import scratch_path
 
 BUCKETS = 256
 
+#: Parts of a table, by the hash of the first key, by which a merge tells rows that the batch cannot meet.
+SLOTS = 1 << 20
+
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
@@ -50,15 +53,17 @@ def _bucketed(rows: DataFrame, bucket_by: str, buckets: int) -> DataFrame:
     return rows.withColumns({"buckets": F.lit(buckets), "bucket": bucket_of(bucket_by, buckets)})
 
 
-def write_bucketed(rows: DataFrame, path: str, order: Sequence[str], mode: str = "static") -> None:
+def write_bucketed(rows: DataFrame, path: str, order: Sequence[str], mode: str = "static", dealt: bool = False) -> None:
     """Rebalanced by bucket: one file per bucket where it fits, more where a bucket is hot.
 
+    Rows that come ``dealt`` by bucket, as from the files of a keyed table, are written as they lie, without a shuffle.
+
     Rows are sorted within each file, so a look-up by key skips row groups. The
     number of buckets is part of the folder names, so that readers need not know it. A ``dynamic`` write replaces only
     the buckets that have rows, an ``append`` adds files to them.
     """
     (
-        rows.hint("rebalance", "bucket")
+        (rows if dealt else rows.hint("rebalance", "bucket"))
         .sortWithinPartitions("bucket", *order)
         .write.mode("append" if mode == "append" else "overwrite")
         .option("partitionOverwriteMode", "dynamic" if mode == "dynamic" else "static")
@@ -95,6 +100,19 @@ def _buckets_of(names: DataFrame, key: str, buckets: int) -> list[int]:
     return [row.bucket for row in names.select(bucket_of(key, buckets).alias("bucket")).distinct().collect()]
 
 
+def _apart(spark: SparkSession, here: DataFrame, gone: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that share no slot with a name that is both in ``here`` and in ``gone``, and the others.
+
+    The slots are at most ``SLOTS`` numbers, however many names there are, so they can always be sent to the rows.
+    """
+    held = here.select(key).distinct().join(gone.select(key).distinct(), key, "left_semi")
+    slots_path = scratch_path(spark, "slots")
+    held.select(bucket_of(key, SLOTS).alias("_slot")).distinct().write.parquet(slots_path)
+    slots = F.broadcast(spark.read.schema("_slot int").parquet(slots_path))
+    slotted = here.withColumn("_slot", bucket_of(key, SLOTS))
+    return tuple(slotted.join(slots, "_slot", how).drop("_slot") for how in ("left_anti", "left_semi"))
+
+
 def _add(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], gone: DataFrame, touched: Sequence[int], unique: bool) -> bool:
     """Add rows to a table that holds nothing under the names ``gone``; where it does, nothing is written.
 
@@ -148,7 +166,8 @@ def merge_keyed(
     no longer holds of them goes. A table without rows, as after a reset, is made anew.
 
     Where the table holds nothing under ``names``, the batch is added to it. Else
-    only the buckets the batch touches are read and rewritten. The merged rows are first
+    only the buckets the batch touches are read and rewritten. Of their rows only those are shuffled whose books
+    the batch may hold; the others stay in the tasks that read them. The merged rows are first
     written to the scratch folder, as a table cannot be overwritten while it is read,
     and from there by ``replace_buckets``. A lost executor costs a task.
     """
@@ -175,22 +194,24 @@ def merge_keyed(
         return touched
     here = table.where(F.col("bucket").isin(touched))
     batch = _bucketed(rows if unique else newest(rows, keys), keys[0], buckets)
-    old = here.join(gone, gone.columns, "left_anti")
+    stay, near = _apart(spark, here, gone, keys[0])
+    old = near.join(gone, gone.columns, "left_anti")
+    moved = old.select(*table.columns).unionByName(batch.select(*table.columns)).hint("rebalance", "bucket")
     merged = scratch_path(spark, "merged")
-    old.select(*table.columns).unionByName(batch.select(*table.columns)).write.parquet(merged)
-    replace_buckets(spark, path, spark.read.schema(table.schema).parquet(merged), keys, buckets, touched)
+    write_bucketed(stay.select(*table.columns).unionByName(moved), merged, keys, dealt=True)
+    replace_buckets(spark, path, spark.read.schema(table.schema).parquet(merged), keys, buckets, touched, dealt=True)
     return touched
 
 
 def replace_buckets(
-    spark: SparkSession, path: str, merged: DataFrame, order: Sequence[str], buckets: int, touched: Sequence[int]
+    spark: SparkSession, path: str, merged: DataFrame, order: Sequence[str], buckets: int, touched: Sequence[int], dealt: bool = False
 ) -> None:
     """Put the rows of ``merged``, which must not be read from the table, in the place of the buckets ``touched``.
 
     Spark's dynamic partition overwrite does it in one commit. It leaves buckets without rows alone, so
     those are overwritten with an empty file each. A call that was broken off may be repeated.
     """
-    write_bucketed(merged, path, order, "dynamic")
+    write_bucketed(merged, path, order, "dynamic", dealt)
     filled = {row.bucket for row in merged.select("bucket").distinct().collect()}  # at most ``buckets`` numbers
     empty = merged.drop("buckets", "bucket").where(F.lit(False))
     for bucket in sorted(set(touched) - filled):
