@@ -71,3 +71,28 @@ def test_large_files_are_read_by_many_tasks(spark, tmp_path):
         assert lenient.first().rawDocument.startswith("fine line.  last.x")
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_stored_listings_read_large_files_by_blocks(spark, tmp_path, monkeypatch):
+    draw = random.Random(6)
+    root = tmp_path / "txt"
+    root.mkdir()
+    text = "\n".join(invented(draw, 12) for _ in range(5_000)) + "\r\n\n"
+    (root / "a +[b] é%20.txt").write_bytes(text.encode())
+    (root / "small.txt").write_bytes(b"One. Two.")
+    (root / "line.txt").write_bytes(b"No end of line. " * 400)
+    (root / "none.txt").write_bytes(b"")
+    expected = sorted(map(tuple, sentence_table(books.read_books(spark, str(root))).collect()))
+    monkeypatch.setattr(books, "FEW", 0)
+    monkeypatch.setattr(books, "BATCH_BYTES", 200)
+    monkeypatch.setattr(books, "TASK_BYTES", 3000)
+    long = books.large_files(books.index(spark, str(root)), 1000)
+    chunks = books.read_chunks(spark, str(root), long, lines=50)
+    assert long.count() == 2 and chunks.select("chunk.start").distinct().count() > 8
+    load_books(spark, str(root), str(tmp_path / "table"), buckets=4, large=1000)
+    assert sorted(map(tuple, tables.read_sentences(spark, str(tmp_path / "table")).collect())) == expected
+    (root / "bad.txt").write_bytes(b"fine line.\nbad \xff line.\nlast." + b"x" * 2000)
+    bad = books.index(spark, str(root)).where("path like '%bad.txt'")
+    with pytest.raises(PySparkException):
+        books.read_chunks(spark, str(root), bad).collect()
+    assert books.read_chunks(spark, str(root), bad, strict=False).first().rawDocument.startswith("fine line.  last.x")

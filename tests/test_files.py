@@ -421,6 +421,83 @@ def test_passages_by_running_counts(spark, tmp_path):
         assert list(map(tuple, one.collect())) == [row for row in expected if row[0] == "b4"]
 
 
+def test_stored_listings_are_those_of_spark(spark, tmp_path, monkeypatch):
+    root = tmp_path / "a b" / "txt"
+    for name in ("1.txt", "10.txt", "é 漢+&%20#?;=@.txt", "[x]{y}^`\"<>|~.txt", "no break.txt", "sub/_part=1/2 b.txt", "sub/deep/3.txt", ".hidden/4.txt",
+                 "_hidden/5.txt", "_k=1.txt", "_6.txt", ".7.txt", "8.txt._COPYING_", "notes.md", "9.TXT", "empty.txt"):
+        file = root / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(b"" if name == "empty.txt" else f"Text of {name}.\nMore.".encode())
+    os.utime(root / "1.txt", ns=(10**18, 10**18 + 123_999_999))
+    (root / "link.txt").symlink_to(root / "1.txt")
+    (root / "nowhere.txt").symlink_to(root / "none")
+
+    def seen(at, glob):
+        files_ = books.index(spark, at, glob)
+        stored.append(books.is_stored(files_))
+        frames = [
+            files_.select("path", books.address(), "length", "modificationTime"), books.list_books(spark, at, files=files_),
+            books.list_books(spark, at, 3, files=files_), books.read_books(spark, at, files=files_), books.read_books(spark, at, 2, files=files_),
+            books._contents(spark, at, None, None, order[1], order[4], files_).select("content"),
+        ]
+        lasts = [books.last_file(spark, at, limit, None, after, files_) for limit, after in ((None, None), (4, None), (1, order[2]), (99, order[2]), (2, order[-1]))]
+        return [sorted(map(tuple, frame.collect())) for frame in frames] + lasts
+
+    stored, roots = [], ((str(root), "*.txt"), (f"file://{root}", None), (str(root), "{1,10}.txt"))
+    order = sorted(r[0] for r in books.index(spark, str(root), "*.txt").select(books.address()).collect())
+    expected = [seen(*at) for at in roots]
+    monkeypatch.setattr(books, "FEW", 0)
+    for at, rows in zip(roots, expected, strict=True):
+        for found, row in zip(seen(*at), rows, strict=True):
+            assert found == row
+    assert stored == [False] * 3 + [True, True, False]
+    (root / "bad.txt").write_bytes(b"bad \xff")
+    files_ = books.index(spark, str(root), "b*.txt")
+    with pytest.raises(PySparkException):
+        books.read_books(spark, str(root), files=files_).collect()
+    assert [r.fileName for r in books.broken_books(books.read_books(spark, str(root), files=files_, strict=False)).collect()] == ["txt/bad.txt"]
+
+
+def test_loads_hold_no_file_on_the_driver(spark, tmp_path, monkeypatch):
+    shelf, loaded = tmp_path / "txt", []
+    shelf.mkdir()
+    for k in range(60):
+        (shelf / f"{k:02}.txt").write_text(f"Book {k}. End." * (1 + k % 3))
+    few, large = books.FEW, books.large_addresses
+    monkeypatch.setattr(books, "large_addresses", lambda files, above: loaded.append(1) or large(files, above))
+    monkeypatch.setattr(books, "TASK_FILES", 7)
+
+    def load(kind, path):
+        if kind == "manifest":
+            assert [load_new_books(spark, str(shelf), path, limit, buckets=2, step=30, large=20) for limit in (5, None)] == [5, 55]
+            (shelf / "05.txt").write_text("Changed book.")
+            (shelf / "60.txt").write_text("New book.")
+            (shelf / "07.txt").rename(shelf / "99.md")
+            assert load_new_books(spark, str(shelf), path, drop_gone=True) == 2
+            (shelf / "60.txt").unlink()
+            (shelf / "99.md").rename(shelf / "07.txt")
+            (shelf / "05.txt").write_text("Book 5. End." * 3)
+            os.utime(shelf / "05.txt", ns=(10**18, 10**18))
+        else:
+            last = None
+            for _ in range(2):
+                last = load_books(spark, str(shelf), path, 31, buckets=2, after=last)
+        kept = [tables.read_sentences(spark, path), spark.read.parquet(totals.totals_path(path))]
+        if kind == "manifest":
+            kept.append(spark.read.parquet(f"{path}_files").select("fileName", "length", "load"))
+        return [sorted(map(str, frame.collect())) for frame in kept]
+
+    expected = {kind: load(kind, str(tmp_path / kind)) for kind in ("manifest", "batches")}
+    assert loaded and books.FEW == few
+    monkeypatch.setattr(books, "FEW", 0)
+    loaded.clear()
+    for kind, rows in expected.items():
+        assert load(kind, str(tmp_path / f"{kind} by tasks")) == rows
+    assert not loaded
+    # What one way has recorded is known to the other.
+    assert load_new_books(spark, str(shelf), str(tmp_path / "manifest")) == 2
+
+
 def test_names_of_a_batch_come_from_the_listing(spark, shelf, physical):
     plan = physical(books.read_books(spark, str(shelf)).select("fileName"))
     assert "ReadSchema: struct<path:string>" in plan

@@ -1,7 +1,7 @@
 """The batch load: book files to the stored sentence table, its totals and its manifest."""
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +14,7 @@ from tomegauge.sources import books, manifest
 
 KEY = ["fileName", "position"]
 
-#: Files of one step of an incremental load. The driver holds their addresses beside the listing.
+#: Files of one step of an incremental load. Where the driver holds the listing, it holds their addresses beside it.
 STEP = 50_000
 
 #: Bytes of a file above which it is read in chunks, by many tasks.
@@ -30,12 +30,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _sentences(
-    spark: SparkSession, root: str, files: DataFrame, paths: list[str], strict: bool, min_syllables: int, abbreviations: Sequence[str], large: int
+    spark: SparkSession, root: str, files: DataFrame, paths: list[str] | DataFrame | None, strict: bool, min_syllables: int,
+    abbreviations: Sequence[str], large: int,
 ) -> DataFrame:
     """The sentence table of an index of files; those above ``large`` bytes, which are at ``paths``, are cut in chunks."""
-    whole = files.where(F.col("_metadata.file_size") <= large) if paths else files
+    some = paths is not None and (isinstance(paths, DataFrame) or len(paths) > 0)
+    whole = files.where(F.col("_metadata.file_size") <= large) if some else files
     rows = sentence_table(books.read_books(spark, root, strict=strict, files=whole), min_syllables, abbreviations)
-    if not paths:
+    if not some:
         return rows
     chunks = books.read_chunks(spark, root, paths, strict)
     return rows.unionByName(chunked_sentence_table(chunks, min_syllables, abbreviations))
@@ -82,8 +84,8 @@ def load_books(
     chunks by several tasks.
 
     Gives the address of the last file read, None if there was none. ``after`` that
-    address the next load goes on. The folder is listed once; the driver holds the listing,
-    so a library of many million files is loaded folder by folder.
+    address the next load goes on. The folder is listed once. In a mounted folder the driver holds nothing per file;
+    in other stores it holds the listing, so there a library of many million files is loaded folder by folder.
     """
     files = books.index(spark, root, glob)
     with books.small_files(spark):
@@ -152,24 +154,58 @@ def load_new_books(
         known = spark.createDataFrame([], manifest.FILES) if first else manifest.known_files(spark, home)
         load = 1 if first else manifest.last_load(spark, home) + 1
         fresh = manifest.changed_files(listed, known)
+        gone = manifest.gone_files(listed, known)
+        if books.is_stored(files):
+            steps = _stored_steps(files, fresh, limit, step)
+            return _load_steps(spark, root, path, steps, home, load, gone if drop_gone and not first else None, strict, min_syllables, abbreviations, buckets, large)
         # No more than the listing that the driver holds as it is.
         fresh = fresh.orderBy("address") if limit is None else fresh.orderBy("address").limit(limit)
         rows = fresh.collect()
         stay = [] if first or not rows else _between(manifest.unchanged_files(listed, known), rows)
         long = books.large_addresses(files, large) if rows else {}
-        for at in range(0, len(rows), step):
-            part = rows[at : at + step]
-            some = files.where(_wanted([row.address for row in part], stay))
-            paths = [long[row.address] for row in part if row.address in long]
-            sentences = _sentences(spark, root, some, paths, strict, min_syllables, abbreviations, large)
-            read = spark.createDataFrame([(*row, load) for row in part], manifest.FILES)
-            _load(spark, path, sentences, read.select("fileName"), buckets)
-            manifest.record_files(read, home, load)
-        if drop_gone and not first:
-            gone = manifest.gone_files(listed, known)
-            if not gone.isEmpty():
-                names = gone.select("fileName")
-                none = spark.read.parquet(path).drop("buckets", "bucket").where(F.lit(False))
-                _load(spark, path, none, names, None)
-                manifest.record_files(gone, home, load, gone=True)
-        return len(rows)
+        return _load_steps(
+            spark, root, path, _named_steps(spark, files, rows, stay, long, step), home, load,
+            gone if drop_gone and not first else None, strict, min_syllables, abbreviations, buckets, large,
+        )
+
+
+def _named_steps(spark: SparkSession, files: DataFrame, rows: list, stay: list[str] | None, long: dict[str, str], step: int) -> Iterator[tuple]:
+    """Of each step the files, the paths of the large ones, the rows of the manifest less their load, and their number."""
+    schema = "address string, fileName string, length long, modified timestamp"
+    for at in range(0, len(rows), step):
+        part = rows[at : at + step]
+        some = files.where(_wanted([row.address for row in part], stay))
+        yield some, [long[row.address] for row in part if row.address in long], spark.createDataFrame(part, schema), len(part)
+
+
+def _stored_steps(files: DataFrame, fresh: DataFrame, limit: int | None, step: int) -> Iterator[tuple]:
+    """The same of a stored listing. The files to load are stored once more, in order, and a step is a range of their places."""
+    paths = files.select(books.address().alias("address"), "path")
+    ranked = books.ranked(fresh.join(paths, "address"), "fileName", "path", "length", "modified")
+    count = ranked.count()
+    count = count if limit is None else min(count, limit)
+    for at in range(0, count, step):
+        end = min(at + step, count)
+        part = ranked.where(F.col("place").between(at, end - 1))
+        some = books.as_index(part)
+        yield some, some, part.select("address", "fileName", "length", "modified"), end - at
+
+
+def _load_steps(
+    spark: SparkSession, root: str, path: str, steps: Iterator[tuple], home: str, load: int, gone: DataFrame | None,
+    strict: bool, min_syllables: int, abbreviations: Sequence[str], buckets: int | None, large: int,
+) -> int:
+    """Load step by step, then take out the books of files found ``gone``; gives the number of files loaded."""
+    count = 0
+    for some, long, read, number in steps:
+        paths = books.large_files(some, large) if isinstance(long, DataFrame) else long
+        sentences = _sentences(spark, root, some, paths, strict, min_syllables, abbreviations, large)
+        _load(spark, path, sentences, read.select("fileName"), buckets)
+        manifest.record_files(read, home, load)
+        count += number
+    if gone is not None and not gone.isEmpty():
+        names = gone.select("fileName")
+        none = spark.read.parquet(path).drop("buckets", "bucket").where(F.lit(False))
+        _load(spark, path, none, names, None)
+        manifest.record_files(gone, home, load, gone=True)
+    return count
