@@ -549,6 +549,14 @@ def test_blocks_that_hold_no_hit_are_not_read(spark, tmp_path):
     assert search.postings_to_read(spark, path, "notaword").count() == 0
 
 
+def test_an_index_is_written_without_a_shuffle_of_its_postings(spark, tmp_path):
+    rows = [(f"b{k}", 0, f"the word{k % 7} goes the way", 1, 0, 5) for k in range(100)]
+    table, path = spark.createDataFrame(rows, SENTENCES).repartition(5, "fileName").localCheckpoint(), tmp_path / "index"
+    search.write_index(table, str(path), 2, block_sentences=8)
+    assert len({f.name.split("-")[1] for f in path.glob("postings/bucket=*/*.parquet")}) == 5
+    assert search.search_index(spark, str(path), table, "the word3", 5).collect() == search.search(table, "the word3", 5).collect()
+
+
 def test_many_blocks_meet_their_postings_in_a_join(spark, tmp_path, monkeypatch):
     names = [(f"b{k}", 0, "the rare word" if k % 50 == 0 else f"the word{k % 7} goes the way", 1, 0, 3 if k % 50 == 0 else 5) for k in range(600)]
     table, path = spark.createDataFrame(names, SENTENCES), str(tmp_path / "index")

@@ -155,9 +155,10 @@ def block_maxima(rows: DataFrame, mean: float) -> DataFrame:
     )
 
 
-def _write(rows: DataFrame, path: str, *order: str) -> None:
+def _write(rows: DataFrame, path: str, *order: str, dealt: bool = False) -> None:
+    """Rebalanced by bucket; rows that come ``dealt`` are written as they lie, a file for each task and bucket."""
     (
-        rows.hint("rebalance", "bucket")
+        (rows if dealt else rows.hint("rebalance", "bucket"))
         .sortWithinPartitions("bucket", *order)
         .write.mode("overwrite")
         .option("parquet.page.row.count.limit", PAGE_ROWS)
@@ -171,9 +172,9 @@ def write_index(
 ) -> None:
     """Write postings, term frequencies, block maxima and corpus statistics under ``path``.
 
-    The postings are rebalanced by bucket, which splits a bucket with a frequent term over
-    several tasks. They are sorted by term and block within each file, so a look-up skips the
-    pages of other terms and blocks as well as the other buckets. The best posting of each block is
+    The postings are not shuffled: each task writes those of its sentences, a file for each bucket. They are sorted by
+    term and block within each file, so a look-up skips the
+    pages of other terms and blocks as well as the other buckets, and a frequent term is read by many tasks. The best posting of each block is
     stored for terms with some postings in most blocks; those of a rarer term are all read.
     """
     spark = sentences.sparkSession
@@ -181,7 +182,7 @@ def write_index(
     lengths = text.word_count("sentenceText", True) if unicode else F.col("numWordsInSentence")
     statistics = sentences.agg(F.count(F.lit(1)).alias("documents"), F.avg(lengths).alias("mean")).first()
     blocks = max(1, -(-statistics["documents"] // block_sentences))
-    _write(postings(sentences, buckets, unicode, blocks), f"{path}/postings", "term", "block")
+    _write(postings(sentences, buckets, unicode, blocks), f"{path}/postings", "term", "block", dealt=True)
     rows = spark.read.parquet(f"{path}/postings")
     _write(rows.groupBy("bucket", "term").agg(F.count(F.lit(1)).alias("df")), f"{path}/terms", "term")
     frequent = spark.read.parquet(f"{path}/terms").where(F.col("df") >= LEAST_PER_BLOCK * blocks).select("bucket", "term")
